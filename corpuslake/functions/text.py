@@ -171,9 +171,16 @@ def extract_response(generated, prompt) -> Column:
     return py_strip(F.replace(rest, F.lit(fixed.RESPONSE_MARK), F.lit("")))
 
 
+def rx_escape(s: str) -> str:
+    """Escape regex metacharacters only (valid in Java regex and RE2)."""
+    return "".join("\\" + ch if ch in "\\.^$|?*+()[]{}" else ch for ch in s)
+
+
+TEMPLATE_PATTERN = ("(?s)^" + rx_escape(fixed.PROMPT_HEADER + fixed.INSTRUCTION_TAG)
+                    + ".+?(" + rx_escape(fixed.INPUT_TAG) + ".+?)?"
+                    + rx_escape(fixed.RESPONSE_TAG) + ".*$")
+
+
 def template_ok(c) -> Column:
     """Does the text follow the prompt template (with a response)?"""
-    pat = ("(?s)^" + re.escape(fixed.PROMPT_HEADER + fixed.INSTRUCTION_TAG)
-           + ".+?(" + re.escape(fixed.INPUT_TAG) + ".+?)?"
-           + re.escape(fixed.RESPONSE_TAG) + ".*$")
-    return F.coalesce(_col(c).rlike(pat), F.lit(False))
+    return F.coalesce(_col(c).rlike(TEMPLATE_PATTERN), F.lit(False))

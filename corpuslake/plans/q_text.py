@@ -202,14 +202,6 @@ def b14_mixture_sample(spark, sf):
     return clean.mixture_sample(d, "lang", _MIX, seed=7).select("doc_id", "lang")
 
 
-@query("b16_validate_template", None)
-def b16_validate_template(spark, sf):
-    from ..operators import instruct
-    p = instruct.pairs_from_conversations(table(spark, sf, "conversations"))
-    f = p.select("conv_id", "turn", X.format_prompt("instruction", "input", "output").alias("t"))
-    return f.select("conv_id", "turn", X.template_ok("t").alias("ok"))
-
-
 @query("b15_split_sentences")
 def b15_split_sentences(spark, sf):
     s = clean.split_sentences(table(spark, sf, "documents"), "text", "doc_id")
