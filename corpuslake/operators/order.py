@@ -62,7 +62,7 @@ def global_offsets(df: DataFrame, order, size: str | Column | None = None,
 
     b = range_buckets(df, key, num_buckets)
     if sz is not None:
-        b = b.withColumn("_sz", sz.cast("long"))
+        b = b.withColumn("_sz", sz)
     totals = b.groupBy("_bucket").agg(
         F.count(F.lit(1)).alias("_bn"),
         *([F.sum("_sz").alias("_bs")] if sz is not None else []))
@@ -81,7 +81,7 @@ def global_offsets(df: DataFrame, order, size: str | Column | None = None,
     out = out.join(F.broadcast(totals), "_bucket")
     out = out.withColumn(ordinal_col, (F.col("_bn0") + F.col("_rn") - 1).cast("long"))
     if sz is not None:
-        out = out.withColumn(offset_col, (F.col("_bs0") + F.col("_run") - F.col("_sz")).cast("long"))
+        out = out.withColumn(offset_col, F.col("_bs0") + F.col("_run") - F.col("_sz"))
     return out.drop("_bucket", "_rn", "_run", "_sz", "_bn0", "_bs0")
 
 
@@ -89,3 +89,28 @@ def with_ordinal(df: DataFrame, order, key: Column | None = None,
                  num_buckets: int | None = None, name: str = "ordinal") -> DataFrame:
     """Ordinal only (see :func:`global_offsets`)."""
     return global_offsets(df, order, None, key, num_buckets, ordinal_col=name)
+
+
+def partitioned_offsets(df: DataFrame, partition: str, order, size: str | Column | None = None,
+                        key: Column | None = None, num_buckets: int | None = None,
+                        ordinal_col: str = "ordinal", offset_col: str = "offset") -> DataFrame:
+    """Ordinal and exclusive running sum restarting at every ``partition`` value.
+
+    Skew-safe form of ``row_number()/sum() over (partition by p order by o)``:
+    the running values are taken over the total order ``(partition, order)``
+    with :func:`global_offsets` (range buckets, so one huge partition is
+    spread over many tasks) and each partition's starting values (one row per
+    partition, a groupBy) are subtracted.
+    """
+    order = [order] if isinstance(order, (str, Column)) else list(order)
+    g = global_offsets(df, [partition] + order, size, key, num_buckets,
+                       ordinal_col="_go", offset_col="_gs")
+    aggs = [F.min("_go").alias("_go0")]
+    if size is not None:
+        aggs.append(F.min("_gs").alias("_gs0"))
+    starts = g.groupBy(partition).agg(*aggs)
+    out = g.join(starts, partition)
+    out = out.withColumn(ordinal_col, F.col("_go") - F.col("_go0"))
+    if size is not None:
+        out = out.withColumn(offset_col, F.col("_gs") - F.col("_gs0"))
+    return out.drop("_go", "_go0", "_gs", "_gs0")
