@@ -203,23 +203,33 @@ def train_bpe(df: DataFrame, vocab_size: int, text_col: str = "text",
     """
     if vocab_size < 256:
         raise ValueError("vocab_size must be at least 256")
-    spark = df.sparkSession
-    n_merges = vocab_size - 256
-    chunks = cut_lineage(chunk_table(df, text_col, order_col, pattern)
-                         .select("n", "f_doc", "f_idx", "ids")
-                         .where(F.size("ids") >= 2))
+    chunks = chunk_table(df, text_col, order_col, pattern).select("n", "f_doc", "f_idx", "ids")
+    merges = train_rounds(chunks, vocab_size - 256, 256, batch, top_k, checkpoint_every,
+                          empty_error=True)
+    return merges_from_rows(df.sparkSession, merges)
+
+
+def train_rounds(chunks: DataFrame, n_merges: int, first_id: int, batch: bool = True,
+                 top_k: int = 64, checkpoint_every: int = 8, empty_error: bool = True):
+    """The merge loop over a chunk table ``(n, f_doc, f_idx, ids)``.
+
+    Returns the merges ``[(left, right, new_id)]`` in order; new ids count up
+    from ``first_id``. Without pairs left it raises (``empty_error``) or stops.
+    """
+    chunks = cut_lineage(chunks.where(F.size("ids") >= 2))
     merges: list[tuple[int, int, int]] = []
     rounds = 0
     prev = None
     while len(merges) < n_merges:
-        stats = pair_stats(chunks)
-        top = (stats.orderBy(F.desc("count"), F.asc("first"))
+        top = (pair_stats(chunks).orderBy(F.desc("count"), F.asc("first"))
                .limit(top_k + 1).collect())
         if not top:
-            raise ValueError(f"no pairs left after {len(merges)} merges")
+            if empty_error:
+                raise ValueError(f"no pairs left after {len(merges)} merges")
+            break
         ranked = [(r["left"], r["right"], r["count"]) for r in top]
         acc = _select_batch(ranked, batch)[: n_merges - len(merges)]
-        new = [(a, b, 256 + len(merges) + i) for i, (a, b, _) in enumerate(acc)]
+        new = [(a, b, first_id + len(merges) + i) for i, (a, b, _) in enumerate(acc)]
         merges.extend(new)
         rounds += 1
         nxt = apply_merges(chunks, new).where(F.size("ids") >= 2)
@@ -233,9 +243,8 @@ def train_bpe(df: DataFrame, vocab_size: int, text_col: str = "text",
         chunks = nxt
     if prev is not None:
         prev.unpersist()
-    train_bpe.last_rounds = rounds
-    rows = [(i, a, b, c) for i, (a, b, c) in enumerate(merges)]
-    return spark.createDataFrame(rows, MERGES_SCHEMA)
+    train_rounds.last_rounds = rounds
+    return merges
 
 
 # --------------------------------------------------------------------------

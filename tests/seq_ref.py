@@ -50,3 +50,32 @@ def seq_encode(text, merges, pattern):
             ids = seq_merge(ids, best, rank[best][1])
         out.extend(ids)
     return out
+
+
+def seq_char_train(text, vocab_size, specials=("<|endoftext|>",)):
+    """Character-level BPE on one text (spaces as the glyph)."""
+    g = "".join(("Ġ" if (c == " " and i != 0) else "") + (c if c != " " else "")
+                for i, c in enumerate(text))
+    chars = [chr(i) for i in range(256)]
+    chars += [c for c in sorted(set(g)) if c not in chars]
+    if "Ġ" not in chars:
+        chars.append("Ġ")
+    vocab = {i: c for i, c in enumerate(chars)}
+    inv = {c: i for i, c in vocab.items()}
+    for s in specials:
+        if s not in inv:
+            inv[s] = len(vocab)
+            vocab[len(vocab)] = s
+    ids = [inv[c] for c in g]
+    merges = []
+    for new in range(len(vocab), vocab_size):
+        counts = {}
+        for p in zip(ids, ids[1:]):
+            counts[p] = counts.get(p, 0) + 1
+        if not counts:
+            break
+        best = max(counts, key=counts.get)
+        ids = seq_merge(ids, best, new)
+        merges.append((best[0], best[1], new))
+        vocab[new] = vocab[best[0]] + vocab[best[1]]
+    return merges, vocab
