@@ -16,7 +16,10 @@ shuffle is needed.
 
 from __future__ import annotations
 
+import unicodedata
+
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -58,20 +61,21 @@ def with_byte_ids(df: DataFrame, text_col: str, out_col: str = "ids") -> DataFra
 
 
 def chunk_occurrences(df: DataFrame, text_col: str = "text", order_col: str = "doc_id",
-                      pattern: str = fixed.GPT2_SPLIT_PATTERN) -> DataFrame:
-    """One row per pre-split chunk: ``(doc, idx, chunk)``."""
-    return df.select(F.col(order_col).alias("doc"),
-                     F.posexplode(pre_split(F.col(text_col), pattern)).alias("idx", "chunk"))
+                      pattern: str = fixed.GPT2_SPLIT_PATTERN, chunker=None) -> DataFrame:
+    """One row per pre-split chunk: ``(doc, idx, chunk)``. ``chunker`` maps
+    the text column to an array of chunks (default: the split pattern)."""
+    chunks = chunker(F.col(text_col)) if chunker else pre_split(F.col(text_col), pattern)
+    return df.select(F.col(order_col).alias("doc"), F.posexplode(chunks).alias("idx", "chunk"))
 
 
 def chunk_table(df: DataFrame, text_col: str = "text", order_col: str = "doc_id",
-                pattern: str = fixed.GPT2_SPLIT_PATTERN) -> DataFrame:
+                pattern: str = fixed.GPT2_SPLIT_PATTERN, chunker=None) -> DataFrame:
     """Distinct chunks with multiplicity and first position, plus byte ids.
 
     ``(chunk, n, f_doc, f_idx, ids)``. One shuffle on the chunk string, with
     map-side partial aggregation, so a hot chunk costs one row per task.
     """
-    occ = chunk_occurrences(df, text_col, order_col, pattern)
+    occ = chunk_occurrences(df, text_col, order_col, pattern, chunker)
     agg = occ.groupBy("chunk").agg(
         F.count(F.lit(1)).alias("n"),
         F.min(F.struct(F.col("doc").cast("long").alias("d"), F.col("idx").alias("i"))).alias("f"))
@@ -281,7 +285,8 @@ def build_vocab(merges: DataFrame, specials: dict | None = None) -> DataFrame:
 # --------------------------------------------------------------------------
 # C12 encode
 
-def _encode_batches(it, table_rows, specials, chunk_col, keep, out_col):
+def _encode_batches(it, table_rows, specials, chunk_col, keep, out_col, byte_perm=None):
+    perm = None if byte_perm is None else np.asarray(byte_perm, dtype=np.int64)
     table = K.MergeTable([r[0] for r in table_rows], [r[1] for r in table_rows],
                          [r[2] for r in table_rows])
     special_ids = dict(specials or {})
@@ -303,6 +308,8 @@ def _encode_batches(it, table_rows, specials, chunk_col, keep, out_col):
                     is_special[j] = True
                     sp_vals.append((j, special_ids[s]))
         v, seg, _ = K.utf8_bytes_flat(dictionary)
+        if perm is not None:
+            v = perm[v]
         if is_special.any():
             keep_mask = ~is_special[seg]
             v, seg = v[keep_mask], seg[keep_mask]
@@ -361,9 +368,12 @@ def resolve_allowed(specials: dict, allowed) -> dict:
 def encode_bpe(df: DataFrame, merges: DataFrame, text_col: str = "text",
                specials: dict | None = None, allowed="none_raise",
                pattern: str = fixed.GPT2_SPLIT_PATTERN, out_col: str = "ids",
-               keep: list | None = None, merge_rows=None) -> DataFrame:
+               keep: list | None = None, merge_rows=None, byte_perm=None) -> DataFrame:
     """Encode a text column to ``array<int>`` token ids (lowest rank first).
 
+    ``byte_perm`` (C17): a 256-entry permutation applied to the bytes
+    before merging (the decoder applies the inverse).
+
     With ``allowed`` specials, their exact occurrences become their ids and
     the text around them is encoded normally. ``none_raise`` fails when any
     special token occurs in the column (pre-flight aggregate).
@@ -393,7 +403,7 @@ def encode_bpe(df: DataFrame, merges: DataFrame, text_col: str = "text",
     schema = T.StructType([staged.schema[c] for c in keep]
                           + [T.StructField(out_col, T.ArrayType(T.IntegerType()))])
     return staged.mapInArrow(
-        lambda it: _encode_batches(it, rows, use, "_chunks", keep, out_col), schema)
+        lambda it: _encode_batches(it, rows, use, "_chunks", keep, out_col, byte_perm), schema)
 
 
 # --------------------------------------------------------------------------
@@ -413,8 +423,12 @@ def _vocab_arrays(vocab_rows):
     return known, lens, starts, buf
 
 
-def _decode_batches(it, vocab_rows, ids_col, keep, out_col):
+def _decode_batches(it, vocab_rows, ids_col, keep, out_col, byte_perm=None):
     known, lens, starts, buf = _vocab_arrays(vocab_rows)
+    inv = None
+    if byte_perm is not None:
+        inv = np.zeros(256, dtype=np.uint8)
+        inv[np.asarray(byte_perm, dtype=np.int64)] = np.arange(256, dtype=np.uint8)
     for rb in it:
         lists = rb.column(ids_col)
         v, seg, n = K.list_to_flat(lists)
@@ -431,6 +445,8 @@ def _decode_batches(it, vocab_rows, ids_col, keep, out_col):
             np.cumsum(tl[:-1], out=out_start[1:])
         gather = np.repeat(starts[v] - out_start, tl) + np.arange(total)
         data = buf[gather] if total else np.zeros(0, np.uint8)
+        if inv is not None:
+            data = inv[data]
         row_len = np.bincount(seg, weights=tl, minlength=n).astype(np.int64) if len(v) \
             else np.zeros(n, np.int64)
         offsets = np.zeros(n + 1, dtype=np.int64)
@@ -443,7 +459,7 @@ def _decode_batches(it, vocab_rows, ids_col, keep, out_col):
 
 
 def decode_bpe(df: DataFrame, vocab: DataFrame, ids_col: str = "ids", out_col: str = "text",
-               keep: list | None = None, vocab_rows=None) -> DataFrame:
+               keep: list | None = None, vocab_rows=None, byte_perm=None) -> DataFrame:
     """Token ids back to text: bytes concatenated, invalid UTF-8 replaced.
 
     The vocabulary (bounded by ``vocab_size``) is shipped to the tasks; an
@@ -458,7 +474,7 @@ def decode_bpe(df: DataFrame, vocab: DataFrame, ids_col: str = "ids", out_col: s
     schema = T.StructType([df.schema[c] for c in keep]
                           + [T.StructField("_bytes", T.BinaryType())])
     raw = df.select(*keep, ids_col).mapInArrow(
-        lambda it: _decode_batches(it, vocab_rows, ids_col, keep, "_bytes"), schema)
+        lambda it: _decode_batches(it, vocab_rows, ids_col, keep, "_bytes", byte_perm), schema)
     return raw.select(*keep, F.make_valid_utf8(F.col("_bytes").cast("string")).alias(out_col))
 
 
@@ -499,3 +515,70 @@ def token_frequencies(tokens: DataFrame, vocab: DataFrame, ids_col: str = "ids")
 
 def merges_from_rows(spark: SparkSession, rows) -> DataFrame:
     return spark.createDataFrame([(i, a, b, c) for i, (a, b, c) in enumerate(rows)], MERGES_SCHEMA)
+
+
+# --------------------------------------------------------------------------
+# C15 render / C16 recover
+
+@F.pandas_udf(T.StringType())
+def _escape_controls(s: pd.Series) -> pd.Series:
+    def esc(x):
+        if x is None:
+            return None
+        return "".join(f"\\u{ord(ch):04x}" if unicodedata.category(ch).startswith("C") else ch for ch in x)
+    return s.map(esc)
+
+
+def render_token(b) -> F.Column:
+    """Bytes shown as text: invalid UTF-8 replaced, control characters as
+    ``\\uXXXX`` (Python-side only for rows that contain one)."""
+    t = F.make_valid_utf8(b.cast("string"))
+    return F.when(t.rlike("\\p{C}"), _escape_controls(t)).otherwise(t)
+
+
+def render_vocab(vocab: DataFrame, merges: DataFrame) -> DataFrame:
+    """``[s0][s1] -> [s] id`` for merged tokens, ``[s] id`` otherwise."""
+    v = vocab.select("token_id", render_token(F.col("bytes")).alias("s"))
+    l = v.select(F.col("token_id").alias("left"), F.col("s").alias("s0"))
+    r = v.select(F.col("token_id").alias("right"), F.col("s").alias("s1"))
+    m = merges.select("left", "right", F.col("new_id").alias("token_id")).join(l, "left").join(r, "right")
+    j = v.join(m.select("token_id", "s0", "s1"), "token_id", "left")
+    line = F.when(F.col("s0").isNotNull(), F.format_string("[%s][%s] -> [%s] %d", "s0", "s1", "s", "token_id")) \
+        .otherwise(F.format_string("[%s] %d", "s", "token_id"))
+    return j.select("token_id", line.alias("line"))
+
+
+def _recover_batches(it, rank_rows):
+    ranks = {bytes(b): r for b, r in rank_rows}
+    for pdf in it:
+        out = []
+        for tok, rank in zip(pdf["bytes"], pdf["rank"]):
+            tok = bytes(tok)
+            if len(tok) < 2:
+                continue
+            parts = [tok[i:i + 1] for i in range(len(tok))]
+            while True:
+                best, best_rank = None, None
+                for i in range(len(parts) - 1):
+                    r = ranks.get(parts[i] + parts[i + 1])
+                    if r is not None and (best_rank is None or r < best_rank):
+                        best, best_rank = i, r
+                if best_rank is None or best_rank >= rank:
+                    break
+                parts = parts[:best] + [parts[best] + parts[best + 1]] + parts[best + 2:]
+            if len(parts) != 2:
+                raise ValueError(f"token of rank {rank} does not split in two parts")
+            out.append((int(rank), ranks[parts[0]], ranks[parts[1]]))
+        yield pd.DataFrame(out, columns=["rank", "left", "right"])
+
+
+def recover_merges(ranks: DataFrame) -> DataFrame:
+    """Merges from ``(bytes, rank)`` alone: replay BPE on every
+    multi-byte token with the ranks below its own; the two final parts give
+    the merge. The rank table (bounded by the vocabulary) is shipped."""
+    n = ranks.count()
+    if n > MAX_MERGES_SHIPPED:
+        raise ValueError(f"rank table of {n} rows is too large to ship")
+    rank_rows = [(bytes(r.bytes), r.rank) for r in ranks.collect()]
+    return ranks.select("bytes", "rank").mapInPandas(
+        lambda it: _recover_batches(it, rank_rows), "rank long, left long, right long")
