@@ -14,13 +14,15 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.text import word_decode_text, word_split
+from ..session import cut_lineage
 from .order import string_order_key, with_ordinal
 
 
 def build_word_vocab(df: DataFrame, text_col: str = "text", specials: bool = True) -> DataFrame:
     """Distinct tokens in code-point order, ids from 0; optionally
     ``<|endoftext|>`` and ``<|unk|>`` appended after the sorted words."""
-    toks = df.select(F.explode(word_split(F.col(text_col))).alias("token")).distinct()
+    # materialised once: the ordinal and the special ids read it several times
+    toks = cut_lineage(df.select(F.explode(word_split(F.col(text_col))).alias("token")).distinct())
     vocab = with_ordinal(toks, "token", key=string_order_key("token"), name="token_id") \
         .select("token", F.col("token_id").cast("long"))
     if not specials:

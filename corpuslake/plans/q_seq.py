@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..functions import text as X
 from ..operators import instruct, sequences as S, words
+from ..session import cut_lineage
 from .registry import d_word_split, d_word_vocab, query, sq, table
 
 
@@ -38,7 +39,9 @@ def _d(c):
 
 
 def _doc_ids(spark, sf):
-    return word_ids(table(spark, sf, "documents").select("doc_id", "text"))
+    """Word ids per document, materialised once (a token cache) because the
+    sequence jobs read them several times."""
+    return cut_lineage(word_ids(table(spark, sf, "documents").select("doc_id", "text")))
 
 
 # ---------------------------------------------------------------- D2 / D3

@@ -300,8 +300,10 @@ def c6_pre_split(spark, sf):
                     (F.array_join(ch, "") == F.col("text")).alias("lossless"))
 
 
-_SPECIAL_TEXT = F.concat(F.col("text"), F.lit(fixed.ENDOFTEXT), F.col("source"),
-                         F.lit("<|fim_prefix|>"), F.col("lang"), F.lit(fixed.ENDOFTEXT))
+def _special_text():
+    """Document text with special tokens injected between fields."""
+    return F.concat(F.col("text"), F.lit(fixed.ENDOFTEXT), F.col("source"),
+                    F.lit("<|fim_prefix|>"), F.col("lang"), F.lit(fixed.ENDOFTEXT))
 
 
 def _d_special_text() -> str:
@@ -322,7 +324,7 @@ SELECT doc_id, unnest(range(1, len(p) + 1))::BIGINT AS piece_idx, unnest(p) AS p
 FROM (SELECT doc_id, {_d_split_specials(_d_special_text(), fixed.GPT4_SPECIAL_TOKENS)} AS p FROM documents) z""")
 def c7_split_specials(spark, sf):
     d = table(spark, sf, "documents")
-    p = X.split_specials(_SPECIAL_TEXT, list(fixed.GPT4_SPECIAL_TOKENS))
+    p = X.split_specials(_special_text(), list(fixed.GPT4_SPECIAL_TOKENS))
     return d.select("doc_id", F.posexplode(p).alias("i", "x")).select(
         "doc_id", (F.col("i") + 1).cast("long").alias("piece_idx"),
         F.col("x.s").alias("piece"), F.col("x.is_special").alias("is_special"))
@@ -333,7 +335,7 @@ def c7_split_specials(spark, sf):
     for s in fixed.GPT4_SPECIAL_TOKENS) + ") z")
 def c8_special_counts(spark, sf):
     from ..operators import bpe
-    d = table(spark, sf, "documents").select(_SPECIAL_TEXT.alias("text"))
+    d = table(spark, sf, "documents").select(_special_text().alias("text"))
     return bpe.check_specials(d, "text", list(fixed.GPT4_SPECIAL_TOKENS), "all")
 
 
