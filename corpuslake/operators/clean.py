@@ -97,10 +97,20 @@ def mixture_sample(df: DataFrame, class_col: str, weights: dict, seed: int = 0,
 
 # ---------------------------------------------------------------- B15 sentences
 
+SENTENCE_MARK = "\ue002"   # private-use character placed at sentence ends
+
+
+def sentence_pieces(c) -> Column:
+    """Pieces after ``.``, ``!`` or ``?`` followed by whitespace (the
+    whitespace dropped, the punctuation kept with its sentence)."""
+    c = F.col(c) if isinstance(c, str) else c
+    marked = F.regexp_replace(c, "([.!?])" + fixed.WS + "+", "$1" + SENTENCE_MARK)
+    return F.split(marked, SENTENCE_MARK)
+
+
 def split_sentences(df: DataFrame, text_col: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row per sentence: split after ``.``, ``!`` or ``?`` followed by whitespace."""
-    parts = F.split(F.col(text_col), "(?<=[.!?])" + fixed.WS + "+")
-    return df.select(key, F.posexplode(parts).alias("sent_idx", "sentence")) \
+    """One row per sentence, with its position in the document."""
+    return df.select(key, F.posexplode(sentence_pieces(text_col)).alias("sent_idx", "sentence")) \
         .where(F.length("sentence") > 0)
 
 
@@ -108,11 +118,7 @@ def split_sentences(df: DataFrame, text_col: str = "text", key: str = "doc_id")
 
 @F.pandas_udf(T.StringType())
 def _nfc(s: pd.Series) -> pd.Series:
-    ascii_mask = s.str.isascii().fillna(True)
-    out = s.copy()
-    idx = ~ascii_mask
-    out[idx] = s[idx].map(lambda x: unicodedata.normalize("NFC", x))
-    return out
+    return s.map(lambda x: x if x is None or x.isascii() else unicodedata.normalize("NFC", x))
 
 
 def normalize_unicode(c: Column) -> Column:
@@ -128,14 +134,14 @@ def augment_word_delete(df: DataFrame, text_col: str = "text", key: str = "doc_i
     a hash of (key, position, seed) so the result is reproducible."""
     words = F.split(F.col(text_col), fixed.WS + "+")
     kept = F.filter(words, lambda w, i: (F.length(w) > 0) & (
-        F.pmod(F.xxhash64(F.col(key), i, F.lit(seed)), F.lit(1_000_000)) >= int(p * 1_000_000)))
+        md5_unit(F.col(key), i, seed=seed) >= int(p * 1_000_000)))
     return df.withColumn(text_col, F.array_join(kept, " "))
 
 
 def augment_sentence_shuffle(df: DataFrame, text_col: str = "text", key: str = "doc_id",
                              seed: int = 0) -> DataFrame:
     """Reorder sentences by a hash of (key, position, seed)."""
-    sents = F.split(F.col(text_col), "(?<=[.!?])" + fixed.WS + "+")
+    sents = F.filter(sentence_pieces(text_col), lambda x: F.length(x) > 0)
     keyed = F.transform(sents, lambda s, i: F.struct(
         F.xxhash64(F.col(key), i, F.lit(seed)).alias("h"), s.alias("s")))
     return df.withColumn(text_col, F.array_join(F.transform(F.array_sort(keyed), lambda x: x["s"]), " "))

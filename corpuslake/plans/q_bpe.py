@@ -15,7 +15,8 @@ from ..operators import bpe, char_bpe as CB, instruct
 from ..session import scratch_path
 from ..sources import readers
 from ..streaming import streams as ST
-from .registry import d_word_split, query, table
+from .q_seq import _D_PAIRS, _d_prompt
+from .registry import chars, d_word_split, query, table
 
 N_MERGES = 32
 N_CHAR_MERGES = 32
@@ -214,7 +215,9 @@ def a6_token_cache(spark, sf):
                        F.col("total_tokens").cast("long"), F.col("total_chars").cast("long"))
 
 
-@query("a7_write_responses_json")
+@query("a7_write_responses_json", f"""
+SELECT conv_id, turn, md5(trim(replace(substr({_d_prompt(True)}, length({_d_prompt(False)}) + 1),
+       '### Response:', ''), {chars(X._WS_TRIM)})) AS response_md5 FROM ({_D_PAIRS}) p""")
 def a7_write_responses_json(spark, sf):
     p = instruct.pairs_from_conversations(table(spark, sf, "conversations"))
     gen = X.format_prompt("instruction", "input", "output")

@@ -202,13 +202,19 @@ def b14_mixture_sample(spark, sf):
     return clean.mixture_sample(d, "lang", _MIX, seed=7).select("doc_id", "lang")
 
 
-@query("b15_split_sentences")
+@query("b15_split_sentences", f"""
+SELECT doc_id, (i - 1)::INT AS sent_idx, length(p[i])::BIGINT AS n_chars
+FROM (SELECT doc_id, p, unnest(range(1, len(p) + 1)) AS i FROM (
+      SELECT doc_id, string_split(regexp_replace(text, {sq('([.!?])' + fixed.WS + '+')}, '\\1' || chr(57346), 'g'),
+                                  chr(57346)) AS p FROM documents) x) z
+WHERE length(p[i]) > 0""")
 def b15_split_sentences(spark, sf):
     s = clean.split_sentences(table(spark, sf, "documents"), "text", "doc_id")
     return s.select("doc_id", "sent_idx", F.length("sentence").cast("long").alias("n_chars"))
 
 
-@query("b7_normalize_unicode")
+@query("b7_normalize_unicode", """
+SELECT doc_id, length(nfc_normalize(text))::BIGINT AS n_chars, md5(nfc_normalize(text)) AS md5 FROM documents""")
 def b7_normalize_unicode(spark, sf):
     d = table(spark, sf, "documents")
     n = clean.normalize_unicode(F.col("text"))
@@ -220,11 +226,15 @@ def b9_near_dup_minhash(spark, sf):
     return clean.near_dup_minhash(table(spark, sf, "documents"), "text", "doc_id")
 
 
-@query("b17_augment_word_delete")
+@query("b17_augment_word_delete", f"""
+SELECT doc_id, md5(array_to_string(list_filter(w, lambda x, i: length(x) > 0 AND
+         ('0x' || substr(md5(doc_id::VARCHAR || ':' || (i - 1)::VARCHAR || ':3'), 1, 15))::BIGINT % 1000000
+         >= 100000), ' ')) AS md5
+FROM (SELECT doc_id, regexp_split_to_array(text, {sq(fixed.WS + '+')}) AS w FROM documents) z""")
 def b17_augment(spark, sf):
     d = table(spark, sf, "documents")
     return clean.augment_word_delete(d, "text", "doc_id", p=0.1, seed=3).select(
-        "doc_id", F.length("text").cast("long").alias("n_chars"))
+        "doc_id", F.md5("text").alias("md5"))
 
 
 # ---------------------------------------------------------------------------- C words
