@@ -143,10 +143,35 @@ def augment_sentence_shuffle(df: DataFrame, text_col: str = "text", key: str = "
     """Reorder sentences by a hash of (key, position, seed)."""
     sents = F.filter(sentence_pieces(text_col), lambda x: F.length(x) > 0)
     keyed = F.transform(sents, lambda s, i: F.struct(
-        F.xxhash64(F.col(key), i, F.lit(seed)).alias("h"), s.alias("s")))
+        md5_unit(F.col(key), i, seed=seed).alias("h"), s.alias("s")))
     return df.withColumn(text_col, F.array_join(F.transform(F.array_sort(keyed), lambda x: x["s"]), " "))
 
 
+# ---------------------------------------------------------------- B13 perplexity
+
+def perplexity_filter(df: DataFrame, scores: DataFrame, key: str = "doc_id",
+                      lo: float | None = None, hi: float | None = None,
+                      q_lo: float | None = None, q_hi: float | None = None,
+                      score_col: str = "perplexity") -> DataFrame:
+    """Keep documents whose perplexity lies in ``[lo, hi]``; bounds may
+    instead be quantiles of the scores (``percentile_approx``, one aggregate).
+    Unscored documents are dropped."""
+    s = scores.select(key, score_col)
+    if q_lo is not None or q_hi is not None:
+        qs = [q for q in (q_lo, q_hi) if q is not None]
+        b = s.agg(F.percentile_approx(score_col, qs, 10_000).alias("_b")).first()["_b"]
+        if q_lo is not None:
+            lo = b[0]
+        if q_hi is not None:
+            hi = b[-1]
+    cond = F.lit(True)
+    if lo is not None:
+        cond = cond & (F.col(score_col) >= lo)
+    if hi is not None:
+        cond = cond & (F.col(score_col) <= hi)
+    return df.join(s.where(cond), key, "left_semi")
+
+
 # ---------------------------------------------------------------- B9 near dup
 
 def minhash_signatures(df: DataFrame, text_col: str = "text", key: str = "doc_id",

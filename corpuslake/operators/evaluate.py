@@ -181,11 +181,12 @@ def ngram_lm_fit(train: DataFrame, tokens_col: str = "tokens", key: str = "doc_i
     Out-of-vocabulary tokens are mapped to ``<|unk|>`` when scoring, so the
     vocabulary counts it too. Hot ``prev`` keys are pre-aggregated map-side.
     """
-    vocab = train.select(F.explode(tokens_col).alias("tok")).distinct()
+    # the fitted model: count tables materialised once, read by every scoring job
+    vocab = cut_lineage(train.select(F.explode(tokens_col).alias("tok")).distinct())
     V = vocab.select(F.count(F.lit(1))).scalar() + 1
     bg = bigrams(train, tokens_col, key)
-    pair = bg.groupBy("prev", "next").agg(F.count(F.lit(1)).alias("c_pair"))
-    prev = pair.groupBy("prev").agg(F.sum("c_pair").alias("c_prev"))
+    pair = cut_lineage(bg.groupBy("prev", "next").agg(F.count(F.lit(1)).alias("c_pair")))
+    prev = cut_lineage(pair.groupBy("prev").agg(F.sum("c_pair").alias("c_prev")))
     return {"vocab": vocab, "V": V, "pair": pair, "prev": prev, "k": float(k)}
 
 

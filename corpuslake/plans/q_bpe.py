@@ -103,6 +103,12 @@ def c13_decode_roundtrip(spark, sf):
     return dec.select("doc_id", F.md5("text").alias("md5"))
 
 
+@query("c22_bpe_token_frequencies")
+def c22_bpe_token_frequencies(spark, sf):
+    enc, m = _encoded(spark, sf)
+    return bpe.token_frequencies(enc, bpe.build_vocab(m))
+
+
 @query("c14_build_vocab")
 def c14_build_vocab(spark, sf):
     m, _ = learned_merges(spark, sf)

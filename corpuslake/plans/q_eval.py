@@ -8,6 +8,7 @@ from ..functions import text as X
 from ..functions.text import TEMPLATE_PATTERN
 from ..operators import evaluate as E, instruct, sequences as S
 from ..operators.order import with_ordinal
+from ..session import cut_lineage
 from .q_seq import _D_PAIRS, _d_prompt
 from .registry import d_word_split, query, sq, table
 
@@ -24,10 +25,12 @@ sp AS (SELECT *, CASE WHEN r < floor(0.8::DOUBLE * n) THEN 'train'
 
 
 def labelled(spark, sf):
-    """documents JOIN labels -> (doc_id, text, label, toxic, split) 80/10/10 by doc_id."""
+    """documents JOIN labels -> (doc_id, text, label, toxic, split) 80/10/10 by doc_id.
+
+    Materialised once: every evaluation job reads the same split."""
     d = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id") \
         .select("doc_id", "text", F.col("quality").alias("label"), "toxic")
-    return S.split_rows(d, (0.8, 0.1), names=("train", "val", "test"))
+    return cut_lineage(S.split_rows(d, (0.8, 0.1), names=("train", "val", "test")))
 
 
 def _d_rule_pred() -> str:
@@ -334,3 +337,44 @@ def e17_learning_curve(spark, sf):
     for r in rows[1:]:
         out = out.unionByName(r)
     return out
+
+
+@query("b13_perplexity_filter", f"""
+WITH {_D_LM},
+sc AS (SELECT doc_id, exp(-avg(logp)) AS ppl FROM lp WHERE split <> 'train' GROUP BY doc_id)
+SELECT d.doc_id, round(sc.ppl, 6) AS perplexity FROM documents d JOIN sc USING (doc_id)
+WHERE sc.ppl BETWEEN 50 AND 5000""")
+def b13_perplexity_filter(spark, sf):
+    from ..operators import clean
+    d, lm = _lm_inputs(spark, sf)
+    scores = E.ngram_lm_score(d.where(F.col("split") != "train"), lm)
+    kept = clean.perplexity_filter(table(spark, sf, "documents").select("doc_id"), scores, lo=50, hi=5000)
+    return kept.join(scores.select("doc_id", F.round("perplexity", 6).alias("perplexity")), "doc_id")
+
+
+@query("b13_perplexity_quantile_filter")
+def b13_perplexity_quantile_filter(spark, sf):
+    from ..operators import clean
+    d, lm = _lm_inputs(spark, sf)
+    scores = E.ngram_lm_score(d.where(F.col("split") != "train"), lm)
+    return clean.perplexity_filter(table(spark, sf, "documents").select("doc_id"), scores,
+                                   q_lo=0.05, q_hi=0.95)
+
+
+@query("e11_repetition_penalty", f"""
+WITH {_D_LM}, {_D_SCORES}
+SELECT seq, token, round(CASE WHEN token = seq THEN logit / 1.3 ELSE logit END, 6) AS logit FROM sc""")
+def e11_repetition_penalty(spark, sf):
+    _, lm = _lm_inputs(spark, sf)
+    sc = _scores(lm)
+    history = sc.select("seq", F.col("seq").alias("token")).distinct()     # the context token itself
+    r = E.repetition_penalty(sc, history, 1.3)
+    return r.select("seq", "token", F.round("logit", 6).alias("logit"))
+
+
+@query("e6_confusion_matrix", f"""
+WITH {_D_LAB}
+SELECT label, {_d_rule_pred()} AS pred, count(*)::BIGINT AS n FROM sp GROUP BY 1, 2""")
+def e6_confusion_matrix(spark, sf):
+    d = labelled(spark, sf).withColumn("pred", _rule_pred())
+    return E.confusion_matrix(d)

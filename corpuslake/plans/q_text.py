@@ -237,6 +237,28 @@ def b17_augment(spark, sf):
         "doc_id", F.md5("text").alias("md5"))
 
 
+@query("b17_augment_sentence_shuffle", f"""
+SELECT doc_id, md5(array_to_string(list_transform(list_sort(list_transform(
+         list_filter(p, lambda x: length(x) > 0),
+         lambda x, i: {{'h': ('0x' || substr(md5(doc_id::VARCHAR || ':' || (i - 1)::VARCHAR || ':4'), 1, 15))::BIGINT % 1000000,
+                       's': x}})), lambda z: z.s), ' ')) AS md5
+FROM (SELECT doc_id, string_split(regexp_replace(text, {sq('([.!?])' + fixed.WS + '+')}, '\\1' || chr(57346), 'g'),
+                                  chr(57346)) AS p FROM documents) z""")
+def b17_augment_sentence_shuffle(spark, sf):
+    d = table(spark, sf, "documents")
+    return clean.augment_sentence_shuffle(d, "text", "doc_id", seed=4).select(
+        "doc_id", F.md5("text").alias("md5"))
+
+
+@query("d1_global_offsets", """
+SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1)::BIGINT AS ordinal,
+       coalesce(sum(octet_length(encode(text))) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset"
+FROM documents""")
+def d1_global_offsets(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", F.octet_length("text").cast("long").alias("n"))
+    return global_offsets(d, "doc_id", "n").select("doc_id", "ordinal", F.col("offset").cast("long"))
+
+
 # ---------------------------------------------------------------------------- C words
 
 
