@@ -310,7 +310,10 @@ def bleu4(pairs: DataFrame, cand: str = "candidate", ref: str = "reference",
           key: str = "pair_id") -> DataFrame:
     """Corpus BLEU-4: clipped n-gram precisions (n = 1..4) summed over
     all pairs, geometric mean, brevity penalty exp(1 - r/c) when c <= r."""
-    d = pairs.select(key, word_split(F.col(cand)).alias("c"), word_split(F.col(ref)).alias("r"))
+    # The split pairs feed nine branches (8 n-gram sides + lengths): write
+    # them once instead of re-deriving them (and any subquery) per branch.
+    d = cut_lineage(pairs.select(key, word_split(F.col(cand)).alias("c"),
+                                 word_split(F.col(ref)).alias("r")))
     rows = []
     for n in range(1, 5):
         cg = d.where(F.size("c") >= n).select(key, F.explode(_ngrams(F.col("c"), n)).alias("g")) \
