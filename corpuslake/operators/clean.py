@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions import fixed
 from ..functions.text import join_ordered
-from ..session import cut_lineage
+from ..session import cut_lineage, write_table
 from .order import global_offsets
 
 
@@ -188,16 +188,47 @@ def minhash_signatures(df: DataFrame, text_col: str = "text", key: str = "doc_id
     return d.select(key, "shingles", sig.alias("sig"))
 
 
+def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+    """``(node, label)`` for every node with an edge; ``label`` is the
+    smallest node of its connected component.
+
+    Min-label propagation plus pointer jumping (the label of the label is
+    in the same component and never larger), run until nothing changes;
+    every round is a join/aggregate over edge endpoints only, with the
+    labels written to the checkpoint folder.
+    """
+    both = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst"))
+    both = both.unionByName(both.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    labels = write_table(both.select(F.col("src").alias("node")).distinct()
+                         .withColumn("label", F.col("node")), "cc-labels")
+    while True:
+        prop = both.join(labels.withColumnRenamed("node", "src"), "src") \
+            .groupBy(F.col("dst").alias("node")).agg(F.min("label").alias("nl"))
+        new = labels.join(prop, "node", "left").select(
+            "node", F.least("label", F.coalesce("nl", "label")).alias("label"))
+        jump = new.select(F.col("node").alias("label"), F.col("label").alias("ll"))
+        new = new.join(jump, "label", "left").select(
+            "node", F.least("label", F.coalesce("ll", "label")).alias("label"))
+        new = write_table(new, "cc-labels")
+        changed = new.join(labels.withColumnRenamed("label", "old"), "node") \
+            .where(F.col("label") != F.col("old")).limit(1).count()
+        labels = new
+        if changed == 0:
+            return labels
+
+
 def near_dup_minhash(df: DataFrame, text_col: str = "text", key: str = "doc_id",
-                     k: int = 5, bands: int = 16, rows: int = 4, threshold: float = 0.8,
-                     max_iter: int = 50) -> DataFrame:
+                     k: int = 5, bands: int = 16, rows: int = 4,
+                     threshold: float = 0.8) -> DataFrame:
     """MinHash-LSH near-duplicate groups; ``(key, component, keep)``.
 
     Band buckets are linked as stars to their smallest member (never all
     pairs inside a bucket, so a hot bucket costs one row per member). Each
     star edge is verified with the exact Jaccard of the shingle sets, then
-    components are found by min-label propagation (reliable checkpoints cut
-    the lineage). ``keep`` marks the lowest key of every component.
+    components are found by min-label propagation with pointer jumping over
+    the documents that have an edge (run to convergence; reliable
+    checkpoints cut the lineage). ``keep`` marks the lowest key of every
+    component; a document without edges is its own component.
     """
     sig = cut_lineage(minhash_signatures(df, text_col, key, k, bands * rows))
     bkeys = sig.select(key, F.posexplode(F.array(*[
@@ -211,18 +242,8 @@ def near_dup_minhash(df: DataFrame, text_col: str = "text", key: str = "doc_id",
     jac = F.size(F.array_intersect("sa", "sb")) / F.size(F.array_union("sa", "sb"))
     edges = cut_lineage(cand.join(a, key).join(b, "rep").where(jac >= threshold)
                         .select(F.col(key).alias("src"), F.col("rep").alias("dst")))
-    both = edges.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    labels = sig.select(F.col(key).alias("node"), F.col(key).alias("label"))
-    for _ in range(max_iter):
-        prop = both.join(labels.withColumnRenamed("node", "src"), "src") \
-            .groupBy(F.col("dst").alias("node")).agg(F.min("label").alias("nl"))
-        new = labels.join(prop, "node", "left").select(
-            "node", F.least("label", F.coalesce("nl", "label")).alias("label"))
-        new = cut_lineage(new)
-        changed = new.join(labels.withColumnRenamed("label", "old"), "node") \
-            .where(F.col("label") != F.col("old")).limit(1).count()
-        labels = new
-        if changed == 0:
-            break
+    labels = connected_components(edges)
+    labels = sig.select(F.col(key).alias("node")).join(labels, "node", "left") \
+        .select("node", F.coalesce("label", "node").alias("label"))
     return labels.select(F.col("node").alias(key), F.col("label").alias("component"),
                          (F.col("node") == F.col("label")).alias("keep"))

@@ -8,26 +8,37 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def get_spark(master: str | None = None, shuffle_partitions: int = 8,
+# Session defaults; a value given at submit time (cluster config) wins.
+_DEFAULTS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+
+
+def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app: str = "corpuslake") -> SparkSession:
     """A session with AQE on, UI off, UTC and Arrow enabled.
 
-    On a cluster the master and the checkpoint directory come from the
-    submit configuration; only when neither is set (tests) do we fill them.
+    On a cluster the master, the shuffle partition count and the checkpoint
+    directory come from the submit configuration and are left alone; only
+    what is unset (local tests, the benchmark) is filled in here.
     """
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
     b = (b.config("spark.ui.enabled", "false")
-         .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-         .config("spark.sql.adaptive.enabled", "true")
-         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-         .config("spark.sql.session.timeZone", "UTC")
-         .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+         .config("spark.ui.showConsoleProgress", "false"))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    given = spark.sparkContext.getConf()
+    for k, v in _DEFAULTS.items():
+        if not given.contains(k):
+            spark.conf.set(k, v)
+    if shuffle_partitions is not None:
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -62,3 +73,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def write_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    Like :func:`cut_lineage`, but the result carries statistics from the
+    written files instead of the original plan's estimate, which matters in
+    loops that join a table with itself round after round.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

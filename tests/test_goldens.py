@@ -186,3 +186,47 @@ def test_with_ordinal_strings(spark):
     df = spark.createDataFrame([(t,) for t in toks], "token string")
     got = {r.token: r.o for r in with_ordinal(df, "token", key=string_order_key("token"), name="o").collect()}
     assert [t for t, _ in sorted(got.items(), key=lambda x: x[1])] == sorted(toks)
+
+
+def _union_find_labels(edges):
+    parent = {}
+
+    def find(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        ra, rb = find(a), find(b)
+        if ra != rb:
+            parent[max(ra, rb)] = min(ra, rb)
+    return {x: find(x) for x in parent}
+
+
+def test_connected_components_long_chains(spark):
+    """Component labels equal a union-find on a graph whose chains are far
+    longer than any fixed round count (a path of 300 nodes in shuffled
+    order, plus random small components)."""
+    import random
+    from corpuslake.operators.clean import connected_components
+    rnd = random.Random(7)
+    path = list(range(1000, 1300))
+    rnd.shuffle(path)
+    edges = list(zip(path, path[1:]))
+    edges += [(rnd.randrange(2000, 2400), rnd.randrange(2000, 2400)) for _ in range(300)]
+    got = {r.node: r.label for r in connected_components(
+        spark.createDataFrame(edges, "src long, dst long")).collect()}
+    assert got == _union_find_labels(edges)
+
+
+def test_near_dup_exact_copies_share_component(spark):
+    from corpuslake.operators.clean import near_dup_minhash
+    base = "the quick brown fox jumps over the lazy dog and keeps running far away"
+    rows = [(1, base), (2, "completely different words in this one text here today"),
+            (3, base), (4, base + " "), (5, "another unrelated sentence about data and spark jobs")]
+    got = {r.doc_id: (r.component, r.keep) for r in near_dup_minhash(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] == (1, True) and got[3] == (1, False) and got[4] == (1, False)
+    assert got[2] == (2, True) and got[5] == (5, True)
