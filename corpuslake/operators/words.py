@@ -1,16 +1,24 @@
-"""Word-level tokenizer as joins against a vocabulary table.
+"""Word-level tokenizer against a vocabulary table.
 
-Token rows are exploded with their position, joined to the vocabulary
-(AQE turns the join into a broadcast when the vocabulary turns out small
-and splits hot tokens otherwise), and re-assembled per document in
+A vocabulary of at most ``MAX_VOCAB_SHIPPED`` entries (counted first) is
+sent once to every executor as a broadcast variable and looked up inside
+the tasks over Arrow batches, so encoding and decoding are shuffle-free
+maps. A larger vocabulary (a word vocabulary grows with the corpus) is
+joined instead: token rows are exploded with their position, joined to the
+vocabulary (AQE splits hot tokens) and re-assembled per document in
 position order. The vocabulary ids come from the distributed ordinal (D1),
 never from a single-task window.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import fixed
 from ..functions.text import word_decode_text, word_split
@@ -34,10 +42,72 @@ def build_word_vocab(df: DataFrame, text_col: str = "text", specials: bool = Tru
     return vocab.unionByName(extra.select("x.token", F.col("x.token_id").cast("long").alias("token_id")))
 
 
+MAX_VOCAB_SHIPPED = 2_000_000
+
+
+def _shipped_rows(vocab: DataFrame):
+    """The vocabulary rows when there are at most ``MAX_VOCAB_SHIPPED`` (at
+    most one more row is ever fetched), else ``None``."""
+    t = vocab.select("token", "token_id").limit(MAX_VOCAB_SHIPPED + 1).toArrow()
+    if t.num_rows > MAX_VOCAB_SHIPPED:
+        return None
+    return t.column("token").to_numpy(zero_copy_only=False), \
+        t.column("token_id").to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _list_out(lists: pa.ListArray, values: np.ndarray, value_type) -> pa.ListArray:
+    """A list array shaped like ``lists`` (nulls as empty lists) holding ``values``."""
+    n = len(lists)
+    lens = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    offsets = np.zeros(n + 1, dtype=np.int32)
+    np.cumsum(lens, out=offsets[1:])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, value_type))
+
+
+def _encode_batches(it, bc, key, mode):
+    tokens, ids, unk = bc.value
+    index = pd.Index(tokens)                    # hash table built once per task
+    ids = np.asarray(ids, dtype=np.int64)
+    for rb in it:
+        lists = rb.column("_toks")
+        enc = pc.dictionary_encode(lists.flatten())
+        pos = index.get_indexer(enc.dictionary.to_pandas()) if len(enc.dictionary) else np.zeros(0, np.int64)
+        miss = pos < 0
+        if miss.any():
+            if mode == "error":
+                raise ValueError("unknown token: " + enc.dictionary[int(np.argmax(miss))].as_py())
+            per_value = np.where(miss, unk, ids[np.where(miss, 0, pos)])
+        else:
+            per_value = ids[pos]
+        vals = per_value[enc.indices.to_numpy(zero_copy_only=False)] if len(pos) else np.zeros(0, np.int64)
+        yield pa.RecordBatch.from_arrays([rb.column(key), _list_out(lists, vals, pa.int64())],
+                                         names=[key, "ids"])
+
+
+def _token_to_id(vocab: DataFrame) -> DataFrame:
+    """One id per token; a word equal to a special string takes the special's
+    (later) id, as a dict filled in id order would."""
+    return vocab.groupBy("token").agg(F.max("token_id").alias("token_id"))
+
+
 def word_encode(df: DataFrame, vocab: DataFrame, text_col: str = "text", key: str = "doc_id",
                 on_unknown: str = "error") -> DataFrame:
     """``(key, ids)``. Unknown tokens raise (``error``) or map to
     the ``<|unk|>`` id (``unk``)."""
+    if on_unknown not in ("error", "unk"):
+        raise ValueError(f"on_unknown={on_unknown!r}")
+    vocab = _token_to_id(vocab)
+    rows = _shipped_rows(vocab)
+    if rows is not None:
+        tokens, ids = rows
+        hit = np.flatnonzero(tokens == fixed.UNK)
+        unk = int(ids[hit[0]]) if len(hit) else None
+        if on_unknown == "unk" and unk is None:
+            raise ValueError("vocabulary has no <|unk|> entry")
+        bc = df.sparkSession.sparkContext.broadcast((tokens, ids, unk))
+        schema = T.StructType([df.schema[key], T.StructField("ids", T.ArrayType(T.LongType()))])
+        toks = df.select(key, word_split(F.col(text_col)).alias("_toks"))
+        return toks.mapInArrow(lambda it: _encode_batches(it, bc, key, on_unknown), schema)
     ex = df.select(key, F.posexplode_outer(word_split(F.col(text_col))).alias("pos", "token"))
     j = ex.join(vocab, "token", "left")
     if on_unknown == "error":
@@ -45,8 +115,6 @@ def word_encode(df: DataFrame, vocab: DataFrame, text_col: str = "text", key: st
     elif on_unknown == "unk":
         # scalar subquery: evaluated once, shipped as a value
         missing = vocab.where(F.col("token") == fixed.UNK).select("token_id").scalar()
-    else:
-        raise ValueError(f"on_unknown={on_unknown!r}")
     tid = F.when(F.col("token").isNotNull(), F.coalesce(F.col("token_id"), missing))
     grouped = j.groupBy(key).agg(
         F.sort_array(F.collect_list(F.struct("pos", tid.alias("id")))).alias("_p"))
@@ -54,9 +122,31 @@ def word_encode(df: DataFrame, vocab: DataFrame, text_col: str = "text", key: st
                                            lambda x: x["id"]).alias("ids"))
 
 
+def _decode_batches(it, bc, key):
+    ids, tokens = bc.value
+    index = pd.Index(np.asarray(ids, dtype=np.int64))
+    tokens = np.asarray(tokens, dtype=object)
+    for rb in it:
+        lists = rb.column("_ids")
+        flat = lists.flatten().to_numpy(zero_copy_only=False)
+        pos = index.get_indexer(flat) if len(flat) else np.zeros(0, np.int64)
+        if (pos < 0).any():
+            raise ValueError(f"unknown id: {int(flat[int(np.argmax(pos < 0))])}")
+        yield pa.RecordBatch.from_arrays([rb.column(key), _list_out(lists, tokens[pos], pa.string())],
+                                         names=[key, "_t"])
+
+
 def word_decode(df: DataFrame, vocab: DataFrame, ids_col: str = "ids", key: str = "doc_id",
                 punct: str = fixed.DECODE_PUNCT_V2) -> DataFrame:
     """Ids -> tokens joined by spaces, no space before punctuation."""
+    rows = _shipped_rows(vocab)
+    if rows is not None:
+        tokens, ids = rows
+        bc = df.sparkSession.sparkContext.broadcast((ids, tokens))
+        schema = T.StructType([df.schema[key], T.StructField("_t", T.ArrayType(T.StringType()))])
+        toks = df.select(key, F.col(ids_col).cast("array<long>").alias("_ids")) \
+            .mapInArrow(lambda it: _decode_batches(it, bc, key), schema)
+        return toks.select(key, word_decode_text(F.col("_t"), punct).alias("text"))
     ex = df.select(key, F.posexplode_outer(ids_col).alias("pos", "token_id"))
     j = ex.join(vocab, "token_id", "left")
     tok = F.when(F.col("token_id").isNotNull(), F.coalesce(

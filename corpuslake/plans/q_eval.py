@@ -89,7 +89,7 @@ def e3_majority_baseline(spark, sf):
 
 @query("e4_logreg")
 def e4_logreg(spark, sf):
-    _, pred = E.logreg(labelled(spark, sf), max_iter=100)
+    _, pred = E.logreg(labelled(spark, sf))
     return E.accuracy(pred, by="split").select("split", F.round("accuracy", 6).alias("accuracy"), "n")
 
 
@@ -229,11 +229,12 @@ z AS (SELECT seq, token, logit - max(logit) OVER (PARTITION BY seq) AS z FROM sc
 p AS (SELECT seq, token, exp(z) / sum(exp(z)) OVER (PARTITION BY seq) AS prob FROM z),
 c AS (SELECT seq, token, prob, coalesce(sum(prob) OVER (PARTITION BY seq ORDER BY prob DESC, token
              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM p)
-SELECT seq, token, round(prob, 6) AS prob FROM c WHERE round(before, 9) <= 0.5""")
+SELECT seq, token, round(round(prob, 9), 6) AS prob FROM c WHERE round(before, 9) <= 0.5""")
 def e11_nucleus_filter(spark, sf):
     _, lm = _lm_inputs(spark, sf)
     p = E.next_token_candidates(_scores(lm), top_k=None, temperature=1.0)
-    return E.nucleus_filter(p, 0.5).select("seq", "token", F.round("prob", 6).alias("prob"))
+    # round(., 9) first: a tie such as 3/128 must not flip with summation order
+    return E.nucleus_filter(p, 0.5).select("seq", "token", F.round(F.round("prob", 9), 6).alias("prob"))
 
 
 @query("e12_generate_greedy")
@@ -330,7 +331,7 @@ def e17_learning_curve(spark, sf):
     rows = []
     for frac in (0.25, 0.5, 1.0):
         keep = (F.col("split") != "train") | (md5_unit("doc_id", seed=11) < int(frac * 1_000_000))
-        _, pred = E.logreg(d.where(keep), max_iter=50)
+        _, pred = E.logreg(d.where(keep))
         acc = E.accuracy(pred.where(F.col("split") == "val"))
         rows.append(acc.select(F.lit(frac).alias("fraction"), F.round("accuracy", 6).alias("accuracy"), "n"))
     out = rows[0]
