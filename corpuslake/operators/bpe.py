@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,6 +45,23 @@ MAX_MERGES_SHIPPED = 2_000_000
 # --------------------------------------------------------------------------
 # chunk tables
 
+_DEC = "decimal(38,0)"
+_P31 = 2 ** 31
+
+
+def _lit(v: int) -> Column:
+    return F.lit(v).cast(_DEC)
+
+
+def _pack(doc: Column, *ints: Column) -> Column:
+    """Order-preserving exact number for (doc: long, then non-negative ints
+    below 2^31): doc * 2^(31 k) + ... fits decimal(38,0) for k <= 2."""
+    out = doc.cast(_DEC)
+    for c in ints:
+        out = out * _lit(_P31) + c.cast(_DEC)
+    return out
+
+
 def _bytes_batches(it, text_col: str, out_col: str, keep):
     for rb in it:
         v, seg, n = K.utf8_bytes_flat(rb.column(text_col))
@@ -76,10 +93,12 @@ def chunk_table(df: DataFrame, text_col: str = "text", order_col: str = "doc_id"
     map-side partial aggregation, so a hot chunk costs one row per task.
     """
     occ = chunk_occurrences(df, text_col, order_col, pattern, chunker)
+    # first position packed into one number: a min over it stays a hash
+    # aggregate (a min over a struct would sort every occurrence)
     agg = occ.groupBy("chunk").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(F.struct(F.col("doc").cast("long").alias("d"), F.col("idx").alias("i"))).alias("f"))
-    agg = agg.select("chunk", "n", F.col("f.d").alias("f_doc"), F.col("f.i").alias("f_idx"))
+        F.count(F.lit(1)).alias("n"), F.min(F.col("doc").cast("long")).alias("f_doc"),
+        F.min(_pack(F.col("doc").cast("long"), F.col("idx"))).alias("_f"))
+    agg = agg.select("chunk", "n", "f_doc", F.pmod("_f", _lit(_P31)).cast("int").alias("f_idx"))
     return with_byte_ids(agg, "chunk")
 
 
@@ -131,7 +150,7 @@ def pair_stats(chunks: DataFrame) -> DataFrame:
     part = chunks.select("n", "f_doc", "f_idx", "ids").mapInArrow(_partial_pairs, _PAIR_SCHEMA)
     return part.groupBy("left", "right").agg(
         F.sum("count").alias("count"),
-        F.min(F.struct("f_doc", "f_idx", "f_pair")).alias("first"))
+        F.min(_pack(F.col("f_doc"), F.col("f_idx"), F.col("f_pair"))).alias("first"))
 
 
 def pair_stats_sql(df: DataFrame, ids_col: str = "ids", weight_col: str | None = None) -> DataFrame:
