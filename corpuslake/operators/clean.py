@@ -30,6 +30,58 @@ def assign_shards(df: DataFrame, text_col: str = "text", max_bytes: int = 100_00
         .drop("_off", "_ord")
 
 
+def next_fit_shards(df: DataFrame, text_col: str = "text", max_bytes: int = 100_000_000,
+                    order: str = "doc_id") -> DataFrame:
+    """B6 exact: the sequential next-fit of the reference, distributed.
+
+    Walking documents in order, a document opens a new shard when the open
+    shard's bytes plus its own exceed ``max_bytes``; an oversize first
+    document first flushes an empty shard 1. Adds ``n_bytes`` and
+    ``shard_id``.
+
+    With P the exclusive and E = P + size the inclusive byte prefix, the shard
+    opened at document i is followed by the one opened at
+    ``next(i) = max(i + 1, #{j : E_j <= P_i + max_bytes})``: a rank of query
+    values among data values, i.e. one running count over their union (D1).
+    The shard starts are the path from document 0 under ``next``; pointer
+    doubling lists it in about log2(#shards) rounds of joins
+    (starts_{k+1} = starts_k + next^(2^k)(starts_k)), each round written to
+    the shared checkpoint folder. No step holds more than one range bucket.
+    """
+    d = df.withColumn("n_bytes", F.octet_length(text_col).cast("long"))
+    d = write_table(global_offsets(d, order, "n_bytes", offset_col="_p", ordinal_col="_o"),
+                    "nf-docs")
+    n = d.count()
+    data = d.select((F.col("_p") + F.col("n_bytes")).alias("_v"), F.lit(0).alias("_t"),
+                    F.col("_o").alias("_id"), F.lit(1).alias("_w"))
+    qry = d.select((F.col("_p") + F.lit(max_bytes)).alias("_v"), F.lit(1).alias("_t"),
+                   F.col("_o").alias("_id"), F.lit(0).alias("_w"))
+    ranked = global_offsets(data.unionByName(qry), ["_v", "_t", "_id"], "_w",
+                            key=F.col("_v"), offset_col="_le", ordinal_col="_r")
+    jump = write_table(ranked.where(F.col("_t") == 1).select(
+        F.col("_id").alias("node"),
+        F.least(F.greatest(F.col("_id") + 1, F.col("_le")), F.lit(n)).alias("to")), "nf-jump")
+    spark = df.sparkSession
+    starts = spark.range(1 if n else 0).select(F.col("id").alias("node"))
+    while True:
+        new = write_table(starts.join(jump, "node").select(F.col("to").alias("node"))
+                          .where(F.col("node") < n), "nf-new")
+        if new.isEmpty():
+            break
+        starts = write_table(starts.unionByName(new), "nf-starts")
+        a, b = jump.alias("a"), jump.alias("b")
+        jump = write_table(a.join(b, F.col("a.to") == F.col("b.node"), "left").select(
+            F.col("a.node").alias("node"), F.coalesce(F.col("b.to"), F.lit(n)).alias("to")), "nf-jump")
+    empty_first = d.where(F.col("_o") == 0).select(
+        (F.col("n_bytes") > max_bytes).cast("long").alias("e"))
+    flag = d.join(starts.select(F.col("node").alias("_o"), F.lit(1).alias("_s")), "_o", "left") \
+        .withColumn("_s", F.coalesce("_s", F.lit(0)))
+    out = global_offsets(flag, "_o", "_s", offset_col="_before", ordinal_col="_x")
+    return out.withColumn("shard_id", (F.col("_before") + F.col("_s")
+                                       + F.coalesce(empty_first.scalar(), F.lit(0))).cast("long")) \
+        .drop("_p", "_o", "_s", "_before", "_x")
+
+
 def shard_texts(df: DataFrame, text_col: str = "text", order: str = "doc_id",
                 sep: str = fixed.ENDOFTEXT) -> DataFrame:
     """B5 grouped form: one text per shard, documents in order joined by ``sep``.

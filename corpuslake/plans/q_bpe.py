@@ -197,9 +197,9 @@ def a1_read_text_corpus(spark, sf):
 
 @query("a5_write_shards")
 def a5_write_shards(spark, sf):
-    from ..operators.clean import assign_shards
+    from ..operators.clean import next_fit_shards
     out = scratch_path(spark, "a5-shards")
-    d = assign_shards(_docs(spark, sf), "text", 500_000)
+    d = next_fit_shards(_docs(spark, sf), "text", 500_000)
     readers.write_shards(d, out)
     back = spark.read.option("wholetext", "true").text(out)
     return back.groupBy("shard_id").agg(

@@ -152,6 +152,25 @@ def b6_assign_shards(spark, sf):
     return d.select("doc_id", "n_bytes", "shard_id")
 
 
+@query("b6_next_fit_shards", f"""
+WITH RECURSIVE p AS (
+  SELECT doc_id, octet_length(encode(text))::BIGINT AS x, row_number() OVER (ORDER BY doc_id) - 1 AS o,
+         coalesce(sum(octet_length(encode(text))) OVER (ORDER BY doc_id
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pre
+  FROM documents),
+n AS (SELECT count(*) AS n FROM p),
+nx AS (SELECT a.o, greatest(a.o + 1, (SELECT count(*) FROM p b WHERE b.pre + b.x <= a.pre + {_SHARD_BYTES})) AS nxt
+       FROM p a),
+ch(o) AS (SELECT 0 UNION ALL SELECT nx.nxt FROM ch JOIN nx ON nx.o = ch.o, n WHERE nx.nxt < n.n)
+SELECT p.doc_id, p.x AS n_bytes,
+       ((SELECT count(*) FROM ch WHERE ch.o <= p.o)
+        + (SELECT CASE WHEN x > {_SHARD_BYTES} THEN 1 ELSE 0 END FROM p WHERE o = 0))::BIGINT AS shard_id
+FROM p""")
+def b6_next_fit_shards(spark, sf):
+    d = clean.next_fit_shards(table(spark, sf, "documents"), "text", _SHARD_BYTES)
+    return d.select("doc_id", "n_bytes", "shard_id")
+
+
 @query("b8_exact_dedup", f"""
 SELECT min(doc_id) AS doc_id FROM documents GROUP BY {d_collapse('text')}""")
 def b8_exact_dedup(spark, sf):

@@ -230,3 +230,30 @@ def test_near_dup_exact_copies_share_component(spark):
         spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[1] == (1, True) and got[3] == (1, False) and got[4] == (1, False)
     assert got[2] == (2, True) and got[5] == (5, True)
+
+
+def _next_fit_seq(sizes, max_bytes):
+    """The sequential rule, literally: flush when the open shard would overflow."""
+    out, size, k = [], 0, 1
+    for x in sizes:
+        if size + x > max_bytes:
+            k, size = k + 1, x
+        else:
+            size += x
+        out.append(k)
+    return out
+
+
+@pytest.mark.parametrize("sizes", [
+    [80],                                            # oversize first document: empty shard 1
+    [80, 10, 45, 5, 50, 1, 60, 60, 3],
+    [10] * 37,                                       # equal sizes: many doubling rounds
+    [1, 3, 10, 25, 49, 50, 51, 120, 2, 2, 48, 49, 1] * 9,
+])
+def test_next_fit_shards_equal_sequential(spark, sizes):
+    from corpuslake.operators.clean import next_fit_shards
+    df = spark.createDataFrame([(i * 7 + 2, "é" * (s // 2) + "x" * (s % 2)) for i, s in enumerate(sizes)],
+                               "doc_id long, text string")
+    got = [(r.n_bytes, r.shard_id) for r in next_fit_shards(df, max_bytes=50).orderBy("doc_id").collect()]
+    assert [g[0] for g in got] == sizes
+    assert [g[1] for g in got] == _next_fit_seq(sizes, 50)
