@@ -112,32 +112,52 @@ _PAIR_SCHEMA = T.StructType([
 ])
 
 
+def _pairs_of(v, seg, n, rb):
+    """Per-batch pair partials ``(keys, count, f_doc, f_idx, f_pair)`` of the
+    flat ids ``(v, seg)`` whose rows carry ``n``, ``f_doc`` and ``f_idx``."""
+    if len(v) < 2:
+        return None
+    same = seg[:-1] == seg[1:]
+    keys = K.pair_keys(v)[same]
+    if len(keys) == 0:
+        return None
+    pseg = seg[:-1][same]
+    starts = np.searchsorted(seg, np.arange(n))
+    pidx = (np.flatnonzero(same) - starts[pseg]).astype(np.int64)
+    w = rb.column("n").to_numpy(zero_copy_only=False).astype(np.int64)[pseg]
+    fd = rb.column("f_doc").to_numpy(zero_copy_only=False).astype(np.int64)[pseg]
+    fi = rb.column("f_idx").to_numpy(zero_copy_only=False).astype(np.int64)[pseg]
+    order = np.lexsort((pidx, fi, fd, keys))
+    keys, w, fd, fi, pidx = keys[order], w[order], fd[order], fi[order], pidx[order]
+    first = np.ones(len(keys), dtype=bool)
+    first[1:] = keys[1:] != keys[:-1]
+    starts_k = np.flatnonzero(first)
+    return keys[starts_k], np.add.reduceat(w, starts_k), fd[starts_k], fi[starts_k], pidx[starts_k]
+
+
+def _pair_arrays(parts):
+    uk, cnt, fd, fi, fp = parts
+    return [pa.array((uk >> 32).astype(np.int32)), pa.array((uk & 0xFFFFFFFF).astype(np.int32)),
+            pa.array(cnt.astype(np.int64)), pa.array(fd), pa.array(fi.astype(np.int32)),
+            pa.array(fp.astype(np.int32))]
+
+
 def _partial_pairs(it):
     for rb in it:
         v, seg, n = K.list_to_flat(rb.column("ids"))
-        if len(v) < 2:
-            continue
-        same = seg[:-1] == seg[1:]
-        keys = K.pair_keys(v)[same]
-        pseg = seg[:-1][same]
-        starts = np.searchsorted(seg, np.arange(n))
-        pidx = (np.flatnonzero(same) - starts[pseg]).astype(np.int64)
-        w = rb.column("n").to_numpy(zero_copy_only=False).astype(np.int64)[pseg]
-        fd = rb.column("f_doc").to_numpy(zero_copy_only=False).astype(np.int64)[pseg]
-        fi = rb.column("f_idx").to_numpy(zero_copy_only=False).astype(np.int64)[pseg]
-        order = np.lexsort((pidx, fi, fd, keys))
-        keys, w, fd, fi, pidx = keys[order], w[order], fd[order], fi[order], pidx[order]
-        first = np.ones(len(keys), dtype=bool)
-        first[1:] = keys[1:] != keys[:-1]
-        starts_k = np.flatnonzero(first)
-        cnt = np.add.reduceat(w, starts_k)
-        uk = keys[starts_k]
-        yield pa.RecordBatch.from_arrays([
-            pa.array((uk >> 32).astype(np.int32)), pa.array((uk & 0xFFFFFFFF).astype(np.int32)),
-            pa.array(cnt.astype(np.int64)), pa.array(fd[starts_k]),
-            pa.array(fi[starts_k].astype(np.int32)), pa.array(pidx[starts_k].astype(np.int32)),
-        ], schema=pa.schema([("left", pa.int32()), ("right", pa.int32()), ("count", pa.int64()),
-                             ("f_doc", pa.int64()), ("f_idx", pa.int32()), ("f_pair", pa.int32())]))
+        parts = _pairs_of(v, seg, n, rb)
+        if parts is not None:
+            yield pa.RecordBatch.from_arrays(_pair_arrays(parts), schema=_PAIR_ARROW)
+
+
+_PAIR_ARROW = pa.schema([("left", pa.int32()), ("right", pa.int32()), ("count", pa.int64()),
+                         ("f_doc", pa.int64()), ("f_idx", pa.int32()), ("f_pair", pa.int32())])
+
+
+def _agg_pairs(part: DataFrame) -> DataFrame:
+    return part.groupBy("left", "right").agg(
+        F.sum("count").alias("count"),
+        F.min(_pack(F.col("f_doc"), F.col("f_idx"), F.col("f_pair"))).alias("first"))
 
 
 def pair_stats(chunks: DataFrame) -> DataFrame:
@@ -148,9 +168,7 @@ def pair_stats(chunks: DataFrame) -> DataFrame:
     numpy, then one Spark aggregate combines them.
     """
     part = chunks.select("n", "f_doc", "f_idx", "ids").mapInArrow(_partial_pairs, _PAIR_SCHEMA)
-    return part.groupBy("left", "right").agg(
-        F.sum("count").alias("count"),
-        F.min(_pack(F.col("f_doc"), F.col("f_idx"), F.col("f_pair"))).alias("first"))
+    return _agg_pairs(part)
 
 
 def pair_stats_sql(df: DataFrame, ids_col: str = "ids", weight_col: str | None = None) -> DataFrame:
@@ -232,20 +250,67 @@ def train_bpe(df: DataFrame, vocab_size: int, text_col: str = "text",
     return merges_from_rows(df.sparkSession, merges)
 
 
+_ROUND_SCHEMA = T.StructType([
+    T.StructField("n", T.LongType()), T.StructField("f_doc", T.LongType()),
+    T.StructField("f_idx", T.IntegerType()), T.StructField("ids", T.ArrayType(T.IntegerType())),
+] + [T.StructField("p_" + f.name, f.dataType) for f in _PAIR_SCHEMA.fields])
+_ROUND_ARROW = pa.schema([("n", pa.int64()), ("f_doc", pa.int64()), ("f_idx", pa.int32()),
+                          ("ids", pa.list_(pa.int32()))]
+                         + [("p_" + f.name, f.type) for f in _PAIR_ARROW])
+
+
+def _round_batches(it, merges):
+    """One pass per batch: apply ``merges``, emit the chunks that still have
+    a pair (pair columns null) and the batch's pair partials (chunk columns
+    null)."""
+    for rb in it:
+        v, seg, n = K.list_to_flat(rb.column("ids"))
+        for left, right, new in merges:
+            v, seg = K.merge_pair(v, seg, left, right, new)
+        parts = _pairs_of(v, seg, n, rb)
+        keep = np.bincount(seg, minlength=n) >= 2 if len(seg) else np.zeros(n, bool)
+        if keep.any():
+            idx = np.flatnonzero(keep)
+            sel = keep[seg]
+            ids = K.flat_to_list(v[sel], np.searchsorted(idx, seg[sel]), len(idx))
+            m = len(idx)
+            take = pa.array(idx)
+            yield pa.RecordBatch.from_arrays(
+                [rb.column("n").take(take), rb.column("f_doc").take(take),
+                 rb.column("f_idx").take(take), ids]
+                + [pa.nulls(m, f.type) for f in _PAIR_ARROW], schema=_ROUND_ARROW)
+        if parts is not None:
+            m = len(parts[0])
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int32()),
+                 pa.nulls(m, pa.list_(pa.int32()))] + _pair_arrays(parts), schema=_ROUND_ARROW)
+
+
 def train_rounds(chunks: DataFrame, n_merges: int, first_id: int, batch: bool = True,
                  top_k: int = 64, checkpoint_every: int = 8, empty_error: bool = True):
     """The merge loop over a chunk table ``(n, f_doc, f_idx, ids)``.
 
     Returns the merges ``[(left, right, new_id)]`` in order; new ids count up
     from ``first_id``. Without pairs left it raises (``empty_error``) or stops.
+    Each round is one job with one Python pass over the chunks: the merges
+    chosen last round are applied and the new pair partials are emitted
+    beside the rewritten chunks (kept for the next round).
     """
-    chunks = cut_lineage(chunks.where(F.size("ids") >= 2))
+    chunks = cut_lineage(chunks.select("n", "f_doc", "f_idx", "ids").where(F.size("ids") >= 2))
     merges: list[tuple[int, int, int]] = []
+    pending: tuple = ()
     rounds = 0
     prev = None
     while len(merges) < n_merges:
-        top = (pair_stats(chunks).orderBy(F.desc("count"), F.asc("first"))
+        out = chunks.mapInArrow(lambda it, m=pending: _round_batches(it, m), _ROUND_SCHEMA).persist()
+        part = out.where(F.col("ids").isNull()).select(
+            *[F.col("p_" + f.name).alias(f.name) for f in _PAIR_SCHEMA.fields])
+        top = (_agg_pairs(part).orderBy(F.desc("count"), F.asc("first"))
                .limit(top_k + 1).collect())
+        if prev is not None:
+            prev.unpersist()
+        prev = out
+        chunks = out.where(F.col("ids").isNotNull()).select("n", "f_doc", "f_idx", "ids")
         if not top:
             if empty_error:
                 raise ValueError(f"no pairs left after {len(merges)} merges")
@@ -254,16 +319,12 @@ def train_rounds(chunks: DataFrame, n_merges: int, first_id: int, batch: bool =
         acc = _select_batch(ranked, batch)[: n_merges - len(merges)]
         new = [(a, b, first_id + len(merges) + i) for i, (a, b, _) in enumerate(acc)]
         merges.extend(new)
+        pending = tuple(new)
         rounds += 1
-        nxt = apply_merges(chunks, new).where(F.size("ids") >= 2)
         if rounds % checkpoint_every == 0:
-            nxt = cut_lineage(nxt)
-        else:
-            nxt = nxt.persist()
-        if prev is not None:
+            chunks = cut_lineage(chunks)
             prev.unpersist()
-        prev = nxt if rounds % checkpoint_every else None
-        chunks = nxt
+            prev = None
     if prev is not None:
         prev.unpersist()
     train_rounds.last_rounds = rounds
