@@ -216,11 +216,12 @@ def _scores(lm):
 WITH {_D_LM}, {_D_SCORES},
 k AS (SELECT * FROM sc QUALIFY rank() OVER (PARTITION BY seq ORDER BY logit DESC) <= 3),
 z AS (SELECT seq, token, logit / 0.7 - max(logit / 0.7) OVER (PARTITION BY seq) AS z FROM k)
-SELECT seq, token, round(exp(z) / sum(exp(z)) OVER (PARTITION BY seq), 6) AS prob FROM z""")
+SELECT seq, token, round(round(exp(z) / sum(exp(z)) OVER (PARTITION BY seq), 9), 6) AS prob FROM z""")
 def e10_next_token_candidates(spark, sf):
     _, lm = _lm_inputs(spark, sf)
     c = E.next_token_candidates(_scores(lm), top_k=3, temperature=0.7)
-    return c.select("seq", "token", F.round("prob", 6).alias("prob"))
+    # round(., 9) first: a tie such as 3/128 must not flip with summation order
+    return c.select("seq", "token", F.round(F.round("prob", 9), 6).alias("prob"))
 
 
 @query("e11_nucleus_filter", f"""
