@@ -257,3 +257,27 @@ def test_next_fit_shards_equal_sequential(spark, sizes):
     got = [(r.n_bytes, r.shard_id) for r in next_fit_shards(df, max_bytes=50).orderBy("doc_id").collect()]
     assert [g[0] for g in got] == sizes
     assert [g[1] for g in got] == _next_fit_seq(sizes, 50)
+
+
+def test_word_encode_decode_join_path_equals_broadcast(spark, monkeypatch):
+    """The join path (vocabulary above the shipping limit) and the broadcast
+    path give the same ids and texts; a word equal to a special string takes
+    the special's id, as a dict filled in id order would."""
+    docs = spark.createDataFrame([
+        (1, "Hello, do you like tea? In the sunlit terraces"),
+        (2, "the palace <|endoftext|> of the -- sunlit (tea)."),
+        (3, None), (4, ""),
+    ], "doc_id long, text string")
+    vocab = words.build_word_vocab(docs).cache()
+    v = {}
+    for r in vocab.orderBy("token_id").collect():
+        v[r.token] = r.token_id
+    fast_ids = {r.doc_id: r.ids for r in words.word_encode(docs, vocab).collect()}
+    fast_txt = {r.doc_id: r.text for r in words.word_decode(words.word_encode(docs, vocab), vocab).collect()}
+    monkeypatch.setattr(words, "MAX_VOCAB_SHIPPED", 0)
+    join_ids = {r.doc_id: r.ids for r in words.word_encode(docs, vocab).collect()}
+    join_txt = {r.doc_id: r.text for r in words.word_decode(words.word_encode(docs, vocab), vocab).collect()}
+    assert fast_ids == join_ids and fast_txt == join_txt
+    assert fast_ids[3] == [] and fast_ids[4] == []
+    assert v[fixed.ENDOFTEXT] in fast_ids[2]
+    assert fast_ids[1][:3] == [v["Hello"], v[","], v["do"]]
