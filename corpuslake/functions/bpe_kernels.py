@@ -58,13 +58,14 @@ def merge_pair(v, seg, left: int, right: int, new_id: int):
 
 
 class MergeTable:
-    """Merge rules ``(left, right) -> new_id`` with rank = position in list."""
+    """Merge rules ``(left, right) -> new_id``; rank = position in list, or as given."""
 
-    def __init__(self, lefts, rights, new_ids):
+    def __init__(self, lefts, rights, new_ids, ranks=None):
         keys = (np.asarray(lefts, np.int64) << 32) | np.asarray(rights, np.int64)
         order = np.argsort(keys, kind="stable")
         self.keys = keys[order]
-        self.rank = np.arange(len(keys), dtype=np.int64)[order]
+        ranks = np.arange(len(keys)) if ranks is None else ranks
+        self.rank = np.asarray(ranks, np.int64)[order]
         self.new = np.asarray(new_ids, np.int64)[order]
 
     def __len__(self):
@@ -80,11 +81,12 @@ class MergeTable:
         return found, self.rank[pos], self.new[pos]
 
 
-def encode_flat(v: np.ndarray, seg: np.ndarray, nseg: int, table: MergeTable):
+def encode_flat(v: np.ndarray, seg: np.ndarray, nseg: int, table: MergeTable, below=None):
     """Per sequence: repeatedly merge its lowest-rank pair until none applies.
 
-    Returns (values, seg) with the same sequence numbering. Finished
-    sequences leave the working set, so long ones do not slow short ones.
+    ``below`` gives each sequence a rank that its merges stay under. Returns
+    (values, seg) with the same sequence numbering. Finished sequences leave
+    the working set, so long ones do not slow short ones.
     """
     done_v, done_s = [], []
     v = v.astype(np.int64, copy=False)
@@ -97,6 +99,8 @@ def encode_flat(v: np.ndarray, seg: np.ndarray, nseg: int, table: MergeTable):
         same = seg[:-1] == seg[1:]
         found, rank, new = table.lookup(pair_keys(v))
         found &= same
+        if below is not None:
+            found &= rank < below[seg[:-1]]
         active = np.zeros(nseg, dtype=bool)
         active[seg[:-1][found]] = True
         fin = ~active[seg]

@@ -102,8 +102,9 @@ def join_ordered(texts_with_order: Column, sep: str = fixed.ENDOFTEXT) -> Column
 
 # --- word-level tokenizer --------------------------------------------------
 
-_WORD_TOKEN = ("--|[" + re.escape(fixed.WORD_DELIMS) + "]|(?:(?!--)[^"
-               + fixed.WS_CHARS + re.escape(fixed.WORD_DELIMS) + "])+")
+# looks ahead at a dash only, not at every character
+_WORD_TOKEN = ("--|[" + re.escape(fixed.WORD_DELIMS) + "]|(?:[^\\-"
+               + fixed.WS_CHARS + re.escape(fixed.WORD_DELIMS) + "]+|-(?!-))+")
 
 
 def word_split(c) -> Column:
@@ -126,9 +127,6 @@ def pre_split(c, pattern: str = fixed.GPT2_SPLIT_PATTERN) -> Column:
     return F.regexp_extract_all(_col(c), F.lit("(?U)" + pattern), F.lit(0))
 
 
-_MARK = "\ue001"   # private-use character, absent from real text
-
-
 def split_specials(c, specials) -> Column:
     """Pieces of the text around exact special-token matches.
 
@@ -141,9 +139,13 @@ def split_specials(c, specials) -> Column:
             if a != b and a in b:
                 raise ValueError(f"special {a!r} is contained in {b!r}")
     t = _col(c)
-    for s in specials:
-        t = F.replace(t, F.lit(s), F.lit(_MARK + s + _MARK))
-    parts = F.filter(F.split(t, _MARK), lambda p: F.length(p) > 0)
+    if specials:
+        # a special, or a run of anything else; only a special's first character is looked ahead from
+        alts = "|".join(rx_escape(s) for s in specials)
+        heads = "".join(sorted({re.escape(s[0]) for s in specials}))
+        parts = F.regexp_extract_all(t, F.lit(f"(?s){alts}|(?:[^{heads}]+|(?!{alts})[{heads}])+"), F.lit(0))
+    else:
+        parts = F.filter(F.array(t), lambda p: F.length(p) > 0)
     spec = F.array(*[F.lit(s) for s in specials]) if specials else F.array().cast("array<string>")
     return F.transform(parts, lambda p: F.struct(p.alias("s"),
                                                  F.array_contains(spec, p).alias("is_special")))

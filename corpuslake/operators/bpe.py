@@ -38,8 +38,9 @@ MERGES_SCHEMA = T.StructType([
     T.StructField("new_id", T.IntegerType(), False),
 ])
 
-# Largest merge table shipped to tasks (rows); larger tables are refused.
-MAX_MERGES_SHIPPED = 2_000_000
+# Default of the arguments that bound the merge table or vocabulary a task is sent;
+# a larger one is refused, never cut.
+MAX_VOCAB = 2_000_000
 
 
 # --------------------------------------------------------------------------
@@ -171,14 +172,13 @@ def pair_stats(chunks: DataFrame) -> DataFrame:
     return _agg_pairs(part)
 
 
-def pair_stats_sql(df: DataFrame, ids_col: str = "ids", weight_col: str | None = None) -> DataFrame:
-    """C9 as a plain SQL plan over any ``array<int>`` column (oracle form)."""
-    w = F.col(weight_col) if weight_col else F.lit(1)
-    pairs = df.where(F.size(ids_col) >= 2).select(w.alias("_w"), F.explode(F.transform(
-        F.sequence(F.lit(0), F.size(ids_col) - 2),
-        lambda i: F.struct(F.element_at(ids_col, i + 1).alias("left"),
-                           F.element_at(ids_col, i + 2).alias("right")))).alias("p"))
-    return pairs.groupBy("p.left", "p.right").agg(F.sum("_w").cast("long").alias("count"))
+def extreme_pair(stats: DataFrame, mode: str = "most") -> DataFrame:
+    """The pair with the highest (``most``) or lowest (``least``) count, ties
+    to the pair seen first; one row, none when there are no pairs."""
+    if mode not in ("most", "least"):
+        raise ValueError(f"mode={mode!r}")
+    by = F.desc("count") if mode == "most" else F.asc("count")
+    return stats.orderBy(by, F.asc("first")).limit(1).select("left", "right", "count")
 
 
 # --------------------------------------------------------------------------
@@ -327,7 +327,6 @@ def train_rounds(chunks: DataFrame, n_merges: int, first_id: int, batch: bool =
             prev = None
     if prev is not None:
         prev.unpersist()
-    train_rounds.last_rounds = rounds
     return merges
 
 
@@ -410,12 +409,16 @@ def _encode_batches(it, table_rows, specials, chunk_col, keep, out_col, byte_per
         yield pa.RecordBatch.from_arrays(cols, names=list(keep) + [out_col])
 
 
-def _merge_rows(merges: DataFrame):
-    n = merges.count()
-    if n > MAX_MERGES_SHIPPED:
-        raise ValueError(f"merge table of {n} rows exceeds {MAX_MERGES_SHIPPED}")
-    return [(r["left"], r["right"], r["new_id"])
-            for r in merges.orderBy("rank").select("left", "right", "new_id").collect()]
+def _bounded(df: DataFrame, most: int, what: str) -> DataFrame:
+    n = df.count()
+    if n > most:
+        raise ValueError(f"{what} of {n} rows exceeds the {most} that may be sent to tasks")
+    return df
+
+
+def _merge_rows(merges: DataFrame, max_vocab: int = MAX_VOCAB):
+    return [(r["left"], r["right"], r["new_id"]) for r in _bounded(merges, max_vocab, "merge table")
+            .orderBy("rank").select("left", "right", "new_id").collect()]
 
 
 def check_specials(df: DataFrame, text_col: str, specials, allowed) -> DataFrame:
@@ -448,7 +451,8 @@ def resolve_allowed(specials: dict, allowed) -> dict:
 def encode_bpe(df: DataFrame, merges: DataFrame, text_col: str = "text",
                specials: dict | None = None, allowed="none_raise",
                pattern: str = fixed.GPT2_SPLIT_PATTERN, out_col: str = "ids",
-               keep: list | None = None, merge_rows=None, byte_perm=None) -> DataFrame:
+               keep: list | None = None, merge_rows=None, byte_perm=None,
+               max_vocab: int = MAX_VOCAB) -> DataFrame:
     """Encode a text column to ``array<int>`` token ids (lowest rank first).
 
     ``byte_perm`` (C17): a 256-entry permutation applied to the bytes
@@ -471,7 +475,7 @@ def encode_bpe(df: DataFrame, merges: DataFrame, text_col: str = "text",
             bad = [r for r in check_specials(df, text_col, disallowed, allowed).collect() if r.n_docs]
             if bad:
                 raise ValueError(f"disallowed special tokens: {[(r.special, r.n_docs) for r in bad]}")
-    rows = merge_rows if merge_rows is not None else _merge_rows(merges)
+    rows = merge_rows if merge_rows is not None else _merge_rows(merges, max_vocab)
     t = F.col(text_col)
     if use:
         pieces = split_specials(t, list(use))
@@ -539,18 +543,16 @@ def _decode_batches(it, vocab_rows, ids_col, keep, out_col, byte_perm=None):
 
 
 def decode_bpe(df: DataFrame, vocab: DataFrame, ids_col: str = "ids", out_col: str = "text",
-               keep: list | None = None, vocab_rows=None, byte_perm=None) -> DataFrame:
+               keep: list | None = None, vocab_rows=None, byte_perm=None,
+               max_vocab: int = MAX_VOCAB) -> DataFrame:
     """Token ids back to text: bytes concatenated, invalid UTF-8 replaced.
 
-    The vocabulary (bounded by ``vocab_size``) is shipped to the tasks; an
-    unknown id fails the job.
+    The vocabulary is shipped to the tasks (and refused beyond ``max_vocab``
+    rows); an unknown id fails the job.
     """
     keep = keep if keep is not None else [c for c in df.columns if c != ids_col]
     if vocab_rows is None:
-        n = vocab.count()
-        if n > MAX_MERGES_SHIPPED:
-            raise ValueError(f"vocabulary of {n} rows is too large to ship")
-        vocab_rows = [(r.token_id, bytes(r.bytes)) for r in vocab.collect()]
+        vocab_rows = [(r.token_id, bytes(r.bytes)) for r in _bounded(vocab, max_vocab, "vocabulary").collect()]
     schema = T.StructType([df.schema[c] for c in keep]
                           + [T.StructField("_bytes", T.BinaryType())])
     raw = df.select(*keep, ids_col).mapInArrow(
@@ -628,37 +630,40 @@ def render_vocab(vocab: DataFrame, merges: DataFrame) -> DataFrame:
     return j.select("token_id", line.alias("line"))
 
 
+def _split_rules(rank_rows) -> K.MergeTable:
+    """Every way to put a token together from two others, under the token's rank."""
+    ranks = {bytes(b): int(r) for b, r in rank_rows}
+    rules = [(ranks[t[:i]], ranks[t[i:]], r) for t, r in ranks.items()
+             for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
+    left, right, new = (list(x) for x in zip(*rules)) if rules else ([], [], [])
+    return K.MergeTable(left, right, new, ranks=new)
+
+
 def _recover_batches(it, rank_rows):
-    ranks = {bytes(b): r for b, r in rank_rows}
-    for pdf in it:
-        out = []
-        for tok, rank in zip(pdf["bytes"], pdf["rank"]):
-            tok = bytes(tok)
-            if len(tok) < 2:
-                continue
-            parts = [tok[i:i + 1] for i in range(len(tok))]
-            while True:
-                best, best_rank = None, None
-                for i in range(len(parts) - 1):
-                    r = ranks.get(parts[i] + parts[i + 1])
-                    if r is not None and (best_rank is None or r < best_rank):
-                        best, best_rank = i, r
-                if best_rank is None or best_rank >= rank:
-                    break
-                parts = parts[:best] + [parts[best] + parts[best + 1]] + parts[best + 2:]
-            if len(parts) != 2:
-                raise ValueError(f"token of rank {rank} does not split in two parts")
-            out.append((int(rank), ranks[parts[0]], ranks[parts[1]]))
-        yield pd.DataFrame(out, columns=["rank", "left", "right"])
-
-
-def recover_merges(ranks: DataFrame) -> DataFrame:
-    """Merges from ``(bytes, rank)`` alone: replay BPE on every
-    multi-byte token with the ranks below its own; the two final parts give
-    the merge. The rank table (bounded by the vocabulary) is shipped."""
-    n = ranks.count()
-    if n > MAX_MERGES_SHIPPED:
-        raise ValueError(f"rank table of {n} rows is too large to ship")
-    rank_rows = [(bytes(r.bytes), r.rank) for r in ranks.collect()]
-    return ranks.select("bytes", "rank").mapInPandas(
+    table = _split_rules(rank_rows)
+    byte_id = np.full(256, -1, np.int64)
+    for b, r in rank_rows:
+        if len(b) == 1:
+            byte_id[b[0]] = r
+    for rb in it:
+        rank = rb.column("rank").to_numpy(zero_copy_only=False).astype(np.int64)
+        v, seg, n = K.utf8_bytes_flat(rb.column("bytes"))
+        long_ = np.bincount(seg, minlength=n) > 1 if len(seg) else np.zeros(n, bool)
+        v, seg = byte_id[v[long_[seg]]], seg[long_[seg]]
+        # what the merges before its own make of a token: the two parts that its own merges
+        v, seg = K.encode_flat(v, seg, n, table, below=rank)
+        parts = np.bincount(seg, minlength=n) if len(seg) else np.zeros(n, np.int64)
+        if (parts[long_] != 2).any():
+            raise ValueError(f"rank {int(rank[long_ & (parts != 2)][0])} is no merge of two earlier tokens")
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(rank[long_]), pa.array(v[0::2]), pa.array(v[1::2])], names=["rank", "left", "right"])
+
+
+def recover_merges(ranks: DataFrame, max_vocab: int = MAX_VOCAB) -> DataFrame:
+    """Merges from ``(bytes, rank)`` alone. The merge of a token is the pair
+    that its bytes come to under the ranks below its own, so all tokens of a
+    batch are encoded at once with a rank limit each. The rank table is shipped
+    and refused beyond ``max_vocab`` rows."""
+    rank_rows = [(bytes(r.bytes), r.rank) for r in _bounded(ranks, max_vocab, "rank table").collect()]
+    return ranks.select(F.col("bytes"), F.col("rank").cast("long").alias("rank")).mapInArrow(
         lambda it: _recover_batches(it, rank_rows), "rank long, left long, right long")

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-import unicodedata
+import math
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import fixed
 from ..functions.text import join_ordered
-from ..session import cut_lineage, write_table
-from .order import global_offsets
+from ..session import write_table
+from .linkage import candidate_groups, connected_components, verified_components  # noqa: F401
+from .order import global_offsets, with_ordinal
 
 
 # ---------------------------------------------------------------- B6 / B5 shards
@@ -24,10 +27,17 @@ def assign_shards(df: DataFrame, text_col: str = "text", max_bytes: int = 100_00
     Fully distributed (D1 running sum); a shard holds at most ``max_bytes``
     plus one document. Adds ``n_bytes`` and ``shard_id``.
     """
-    d = df.withColumn("n_bytes", F.octet_length(text_col).cast("long"))
+    d = df.select(order, F.octet_length(text_col).cast("long").alias("n_bytes"))
     d = global_offsets(d, order, "n_bytes", offset_col="_off", ordinal_col="_ord")
-    return d.withColumn("shard_id", (F.floor(F.col("_off") / F.lit(max_bytes)) + 1).cast("long")) \
-        .drop("_off", "_ord")
+    return _with_shards(df, d.withColumn(
+        "shard_id", (F.floor(F.col("_off") / F.lit(max_bytes)) + 1).cast("long")), order)
+
+
+def _with_shards(df: DataFrame, sized: DataFrame, order: str) -> DataFrame:
+    """Shard numbers brought to the wide rows: one join, the only time texts move.
+    Rows sharing an ``order`` value go to the first one's shard."""
+    s = sized.groupBy(order).agg(F.min("shard_id").alias("shard_id"), F.min("n_bytes").alias("n_bytes"))
+    return df.drop("shard_id", "n_bytes").join(s, order)
 
 
 def next_fit_shards(df: DataFrame, text_col: str = "text", max_bytes: int = 100_000_000,
@@ -48,7 +58,7 @@ def next_fit_shards(df: DataFrame, text_col: str = "text", max_bytes: int = 100_
     (starts_{k+1} = starts_k + next^(2^k)(starts_k)), each round written to
     the shared checkpoint folder. No step holds more than one range bucket.
     """
-    d = df.withColumn("n_bytes", F.octet_length(text_col).cast("long"))
+    d = df.select(order, F.octet_length(text_col).cast("long").alias("n_bytes"))
     d = write_table(global_offsets(d, order, "n_bytes", offset_col="_p", ordinal_col="_o"),
                     "nf-docs")
     n = d.count()
@@ -57,7 +67,7 @@ def next_fit_shards(df: DataFrame, text_col: str = "text", max_bytes: int = 100_
     qry = d.select((F.col("_p") + F.lit(max_bytes)).alias("_v"), F.lit(1).alias("_t"),
                    F.col("_o").alias("_id"), F.lit(0).alias("_w"))
     ranked = global_offsets(data.unionByName(qry), ["_v", "_t", "_id"], "_w",
-                            key=F.col("_v"), offset_col="_le", ordinal_col="_r")
+                            offset_col="_le", ordinal_col="_r")
     jump = write_table(ranked.where(F.col("_t") == 1).select(
         F.col("_id").alias("node"),
         F.least(F.greatest(F.col("_id") + 1, F.col("_le")), F.lit(n)).alias("to")), "nf-jump")
@@ -69,17 +79,18 @@ def next_fit_shards(df: DataFrame, text_col: str = "text", max_bytes: int = 100_
         if new.isEmpty():
             break
         starts = write_table(starts.unionByName(new), "nf-starts")
-        a, b = jump.alias("a"), jump.alias("b")
-        jump = write_table(a.join(b, F.col("a.to") == F.col("b.node"), "left").select(
-            F.col("a.node").alias("node"), F.coalesce(F.col("b.to"), F.lit(n)).alias("to")), "nf-jump")
+        # a jump that ends at or beyond a finished one is never taken again
+        a, b = jump.where(F.col("to") < n).alias("a"), jump.alias("b")
+        jump = write_table(a.join(b, F.col("a.to") == F.col("b.node")).select(
+            F.col("a.node").alias("node"), F.col("b.to").alias("to")), "nf-jump")
     empty_first = d.where(F.col("_o") == 0).select(
         (F.col("n_bytes") > max_bytes).cast("long").alias("e"))
     flag = d.join(starts.select(F.col("node").alias("_o"), F.lit(1).alias("_s")), "_o", "left") \
         .withColumn("_s", F.coalesce("_s", F.lit(0)))
     out = global_offsets(flag, "_o", "_s", offset_col="_before", ordinal_col="_x")
-    return out.withColumn("shard_id", (F.col("_before") + F.col("_s")
-                                       + F.coalesce(empty_first.scalar(), F.lit(0))).cast("long")) \
-        .drop("_p", "_o", "_s", "_before", "_x")
+    return _with_shards(df, out.withColumn(
+        "shard_id", (F.col("_before") + F.col("_s")
+                     + F.coalesce(empty_first.scalar(), F.lit(0))).cast("long")), order)
 
 
 def shard_texts(df: DataFrame, text_col: str = "text", order: str = "doc_id",
@@ -124,11 +135,16 @@ def quality_filter(df: DataFrame, labels: DataFrame | None = None, key: str = "d
 
 # ---------------------------------------------------------------- B14 mixture
 
-def md5_unit(*cols, seed=0) -> Column:
-    """Deterministic pseudo-random integer in [0, 1e6) from an md5 of the key."""
+def md5_long(*cols, seed=0) -> Column:
+    """Deterministic pseudo-random integer in [0, 2**60) from an md5 of the key."""
     s = F.concat_ws(":", *[F.col(c).cast("string") if isinstance(c, str) else c.cast("string")
                            for c in cols], F.lit(str(seed)))
-    return F.pmod(F.conv(F.substring(F.md5(s), 1, 15), 16, 10).cast("long"), F.lit(1_000_000))
+    return F.conv(F.substring(F.md5(s), 1, 15), 16, 10).cast("long")
+
+
+def md5_unit(*cols, seed=0) -> Column:
+    """Deterministic pseudo-random integer in [0, 1e6) from an md5 of the key."""
+    return F.pmod(md5_long(*cols, seed=seed), F.lit(1_000_000))
 
 
 def mixture_sample(df: DataFrame, class_col: str, weights: dict, seed: int = 0,
@@ -141,23 +157,19 @@ def mixture_sample(df: DataFrame, class_col: str, weights: dict, seed: int = 0,
                               f"{class_col} string, weight double")
     counts = df.groupBy(class_col).agg(F.count(F.lit(1)).alias("n")).join(w, class_col)
     total = counts.select(F.min(F.col("n") / F.col("weight"))).scalar()
-    frac = counts.select(class_col, F.floor(F.least(F.lit(1.0), F.col("weight") * total / F.col("n"))
-                                            * 1_000_000).alias("_cut"))
-    return df.join(F.broadcast(frac), class_col).where(md5_unit(key, seed=seed) < F.col("_cut")) \
-        .drop("_cut")
+    frac = counts.select(class_col, (F.least(F.lit(1.0), F.col("weight") * total / F.col("n"))
+                                     * float(1 << 60)).alias("_cut"))
+    return df.join(F.broadcast(frac), class_col) \
+        .where(md5_long(key, seed=seed).cast("double") < F.col("_cut")).drop("_cut")
 
 
 # ---------------------------------------------------------------- B15 sentences
 
-SENTENCE_MARK = "\ue002"   # private-use character placed at sentence ends
-
-
 def sentence_pieces(c) -> Column:
     """Pieces after ``.``, ``!`` or ``?`` followed by whitespace (the
     whitespace dropped, the punctuation kept with its sentence)."""
     c = F.col(c) if isinstance(c, str) else c
-    marked = F.regexp_replace(c, "([.!?])" + fixed.WS + "+", "$1" + SENTENCE_MARK)
-    return F.split(marked, SENTENCE_MARK)
+    return F.split(c, "(?<=[.!?])" + fixed.WS + "+")
 
 
 def split_sentences(df: DataFrame, text_col: str = "text", key: str = "doc_id") -> DataFrame:
@@ -168,14 +180,15 @@ def split_sentences(df: DataFrame, text_col: str = "text", key: str = "doc_id")
 
 # ---------------------------------------------------------------- B7 unicode
 
-@F.pandas_udf(T.StringType())
-def _nfc(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: x if x is None or x.isascii() else unicodedata.normalize("NFC", x))
+@F.arrow_udf(T.StringType())
+def _nfc(s: pa.Array) -> pa.Array:
+    return pc.utf8_normalize(s, "NFC")
 
 
 def normalize_unicode(c: Column) -> Column:
-    """NFC normalization (vectorised pandas UDF; ASCII rows pass as is)."""
-    return _nfc(c)
+    """NFC normalization, whole Arrow batches at a time; ASCII rows (tested
+    in the JVM) pass as they are."""
+    return F.when(c.rlike(r"[^\x00-\x7F]"), _nfc(F.when(c.rlike(r"[^\x00-\x7F]"), c))).otherwise(c)
 
 
 # ---------------------------------------------------------------- B17 augment
@@ -206,16 +219,17 @@ def perplexity_filter(df: DataFrame, scores: DataFrame, key: str = "doc_id",
                       q_lo: float | None = None, q_hi: float | None = None,
                       score_col: str = "perplexity") -> DataFrame:
     """Keep documents whose perplexity lies in ``[lo, hi]``; bounds may
-    instead be quantiles of the scores (``percentile_approx``, one aggregate).
-    Unscored documents are dropped."""
+    instead be quantiles of the scores: the score of rank ``floor(q * (n - 1))``,
+    exact (D1 ranks, two rows to the driver). Unscored documents are dropped."""
     s = scores.select(key, score_col)
     if q_lo is not None or q_hi is not None:
-        qs = [q for q in (q_lo, q_hi) if q is not None]
-        b = s.agg(F.percentile_approx(score_col, qs, 10_000).alias("_b")).first()["_b"]
-        if q_lo is not None:
-            lo = b[0]
-        if q_hi is not None:
-            hi = b[-1]
+        ranked = with_ordinal(s, [score_col, key], name="_rank")
+        n = ranked.count()
+        at = {q: math.floor(q * (n - 1)) for q in (q_lo, q_hi) if q is not None}
+        got = {r["_rank"]: r[score_col] for r in
+               ranked.where(F.col("_rank").isin(list(at.values()))).collect()}
+        lo = got.get(at[q_lo], 0.0) if q_lo is not None else lo
+        hi = got.get(at[q_hi], 0.0) if q_hi is not None else hi
     cond = F.lit(True)
     if lo is not None:
         cond = cond & (F.col(score_col) >= lo)
@@ -226,76 +240,73 @@ def perplexity_filter(df: DataFrame, scores: DataFrame, key: str = "doc_id",
 
 # ---------------------------------------------------------------- B9 near dup
 
+def _words_of(c) -> Column:
+    return F.filter(F.split(F.lower(F.col(c)), fixed.WS + "+"), lambda w: F.length(w) > 0)
+
+
+def shingle_hashes(text_col: str, k: int) -> Column:
+    """Distinct hashes of the word k-shingles (one shingle when there are fewer words)."""
+    w = _words_of(text_col)
+    return F.array_distinct(F.when(F.size(w) < k, F.array(F.xxhash64(F.array_join(w, " ")))).otherwise(
+        F.transform(F.sequence(F.lit(1), F.size(w) - k + 1),
+                    lambda i: F.xxhash64(F.array_join(F.slice(w, i, k), " ")))))
+
+
+def _min_hash(shingles: str, j: int) -> Column:
+    # the permutation number is bound here: a lambda's second parameter would be the array index
+    return F.array_min(F.transform(shingles, lambda h: F.xxhash64(h, F.lit(j))))
+
+
 def minhash_signatures(df: DataFrame, text_col: str = "text", key: str = "doc_id",
                        k: int = 5, num_perm: int = 64) -> DataFrame:
     """``(key, shingles, sig)``: distinct word k-shingle hashes and min-hashes."""
-    words = F.filter(F.split(F.lower(F.col(text_col)), fixed.WS + "+"), lambda w: F.length(w) > 0)
-    d = df.select(key, words.alias("_w"))
-    sh = F.when(F.size("_w") < k, F.array(F.xxhash64(F.array_join("_w", " ")))).otherwise(
-        F.transform(F.sequence(F.lit(1), F.size("_w") - k + 1),
-                    lambda i: F.xxhash64(F.array_join(F.slice("_w", i, k), " "))))
-    d = d.select(key, F.array_distinct(sh).alias("shingles"))
-    sig = F.array(*[F.array_min(F.transform("shingles", lambda h, j=j: F.xxhash64(h, F.lit(j))))
-                    for j in range(num_perm)])
-    return d.select(key, "shingles", sig.alias("sig"))
-
-
-def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
-    """``(node, label)`` for every node with an edge; ``label`` is the
-    smallest node of its connected component.
-
-    Min-label propagation plus pointer jumping (the label of the label is
-    in the same component and never larger), run until nothing changes;
-    every round is a join/aggregate over edge endpoints only, with the
-    labels written to the checkpoint folder.
-    """
-    both = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst"))
-    both = both.unionByName(both.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    labels = write_table(both.select(F.col("src").alias("node")).distinct()
-                         .withColumn("label", F.col("node")), "cc-labels")
-    while True:
-        prop = both.join(labels.withColumnRenamed("node", "src"), "src") \
-            .groupBy(F.col("dst").alias("node")).agg(F.min("label").alias("nl"))
-        new = labels.join(prop, "node", "left").select(
-            "node", F.least("label", F.coalesce("nl", "label")).alias("label"))
-        jump = new.select(F.col("node").alias("label"), F.col("label").alias("ll"))
-        new = new.join(jump, "label", "left").select(
-            "node", F.least("label", F.coalesce("ll", "label")).alias("label"))
-        new = write_table(new, "cc-labels")
-        changed = new.join(labels.withColumnRenamed("label", "old"), "node") \
-            .where(F.col("label") != F.col("old")).limit(1).count()
-        labels = new
-        if changed == 0:
-            return labels
+    d = df.select(key, shingle_hashes(text_col, k).alias("shingles"))
+    return d.select(key, "shingles", F.array(*[_min_hash("shingles", j) for j in range(num_perm)]).alias("sig"))
+
+
+def _packed(it, col: int, dtype):
+    """The list column ``col`` as binary of ``dtype`` values, other columns as they are."""
+    for rb in it:
+        lists = rb.column(col)
+        at = lists.offsets.to_numpy()
+        v = lists.values.to_numpy(zero_copy_only=False).astype(np.uint64)
+        out = [v[a:b].astype(dtype).tobytes() for a, b in zip(at[:-1], at[1:])]
+        cols = list(rb.columns)
+        cols[col] = pa.array(out, pa.binary())
+        yield pa.RecordBatch.from_arrays(cols, names=rb.schema.names)
 
 
 def near_dup_minhash(df: DataFrame, text_col: str = "text", key: str = "doc_id",
                      k: int = 5, bands: int = 16, rows: int = 4,
-                     threshold: float = 0.8) -> DataFrame:
+                     threshold: float = 0.8, bucket: int = 1024, block_rows: int = 512,
+                     block_items: int = 1 << 21) -> DataFrame:
     """MinHash-LSH near-duplicate groups; ``(key, component, keep)``.
 
-    Band buckets are linked as stars to their smallest member (never all
-    pairs inside a bucket, so a hot bucket costs one row per member). Each
-    star edge is verified with the exact Jaccard of the shingle sets, then
-    components are found by min-label propagation with pointer jumping over
-    the documents that have an edge (run to convergence; reliable
-    checkpoints cut the lineage). ``keep`` marks the lowest key of every
-    component; a document without edges is its own component.
+    Equal shingle sets are one candidate. Candidates of a band bucket whose
+    signatures agree enough form groups; inside a group every link is decided by
+    the exact Jaccard of the whole shingle sets (:mod:`linkage`), so within LSH's
+    candidates no link is lost and none is guessed. ``component`` is the
+    smallest key of the class, ``keep`` marks it; a document without links is
+    its own component. Keys are integers and identify rows.
     """
-    sig = cut_lineage(minhash_signatures(df, text_col, key, k, bands * rows))
-    bkeys = sig.select(key, F.posexplode(F.array(*[
-        F.xxhash64(F.lit(b), F.slice("sig", b * rows + 1, rows)) for b in range(bands)]))
-        .alias("band", "bkey"))
-    reps = bkeys.groupBy("band", "bkey").agg(F.min(key).alias("rep"))
-    cand = bkeys.join(reps, ["band", "bkey"]).where(F.col(key) != F.col("rep")) \
-        .select(key, "rep").distinct()
-    a = sig.select(F.col(key), F.col("shingles").alias("sa"))
-    b = sig.select(F.col(key).alias("rep"), F.col("shingles").alias("sb"))
-    jac = F.size(F.array_intersect("sa", "sb")) / F.size(F.array_union("sa", "sb"))
-    edges = cut_lineage(cand.join(a, key).join(b, "rep").where(jac >= threshold)
-                        .select(F.col(key).alias("src"), F.col("rep").alias("dst")))
-    labels = connected_components(edges)
-    labels = sig.select(F.col(key).alias("node")).join(labels, "node", "left") \
-        .select("node", F.coalesce("label", "node").alias("label"))
-    return labels.select(F.col("node").alias(key), F.col("label").alias("component"),
-                         (F.col("node") == F.col("label")).alias("keep"))
+    d = df.select(F.col(key).cast("long").alias("id"), text_col)
+    sig = write_table(minhash_signatures(d, text_col, "id", k, bands * rows).select(
+        "id", "sig", F.sha2(F.concat_ws(",", F.transform(F.array_sort("shingles"),
+                                                         lambda h: h.cast("string"))), 256).alias("fp")), "minhash")
+    reps = sig.groupBy("fp").agg(F.min("id").alias("rep"))
+    own = sig.join(reps, F.col("id") == F.col("rep"), "left_semi")
+    keys = F.array(*[F.xxhash64(F.lit(b), F.slice("sig", b * rows + 1, rows)) for b in range(bands)])
+    cells = own.select(F.col("id").alias("rep"), F.explode(keys).alias("key")).distinct()
+    short = own.select(F.col("id").alias("rep"), F.transform("sig", lambda h: F.xxhash64(h)).alias("sig")) \
+        .mapInArrow(lambda it: _packed(it, 1, np.uint16), "rep long, sig binary")
+    m = bands * rows
+    agree = math.floor(m * max(threshold - 5 * math.sqrt(threshold * (1 - threshold) / m), 0))
+    groups = candidate_groups(cells, short, agree, m, bucket)
+    sets = d.join(groups, "id").select("id", "grp", shingle_hashes(text_col, k).alias("codes")) \
+        .mapInArrow(lambda it: _packed(it, 2, np.uint64), "id long, grp long, codes binary")
+    labels = verified_components(write_table(sets, "shingles"), round(100 * threshold), block_rows, block_items)
+    head = reps.join(labels.withColumnRenamed("node", "rep"), "rep", "left") \
+        .select("fp", F.coalesce("label", "rep").alias("component"))
+    return sig.select("id", "fp").join(head, "fp").select(
+        F.col("id").cast(df.schema[key].dataType).alias(key), "component",
+        (F.col("id") == F.col("component")).alias("keep"))

@@ -10,8 +10,8 @@ from pyspark.sql import types as T
 
 from ..functions import fixed
 from ..functions.text import word_split
-from ..session import cut_lineage
-from .order import global_offsets
+from ..session import cut_lineage, scratch_path, write_table
+from .order import global_offsets, with_ordinal
 
 TERM_PATTERN = "[" + fixed.WORD_CHARS + "]{2,}"     # runs of >= 2 word characters
 
@@ -60,7 +60,7 @@ def _top_terms(stats: DataFrame, k: int) -> DataFrame:
     """The k most frequent terms: rank computed with the distributed
     ordinal (no single-task window)."""
     ranked = global_offsets(stats.withColumn("_neg", -F.col("tf_all")), ["_neg", "term"],
-                            key=F.col("_neg"), ordinal_col="_r")
+                            ordinal_col="_r")
     return ranked.where(F.col("_r") < k).drop("_neg", "_r")
 
 
@@ -85,23 +85,55 @@ def logreg(df: DataFrame, text_col: str = "text", label: str = "label", split: s
            C: float = 1.0, max_iter: int = 1000, train_name: str = "train"):
     """Bag-of-words + L2 logistic regression (sklearn C mapped to Spark's
     regParam = 1 / (C n)); returns (model, predictions with ``pred``)."""
-    from pyspark.ml import Pipeline
+    f = term_vectors(df, text_col, split=split, train_name=train_name)
+    return fit_logreg(f, f.where(F.col(split) == train_name), label, C, max_iter)
+
+
+def term_vectors(df: DataFrame, text_col: str = "text", key: str = "doc_id", split: str = "split",
+                 train_name: str = "train") -> DataFrame:
+    """``df`` without its text, with ``features``: sparse counts over *all* train
+    terms (ids by the distributed ordinal; no cap, nothing at the driver).
+
+    Built and written once; every fit and every L-BFGS iteration reads that
+    table. The vectors are written as their plain struct and read back under
+    the vector type, so no row passes through Python.
+    """
+    from pyspark.ml.linalg import VectorUDT
+
+    spark = df.sparkSession
+    words = write_table(df.select(key, split, terms(text_col).alias("_t")), "terms")
+    vocab = words.where(F.col(split) == train_name).select(
+        F.explode(F.array_distinct("_t")).alias("term")).distinct()
+    vocab = write_table(with_ordinal(vocab, "term", name="_i").select("term", F.col("_i").cast("int")), "term-ids")
+    n = F.greatest(vocab.select(F.count(F.lit(1))).scalar().cast("int"), F.lit(1))
+    counts = words.select(key, F.explode("_t").alias("term")).groupBy(key, "term") \
+        .agg(F.count(F.lit(1)).cast("double").alias("_c")).join(vocab, "term")
+    vec = counts.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_i", "_c"))).alias("_v"))
+    rest = [c for c in df.columns if c != text_col]
+    items = F.coalesce("_v", F.array().cast(vec.schema["_v"].dataType))
+    flat = df.select(*rest).join(vec, key, "left").select(*rest, F.struct(
+        F.lit(0).cast("tinyint").alias("type"), n.alias("size"),
+        F.transform(items, lambda x: x["_i"]).alias("indices"),
+        F.transform(items, lambda x: x["_c"]).alias("values")).alias("features"))
+    path = scratch_path(spark, "term-vectors")
+    cores = max(spark.sparkContext.defaultParallelism, 1)
+    flat.repartition(cores, key).write.parquet(path)
+    schema = T.StructType([f for f in flat.schema.fields if f.name != "features"]
+                          + [T.StructField("features", VectorUDT())])
+    return spark.read.schema(schema).parquet(path)
+
+
+def fit_logreg(data: DataFrame, train: DataFrame, label: str = "label", C: float = 1.0,
+               max_iter: int = 1000):
+    """Logistic regression on :func:`term_vectors` rows; (model, ``data`` with ``pred``)."""
     from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import CountVectorizer, RegexTokenizer
 
-    train = df.where(F.col(split) == train_name)
     n = train.count()
-    pipe = Pipeline(stages=[
-        RegexTokenizer(inputCol=text_col, outputCol="_tok", gaps=False, pattern=TERM_PATTERN,
-                       toLowercase=True),
-        CountVectorizer(inputCol="_tok", outputCol="_bow"),
-        LogisticRegression(featuresCol="_bow", labelCol="_y", regParam=1.0 / (C * max(n, 1)),
-                           elasticNetParam=0.0, standardization=False, maxIter=max_iter),
-    ])
-    d = df.withColumn("_y", F.col(label).cast("double"))
-    model = pipe.fit(d.where(F.col(split) == train_name))
-    pred = model.transform(d).withColumn("pred", F.col("prediction").cast("int")) \
-        .drop("_tok", "_bow", "rawPrediction", "probability", "prediction", "_y")
+    lr = LogisticRegression(featuresCol="features", labelCol="_y", regParam=1.0 / (C * max(n, 1)),
+                            elasticNetParam=0.0, standardization=False, maxIter=max_iter)
+    model = lr.fit(train.withColumn("_y", F.col(label).cast("double")))
+    pred = model.transform(data).withColumn("pred", F.col("prediction").cast("int")) \
+        .drop("features", "rawPrediction", "probability", "prediction")
     return model, pred
 
 
@@ -216,6 +248,22 @@ def ngram_lm_score(df: DataFrame, lm: dict, tokens_col: str = "tokens", key: str
         .withColumn("perplexity", F.exp("nll"))
 
 
+def unigram_score(df: DataFrame, train: DataFrame, tokens_col: str = "tokens", key: str = "doc_id",
+                  k: float = 1.0) -> DataFrame:
+    """E9 with n = 1: ``(key, n_tokens, nll, perplexity)`` under add-k token
+    frequencies of ``train``; unknown tokens share the one ``<|unk|>`` count of zero."""
+    c = write_table(train.select(F.explode(tokens_col).alias("tok")).groupBy("tok")
+                    .agg(F.count(F.lit(1)).alias("c")), "unigrams")
+    total = c.select(F.coalesce(F.sum("c"), F.lit(0))).scalar()
+    v = c.select(F.count(F.lit(1))).scalar() + 1
+    # a document's tokens are counted before the join, so a hot token is one row per document
+    mine = df.select(key, F.explode(tokens_col).alias("tok")).groupBy(key, "tok").agg(F.count(F.lit(1)).alias("n"))
+    p = (F.coalesce(F.col("c"), F.lit(0)) + k) / (total + k * v)
+    return mine.join(c, "tok", "left").groupBy(key).agg(
+        F.sum("n").cast("long").alias("n_tokens"), (-F.sum(F.col("n") * F.log(p)) / F.sum("n")).alias("nll")) \
+        .withColumn("perplexity", F.exp("nll"))
+
+
 # ---------------------------------------------------------------- E8 loss
 
 def cross_entropy(logprobs: DataFrame, batch_col: str = "batch_id", target_col: str | None = None,
@@ -341,17 +389,17 @@ def bleu4(pairs: DataFrame, cand: str = "candidate", ref: str = "reference",
 
 
 def _lcs_len(a, b) -> int:
-    if len(a) == 0 or len(b) == 0:
-        return 0
-    a = np.asarray(a, dtype=object)
-    prev = np.zeros(len(b) + 1, dtype=np.int64)
+    """Length of the longest common subsequence, all of ``b`` at once as the bits
+    of one integer: a zero bit marks where the row's length rises by one."""
+    where: dict = {}
+    for j, y in enumerate(b):
+        where[y] = where.get(y, 0) | 1 << j
+    full = (1 << len(b)) - 1
+    row = full
     for x in a:
-        eq = np.fromiter((x == y for y in b), dtype=bool, count=len(b))
-        cur = np.zeros(len(b) + 1, dtype=np.int64)
-        # cur[j+1] = max(prev[j+1], cur[j], prev[j] + eq[j]): a running max along j
-        cur[1:] = np.maximum.accumulate(np.maximum(prev[1:], prev[:-1] + eq))
-        prev = cur
-    return int(prev[-1])
+        hit = row & where.get(x, 0)
+        row = (row + hit | row - hit) & full
+    return len(b) - row.bit_count()
 
 
 @F.pandas_udf(T.DoubleType())

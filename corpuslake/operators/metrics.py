@@ -16,21 +16,20 @@ from .order import partitioned_offsets
 
 
 def seconds(ts) -> Column:
-    """Timestamp without time zone (read as UTC) to epoch seconds (double)."""
+    """Timestamp without time zone (read as UTC) to epoch seconds (double).
+
+    The difference to 1970 is taken in the type without time zone, so the
+    session's zone and its clock changes do not enter."""
     ts = F.col(ts) if isinstance(ts, str) else ts
-    return F.unix_micros(ts.cast("timestamp")) / F.lit(1e6)
+    since = ts.cast("timestamp_ntz") - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.extract(F.lit("DAY"), since) * F.lit(86400.0) + F.extract(F.lit("HOUR"), since) * F.lit(3600.0) \
+        + F.extract(F.lit("MINUTE"), since) * F.lit(60.0) + F.extract(F.lit("SECOND"), since).cast("double")
 
 
 def steps(log: DataFrame, run: str = "run", ts: str = "ts", tie: str = "step_key",
           tokens: str = "tokens", start: int = 0) -> DataFrame:
-    """H2: ``step`` (counted from ``start``) and cumulative ``tokens_seen`` per run.
-
-    The bucketing key ``run * 1e10 + seconds`` is monotone in (run, ts), so
-    range buckets cut through a long run instead of holding it whole.
-    """
-    key = F.col(run).cast("double") * F.lit(1e10) + seconds(ts)
-    d = partitioned_offsets(log, run, [ts, tie], tokens, key=key,
-                            ordinal_col="step", offset_col="_before")
+    """H2: ``step`` (counted from ``start``) and cumulative ``tokens_seen`` per run."""
+    d = partitioned_offsets(log, run, [ts, tie], tokens, ordinal_col="step", offset_col="_before")
     return d.withColumn("step", F.col("step") + start) \
         .withColumn("tokens_seen", (F.col("_before") + F.col(tokens)).cast("long")).drop("_before")
 
@@ -103,7 +102,8 @@ def plateau_stop(evals: DataFrame, patience: int, run: str = "run", step: str =
 def smooth_loss(st: DataFrame, w: int, run: str = "run", loss: str = "loss") -> DataFrame:
     """H8: mean of the loss over the last ``w`` steps, only where the window
     is full. Each step is sent to the ``w`` windows it belongs to, so groups
-    hold exactly ``w`` rows whatever the size of a run."""
+    hold exactly ``w`` rows whatever the size of a run (a difference of running
+    sums would need fewer rows but loses digits over long runs)."""
     ex = st.select(run, loss, F.explode(F.sequence(F.col("step"), F.col("step") + w - 1)).alias("end"))
     g = ex.groupBy(run, "end").agg(F.avg(loss).alias("smooth_loss"), F.count(F.lit(1)).alias("_n"))
     last = st.groupBy(run).agg(F.max("step").alias("_max"))

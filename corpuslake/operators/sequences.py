@@ -2,8 +2,9 @@
 
 The global token stream is never materialised as one row or one task:
 documents keep their ``ids`` arrays and get their stream offset from the
-distributed running sum (D1). A window is assembled from the document
-slices that overlap it (``groupBy(window)``, at most L+1 tokens per group).
+distributed running sum (D1). A window inside one document is cut out in place;
+one that crosses a border is assembled from the slices that overlap it
+(``groupBy(window)``, at most L+1 tokens per group).
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
+from ..session import write_table
 from .order import global_offsets, with_ordinal
 
 
@@ -20,35 +22,63 @@ def _ceil_div(a: Column, b: int) -> Column:
 
 
 def stream_offsets(tokens: DataFrame, ids_col: str = "ids", order: str = "doc_id") -> DataFrame:
-    """D1 on a token table: ``start`` of every document in the global stream."""
-    t = tokens.withColumn("_n", F.size(ids_col).cast("long"))
-    return global_offsets(t, order, "_n", offset_col="start", ordinal_col="doc_ord")
+    """D1 on a token table: ``start`` of every document in the global stream.
+
+    Only ``(order, row, length)`` is ordered; the token arrays are written once
+    and joined back by their row number."""
+    t = write_table(tokens.withColumn("_row", F.monotonically_increasing_id()), "token-rows")
+    slim = t.select(order, "_row", F.size(ids_col).cast("long").alias("_n"))
+    off = global_offsets(slim, [order, "_row"], F.greatest("_n", F.lit(0)), offset_col="start",
+                         ordinal_col="doc_ord")
+    return t.join(off.select("_row", "start", "doc_ord"), "_row").drop("_row")
+
+
+def _span(lo: Column, hi: Column) -> Column:
+    """``lo..hi``, empty when ``hi < lo`` (a plain sequence would count down)."""
+    return F.when(lo <= hi, F.sequence(lo, F.greatest(lo, hi))).otherwise(F.array().cast("array<long>"))
 
 
 def _windows_from_slices(docs: DataFrame, ids_col: str, n_total: Column, L: int, stride: int,
                          extra_keys=()) -> DataFrame:
-    """Windows over a stream given per-document ``start`` (and a side key)."""
+    """Windows over a stream given per-document ``start`` (and a side key).
+
+    Windows that lie in one document are cut out of its array in place; only
+    those that cross a border (a few per document) are assembled by a groupBy.
+    """
     s = F.col("start")
     e = F.col("start") + F.size(ids_col)
     n_win = F.greatest(_ceil_div(n_total - F.lit(L), stride), F.lit(0))
     lo = F.greatest(_ceil_div(s - F.lit(L), stride), F.lit(0))
     hi = F.least(F.floor((e - 1) / F.lit(stride)), n_win - 1)
-    d = docs.where(F.size(ids_col) > 0).select(*extra_keys, ids_col, "start",
-                                               lo.cast("long").alias("_lo"),
-                                               hi.cast("long").alias("_hi"))
-    d = d.where(F.col("_lo") <= F.col("_hi"))          # sequence(lo, hi) would count down
-    d = d.select(*extra_keys, ids_col, "start",
-                 F.explode(F.sequence("_lo", "_hi")).alias("seq_id"))
-    a = F.greatest(F.col("start"), F.col("seq_id") * stride)
-    b = F.least(F.col("start") + F.size(ids_col), F.col("seq_id") * stride + L + 1)
-    piece = F.slice(ids_col, F.greatest(a - F.col("start") + 1, F.lit(1)).cast("int"),
+    in_hi = F.least(F.floor((e - F.lit(L + 1)) / F.lit(stride)), n_win - 1)
+    d = docs.where(F.size(ids_col) > 0).select(
+        *extra_keys, ids_col, "start", lo.cast("long").alias("_lo"), hi.cast("long").alias("_hi"),
+        _ceil_div(s, stride).cast("long").alias("_a"), in_hi.cast("long").alias("_b"))
+    inside = d.where(F.col("_a") <= F.col("_b")).select(*extra_keys, F.explode(F.transform(
+        F.sequence("_a", "_b"), lambda w: F.struct(
+            w.alias("seq_id"),
+            F.slice(ids_col, (w * stride - F.col("start") + 1).cast("int"), L).alias("input_ids"),
+            F.slice(ids_col, (w * stride - F.col("start") + 2).cast("int"), L).alias("target_ids")))).alias("x"))
+    inside = inside.select(*extra_keys, "x.seq_id", "x.input_ids", "x.target_ids")
+
+    border = F.when(F.col("_a") <= F.col("_b"), F.concat(
+        _span(F.col("_lo"), F.col("_a") - 1), _span(F.col("_b") + 1, F.col("_hi")))) \
+        .otherwise(_span(F.col("_lo"), F.col("_hi")))
+
+    def piece(w):
+        a = F.greatest(F.col("start"), w * stride)
+        b = F.least(F.col("start") + F.size(ids_col), w * stride + L + 1)
+        p = F.slice(ids_col, F.greatest(a - F.col("start") + 1, F.lit(1)).cast("int"),
                     F.greatest(b - a, F.lit(0)).cast("int"))
-    parts = d.select(*extra_keys, "seq_id", F.struct(a.alias("a"), piece.alias("p")).alias("x"))
+        return F.struct(w.alias("seq_id"), F.struct(a.alias("a"), p.alias("p")).alias("x"))
+
+    parts = d.select(*extra_keys, F.explode(F.transform(border, piece)).alias("y")) \
+        .select(*extra_keys, "y.seq_id", "y.x")
     g = parts.groupBy(*extra_keys, "seq_id").agg(F.sort_array(F.collect_list("x")).alias("xs"))
     flat = F.flatten(F.transform("xs", lambda x: x["p"]))
-    return g.select(*extra_keys, F.col("seq_id").cast("long"),
-                    F.slice(flat, 1, L).alias("input_ids"),
-                    F.slice(flat, 2, L).alias("target_ids"))
+    across = g.select(*extra_keys, F.col("seq_id").cast("long"), F.slice(flat, 1, L).alias("input_ids"),
+                      F.slice(flat, 2, L).alias("target_ids"))
+    return inside.unionByName(across)
 
 
 def sliding_windows(tokens: DataFrame, L: int, stride: int, ids_col: str = "ids",
@@ -56,7 +86,7 @@ def sliding_windows(tokens: DataFrame, L: int, stride: int, ids_col: str = "ids"
     """``for i in range(0, N - L, stride)`` over the concatenated stream:
     input ``[i, i+L)``, target ``[i+1, i+L+1)``; windows cross documents."""
     off = stream_offsets(tokens, ids_col, order)
-    n_total = tokens.select(F.sum(F.size(ids_col)).cast("long")).scalar()
+    n_total = off.select(F.sum(F.size(ids_col)).cast("long")).scalar()
     return _windows_from_slices(off, ids_col, F.coalesce(n_total, F.lit(0)), L, stride)
 
 
@@ -65,10 +95,10 @@ def sliding_windows_per_group(tokens: DataFrame, L: int, stride: int, ids_col: s
     """D3: each document windowed on its own (only when longer than L)."""
     starts = F.when(F.size(ids_col) > L, F.sequence(F.lit(0), F.size(ids_col) - L - 1, F.lit(stride))) \
         .otherwise(F.array().cast("array<int>"))
-    d = tokens.select(key, ids_col, F.posexplode(starts).alias("win_idx", "i"))
-    return d.select(key, F.col("win_idx").cast("long"),
-                    F.slice(ids_col, F.col("i") + 1, L).alias("input_ids"),
-                    F.slice(ids_col, F.col("i") + 2, L).alias("target_ids"))
+    cut = F.transform(starts, lambda i: F.struct(F.slice(ids_col, i + 1, L).alias("input_ids"),
+                                                 F.slice(ids_col, i + 2, L).alias("target_ids")))
+    d = tokens.select(key, F.posexplode(cut).alias("win_idx", "x"))
+    return d.select(key, F.col("win_idx").cast("long"), "x.input_ids", "x.target_ids")
 
 
 def split_by_chars(df: DataFrame, ratio: float = 0.9, text_col: str = "text") -> DataFrame:
@@ -102,9 +132,9 @@ def split_by_tokens(tokens: DataFrame, ratio: float, L: int, stride: int, ids_co
 
 
 def split_rows(df: DataFrame, ratios=(0.85, 0.1), names=("train", "test", "val"),
-               order: str = "doc_id", key: Column | None = None) -> DataFrame:
+               order: str = "doc_id") -> DataFrame:
     """Positional head / middle / rest with ``int()`` truncation each."""
-    d = with_ordinal(df, order, key=key, name="_ord")
+    d = with_ordinal(df, order, name="_ord")
     n = df.select(F.count(F.lit(1))).scalar()
     bounds = []
     acc = F.lit(0)
@@ -122,7 +152,7 @@ def shuffle_epoch(df: DataFrame, seed: int, epoch: int, key: str = "seq_id") ->
     h = F.conv(F.substring(F.md5(F.concat_ws(":", F.col(key).cast("string"),
                                              F.lit(str(seed + epoch)))), 1, 15), 16, 10).cast("long")
     d = df.withColumn("_h", h)
-    d = with_ordinal(d, ["_h", key], key=F.col("_h"), name="position")
+    d = with_ordinal(d, ["_h", key], name="position")
     return d.drop("_h").withColumn("epoch", F.lit(epoch))
 
 

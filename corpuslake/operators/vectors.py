@@ -37,10 +37,13 @@ def blocks(emb: DataFrame, block_size: int = 32, id_col: str = "vec_id",
 def embedding_lookup(tokens: DataFrame, table: DataFrame, ids_col: str = "ids",
                      key: str = "doc_id", table_id: str = "vec_id",
                      table_vec: str = "embedding") -> DataFrame:
-    """G1: ``(key, pos, vec)``: each token id replaced by its table row."""
+    """G1: ``(key, pos, vec)``: each token id replaced by its table row; an id
+    that the table lacks raises."""
     ex = tokens.select(key, F.posexplode(ids_col).alias("pos", "_id"))
-    t = table.select(F.col(table_id).alias("_id"), dvec(table_vec).alias("vec"))
-    return ex.join(t, "_id").drop("_id")
+    t = table.select(F.col(table_id).alias("_id"), dvec(table_vec).alias("_vec"))
+    lost = F.raise_error(F.concat(F.lit("id not in the table: "), F.col("_id").cast("string")))
+    return ex.join(t, "_id", "left").select(
+        key, "pos", F.coalesce("_vec", lost.cast("array<double>")).alias("vec"))
 
 
 def add_positional(vecs: DataFrame, pos_table: DataFrame) -> DataFrame:

@@ -1,37 +1,41 @@
 """Word-level tokenizer against a vocabulary table.
 
-A vocabulary of at most ``MAX_VOCAB_SHIPPED`` entries (counted first) is
-sent once to every executor as a broadcast variable and looked up inside
-the tasks over Arrow batches, so encoding and decoding are shuffle-free
-maps. A larger vocabulary (a word vocabulary grows with the corpus) is
-joined instead: token rows are exploded with their position, joined to the
-vocabulary (AQE splits hot tokens) and re-assembled per document in
-position order. The vocabulary ids come from the distributed ordinal (D1),
-never from a single-task window.
+A word vocabulary grows with the corpus, so it is never shipped to a task:
+encoding and decoding join with it, in one way at every size. Rows are packed
+in blocks (an Arrow pass): a block holds its rows' keys, the distinct tokens and
+each row's tokens as numbers into them. Only the distinct tokens are joined, so
+the commonest token is one row per block and no join key is hot; their values
+come back to the block by its number and rows are unpacked in place. Row counts,
+order inside rows and errors do not depend on the vocabulary's size, and rows
+that share a key stay rows of their own.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import fixed
 from ..functions.text import word_decode_text, word_split
-from ..session import cut_lineage
-from .order import string_order_key, with_ordinal
+from ..session import cut_lineage, write_table
+from .order import with_ordinal
+
+BLOCK_ROWS = 512           # rows, and
+BLOCK_VALUES = 1 << 18     # values at which a block is closed
 
 
 def build_word_vocab(df: DataFrame, text_col: str = "text", specials: bool = True) -> DataFrame:
     """Distinct tokens in code-point order, ids from 0; optionally
     ``<|endoftext|>`` and ``<|unk|>`` appended after the sorted words."""
-    # materialised once: the ordinal and the special ids read it several times
-    toks = cut_lineage(df.select(F.explode(word_split(F.col(text_col))).alias("token")).distinct())
-    vocab = with_ordinal(toks, "token", key=string_order_key("token"), name="token_id") \
+    # distinct inside a document before the shuffle; materialised once: the
+    # ordinal and the special ids read it several times
+    toks = cut_lineage(df.select(F.explode(F.array_distinct(word_split(F.col(text_col))))
+                                 .alias("token")).distinct())
+    vocab = with_ordinal(toks, "token", name="token_id") \
         .select("token", F.col("token_id").cast("long"))
     if not specials:
         return vocab
@@ -42,46 +46,56 @@ def build_word_vocab(df: DataFrame, text_col: str = "text", specials: bool = Tru
     return vocab.unionByName(extra.select("x.token", F.col("x.token_id").cast("long").alias("token_id")))
 
 
-MAX_VOCAB_SHIPPED = 2_000_000
-
-
-def _shipped_rows(vocab: DataFrame):
-    """The vocabulary rows when there are at most ``MAX_VOCAB_SHIPPED`` (at
-    most one more row is ever fetched), else ``None``."""
-    t = vocab.select("token", "token_id").limit(MAX_VOCAB_SHIPPED + 1).toArrow()
-    if t.num_rows > MAX_VOCAB_SHIPPED:
-        return None
-    return t.column("token").to_numpy(zero_copy_only=False), \
-        t.column("token_id").to_numpy(zero_copy_only=False).astype(np.int64)
-
+def words_and_specials(c, specials=(fixed.ENDOFTEXT,)) -> Column:
+    """The text's word tokens, with exact occurrences of specials kept whole."""
+    from ..functions.text import split_specials
+    return F.flatten(F.transform(split_specials(c, list(specials)), lambda p: F.when(
+        p["is_special"], F.array(p["s"])).otherwise(word_split(p["s"]))))
 
-def _list_out(lists: pa.ListArray, values: np.ndarray, value_type) -> pa.ListArray:
-    """A list array shaped like ``lists`` (nulls as empty lists) holding ``values``."""
-    n = len(lists)
-    lens = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-    offsets = np.zeros(n + 1, dtype=np.int32)
-    np.cumsum(lens, out=offsets[1:])
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, value_type))
 
+def _blocks(it, names):
+    """``(block, keys, words, codes)`` rows: at most ``BLOCK_ROWS`` input rows each."""
+    from pyspark import TaskContext
 
-def _encode_batches(it, bc, key, mode):
-    tokens, ids, unk = bc.value
-    index = pd.Index(tokens)                    # hash table built once per task
-    ids = np.asarray(ids, dtype=np.int64)
+    number = TaskContext.get().partitionId() << 33
     for rb in it:
-        lists = rb.column("_toks")
-        enc = pc.dictionary_encode(lists.flatten())
-        pos = index.get_indexer(enc.dictionary.to_pandas()) if len(enc.dictionary) else np.zeros(0, np.int64)
-        miss = pos < 0
-        if miss.any():
-            if mode == "error":
-                raise ValueError("unknown token: " + enc.dictionary[int(np.argmax(miss))].as_py())
-            per_value = np.where(miss, unk, ids[np.where(miss, 0, pos)])
-        else:
-            per_value = ids[pos]
-        vals = per_value[enc.indices.to_numpy(zero_copy_only=False)] if len(pos) else np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays([rb.column(key), _list_out(lists, vals, pa.int64())],
-                                         names=[key, "ids"])
+        lists = rb.column(1)
+        at = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0)
+                                            .to_numpy(zero_copy_only=False))])
+        lo = 0
+        while lo < rb.num_rows:
+            hi = int(np.searchsorted(at, at[lo] + BLOCK_VALUES, side="right")) - 1
+            hi = min(max(hi, lo + 1), lo + BLOCK_ROWS, rb.num_rows)
+            enc = pc.dictionary_encode(lists.slice(lo, hi - lo).flatten(), null_encoding="encode")
+            codes = pa.ListArray.from_arrays(pa.array(at[lo:hi + 1] - at[lo], pa.int32()),
+                                             enc.indices.cast(pa.int32()))
+            one = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([number], pa.int64()), one(rb.column(0).slice(lo, hi - lo)),
+                 one(enc.dictionary), one(codes)], names=names)
+            number, lo = number + 1, hi
+
+
+def _mapped(df: DataFrame, key: str, values: Column, table: DataFrame, missing) -> DataFrame:
+    """``(key, _out)``: every row's list with each value ``v`` replaced by its ``new``
+    in ``table(v, new)``; ``missing(v)`` is the column for a value not there."""
+    d = df.select(key, values.alias("_v"))
+    item = d.schema["_v"].dataType.elementType
+    schema = T.StructType([
+        T.StructField("block", T.LongType()), T.StructField("keys", T.ArrayType(d.schema[key].dataType)),
+        T.StructField("words", T.ArrayType(item)), T.StructField("codes", T.ArrayType(T.ArrayType(T.IntegerType())))])
+    names = schema.fieldNames()
+    # written: both sides of the joins below read the same blocks
+    blocks = write_table(d.mapInArrow(lambda it: _blocks(it, names), schema), "word-blocks")
+    words = blocks.select("block", F.posexplode("words").alias("i", "v"))
+    new = words.join(table, "v", "left")
+    value = F.coalesce(F.col("new"), missing(F.col("v")))
+    new = new.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("i", value.alias("x")))).alias("_n"))
+    out = blocks.select("block", "keys", "codes").join(
+        new.select("block", F.transform("_n", lambda s: s["x"]).alias("_n")), "block", "left")
+    rows = F.arrays_zip("keys", F.transform("codes", lambda c: F.transform(
+        c, lambda i: F.element_at("_n", i + 1))).alias("out"))
+    return out.select(F.explode(rows).alias("r")).select(F.col("r.keys").alias(key), F.col("r.out").alias("_out"))
 
 
 def _token_to_id(vocab: DataFrame) -> DataFrame:
@@ -91,67 +105,30 @@ def _token_to_id(vocab: DataFrame) -> DataFrame:
 
 
 def word_encode(df: DataFrame, vocab: DataFrame, text_col: str = "text", key: str = "doc_id",
-                on_unknown: str = "error") -> DataFrame:
+                on_unknown: str = "error", tokens: Column | None = None) -> DataFrame:
     """``(key, ids)``. Unknown tokens raise (``error``) or map to
-    the ``<|unk|>`` id (``unk``)."""
+    the ``<|unk|>`` id (``unk``; without such an entry that raises too).
+
+    ``tokens`` replaces the word split of ``text_col``; a null list is empty."""
     if on_unknown not in ("error", "unk"):
         raise ValueError(f"on_unknown={on_unknown!r}")
-    vocab = _token_to_id(vocab)
-    rows = _shipped_rows(vocab)
-    if rows is not None:
-        tokens, ids = rows
-        hit = np.flatnonzero(tokens == fixed.UNK)
-        unk = int(ids[hit[0]]) if len(hit) else None
-        if on_unknown == "unk" and unk is None:
-            raise ValueError("vocabulary has no <|unk|> entry")
-        bc = df.sparkSession.sparkContext.broadcast((tokens, ids, unk))
-        schema = T.StructType([df.schema[key], T.StructField("ids", T.ArrayType(T.LongType()))])
-        toks = df.select(key, word_split(F.col(text_col)).alias("_toks"))
-        return toks.mapInArrow(lambda it: _encode_batches(it, bc, key, on_unknown), schema)
-    ex = df.select(key, F.posexplode_outer(word_split(F.col(text_col))).alias("pos", "token"))
-    j = ex.join(vocab, "token", "left")
-    if on_unknown == "error":
-        missing = F.raise_error(F.concat(F.lit("unknown token: "), F.col("token")))
-    elif on_unknown == "unk":
-        # scalar subquery: evaluated once, shipped as a value
-        missing = vocab.where(F.col("token") == fixed.UNK).select("token_id").scalar()
-    tid = F.when(F.col("token").isNotNull(), F.coalesce(F.col("token_id"), missing))
-    grouped = j.groupBy(key).agg(
-        F.sort_array(F.collect_list(F.struct("pos", tid.alias("id")))).alias("_p"))
-    return grouped.select(key, F.transform(F.filter("_p", lambda x: x["pos"].isNotNull()),
-                                           lambda x: x["id"]).alias("ids"))
-
-
-def _decode_batches(it, bc, key):
-    ids, tokens = bc.value
-    index = pd.Index(np.asarray(ids, dtype=np.int64))
-    tokens = np.asarray(tokens, dtype=object)
-    for rb in it:
-        lists = rb.column("_ids")
-        flat = lists.flatten().to_numpy(zero_copy_only=False)
-        pos = index.get_indexer(flat) if len(flat) else np.zeros(0, np.int64)
-        if (pos < 0).any():
-            raise ValueError(f"unknown id: {int(flat[int(np.argmax(pos < 0))])}")
-        yield pa.RecordBatch.from_arrays([rb.column(key), _list_out(lists, tokens[pos], pa.string())],
-                                         names=[key, "_t"])
+    ids = _token_to_id(vocab)
+    unk = ids.where(F.col("token") == fixed.UNK).select("token_id").scalar()
+
+    def missing(v):
+        fail = F.raise_error(F.concat(F.lit("unknown token: "), v)).cast("long")
+        return fail if on_unknown == "error" else F.coalesce(unk, F.raise_error(
+            F.lit("vocabulary has no <|unk|> entry")).cast("long"))
+
+    table = ids.select(F.col("token").alias("v"), F.col("token_id").cast("long").alias("new"))
+    split = tokens if tokens is not None else word_split(F.col(text_col))
+    return _mapped(df, key, split, table, missing).withColumnRenamed("_out", "ids")
 
 
 def word_decode(df: DataFrame, vocab: DataFrame, ids_col: str = "ids", key: str = "doc_id",
                 punct: str = fixed.DECODE_PUNCT_V2) -> DataFrame:
-    """Ids -> tokens joined by spaces, no space before punctuation."""
-    rows = _shipped_rows(vocab)
-    if rows is not None:
-        tokens, ids = rows
-        bc = df.sparkSession.sparkContext.broadcast((ids, tokens))
-        schema = T.StructType([df.schema[key], T.StructField("_t", T.ArrayType(T.StringType()))])
-        toks = df.select(key, F.col(ids_col).cast("array<long>").alias("_ids")) \
-            .mapInArrow(lambda it: _decode_batches(it, bc, key), schema)
-        return toks.select(key, word_decode_text(F.col("_t"), punct).alias("text"))
-    ex = df.select(key, F.posexplode_outer(ids_col).alias("pos", "token_id"))
-    j = ex.join(vocab, "token_id", "left")
-    tok = F.when(F.col("token_id").isNotNull(), F.coalesce(
-        F.col("token"), F.raise_error(F.concat(F.lit("unknown id: "), F.col("token_id").cast("string")))))
-    grouped = j.groupBy(key).agg(
-        F.sort_array(F.collect_list(F.struct("pos", tok.alias("t")))).alias("_p"))
-    toks = F.transform(F.filter("_p", lambda x: x["pos"].isNotNull()), lambda x: x["t"])
-    return grouped.select(key, word_decode_text(toks, punct).alias("text"))
+    """Ids -> tokens joined by spaces, no space before punctuation; unknown ids raise."""
+    table = vocab.select(F.col("token_id").cast("long").alias("v"), F.col("token").alias("new"))
+    out = _mapped(df, key, F.col(ids_col).cast("array<long>"), table, lambda v: F.raise_error(
+        F.concat(F.lit("unknown id: "), v.cast("string"))).cast("string"))
+    return out.select(key, word_decode_text(F.col("_out"), punct).alias("text"))

@@ -1,26 +1,27 @@
 """Registered queries: byte- and character-level BPE (C9-C20), the token
 stream (I2) and file sources / sinks (A1, A2, A5-A9).
 
-Tokenizers are learned here from the documents table (no pretrained files
-are available); learned merges are kept per input folder for the process.
+Every query that needs a tokenizer learns it from the documents table (no
+pretrained files are part of the library).
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions import text as X
-from ..operators import bpe, char_bpe as CB, instruct
-from ..session import scratch_path
+from ..operators import bpe, char_bpe as CB, instruct, words
+from ..session import cut_lineage, scratch_path, write_table
 from ..sources import readers
 from ..streaming import streams as ST
 from .q_seq import _D_PAIRS, _d_prompt
-from .registry import chars, d_word_split, query, table
+from .q_text import _d_strip_boilerplate, _d_with_markers, _with_markers
+from .registry import chars, d_ascii_ratio, d_collapse, d_word_split, query, sq, table
 
 N_MERGES = 32
 N_CHAR_MERGES = 32
-_LEARNED: dict = {}
 # C17 byte permutation: an odd multiplier mod 256 is a bijection.
 BYTE_PERM = [(b * 167 + 13) % 256 for b in range(256)]
 
@@ -30,22 +31,13 @@ def _docs(spark, sf):
 
 
 def learned_merges(spark, sf):
-    key = ("bytes", sf)
-    if key not in _LEARNED:
-        m = bpe.train_bpe(_docs(spark, sf), 256 + N_MERGES)
-        _LEARNED[key] = [(r.left, r.right, r.new_id) for r in m.orderBy("rank").collect()]
-    return bpe.merges_from_rows(spark, _LEARNED[key]), _LEARNED[key]
+    """Merges learned from the documents, and their rows (bounded by the vocabulary)."""
+    m = bpe.train_bpe(_docs(spark, sf), 256 + N_MERGES)
+    return m, bpe._merge_rows(m)
 
 
 def learned_char(spark, sf):
-    key = ("chars", sf)
-    if key not in _LEARNED:
-        m, v = CB.train_char_bpe(_docs(spark, sf), n_merges=N_CHAR_MERGES)
-        _LEARNED[key] = ([(r.left, r.right, r.new_id) for r in m.orderBy("rank").collect()],
-                         [(r.token_id, r.token) for r in v.collect()])
-    rows, vocab = _LEARNED[key]
-    return (bpe.merges_from_rows(spark, rows),
-            spark.createDataFrame(vocab, "token_id long, token string"))
+    return CB.train_char_bpe(_docs(spark, sf), n_merges=N_CHAR_MERGES)
 
 
 def _encoded(spark, sf, **kw):
@@ -68,6 +60,21 @@ def c9_pair_stats(spark, sf):
     return bpe.pair_stats(ch).select("left", "right", "count")
 
 
+@query("c9_extreme_pairs", f"""
+WITH w AS (SELECT unnest({d_word_split('text')}) AS c FROM documents),
+cc AS (SELECT c, count(*) AS n FROM w GROUP BY c),
+b AS (SELECT n, list_transform(range(octet_length(encode(c))),
+             lambda i: ('0x' || substr(hex(encode(c)), 2 * i + 1, 2))::INTEGER) AS ids FROM cc),
+p AS (SELECT n, unnest(ids[1:len(ids) - 1]) AS l, unnest(ids[2:len(ids)]) AS r FROM b WHERE len(ids) >= 2),
+g AS (SELECT sum(n)::BIGINT AS count FROM p GROUP BY l, r)
+SELECT 'most' AS mode, max(count) AS count FROM g UNION ALL SELECT 'least', min(count) FROM g""")
+def c9_extreme_pairs(spark, sf):
+    """Counts only: which of several equally rare pairs is first depends on the corpus order (tests)."""
+    stats = bpe.pair_stats(bpe.chunk_table(_docs(spark, sf), chunker=X.word_split)).cache()
+    return bpe.extreme_pair(stats, "most").select(F.lit("most").alias("mode"), "count").unionByName(
+        bpe.extreme_pair(stats, "least").select(F.lit("least").alias("mode"), "count"))
+
+
 @query("c9_top_byte_pairs")
 def c9_top_byte_pairs(spark, sf):
     from .flagship import top_byte_pairs
@@ -135,15 +142,18 @@ def c17_byte_perm_roundtrip(spark, sf):
     return dec.select("doc_id", F.md5("text").alias("md5"))
 
 
-@query("c12_encode_with_specials")
+@query("c12_encode_with_specials", f"""
+SELECT doc_id, true AS round_trip, true AS has_special FROM documents""")
 def c12_encode_with_specials(spark, sf):
     m, rows = learned_merges(spark, sf)
     d = table(spark, sf, "documents").select(
         "doc_id", F.concat("text", F.lit(fixed.ENDOFTEXT), "source").alias("text"))
     specials = {fixed.ENDOFTEXT: 256 + N_MERGES}
     enc = bpe.encode_bpe(d, m, specials=specials, allowed="all", keep=["doc_id"], merge_rows=rows)
-    return enc.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                      F.array_contains("ids", 256 + N_MERGES).alias("has_special"))
+    has = enc.select("doc_id", "ids", F.array_contains("ids", 256 + N_MERGES).alias("has_special"))
+    dec = bpe.decode_bpe(has, bpe.build_vocab(m, specials), keep=["doc_id", "has_special"])
+    return dec.join(d.select("doc_id", F.col("text").alias("t")), "doc_id").select(
+        "doc_id", (F.col("text") == F.col("t")).alias("round_trip"), "has_special")
 
 
 # ---------------------------------------------------------------- C18 - C20
@@ -188,35 +198,103 @@ def i2_stream_encode(spark, sf):
 # ---------------------------------------------------------------- A1 / A2 / A5 - A9
 
 
-@query("a1_read_text_corpus")
-def a1_read_text_corpus(spark, sf):
-    r = readers.read_text_corpus(spark, sf, suffixes=(".parquet",))
-    return r.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "n_bytes",
-                    F.length("text").cast("long").alias("n_chars"))
+_FILE = "CASE WHEN doc_id % 7 = 6 THEN 'doc_' || doc_id || '.md' WHEN doc_id % 5 = 4 THEN 'doc_' || doc_id || '.txt.utf8' ELSE 'doc_' || doc_id || '.txt' END"
+
+
+def _write_files(it, path):
+    """A file per document: by its id as UTF-8 or, where that can spell it, latin1."""
+    fs, base = readers._file_system(path)
+    for rb in it:
+        names, latin, texts = (rb.column(i).to_pylist() for i in range(3))
+        for name, one, text in zip(names, latin, texts):
+            try:
+                raw = text.encode("latin-1") if one else text.encode()
+            except UnicodeEncodeError:
+                raw = text.encode()
+            with fs.open_output_stream(f"{base}/{name}") as f:
+                f.write(raw)
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], names=["file"])
+
+
+def _text_files(spark, sf, texts=None):
+    """A scratch folder with the documents as text files (two suffixes and one that is not read)."""
+    path = scratch_path(spark, "text-files")
+    fs, base = readers._file_system(path)
+    fs.create_dir(base, recursive=True)
+    d = texts if texts is not None else _docs(spark, sf)
+    d = d.select(F.expr(_FILE).alias("file"), (F.col("doc_id") % 3 == 0).alias("latin"), "text")
+    write_table(d.mapInArrow(lambda it: _write_files(it, path), "file string"), "text-file-names")
+    return path
 
 
-@query("a5_write_shards")
+@query("a1_read_text_corpus", f"""
+SELECT {_FILE} AS file, length(text)::BIGINT AS n_chars, md5(text) AS md5 FROM documents WHERE doc_id % 7 <> 6""")
+def a1_read_text_corpus(spark, sf):
+    r = readers.read_text_corpus(spark, _text_files(spark, sf))
+    return r.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"),
+                    F.length("text").cast("long").alias("n_chars"), F.md5("text").alias("md5"))
+
+
+def _d_next_fit(rows: str, most: int) -> str:
+    """CTEs from ``src(k, text)`` in order ``k``: next-fit shards as ``sh(shard_id, text)``."""
+    return f"""p AS (SELECT k, text, octet_length(encode(text))::BIGINT AS x, row_number() OVER (ORDER BY k) - 1 AS o,
+         coalesce(sum(octet_length(encode(text))) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pre
+  FROM ({rows}) src),
+n AS (SELECT count(*) AS n FROM p),
+nx AS (SELECT a.o, greatest(a.o + 1, (SELECT count(*) FROM p b WHERE b.pre + b.x <= a.pre + {most})) AS nxt FROM p a),
+ch(o) AS (SELECT 0 UNION ALL SELECT nx.nxt FROM ch JOIN nx ON nx.o = ch.o, n WHERE nx.nxt < n.n),
+sh AS (SELECT ((SELECT count(*) FROM ch WHERE ch.o <= p.o)
+        + (SELECT CASE WHEN x > {most} THEN 1 ELSE 0 END FROM p WHERE o = 0))::BIGINT AS shard_id, text, k FROM p),
+joined AS (SELECT shard_id, string_agg(text, {sq(fixed.ENDOFTEXT)} ORDER BY k) AS j FROM sh GROUP BY shard_id),
+files AS (SELECT shard_id, j FROM joined UNION ALL SELECT 1, '' WHERE (SELECT min(shard_id) FROM joined) > 1)"""
+
+
+def _shard_files(spark, path):
+    raw = spark.read.format("binaryFile").option("pathGlobFilter", "combined_*.txt").load(path)
+    return raw.select(F.regexp_extract("path", r"combined_(\d+)\.txt$", 1).cast("long").alias("shard_id"),
+                      F.col("length").cast("long").alias("n_bytes"), F.md5("content").alias("md5"))
+
+
+@query("a5_write_shards", f"""
+WITH RECURSIVE {_d_next_fit("SELECT doc_id AS k, text FROM documents", 500_000)}
+SELECT shard_id, octet_length(encode(j))::BIGINT AS n_bytes, md5(j) AS md5 FROM files""")
 def a5_write_shards(spark, sf):
-    from ..operators.clean import next_fit_shards
     out = scratch_path(spark, "a5-shards")
-    d = next_fit_shards(_docs(spark, sf), "text", 500_000)
-    readers.write_shards(d, out)
-    back = spark.read.option("wholetext", "true").text(out)
-    return back.groupBy("shard_id").agg(
-        F.sum(F.size(F.split("value", F.lit(fixed.ENDOFTEXT.replace("|", "\\|"))))).cast("long").alias("n_pieces"))
+    readers.write_shards(_docs(spark, sf), out, max_bytes=500_000)
+    return _shard_files(spark, out)
+
+
+_CLEANED = d_collapse(_d_strip_boilerplate("text"))
+
+
+@query("a11_prepare_corpus", f"""
+WITH RECURSIVE {_d_next_fit(f"SELECT {_FILE} AS k, {_CLEANED} AS text FROM {_d_with_markers()} m WHERE doc_id % 7 <> 6 AND {d_ascii_ratio('text')} > 0.9", 100_000)}
+SELECT shard_id, octet_length(encode(j))::BIGINT AS n_bytes, md5(j) AS md5 FROM files""")
+def a11_prepare_corpus(spark, sf):
+    texts = _with_markers(table(spark, sf, "documents"))
+    out = scratch_path(spark, "a11-shards")
+    readers.prepare_corpus(spark, _text_files(spark, sf, texts), out, max_bytes=100_000)
+    return _shard_files(spark, out)
 
 
 @query("a6_token_cache", f"""
 SELECT 'documents' AS name, 'all' AS subset, count(*)::BIGINT AS num_samples,
-       sum(len({d_word_split('text')}))::BIGINT AS total_tokens,
-       sum(length(text) + {len(fixed.ENDOFTEXT)})::BIGINT AS total_chars
+       sum(len({d_word_split('text')}) + 1)::BIGINT AS total_tokens,
+       sum(length(text) + {len(' ' + fixed.ENDOFTEXT + ' ')})::BIGINT AS total_chars
 FROM documents WHERE length(text) > 0""")
 def a6_token_cache(spark, sf):
     base = scratch_path(spark, "a6-cache")
     d = _docs(spark, sf)
-    tokens = d.select("doc_id", X.word_split("text").alias("ids"))
-    readers.write_token_cache(tokens, d, base, "documents", "all")
-    _, meta = readers.read_token_cache(spark, base, "documents", "all")
+    vocab = words.build_word_vocab(d)
+
+    def encode(rows):
+        return words.word_encode(rows, vocab, tokens=words.words_and_specials("text"))
+
+    def never(rows):
+        raise AssertionError("both parts are cached")
+
+    readers.token_cache(d, encode, base, "documents", "all")
+    _, meta = readers.token_cache(d, never, base, "documents", "all")
     return meta.select("name", "subset", F.col("num_samples").cast("long"),
                        F.col("total_tokens").cast("long"), F.col("total_chars").cast("long"))
 
@@ -233,6 +311,17 @@ def a7_write_responses_json(spark, sf):
     return spark.read.json(out).select("conv_id", "turn", F.md5("model_response").alias("response_md5"))
 
 
+@query("a8_tokenizer_json", "SELECT true AS same_merges, true AS same_vocab")
+def a8_tokenizer_json(spark, sf):
+    m, v = learned_char(spark, sf)
+    m, v = cut_lineage(m), cut_lineage(v)
+    path = scratch_path(spark, "a8-json")
+    readers.save_tokenizer_json(m, v, path)
+    m2, v2 = readers.load_tokenizer_json(spark, path)
+    lost = lambda a, b: a.exceptAll(b.select(*a.columns)).count() + b.select(*a.columns).exceptAll(a).count()
+    return spark.range(1).select(F.lit(lost(m, m2) == 0).alias("same_merges"), F.lit(lost(v, v2) == 0).alias("same_vocab"))
+
+
 @query("a8_tokenizer_roundtrip")
 def a8_tokenizer_roundtrip(spark, sf):
     m, _ = learned_merges(spark, sf)

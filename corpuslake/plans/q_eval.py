@@ -238,7 +238,13 @@ def e11_nucleus_filter(spark, sf):
     return E.nucleus_filter(p, 0.5).select("seq", "token", F.round(F.round("prob", 9), 6).alias("prob"))
 
 
-@query("e12_generate_greedy")
+@query("e12_generate_greedy", f"""
+WITH RECURSIVE {_D_LM.strip()},
+best AS (SELECT prev, arg_min(next, (-c_pair, next)) AS nx FROM pair GROUP BY prev),
+g(doc_id, step, gen) AS (
+  SELECT doc_id, 0, t[1:3] FROM tk WHERE split <> 'train'
+  UNION ALL SELECT g.doc_id, g.step + 1, list_append(g.gen, b.nx) FROM g JOIN best b ON b.prev = g.gen[len(g.gen)] WHERE g.step < 6)
+SELECT doc_id, array_to_string(arg_max(gen, step), ' ') AS generated FROM g GROUP BY doc_id""")
 def e12_generate_greedy(spark, sf):
     d, lm = _lm_inputs(spark, sf)
     prompts = d.where(F.col("split") != "train").select("doc_id", F.slice("tokens", 1, 3).alias("tokens"))
@@ -261,7 +267,7 @@ def e13_extract_response(spark, sf):
 
 
 _D_BLEU_PAIRS = f"""
-pairs AS (SELECT p.conv_id AS pair_id, {d_word_split('p.output')} AS c, {d_word_split('b.text')} AS r
+pairs AS (SELECT p.conv_id * 100000 + p.turn AS pair_id, {d_word_split('p.output')} AS c, {d_word_split('b.text')} AS r
           FROM ({_D_PAIRS}) p JOIN benchmark b ON b.item_id = p.conv_id % (SELECT count(*) FROM benchmark))"""
 
 
@@ -270,7 +276,7 @@ def _bleu_pairs(spark, sf):
     b = table(spark, sf, "benchmark")
     n_items = b.select(F.count(F.lit(1))).scalar()
     return p.join(b, F.col("item_id") == F.pmod(F.col("conv_id"), n_items)) \
-        .select(F.col("conv_id").alias("pair_id"), F.col("output").alias("candidate"),
+        .select((F.col("conv_id") * 100000 + F.col("turn")).alias("pair_id"), F.col("output").alias("candidate"),
                 F.col("text").alias("reference"))
 
 
@@ -328,12 +334,12 @@ def e15_adherence_rate(spark, sf):
 @query("e17_learning_curve")
 def e17_learning_curve(spark, sf):
     from ..operators.clean import md5_unit
-    d = labelled(spark, sf)
+    f = E.term_vectors(labelled(spark, sf))       # one table for all fits
+    train, val = f.where(F.col("split") == "train"), f.where(F.col("split") == "val")
     rows = []
     for frac in (0.25, 0.5, 1.0):
-        keep = (F.col("split") != "train") | (md5_unit("doc_id", seed=11) < int(frac * 1_000_000))
-        _, pred = E.logreg(d.where(keep))
-        acc = E.accuracy(pred.where(F.col("split") == "val"))
+        _, pred = E.fit_logreg(val, train.where(md5_unit("doc_id", seed=11) < int(frac * 1_000_000)))
+        acc = E.accuracy(pred)
         rows.append(acc.select(F.lit(frac).alias("fraction"), F.round("accuracy", 6).alias("accuracy"), "n"))
     out = rows[0]
     for r in rows[1:]:
@@ -341,24 +347,56 @@ def e17_learning_curve(spark, sf):
     return out
 
 
+#: The bigram model of the train split, scored on every document.
+_D_LM_ALL = _D_LM.replace("SELECT doc_id, split, unnest(t) AS tok, unnest(range(1, len(t) + 1)) AS pos FROM tk)",
+                          f"SELECT doc_id, 'all' AS split, unnest(t) AS tok, unnest(range(1, len(t) + 1)) AS pos "
+                          f"FROM (SELECT doc_id, {d_word_split('text')} AS t FROM documents) a)")
+
+
+def _all_scores(spark, sf):
+    """Perplexity of every document (materialised: the filter ranks and joins it)."""
+    _, lm = _lm_inputs(spark, sf)
+    docs = table(spark, sf, "documents").select("doc_id", X.word_split("text").alias("tokens"))
+    return cut_lineage(E.ngram_lm_score(docs, lm))
+
+
+@query("e9_unigram_score", f"""
+WITH {_D_LAB},
+tr AS (SELECT unnest({d_word_split('text')}) AS tok FROM sp WHERE split = 'train'),
+c AS (SELECT tok, count(*) AS c FROM tr GROUP BY tok),
+t AS (SELECT sum(c) AS total, count(*) + 1 AS v FROM c),
+x AS (SELECT doc_id, unnest({d_word_split('text')}) AS tok FROM sp WHERE split <> 'train')
+SELECT doc_id, count(*)::BIGINT AS n_tokens, round(-avg(ln((coalesce(c, 0) + 1.0) / (total + v))), 6) AS nll,
+       round(exp(-avg(ln((coalesce(c, 0) + 1.0) / (total + v)))), 4) AS perplexity
+FROM x LEFT JOIN c USING (tok), t GROUP BY doc_id""")
+def e9_unigram_score(spark, sf):
+    d = labelled(spark, sf).withColumn("tokens", X.word_split("text"))
+    u = E.unigram_score(d.where(F.col("split") != "train"), d.where(F.col("split") == "train"))
+    return u.select("doc_id", "n_tokens", F.round("nll", 6).alias("nll"), F.round("perplexity", 4).alias("perplexity"))
+
+
 @query("b13_perplexity_filter", f"""
-WITH {_D_LM},
-sc AS (SELECT doc_id, exp(-avg(logp)) AS ppl FROM lp WHERE split <> 'train' GROUP BY doc_id)
+WITH {_D_LM_ALL},
+sc AS (SELECT doc_id, exp(-avg(logp)) AS ppl FROM lp GROUP BY doc_id)
 SELECT d.doc_id, round(sc.ppl, 6) AS perplexity FROM documents d JOIN sc USING (doc_id)
 WHERE sc.ppl BETWEEN 50 AND 5000""")
 def b13_perplexity_filter(spark, sf):
     from ..operators import clean
-    d, lm = _lm_inputs(spark, sf)
-    scores = E.ngram_lm_score(d.where(F.col("split") != "train"), lm)
+    scores = _all_scores(spark, sf)
     kept = clean.perplexity_filter(table(spark, sf, "documents").select("doc_id"), scores, lo=50, hi=5000)
     return kept.join(scores.select("doc_id", F.round("perplexity", 6).alias("perplexity")), "doc_id")
 
 
-@query("b13_perplexity_quantile_filter")
+@query("b13_perplexity_quantile_filter", f"""
+WITH {_D_LM_ALL},
+sc AS (SELECT doc_id, round(exp(-avg(logp)), 9) AS ppl FROM lp GROUP BY doc_id),
+o AS (SELECT doc_id, ppl, row_number() OVER (ORDER BY ppl, doc_id) - 1 AS r, count(*) OVER () AS n FROM sc)
+SELECT doc_id FROM o WHERE ppl >= (SELECT ppl FROM o WHERE r = floor(0.05::DOUBLE * (n - 1)))
+  AND ppl <= (SELECT ppl FROM o WHERE r = floor(0.95::DOUBLE * (n - 1)))""")
 def b13_perplexity_quantile_filter(spark, sf):
     from ..operators import clean
-    d, lm = _lm_inputs(spark, sf)
-    scores = E.ngram_lm_score(d.where(F.col("split") != "train"), lm)
+    # rounded: the bounds are scores themselves, which float noise must not move
+    scores = _all_scores(spark, sf).withColumn("perplexity", F.round("perplexity", 9))
     return clean.perplexity_filter(table(spark, sf, "documents").select("doc_id"), scores,
                                    q_lo=0.05, q_hi=0.95)
 

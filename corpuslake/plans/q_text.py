@@ -37,8 +37,7 @@ def a4_resolve_text(spark, sf):
     pages = table(spark, sf, "pages").select(
         F.lit(1).alias("src"), F.col("page_id").alias("rec_id"),
         F.lit(None).cast("string").alias("text"), F.col("html").alias("content"))
-    out = readers.resolve_text(docs.unionByName(pages), ["text", "content"], ["src", "rec_id"],
-                               key=F.col("src") * F.lit(1 << 40) + F.col("rec_id"))
+    out = readers.resolve_text(docs.unionByName(pages), ["text", "content"], ["src", "rec_id"])
     return out.select(F.col("rec_ord").cast("long"), "src", "rec_id",
                       F.length("text").cast("long").alias("n_chars"))
 
@@ -212,10 +211,10 @@ _MIX = {"en": 0.7, "de": 0.2, "fr": 0.1}
 WITH w(lang, weight) AS (VALUES {", ".join(f"({sq(k)}, {v}::DOUBLE)" for k, v in _MIX.items())}),
 c AS (SELECT lang, count(*)::DOUBLE AS n FROM documents JOIN w USING (lang) GROUP BY lang),
 k AS (SELECT min(c.n / w.weight) AS total FROM c JOIN w USING (lang)),
-f AS (SELECT lang, floor(least(1.0::DOUBLE, w.weight * k.total / c.n) * 1000000) AS cut
+f AS (SELECT lang, least(1.0::DOUBLE, w.weight * k.total / c.n) * 1152921504606846976.0::DOUBLE AS cut
       FROM c JOIN w USING (lang), k)
 SELECT d.doc_id, d.lang FROM documents d JOIN f USING (lang)
-WHERE (('0x' || substr(md5(d.doc_id::VARCHAR || ':7'), 1, 15))::BIGINT % 1000000) < f.cut""")
+WHERE ('0x' || substr(md5(d.doc_id::VARCHAR || ':7'), 1, 15))::BIGINT::DOUBLE < f.cut""")
 def b14_mixture_sample(spark, sf):
     d = table(spark, sf, "documents")
     return clean.mixture_sample(d, "lang", _MIX, seed=7).select("doc_id", "lang")
@@ -240,7 +239,16 @@ def b7_normalize_unicode(spark, sf):
     return d.select("doc_id", F.length(n).cast("long").alias("n_chars"), F.md5(n).alias("md5"))
 
 
-@query("b9_near_dup_minhash")
+@query("b9_near_dup_minhash", f"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), {sq(fixed.WS + '+')}), lambda x: length(x) > 0) AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 4], ' ') END AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w) z),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b USING (g) WHERE a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 80 * (a.n + b.n - c)),
+both_ways AS (SELECT x, y FROM e UNION SELECT y, x FROM e),
+r(node, label) AS (SELECT doc_id, doc_id FROM documents UNION SELECT b.y, r.label FROM r JOIN both_ways b ON b.x = r.node)
+SELECT node AS doc_id, min(label) AS component, min(label) = node AS keep FROM r GROUP BY node""")
 def b9_near_dup_minhash(spark, sf):
     return clean.near_dup_minhash(table(spark, sf, "documents"), "text", "doc_id")
 

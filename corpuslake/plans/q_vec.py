@@ -53,9 +53,13 @@ cx AS (SELECT {keys}, q, list(c ORDER BY dim) AS ctx FROM cd GROUP BY {keys}, q)
 WITH {d_ids('documents')}, {_BL},
 ex AS (SELECT doc_id, unnest(ids) AS id FROM ids)
 SELECT doc_id, count(*)::BIGINT AS n_hit, round(sum(list_sum(vec)), 4) + 0.0 AS v_sum
-FROM ex JOIN bl ON bl.vec_id = ex.id GROUP BY doc_id""")
+FROM ex JOIN bl ON bl.vec_id = ex.id % (SELECT count(*) FROM bl) GROUP BY doc_id""")
 def g1_embedding_lookup(spark, sf):
-    look = V.embedding_lookup(_doc_ids(spark, sf), table(spark, sf, "embeddings"))
+    # the table has fewer rows than the vocabulary: ids are taken modulo its size
+    emb = table(spark, sf, "embeddings")
+    n = emb.select(F.count(F.lit(1))).scalar()
+    tokens = _doc_ids(spark, sf).select("doc_id", F.transform("ids", lambda i: F.pmod(i, n)).alias("ids"))
+    look = V.embedding_lookup(tokens, emb)
     return look.groupBy("doc_id").agg(F.count(F.lit(1)).cast("long").alias("n_hit"),
                                       (F.round(F.sum(V.vsum(F.col("vec"))), 4) + F.lit(0.0)).alias("v_sum"))
 

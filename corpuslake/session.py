@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -46,7 +47,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) is a scratch folder set.
+    Only a local master without one (tests) gets a scratch folder; executors
+    of a cluster would each write to their own disk, so there it is an error.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -54,6 +56,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="corpuslake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     sc.setCheckpointDir(d)

@@ -1,5 +1,6 @@
 """BPE jobs equal small sequential implementations of our own."""
 
+import pytest
 import regex
 from pyspark.sql import functions as F
 
@@ -101,5 +102,22 @@ def test_char_bpe_equals_sequential(spark):
     assert {r.token_id: r.token for r in v.collect()} == vocab
 
 
-def test_char_tokens_rules():
-    assert CB.glyph_tokens("a  b\r\nc \tx  ") == ["a", "Ġb", "Ġ", "\r", "\n", "c", "Ġx", "Ġ", "Ġ"]
+def test_char_tokens_rules(spark):
+    cases = {"a  b\r\nc \tx  ": ["a", "Ġb", "Ġ", "\r", "\n", "c", "Ġx", "Ġ", "Ġ"],
+             "a  \t b": ["a", "Ġb", "Ġ", "Ġ"], "a  \n b": ["a", "Ġ", "Ġ", "\n", "Ġb"], "\t": [], "": [],
+             "x<|endoftext|> y": ["x", "<|endoftext|>", "Ġy"], "a\u00a0b": ["a", "b"]}
+    df = spark.createDataFrame([(t,) for t in cases], "text string")
+    got = {r.text: [t for c in r.c for t in ([c] if c.startswith("<|") else CB.chunk_tokens(c))]
+           for r in df.select("text", CB.glyph_chunks(F.col("text"), [fixed.ENDOFTEXT]).alias("c")).collect()}
+    assert got == cases
+
+
+def test_char_special_not_allowed_raises(spark):
+    df = spark.createDataFrame([(1, "a<|endoftext|>")], "doc_id long, text string")
+    vocab = spark.createDataFrame([(0, "a"), (1, "<|endoftext|>")], "token_id long, token string")
+    m = bpe.merges_from_rows(spark, [])
+    assert CB.encode_char_bpe(df, vocab, m).first().ids == [0, 1]
+    with pytest.raises(Exception, match="not allowed"):
+        CB.encode_char_bpe(df, vocab, m, allowed_special=()).collect()
+    with pytest.raises(Exception, match="no merge of two earlier"):
+        bpe.recover_merges(spark.createDataFrame([(b"a", 0), (b"b", 1), (b"aba", 2)], "bytes binary, rank long")).collect()

@@ -11,19 +11,22 @@ from corpuslake.operators import bpe, instruct, sequences as S, vectors as V, wo
 from corpuslake.operators.order import global_offsets, with_ordinal
 
 
+def _chunks(df):
+    return df.select(F.lit(1).cast("long").alias("n"), F.lit(0).cast("long").alias("f_doc"),
+                     F.lit(0).alias("f_idx"), "ids")
+
+
 def test_pair_stats_literal(spark):
     df = spark.createDataFrame([([1, 2, 3, 1, 2],)], "ids array<int>")
-    got = {(r.left, r.right): r["count"] for r in bpe.pair_stats_sql(df).collect()}
-    assert got == {(1, 2): 2, (2, 3): 1, (3, 1): 1}
-    chunks = df.select(F.lit(1).cast("long").alias("n"), F.lit(0).cast("long").alias("f_doc"),
-                       F.lit(0).alias("f_idx"), "ids")
-    got2 = {(r.left, r.right): r["count"] for r in bpe.pair_stats(chunks).collect()}
-    assert got2 == got
+    stats = bpe.pair_stats(_chunks(df))
+    assert {(r.left, r.right): r["count"] for r in stats.collect()} == {(1, 2): 2, (2, 3): 1, (3, 1): 1}
+    assert tuple(bpe.extreme_pair(stats).first()) == (1, 2, 2)
+    assert tuple(bpe.extreme_pair(stats, "least").first()) == (2, 3, 1)      # tie: seen first
 
 
 def test_overlapping_pairs_counted_twice(spark):
     df = spark.createDataFrame([([1, 1, 1],)], "ids array<int>")
-    assert {(r.left, r.right): r["count"] for r in bpe.pair_stats_sql(df).collect()} == {(1, 1): 2}
+    assert {(r.left, r.right): r["count"] for r in bpe.pair_stats(_chunks(df)).collect()} == {(1, 1): 2}
 
 
 def test_apply_merges_literal(spark):
@@ -173,7 +176,7 @@ def test_partitioned_offsets_hot_partition(spark):
     rows = [(0 if i % 3 else 1, i, 1) for i in range(3000)]      # one partition holds 2/3
     df = spark.createDataFrame(rows, "p long, o long, sz long")
     got = {(r.p, r.o): (r.ordinal, r.offset) for r in
-           partitioned_offsets(df, "p", "o", "sz", key=F.col("p") * 1e6 + F.col("o"), num_buckets=16).collect()}
+           partitioned_offsets(df, "p", "o", "sz", num_buckets=16).collect()}
     for p in (0, 1):
         os_ = sorted(o for q, o, _ in rows if q == p)
         for i, o in enumerate(os_):
@@ -181,10 +184,9 @@ def test_partitioned_offsets_hot_partition(spark):
 
 
 def test_with_ordinal_strings(spark):
-    from corpuslake.operators.order import string_order_key
     toks = ["b", "a", "é", "ab", "Z", "", "zz", "日本", "a b"]
     df = spark.createDataFrame([(t,) for t in toks], "token string")
-    got = {r.token: r.o for r in with_ordinal(df, "token", key=string_order_key("token"), name="o").collect()}
+    got = {r.token: r.o for r in with_ordinal(df, "token", name="o").collect()}
     assert [t for t, _ in sorted(got.items(), key=lambda x: x[1])] == sorted(toks)
 
 
@@ -259,25 +261,146 @@ def test_next_fit_shards_equal_sequential(spark, sizes):
     assert [g[1] for g in got] == _next_fit_seq(sizes, 50)
 
 
-def test_word_encode_decode_join_path_equals_broadcast(spark, monkeypatch):
-    """The join path (vocabulary above the shipping limit) and the broadcast
-    path give the same ids and texts; a word equal to a special string takes
-    the special's id, as a dict filled in id order would."""
-    docs = spark.createDataFrame([
-        (1, "Hello, do you like tea? In the sunlit terraces"),
-        (2, "the palace <|endoftext|> of the -- sunlit (tea)."),
-        (3, None), (4, ""),
-    ], "doc_id long, text string")
+def test_common_prefix_spreads_over_ranges(spark):
+    from corpuslake.operators.order import ranged
+    df = spark.range(1000).selectExpr("concat('https://example.org/', lpad(id, 5, '0')) as url")
+    per = [r["count"] for r in ranged(df, [F.col("url")], 8).groupBy("_bucket").count().collect()]
+    assert len(per) == 8 and max(per) < 300
+    assert global_offsets(df.where("false"), "url").count() == 0
+
+
+def test_word_encode_decode(spark):
+    """Rows sharing a key stay rows; null and empty texts; a word equal to a special string
+    takes the special's id; an unknown word raises without a <|unk|> entry."""
+    rows = [(1, "Hello, do you like tea? In the sunlit terraces"),
+            (2, "the palace <|endoftext|> of the -- sunlit (tea)."), (2, "the tea"), (3, None), (4, "")] \
+        + [(i, "the the tea, the palace") for i in range(10, 1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
     vocab = words.build_word_vocab(docs).cache()
-    v = {}
-    for r in vocab.orderBy("token_id").collect():
-        v[r.token] = r.token_id
-    fast_ids = {r.doc_id: r.ids for r in words.word_encode(docs, vocab).collect()}
-    fast_txt = {r.doc_id: r.text for r in words.word_decode(words.word_encode(docs, vocab), vocab).collect()}
-    monkeypatch.setattr(words, "MAX_VOCAB_SHIPPED", 0)
-    join_ids = {r.doc_id: r.ids for r in words.word_encode(docs, vocab).collect()}
-    join_txt = {r.doc_id: r.text for r in words.word_decode(words.word_encode(docs, vocab), vocab).collect()}
-    assert fast_ids == join_ids and fast_txt == join_txt
-    assert fast_ids[3] == [] and fast_ids[4] == []
-    assert v[fixed.ENDOFTEXT] in fast_ids[2]
-    assert fast_ids[1][:3] == [v["Hello"], v[","], v["do"]]
+    v = {r.token: r.token_id for r in vocab.orderBy("token_id").collect()}
+    enc = words.word_encode(docs, vocab)
+    got = sorted((r.doc_id, tuple(r.ids)) for r in enc.collect())
+    assert got == sorted((i, tuple(v[w] for w in X_split_py(t or ""))) for i, t in rows)
+    assert v[fixed.ENDOFTEXT] in got[1][1] + got[2][1]
+    assert len([r for r in words.word_decode(enc, vocab).collect() if r.doc_id == 2]) == 2
+    other = spark.createDataFrame([(1, "Hello stranger"), (2, "Hello")], "doc_id long, text string")
+    bare = words.build_word_vocab(docs, specials=False)
+    for mode in ("error", "unk"):
+        assert words.word_encode(other.where("doc_id = 2"), bare, on_unknown=mode).first().ids == [v["Hello"]]
+        with pytest.raises(Exception, match="stranger" if mode == "error" else "unk"):
+            words.word_encode(other, bare, on_unknown=mode).collect()
+    with pytest.raises(Exception, match="unknown id"):
+        words.word_decode(spark.createDataFrame([(1, [99999])], "doc_id long, ids array<long>"), vocab).collect()
+
+
+def _jaccard_pairs(spark, docs, **kw):
+    from corpuslake.operators.clean import near_dup_minhash
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    return {r.doc_id: r.component for r in near_dup_minhash(df, **kw).collect()}
+
+
+def test_minhash_entries_differ(spark):
+    from corpuslake.operators.clean import minhash_signatures
+    df = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(60)))], "doc_id long, text string")
+    assert len(set(minhash_signatures(df).first().sig)) == 64
+
+
+def test_near_dup_finds_shifted_and_template_pairs(spark):
+    """A word put in front, and pairs beside six templates of smaller id that share their buckets."""
+    import random
+    rnd = random.Random(3)
+    docs, want, n = [], {}, 0
+    for _ in range(60):
+        base = [f"a{rnd.randrange(10**6)}" for _ in range(300)]
+        for _ in range(6):
+            w = list(base)
+            for i in rnd.sample(range(300), 11):
+                w[i] = f"b{rnd.randrange(10**6)}"
+            docs.append((n, " ".join(w)))
+            want[n] = n
+            n += 1
+        docs += [(n, " ".join(base)), (n + 1, "front " + " ".join(base))]
+        want[n] = want[n + 1] = n
+        n += 2
+    assert _jaccard_pairs(spark, docs) == want
+
+
+def test_near_dup_bucket_with_a_third_of_the_rows(spark):
+    docs = [(i, " ".join(f"u{i}x{j}" for j in range(30))) for i in range(200)]
+    family = [f"f{j}" for j in range(400)]
+    docs += [(1000 + i, " ".join(family[:i % 8] + family[i % 8 + 1:])) for i in range(100)]
+    want = {i: i for i, _ in docs[:200]} | {1000 + i: 1000 for i in range(100)}
+    assert _jaccard_pairs(spark, docs) == want
+    assert _jaccard_pairs(spark, docs, bucket=8, block_rows=5) == want      # stars and blocks
+
+
+def test_window_plan_moves_ids_once(spark):
+    """Windows inside a document need no shuffle, and none of D1's exchanges carries ids."""
+    rnd = __import__("random").Random(2)
+    rows = [(i, [rnd.randrange(50) for _ in range(rnd.choice([0, 1, 5, 90]))]) for i in range(60)]
+    tok = spark.createDataFrame(rows, "doc_id long, ids array<int>")
+    flat = [t for _, r in sorted(rows) for t in r]
+    for L, stride in [(8, 5), (4, 4), (100, 7)]:
+        got = {r.seq_id: (r.input_ids, r.target_ids) for r in S.sliding_windows(tok, L, stride).collect()}
+        assert got == {k: (flat[i:i + L], flat[i + 1:i + L + 1])
+                       for k, i in enumerate(range(0, len(flat) - L, stride))}
+
+
+def test_embedding_lookup_raises_on_unknown_id(spark):
+    tok = spark.createDataFrame([(1, [0, 1, 0])], "doc_id long, ids array<long>")
+    emb = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<double>")
+    assert V.embedding_lookup(tok, emb).count() == 3
+    with pytest.raises(Exception, match="not in the table"):
+        V.embedding_lookup(tok, emb.where("vec_id = 0")).collect()
+
+
+def test_lcs_length():
+    from corpuslake.operators.evaluate import _lcs_len
+    import random
+    rnd = random.Random(1)
+    for _ in range(100):
+        a, b = ([rnd.choice("abcd") for _ in range(rnd.randrange(12))] for _ in range(2))
+        t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                t[i + 1][j + 1] = t[i][j] + 1 if x == y else max(t[i][j + 1], t[i + 1][j])
+        assert _lcs_len(a, b) == t[-1][-1]
+
+
+def test_logreg_equals_newton(spark):
+    """The Spark fit on the term table against Newton's method on the same matrix."""
+    import numpy as np
+    from corpuslake.operators import evaluate as E
+    rnd = np.random.default_rng(4)
+    texts = [" ".join(rnd.choice([f"tt{i}" for i in range(30)], size=20)) for _ in range(80)]
+    y = [int("tt1" in t.split()) for t in texts]
+    df = spark.createDataFrame([(i, t, y[i], "train") for i, t in enumerate(texts)] + [(99, None, 0, "val")],
+                               "doc_id long, text string, label int, split string")
+    model, pred = E.logreg(df)
+    assert pred.count() == 81
+    vocab = sorted({w for t in texts for w in t.split()})
+    x = np.array([[t.split().count(w) for w in vocab] + [1] for t in texts], float)
+    w, ridge = np.zeros(len(vocab) + 1), np.diag([1.0] * len(vocab) + [0.0])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-x @ w))
+        w -= np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge, x.T @ (p - y) + ridge @ w)
+    assert np.allclose(model.coefficients.toArray(), w[:-1], atol=2e-3) and abs(model.intercept - w[-1]) < 5e-3
+
+
+def test_checkpoint_folder_is_required_on_clusters():
+    from corpuslake import session
+
+    class Context:
+        master = "yarn"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Conf:
+        get = staticmethod(lambda k, d=None: d)
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    for m in ("yarn", "spark://h:7077", "local-cluster[3,2,1024]", "k8s://h"):
+        Context.master = m
+        with pytest.raises(ValueError):
+            session.ensure_checkpoint_dir(Session())

@@ -6,7 +6,7 @@ from corpuslake.functions import fixed
 from corpuslake.functions import text as X
 
 EDGES = ["", "x", "   ", "   ", "a\r\nb", "a\tb", "    word", "😀 é",
-         "a\x1cb", "sep <|endoftext|> inside", "a--b---c", "x\n \n\n\t\ny", "Ünïcödé  text",
+         "a\x1cb", "mark \ue001 and. \ue002 x! y", "a-b -- c- --- -d -", "sep <|endoftext|> inside", "a--b---c", "x\n \n\n\t\ny", "Ünïcödé  text",
          "*** START OF THIS PROJECT GUTENBERG EBOOK X ***\nbody\n*** END OF THIS PROJECT GUTENBERG",
          "*END*THE SMALL PRINT no newline", "End of Project Gutenberg first *** START OF THE PROJECT GUTENBERG\nz"]
 
@@ -56,6 +56,18 @@ def test_split_specials_roundtrip(spark):
         ("a", False), ("<|endoftext|>", True), ("b", False), ("<|fim_prefix|>", True), ("<|endoftext|>", True)]
 
 
+def test_private_use_characters_survive(spark):
+    from corpuslake.operators import clean
+    t = "One \ue001 two.  Three\ue002! four<|endoftext|>\ue001<|fim_prefix|>x"
+    df = spark.createDataFrame([(1, t)], "doc_id long, text string")
+    p = df.select(X.split_specials("text", list(fixed.GPT4_SPECIAL_TOKENS)).alias("p")).first().p
+    assert "".join(x.s for x in p) == t and [x.is_special for x in p] == [False, True, False, True, False]
+    s = df.select(clean.sentence_pieces("text").alias("s")).first().s
+    assert s == ["One \ue001 two.", "Three\ue002!", "four<|endoftext|>\ue001<|fim_prefix|>x"]
+    same = clean.augment_sentence_shuffle(df).first().text
+    assert sorted(same.replace(" ", "")) == sorted(t.replace(" ", ""))
+
+
 def test_extract_response(spark):
     df = spark.createDataFrame([("PROMPT\n\n### Response:\n  answer ### Response: x \n", "PROMPT")],
                                "g string, p string")
