@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.clean import connected_components
+from ..operators.linkage import candidate_groups, verified_components
 from ..session import write_table
 from . import kernels as K
 
@@ -121,72 +121,6 @@ def signatures(docs: DataFrame, text_col: str, id_col: str, k: int, bands: int,
     return out.withColumn("fp", F.when(F.col("id").isNotNull(), F.col("fp")))
 
 
-def _forest(n: int, linked) -> list[tuple[int, int]]:
-    """Spanning forest by breadth-first search; ``linked(i, rest)`` masks ``rest``."""
-    rest, edges = np.arange(n), []
-    while len(rest):
-        queue, rest = [int(rest[0])], rest[1:]
-        while queue and len(rest):
-            i = queue.pop()
-            hit = linked(i, rest)
-            found = rest[hit]
-            edges += [(i, int(x)) for x in found]
-            queue += found.tolist()
-            rest = rest[~hit]
-    return edges
-
-
-def bucket_edges(members: DataFrame, agree: int, width: int) -> DataFrame:
-    """Forest of the pairs of a bucket whose signatures agree in ``agree`` slots."""
-
-    def run(pdf):
-        sig = np.frombuffer(b"".join(pdf["sig"]), np.uint16).reshape(-1, width)
-        ids = pdf["rep"].to_numpy()
-        e = _forest(len(ids), lambda i, rest: (sig[rest] == sig[i]).sum(axis=1) >= agree)
-        return pdf.head(0)[["rep"]].assign(dst=0) if not e else pdf.__class__(
-            {"src": [ids[a] for a, _ in e], "dst": [ids[b] for _, b in e]})
-
-    def typed(pdf):
-        out = run(pdf)
-        return out if "src" in out else pdf.__class__({"src": [], "dst": []}).astype("int64")
-
-    return members.groupBy("key").applyInPandas(typed, "src long, dst long")
-
-
-def verified_edges(blocks: DataFrame, percent: int) -> DataFrame:
-    """Forest of the pairs of a block whose sets overlap in ``percent`` of their union."""
-
-    def run(pdf):
-        sets = [np.frombuffer(s, np.uint64) for s in pdf["codes"]]
-        size = np.array([len(s) for s in sets])
-        ids = pdf["id"].to_numpy()
-        _, code = np.unique(np.concatenate(sets), return_inverse=True)
-        shared = np.bincount(code)[code] > 1                      # others match nothing
-        bounds = np.concatenate([[0], np.cumsum(size)])
-        kept = np.concatenate([[0], np.cumsum(shared)])[bounds]
-        code, own = code[shared], np.diff(kept)
-        mark = np.zeros(code.max() + 1 if len(code) else 1, np.int64)
-        state = {"left": None}
-
-        def linked(i, rest):
-            if state["left"] is None or len(rest) * 2 <= len(state["left"][0]):
-                state["left"] = (rest, np.concatenate(
-                    [code[kept[r]:kept[r + 1]] for r in rest]), np.concatenate(
-                    [[0], np.cumsum(own[rest])]))
-            have, flat, at = state["left"]
-            mark[code[kept[i]:kept[i + 1]]] = 1
-            total = np.concatenate([[0], np.cumsum(mark[flat])])
-            mark[code[kept[i]:kept[i + 1]]] = 0
-            both = (total[at[1:]] - total[at[:-1]])[np.searchsorted(have, rest)]
-            return 100 * both >= percent * (size[i] + size[rest] - both)
-
-        e = _forest(len(ids), linked)
-        return pdf.__class__({"src": [ids[a] for a, _ in e], "dst": [ids[b] for _, b in e]},
-                             dtype="int64")
-
-    return blocks.groupBy("grp", "bi", "bj").applyInPandas(run, "src long, dst long")
-
-
 def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", k: int = 5,
                     percent: int = 80) -> DataFrame:
     """``(id_col, n_shingles, component_id, kept)``, one row per input row.
@@ -199,25 +133,13 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     sigs = write_table(signatures(docs, text_col, id_col, k, bands, rows), "superminhash")
     reps = sigs.where("fp is not null").groupBy("fp").agg(F.min("id").alias("rep"))
 
-    # buckets with several members, one of each membership
     own = sigs.where("fp is not null").join(reps, "fp").where("id = rep") \
         .select("rep", "bands").dropDuplicates(["rep"])
     cells = own.select("rep", F.posexplode("bands").alias("band", "h")) \
         .select("rep", F.xxhash64("band", "h").alias("key"))
-    buckets = cells.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"), F.min("rep").alias("lead"),
-        F.expr("bit_xor(xxhash64(rep))").alias("x")).where("n > 1")
-    buckets = write_table(buckets.groupBy("n", "lead", "x").agg(F.min("key").alias("key")),
-                          "buckets")
-    members = write_table(cells.join(buckets.select("key", "n", "lead"), "key"), "members")
-    small = members.where(F.col("n") <= BUCKET).select("key", "rep")
     sig = sigs.select(F.col("id").alias("rep"), "sig").dropDuplicates(["rep"])
     agree = math.floor(m * (t - 5 * math.sqrt(t * (1 - t) / m)))
-    edges = bucket_edges(small.join(sig, "rep"), agree, m).unionByName(
-        members.where((F.col("n") > BUCKET) & (F.col("rep") != F.col("lead")))
-        .select(F.col("lead").alias("src"), F.col("rep").alias("dst")))
-    groups = connected_components(write_table(edges.distinct(), "candidates")) \
-        .select(F.col("node").alias("id"), F.col("label").alias("grp"))
+    groups = candidate_groups(cells, sig, agree, m, BUCKET)
 
     # whole sets, once for each group or pair of its blocks
     hasher_k = k
@@ -235,19 +157,8 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     full = write_table(texts.join(groups, "id").select("id", "text", "grp")
                        .mapInArrow(sets, "id long, grp long, codes binary")
                        .dropDuplicates(["id"]), "shingle-sets")
-    need = full.groupBy("grp").agg(F.count(F.lit(1)).alias("n"),
-                                   F.sum(F.length("codes") / 8).alias("items"))
-    need = need.select("grp", F.ceil(F.greatest(F.col("n") / BLOCK_DOCS,
-                                                F.col("items") / BLOCK_ITEMS)).alias("nb"))
-    mine = F.pmod(F.xxhash64("id"), F.col("nb"))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("nb") - 1, F.lit(1))
-                                 .cast("long")))
-    blocks = full.join(need, "grp").withColumn("me", mine).withColumn("o", other) \
-        .where((F.col("nb") == 1) & (F.col("o") == 1) | (F.col("nb") > 1) & (F.col("o") != F.col("me"))) \
-        .select("id", "codes", "grp", F.least("me", "o").alias("bi"),
-                F.greatest("me", "o").alias("bj"))
-    links = write_table(verified_edges(blocks, percent).distinct(), "links")
-    classes = connected_components(links).select(F.col("node").alias("rep"), "label")
+    classes = verified_components(full, percent, BLOCK_DOCS, BLOCK_ITEMS) \
+        .select(F.col("node").alias("rep"), "label")
 
     head = reps.join(classes, "rep", "left") \
         .select("fp", F.coalesce("label", "rep").alias("component_id"))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.order import global_offsets
+from ..operators.order import partitioned_offsets
 from ..session import write_table
 
 _TYPES = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "array": list,
@@ -105,17 +105,11 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict) -> Data
     linked = write_table(one.join(lev, "call_id").join(res, "call_id", "left")
                          .withColumn("n_results", F.coalesce("n_results", F.lit(0))), "linked-calls")
 
-    # rank by (conversation, level, turn, id) over ranges, less the conversation's first rank
     conv = F.coalesce(F.col("conv_id").cast("double"), F.lit(-1.0))
-    most = (1 << 13) - 1
-    turn = F.greatest(F.least(F.coalesce(F.col("turn"), F.lit(0)), F.lit(most)), F.lit(0))
-    key = conv + (F.least(F.col("depth"), F.lit(most)) * (most + 1) + turn) / float(1 << 26)
     slim = linked.select("call_id", conv.alias("conv"), "depth",
-                         F.coalesce(F.col("turn"), F.lit(-1)).alias("turn"), key.alias("key"))
-    ranked = write_table(global_offsets(slim, ["conv", "depth", "turn", "call_id"], key=F.col("key"),
-                                        ordinal_col="rank").select("call_id", "conv", "rank"), "ranked-calls")
-    first = ranked.groupBy("conv").agg(F.min("rank").alias("rank0"))
-    ranked = ranked.join(first, "conv").select("call_id", (F.col("rank") - F.col("rank0")).alias("position"))
+                         F.coalesce(F.col("turn"), F.lit(-1)).alias("turn"))
+    ranked = partitioned_offsets(slim, "conv", ["depth", "turn", "call_id"], ordinal_col="position") \
+        .select("call_id", "position")
     rows = linked.join(ranked, "call_id").select(
         "conv_id", "turn", "call_id", "name", "arguments", "depends_on", "content", "n_calls", "n_results",
         "depth", "position", "state")
