@@ -13,6 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CHUNK_BYTES = 1 << 20
+SMALL_CHUNK = 1 << 18        # where many arrays of a chunk are alive together
 _GAMMA = 0x9E3779B97F4A7C15
 _BASE = 0xD6E8FEB86659FD93            # odd, so it has an inverse modulo 2**64
 

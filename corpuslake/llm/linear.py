@@ -118,7 +118,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", held_o
     def features(batches):
         f = Featurizer()
         for b in batches:
-            for lo, data, off in K.text_chunks(b.column(1)):
+            for lo, data, off in K.text_chunks(b.column(1), K.SMALL_CHUNK):
                 idx, x, at = f(data, off)
                 both = [pa.array([v[at[i]:at[i + 1]].tobytes() for i in range(len(at) - 1)], pa.binary())
                         for v in (idx, x)]
@@ -158,7 +158,7 @@ def classify(docs: DataFrame, labels: DataFrame, label_col: str = "quality", mod
     def run(batches):
         f, w = Featurizer(), shipped.value
         for b in batches:
-            for lo, data, off in K.text_chunks(b.column(1)):
+            for lo, data, off in K.text_chunks(b.column(1), K.SMALL_CHUNK):
                 idx, x, at = f(data, off)
                 total = np.concatenate([[0.0], np.cumsum(w[idx] * x, dtype=np.float64)])
                 dot = total[at[1:]] - total[at[:-1]]

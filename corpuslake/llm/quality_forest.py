@@ -119,7 +119,7 @@ def with_counts(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id")
     def run(batches):
         hasher = K.Hasher()
         for b in batches:
-            for lo, data, off in K.text_chunks(b.column(1)):
+            for lo, data, off in K.text_chunks(b.column(1), K.SMALL_CHUNK):
                 c = rule_counts(data, off, hasher)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(lo, len(off) - 1)] + [pa.array(c[:, i]) for i in range(c.shape[1])],
@@ -266,7 +266,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, text_col: str = "text",
         hasher, m = K.Hasher(), shipped.value
         for b in batches:
             keep = np.zeros(b.num_rows, bool)
-            for lo, data, off in K.text_chunks(b.column(at)):
+            for lo, data, off in K.text_chunks(b.column(at), K.SMALL_CHUNK):
                 c = rule_counts(data, off, hasher)
                 ok = ~base_failed(c)
                 if m.forest is not None:

@@ -176,7 +176,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out=None, text_col: str = "text
         hasher, n = K.Hasher(), np.zeros((3, 1 << BITS), np.int64)
         for b in batches:
             y = b.column(1).to_numpy(zero_copy_only=False)
-            for lo, data, off in K.text_chunks(b.column(0)):
+            for lo, data, off in K.text_chunks(b.column(0), K.SMALL_CHUNK):
                 bucket, _, _, doc = tokens(data, off, hasher)
                 n[2] += np.bincount(bucket[y[lo + doc] == 0], minlength=1 << BITS)
                 once = np.unique(doc * (1 << BITS) + bucket)
@@ -206,7 +206,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out=None, text_col: str = "text
         for b in batches:
             y = b.column(1).to_numpy(zero_copy_only=False)
             out = []
-            for lo, data, off in K.text_chunks(b.column(0)):
+            for lo, data, off in K.text_chunks(b.column(0), K.SMALL_CHUNK):
                 for d, (size, seg, _, _) in enumerate(model.segments(data, off, hasher)):
                     out.append((int(y[lo + d]), int(size), [s for _, _, s in seg]))
             if out:
@@ -240,7 +240,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, modulus: int = 5, held_r
     def run(batches):
         hasher, m = K.Hasher(), shipped.value
         for b in batches:
-            for lo, data, off in K.text_chunks(b.column(1)):
+            for lo, data, off in K.text_chunks(b.column(1), K.SMALL_CHUNK):
                 head = np.concatenate([[0], np.cumsum(K.code_points(data))])
                 scores, passages = [], []
                 for d, (n, seg, start, end) in enumerate(m.segments(data, off, hasher)):
