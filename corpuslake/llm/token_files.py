@@ -9,8 +9,8 @@ ascending id order. A task encodes its documents and writes one shard:
     footer: place of the index, documents, tokens, magic
 
 so one document is read by two small reads. The dictionary is trained on the
-serialised ids of a bounded sample (``SAMPLE_DOCS`` documents of at most
-``SAMPLE_CHARS`` characters, by hash), lies beside the shards, and is checked by
+serialised ids of a bounded sample (of ``SAMPLE_DOCS`` documents, by hash, those
+of at most ``SAMPLE_CHARS`` characters), lies beside the shards, and is checked by
 its hash on reading. Files go through pyarrow's file systems, to the folder in
 ``spark.checkpoint.dir``; each attempt of a task writes a file of its own, and
 only files named in the manifest, which Spark commits, are read.
@@ -156,7 +156,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, lower: bool,
                     [ids[at[i]:at[i + 1]].astype(f"<u{width}").tobytes() for i in range(len(at) - 1)],
                     pa.binary())], names=["ids"])
 
-    few = sample_by_hash(d.where(F.length("text").between(1, SAMPLE_CHARS)), "id", SAMPLE_DOCS)
+    few = sample_by_hash(d, "id", SAMPLE_DOCS).where(F.length("text").between(1, SAMPLE_CHARS))
     dictionary = train_dictionary([r["ids"] for r in few.mapInArrow(serialised, "ids binary").collect()])
     folder = scratch_path(spark, "token-files")
     fs, name = open_fs(folder)
