@@ -48,7 +48,7 @@ _SECRET = re.compile(r"(?:AKIA|ASIA)[A-Z0-9]{12,20}|(?:gh[pousr]_|sk-|xox[abp]-)
                      r"|(?<![0-9A-Za-z])(?=[A-Za-z]{0,63}[0-9])(?=[0-9]{0,63}[A-Za-z])[A-Za-z0-9+/]{20,64}={0,2}"
                      r"(?![0-9A-Za-z])")
 _PERSON = re.compile(r"\b(?:Mr|Mrs|Ms|Dr|Prof|Mme|Herr|Frau)\.? ([A-Z][\w'-]+(?: [A-Z][\w'-]+)?)")
-_TITLE = re.compile(rb"\b(?:Mr|Mrs|Ms|Dr|Prof|Mme|Herr|Frau)\.? [A-Z]")
+_TITLE = re.compile(rb"(?:Mr|Mrs|Ms|Dr|Prof|Mme|Herr|Frau)\.? [A-Z]")
 
 # gazetteers: endings of hosts, prefixes of keys, given names
 _ENDINGS = {"com", "org", "net", "edu", "gov", "info", "io", "de", "fr", "es", "uk", "it", "eu", "us",
