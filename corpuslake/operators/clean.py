@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import math
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -182,12 +182,12 @@ def split_sentences(df: DataFrame, text_col: str = "text", key: str = "doc_id")
 
 @F.arrow_udf(T.StringType())
 def _nfc(s: pa.Array) -> pa.Array:
-    return pc.utf8_normalize(s, "NFC")
+    # Arrow's own utf8_normalize leaves decomposed characters as they are
+    return pa.array([x if x is None else unicodedata.normalize("NFC", x) for x in s.to_pylist()], pa.string())
 
 
 def normalize_unicode(c: Column) -> Column:
-    """NFC normalization, whole Arrow batches at a time; ASCII rows (tested
-    in the JVM) pass as they are."""
+    """NFC normalization; ASCII rows (tested in the JVM) pass as they are."""
     return F.when(c.rlike(r"[^\x00-\x7F]"), _nfc(F.when(c.rlike(r"[^\x00-\x7F]"), c))).otherwise(c)
 
 
@@ -244,12 +244,16 @@ def _words_of(c) -> Column:
     return F.filter(F.split(F.lower(F.col(c)), fixed.WS + "+"), lambda w: F.length(w) > 0)
 
 
-def shingle_hashes(text_col: str, k: int) -> Column:
-    """Distinct hashes of the word k-shingles (one shingle when there are fewer words)."""
-    w = _words_of(text_col)
-    return F.array_distinct(F.when(F.size(w) < k, F.array(F.xxhash64(F.array_join(w, " ")))).otherwise(
+def with_shingles(df: DataFrame, text_col: str, k: int, out: str = "shingles") -> DataFrame:
+    """Adds the distinct hashes of the word k-shingles (one shingle when there are
+    fewer words) in place of the text. The words are a column of their own, so
+    that no shingle splits the text again."""
+    keep = [c for c in df.columns if c != text_col]
+    w = F.col("_w")
+    sh = F.when(F.size(w) < k, F.array(F.xxhash64(F.array_join(w, " ")))).otherwise(
         F.transform(F.sequence(F.lit(1), F.size(w) - k + 1),
-                    lambda i: F.xxhash64(F.array_join(F.slice(w, i, k), " ")))))
+                    lambda i: F.xxhash64(F.array_join(F.slice(w, i, k), " "))))
+    return df.select(*keep, _words_of(text_col).alias("_w")).select(*keep, F.array_distinct(sh).alias(out))
 
 
 def _min_hash(shingles: str, j: int) -> Column:
@@ -260,7 +264,7 @@ def _min_hash(shingles: str, j: int) -> Column:
 def minhash_signatures(df: DataFrame, text_col: str = "text", key: str = "doc_id",
                        k: int = 5, num_perm: int = 64) -> DataFrame:
     """``(key, shingles, sig)``: distinct word k-shingle hashes and min-hashes."""
-    d = df.select(key, shingle_hashes(text_col, k).alias("shingles"))
+    d = with_shingles(df.select(key, text_col), text_col, k)
     return d.select(key, "shingles", F.array(*[_min_hash("shingles", j) for j in range(num_perm)]).alias("sig"))
 
 
@@ -302,7 +306,7 @@ def near_dup_minhash(df: DataFrame, text_col: str = "text", key: str = "doc_id",
     m = bands * rows
     agree = math.floor(m * max(threshold - 5 * math.sqrt(threshold * (1 - threshold) / m), 0))
     groups = candidate_groups(cells, short, agree, m, bucket)
-    sets = d.join(groups, "id").select("id", "grp", shingle_hashes(text_col, k).alias("codes")) \
+    sets = with_shingles(d.join(groups, "id").select("id", "grp", text_col), text_col, k, "codes") \
         .mapInArrow(lambda it: _packed(it, 2, np.uint64), "id long, grp long, codes binary")
     labels = verified_components(write_table(sets, "shingles"), round(100 * threshold), block_rows, block_items)
     head = reps.join(labels.withColumnRenamed("node", "rep"), "rep", "left") \

@@ -27,10 +27,13 @@ def pairs_from_conversations(conv: DataFrame) -> DataFrame:
 
 def sft_collate(df: DataFrame, ids_col: str = "ids", batch_col: str = "batch_id",
                 pad: int = fixed.PAD_ID, ignore: int = fixed.IGNORE_INDEX,
-                max_len: int | None = None) -> DataFrame:
+                max_len: int | None = None, collate=None) -> DataFrame:
     """S3: per batch, M = longest + 1; append one pad and right-pad to M;
     input = all but last, target = shifted by one; in the target every pad
-    after the first pad becomes ``ignore``; then truncate both to max_len."""
+    after the first pad becomes ``ignore``; then truncate both to max_len.
+    ``collate`` (a function from rows to rows) takes the place of all this."""
+    if collate is not None:
+        return collate(df)
     w = Window.partitionBy(batch_col)
     m = F.max(F.size(ids_col)).over(w) + 1
     d = df.withColumn("_m", m)

@@ -57,8 +57,8 @@ FROM ex JOIN bl ON bl.vec_id = ex.id % (SELECT count(*) FROM bl) GROUP BY doc_id
 def g1_embedding_lookup(spark, sf):
     # the table has fewer rows than the vocabulary: ids are taken modulo its size
     emb = table(spark, sf, "embeddings")
-    n = emb.select(F.count(F.lit(1))).scalar()
-    tokens = _doc_ids(spark, sf).select("doc_id", F.transform("ids", lambda i: F.pmod(i, n)).alias("ids"))
+    tokens = _doc_ids(spark, sf).withColumn("_n", emb.select(F.count(F.lit(1))).scalar()) \
+        .select("doc_id", F.transform("ids", lambda i: F.pmod(i, F.col("_n"))).alias("ids"))
     look = V.embedding_lookup(tokens, emb)
     return look.groupBy("doc_id").agg(F.count(F.lit(1)).cast("long").alias("n_hit"),
                                       (F.round(F.sum(V.vsum(F.col("vec"))), 4) + F.lit(0.0)).alias("v_sum"))
