@@ -217,7 +217,7 @@ def _scan(docs: DataFrame, id_type: str, block) -> DataFrame:
     def run(batches):
         indexes = [PassageIndex(items, q) for q, items in sorted(raw.value.items())]
         for b in batches:
-            for lo, text, off in K.text_chunks(b.column(1)):
+            for lo, text, off in K.text_chunks(b.column(1), K.SMALL_CHUNK):
                 data, n, rows = fold(text), len(off) - 1, []
                 for ix in indexes:
                     for doc, item, start, end, edits in align(ix, data, off,
@@ -236,7 +236,7 @@ def _scan(docs: DataFrame, id_type: str, block) -> DataFrame:
                      pa.array([r[4] for r in rows], pa.int64())],
                     names=["id", "row", "item_id", "start", "end", "edits"])
 
-    return docs.mapInArrow(run, f"id {id_type}, row long, item_id long, start long, end long, edits long")
+    return docs.mapInArrow(K.tidy(run), f"id {id_type}, row long, item_id long, start long, end long, edits long")
 
 
 def find_passages(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
@@ -279,12 +279,12 @@ def contaminated_rows(batches_docs: DataFrame, benchmark: DataFrame, text_col: s
             indexes = [PassageIndex(items, q) for q, items in sorted(raw.value.items())]
             for b in batches:
                 clean = np.ones(b.num_rows, bool)
-                for lo, text, off in K.text_chunks(b.column(at)):
+                for lo, text, off in K.text_chunks(b.column(at), K.SMALL_CHUNK):
                     data = fold(text)
                     for ix in indexes:
                         for doc, *_ in align(ix, data, off, ix.regions(data, off)):
                             clean[lo + doc] = False
                 yield b.filter(pa.array(clean))
 
-        out = out.mapInArrow(run, schema)
+        out = out.mapInArrow(K.tidy(run), schema)
     return out

@@ -16,7 +16,7 @@ import numpy as np
 
 from . import kernels as K
 
-MAX_PIECES = 600_000          # of the look-up table of a task; it starts anew beyond
+MAX_PIECES = 400_000          # of the look-up table of a task; it starts anew beyond
 
 _LETTERS = K.byte_class(bytes(range(65, 91)) + bytes(range(97, 123)))
 _DIGITS = K.byte_class(b"0123456789")

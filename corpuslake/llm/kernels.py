@@ -8,6 +8,8 @@ Hashes are 64-bit, deterministic and the same on every machine.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -18,6 +20,26 @@ _GAMMA = 0x9E3779B97F4A7C15
 _BASE = 0xD6E8FEB86659FD93            # odd, so it has an inverse modulo 2**64
 
 
+def release() -> None:
+    """Gives freed memory back to the system: Python workers live on between
+    tasks, and what one stage needed would stay with them through all others."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):       # another C library: nothing to do
+        pass
+
+
+def tidy(run):
+    """``run`` over a task's batches, and :func:`release` when they are done."""
+
+    def stream(batches):
+        yield from run(batches)
+        release()
+
+    return stream
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser, element by element."""
     x = x.astype(np.uint64, copy=True)

@@ -138,9 +138,9 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", held_o
             [pa.array([len(got)], pa.int64()), pa.array([bias]), pa.array([at.tobytes()], pa.binary()),
              pa.array([w[at].astype("<f4").tobytes()], pa.binary())], names=["n", "bias", "at", "w"])
 
-    sparse = rows.select("id", "text", "y").mapInArrow(features, "id long, y int, idx binary, x binary")
+    sparse = rows.select("id", "text", "y").mapInArrow(K.tidy(features), "id long, y int, idx binary, x binary")
     models = sparse.repartition(SHARDS, F.pmod(F.xxhash64("id"), F.lit(SHARDS))) \
-        .mapInArrow(fit, "n long, bias double, at binary, w binary").collect()
+        .mapInArrow(K.tidy(fit), "n long, bias double, at binary, w binary").collect()
     weights, bias, total = np.zeros(1 << BITS), 0.0, sum(m["n"] for m in models)
     for m in models:
         weights[np.frombuffer(m["at"], np.int32)] += np.frombuffer(m["w"], "<f4") * (m["n"] / total)
@@ -167,6 +167,6 @@ def classify(docs: DataFrame, labels: DataFrame, label_col: str = "quality", mod
                                                  names=["id", "score"])
 
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    out = d.mapInArrow(run, "id long, score double")
+    out = d.mapInArrow(K.tidy(run), "id long, score double")
     return out.select(F.col("id").alias(id_col), (id_crc("id") % modulus == held_remainder).alias("held_out"),
                       "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

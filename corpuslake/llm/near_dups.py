@@ -80,7 +80,7 @@ def super_minhash(code: np.ndarray, bounds: np.ndarray, m: int) -> np.ndarray:
 
 
 def _shingled(column, k: int, hasher):
-    for lo, data, off in K.text_chunks(column):
+    for lo, data, off in K.text_chunks(column, K.SMALL_CHUNK):
         data = K.lower_ascii(data)
         start, end, doc = K.words(data, off)
         h = hasher.ranges(hasher.prefix(data), start, end)
@@ -117,7 +117,7 @@ def signatures(docs: DataFrame, text_col: str, id_col: str, k: int, bands: int,
                     names=["id", "n_shingles", "fp", "bands", "sig"])
 
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    out = d.mapInArrow(run, "id long, n_shingles long, fp binary, bands array<long>, sig binary")
+    out = d.mapInArrow(K.tidy(run), "id long, n_shingles long, fp binary, bands array<long>, sig binary")
     return out.withColumn("fp", F.when(F.col("id").isNotNull(), F.col("fp")))
 
 
@@ -155,7 +155,7 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
 
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     full = write_table(texts.join(groups, "id").select("id", "text", "grp")
-                       .mapInArrow(sets, "id long, grp long, codes binary")
+                       .mapInArrow(K.tidy(sets), "id long, grp long, codes binary")
                        .dropDuplicates(["id"]), "shingle-sets")
     classes = verified_components(full, percent, BLOCK_DOCS, BLOCK_ITEMS) \
         .select(F.col("node").alias("rep"), "label")

@@ -59,7 +59,7 @@ def token_pieces(docs: DataFrame, path: str, end_id: int, length: int, text_col:
                     names=["id", "piece", "start", "length", "ids_crc32"])
 
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return d.mapInArrow(run, "id long, piece int, start long, length long, ids_crc32 long") \
+    return d.mapInArrow(K.tidy(run), "id long, piece int, start long, length long, ids_crc32 long") \
         .withColumnRenamed("id", id_col)
 
 

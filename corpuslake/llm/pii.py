@@ -265,7 +265,7 @@ def extract(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") ->
 
     def run(batches):
         for b in batches:
-            for lo, data, off in K.text_chunks(b.column(1)):
+            for lo, data, off in K.text_chunks(b.column(1), K.SMALL_CHUNK):
                 n = len(off) - 1
                 base, cands = [""] * n, [[]] * n
                 for d in _suspects(data, off).tolist():
@@ -277,7 +277,7 @@ def extract(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") ->
                     names=["id", "base", "cands"])
 
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return d.mapInArrow(run, "id long, base string, cands array<long>")
+    return d.mapInArrow(K.tidy(run), "id long, base string, cands array<long>")
 
 
 def fit(extracted: DataFrame) -> np.ndarray:
@@ -320,7 +320,7 @@ def find_pii(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") ->
 
     schema = "id long, " + ", ".join(f"n_{k} long" for k in BASE) \
         + ", n_added long, base_sha256 string, spans string"
-    return ext.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return ext.mapInArrow(K.tidy(run), schema).withColumnRenamed("id", id_col)
 
 
 def mask(text: str, spans) -> str:
@@ -348,7 +348,7 @@ def redact(docs: DataFrame, text_col: str = "text", count_col: str | None = "n_c
         for b in batches:
             texts = b.column(at).to_pylist()
             changed = set()
-            for lo, data, off in K.text_chunks(b.column(at)):
+            for lo, data, off in K.text_chunks(b.column(at), K.SMALL_CHUNK):
                 for d in _suspects(data, off).tolist():
                     t = texts[lo + d]
                     spans = final_spans(base_spans(t), candidates(t), weights)
@@ -365,4 +365,4 @@ def redact(docs: DataFrame, text_col: str = "text", count_col: str | None = "n_c
                         b.schema.field(count_at).type)
             yield pa.RecordBatch.from_arrays(columns, schema=b.schema)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(K.tidy(run), schema)

@@ -126,7 +126,7 @@ def with_counts(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id")
                     names=[id_col] + COUNTS)
 
     d = docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).alias("_text"))
-    return d.mapInArrow(run, f"{id_col} long, " + ", ".join(f"{c} long" for c in COUNTS))
+    return d.mapInArrow(K.tidy(run), f"{id_col} long, " + ", ".join(f"{c} long" for c in COUNTS))
 
 
 def grow_tree(x: np.ndarray, rng: np.random.Generator, depth: int):
@@ -207,7 +207,7 @@ def with_score(counts: DataFrame, forest: Forest | None) -> DataFrame:
             yield pa.RecordBatch.from_arrays(list(b.columns) + [pa.array(base_failed(c)), pa.array(s)],
                                              names=b.schema.names + ["base_failed", "anomaly"])
 
-    return counts.mapInArrow(run, ", ".join(cols) + ", base_failed boolean, anomaly double")
+    return counts.mapInArrow(K.tidy(run), ", ".join(cols) + ", base_failed boolean, anomaly double")
 
 
 def calibrate(scored: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> float:
@@ -274,4 +274,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, text_col: str = "text",
                 keep[lo:lo + len(c)] = ok
             yield b.filter(pa.array(keep))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(K.tidy(run), docs.schema)

@@ -87,7 +87,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 4096, text_col: str =
                     names=["id", "n_bytes", "n_tokens"])
 
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return d.mapInArrow(run, "id long, n_bytes long, n_tokens long") \
+    return d.mapInArrow(K.tidy(run), "id long, n_bytes long, n_tokens long") \
         .select(F.col("id").alias(id_col), "n_bytes", "n_tokens",
                 (F.col("n_tokens") > limit).alias("over_limit"))
 

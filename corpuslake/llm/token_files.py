@@ -157,7 +157,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, lower: bool,
                     pa.binary())], names=["ids"])
 
     few = sample_by_hash(d, "id", SAMPLE_DOCS).where(F.length("text").between(1, SAMPLE_CHARS))
-    dictionary = train_dictionary([r["ids"] for r in few.mapInArrow(serialised, "ids binary").collect()])
+    dictionary = train_dictionary([r["ids"] for r in few.mapInArrow(K.tidy(serialised), "ids binary").collect()])
     folder = scratch_path(spark, "token-files")
     fs, name = open_fs(folder)
     fs.create_dir(name, recursive=True)
@@ -185,7 +185,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, lower: bool,
                 names=["shard", "path", "n_docs", "n_tokens"])
 
     dealt = d.repartitionByRange("id").sortWithinPartitions("id", "text")
-    manifest = dealt.mapInArrow(write, "shard long, path string, n_docs long, n_tokens long")
+    manifest = dealt.mapInArrow(K.tidy(write), "shard long, path string, n_docs long, n_tokens long")
     return folder, write_table(manifest, "token-manifest")
 
 
@@ -216,7 +216,7 @@ def read_token_files(spark: SparkSession, manifest: DataFrame, id_col: str = "do
     files = spark.createDataFrame(rows, "path string, start long")
     if len(rows) > 1:
         files = files.repartition(len(rows))
-    return files.mapInArrow(read, "id long, start long, n_tokens long, ids_crc32 long") \
+    return files.mapInArrow(K.tidy(read), "id long, start long, n_tokens long, ids_crc32 long") \
         .withColumnRenamed("id", id_col)
 
 

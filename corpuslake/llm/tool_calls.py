@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from ..operators.order import partitioned_offsets
 from ..session import write_table
+from . import kernels as K
 
 _TYPES = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "array": list,
           "object": dict}
@@ -138,7 +139,7 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict) -> Data
                 names=keep + ["valid", "errors", "json"])
 
     types = dict(rows.dtypes)
-    return rows.mapInArrow(run, f"conv_id {types['conv_id']}, turn {types['turn']}, call_id string, "
+    return rows.mapInArrow(K.tidy(run), f"conv_id {types['conv_id']}, turn {types['turn']}, call_id string, "
                            f"depth {types['depth']}, position long, n_calls long, n_results long, "
                            "valid boolean, errors string, json string")
 

@@ -189,7 +189,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out=None, text_col: str = "text
             yield pa.RecordBatch.from_arrays([pa.array(p), pa.array(n[0, p]), pa.array(n[1, p]), pa.array(n[2, p])],
                                              names=["bucket", "other", "toxic", "uses"])
 
-    counted = rows.mapInArrow(count, "bucket long, other long, toxic long, uses long").groupBy("bucket") \
+    counted = rows.mapInArrow(K.tidy(count), "bucket long, other long, toxic long, uses long").groupBy("bucket") \
         .agg(*[F.sum(c).alias(c) for c in ("other", "toxic", "uses")]).toArrow()
     n = np.zeros((3, 1 << BITS), np.int64)            # never more than 2**BITS rows
     at = counted.column("bucket").to_numpy()
@@ -214,7 +214,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out=None, text_col: str = "text
                     [pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()),
                      pa.array([o[2] for o in out], pa.list_(pa.float64()))], names=["y", "n", "s"])
 
-    found = rows.mapInArrow(best, "y long, n long, s array<double>").toArrow()    # the bounded sample
+    found = rows.mapInArrow(K.tidy(best), "y long, n long, s array<double>").toArrow()    # the bounded sample
     sample = list(zip(found.column("y").to_pylist(), found.column("n").to_pylist(),
                       found.column("s").to_pylist()))
     # texts without any positive token say their best segment is at most zero
@@ -254,7 +254,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, modulus: int = 5, held_r
                      pa.array(passages, pa.list_(pa.string()))], names=["id", "score", "passages"])
 
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    out = d.mapInArrow(run, "id long, score double, passages array<string>")
+    out = d.mapInArrow(K.tidy(run), "id long, score double, passages array<string>")
     return out.select(F.col("id").alias(id_col), (id_crc("id") % modulus == held_remainder).alias("held_out"),
                       "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
                       F.size("passages").cast("long").alias("n_passages"),
