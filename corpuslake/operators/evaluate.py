@@ -82,11 +82,11 @@ def majority_baseline(df: DataFrame, label: str = "label", split: str = "split",
 # ---------------------------------------------------------------- E4 logistic regression
 
 def logreg(df: DataFrame, text_col: str = "text", label: str = "label", split: str = "split",
-           C: float = 1.0, max_iter: int = 1000, train_name: str = "train"):
+           C: float = 1.0, max_iter: int = 1000, train_name: str = "train", tol: float = 1e-5):
     """Bag-of-words + L2 logistic regression (sklearn C mapped to Spark's
     regParam = 1 / (C n)); returns (model, predictions with ``pred``)."""
     f = term_vectors(df, text_col, split=split, train_name=train_name)
-    return fit_logreg(f, f.where(F.col(split) == train_name), label, C, max_iter)
+    return fit_logreg(f, f.where(F.col(split) == train_name), label, C, max_iter, tol)
 
 
 def term_vectors(df: DataFrame, text_col: str = "text", key: str = "doc_id", split: str = "split",
@@ -124,13 +124,16 @@ def term_vectors(df: DataFrame, text_col: str = "text", key: str = "doc_id", spl
 
 
 def fit_logreg(data: DataFrame, train: DataFrame, label: str = "label", C: float = 1.0,
-               max_iter: int = 1000):
-    """Logistic regression on :func:`term_vectors` rows; (model, ``data`` with ``pred``)."""
+               max_iter: int = 1000, tol: float = 1e-5):
+    """Logistic regression on :func:`term_vectors` rows; (model, ``data`` with ``pred``).
+
+    ``tol`` is the relative fall of the loss at which L-BFGS stops, every step
+    of which is a job; 1e-5 ends within a thousandth of the least loss."""
     from pyspark.ml.classification import LogisticRegression
 
     n = train.count()
     lr = LogisticRegression(featuresCol="features", labelCol="_y", regParam=1.0 / (C * max(n, 1)),
-                            elasticNetParam=0.0, standardization=False, maxIter=max_iter)
+                            elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=tol)
     model = lr.fit(train.withColumn("_y", F.col(label).cast("double")))
     pred = model.transform(data).withColumn("pred", F.col("prediction").cast("int")) \
         .drop("features", "rawPrediction", "probability", "prediction")
