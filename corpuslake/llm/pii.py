@@ -34,13 +34,16 @@ BASE = ["email", "ip", "card", "phone"]
 KINDS = BASE + ["secret", "person"]
 
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# for searching, in parts that read a run of their characters once, however long
+_LOCAL = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@")
+_HOST = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
+_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 
 # wide proposals
-_WIDE_EMAIL = re.compile(r"[A-Za-z0-9._%+-]+ ?(?:@|\(at\)|\[at\]) ?[A-Za-z0-9-]+"
+_WIDE_EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?(?:@|\(at\)|\[at\]) ?[A-Za-z0-9-]+"
                          r"(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]+)+")
 _WIDE_NUMBER = re.compile(r"[+(]?[0-9][0-9 ().-]{6,24}[0-9]")
 _SECRET = re.compile(r"(?:AKIA|ASIA)[A-Z0-9]{12,20}|(?:gh[pousr]_|sk-|xox[abp]-)[A-Za-z0-9-]{12,80}"
@@ -77,13 +80,29 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _emails(text: str):
+    """Leftmost, non-overlapping matches of ``_EMAIL``."""
+    free = 0
+    for m in _LOCAL.finditer(text):
+        start = max(m.start(), free)
+        host = _HOST.match(text, m.end()) if start < m.end() - 1 else None
+        if host:
+            free = host.end()
+            yield "email", start, free
+
+
+def _octet(digits: str) -> bool:
+    digits = digits.lstrip("0")
+    return len(digits) <= 3 and int(digits or "0") <= 255
+
+
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """The contract's spans, kind after kind, each in order of place."""
     out = []
     if "@" in text:
-        out += [("email", m.start(), m.end()) for m in _EMAIL.finditer(text)]
+        out += _emails(text)
     for m in _IP.finditer(text) if "." in text else ():
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        if all(map(_octet, m[0].split("."))):
             out.append(("ip", m.start(), m.end()))
     for m in _CARD.finditer(text):
         d = m[0].replace(" ", "").replace("-", "")

@@ -1,17 +1,19 @@
 """Queries of the pipeline operators: thin calls over whole tables.
 
-None has an oracle: forests, classifiers, tokenizers, exact similarity classes
-and alignments are held against brute force and held-out labels in tests/llm.
+Tool calls and exact similarity classes have an oracle in SQL; forests,
+classifiers, tokenizers and alignments are held against brute force and held-out
+labels in tests/llm.
 """
 
 from __future__ import annotations
 
-from . import decontaminate, linear, packing, pii, quality_forest, token_counts, token_files, tool_calls, toxicity
+from . import decontaminate, linear, oracles, packing, pii, quality_forest, token_counts, token_files, tool_calls
+from . import toxicity
 from .common import table
 from .near_dups import near_duplicates
 
 QUERIES: dict = {}
-ORACLE: dict = {}
+ORACLE = {"op4_tool_calls": oracles.TOOL_CALLS, "op5_superminhash": oracles.NEAR_DUPLICATES}
 
 
 def query(fn):

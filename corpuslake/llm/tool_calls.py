@@ -106,7 +106,8 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict) -> Data
     linked = write_table(one.join(lev, "call_id").join(res, "call_id", "left")
                          .withColumn("n_results", F.coalesce("n_results", F.lit(0))), "linked-calls")
 
-    conv = F.coalesce(F.col("conv_id").cast("double"), F.lit(-1.0))
+    # any type of id, and no id that the null conversation could be mistaken for
+    conv = F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit(""))
     slim = linked.select("call_id", conv.alias("conv"), "depth",
                          F.coalesce(F.col("turn"), F.lit(-1)).alias("turn"))
     ranked = partitioned_offsets(slim, "conv", ["depth", "turn", "call_id"], ordinal_col="position") \
@@ -159,13 +160,13 @@ SCHEMAS = {
 def from_conversations(conv: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results that a conversation's turns stand for.
 
-    A user turn calls a tool chosen by its text's checksum and depends on the
-    user turn two before; the assistant's next turn is the result.
+    A user turn calls a tool chosen by its text's md5 and depends on the user
+    turn two before; the assistant's next turn is the result.
     """
     text = F.coalesce("text", F.lit(""))
     ident = lambda t: F.concat(F.lit("call_"), F.col("conv_id").cast("string"), F.lit("_"), t.cast("string"))
     n_words = F.size(F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != ""))
-    pick = F.crc32(text.cast("binary")) % 3
+    pick = F.ascii(F.md5(text.cast("binary"))) % 3
     args = F.when(pick == 0, F.to_json(F.struct(text.alias("query"), n_words.alias("limit")))) \
         .when(pick == 1, F.to_json(F.struct(text.alias("text"), F.element_at(
             F.array(*map(F.lit, ["de", "en", "es", "fr", "xx"])), (F.length(text) % 5 + 1).cast("int")).alias("to")))) \

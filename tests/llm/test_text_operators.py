@@ -120,6 +120,19 @@ def test_pii(spark, texts):
     assert masked[len(texts) + 1].n_chars == len(masked[len(texts) + 1].text) and masked[5].n_chars == 0
 
 
+def test_base_spans_equal_the_patterns():
+    """Random strings of the patterns' own characters, and runs too long for backtracking."""
+    rng = random.Random(3)
+    for n in range(6000):
+        t = "".join(rng.choice("a1.@-+ 9(" if n % 2 else "12.05 @a") for _ in range(rng.randrange(1, 40)))
+        assert pii.base_spans(t) == brute_base(t), t
+    for t in ("a" * 300_000 + " b@c.de", "1" * 300_000 + " 1.2.3.4", "0" * 9000 + ".1.2.3", "1." * 150_000,
+              "a@" * 150_000, "+1" * 150_000, "4 " * 150_000, "(" * 300_000 + "@", "f" * 300_000 + "1"):
+        pii.candidates(t)
+        assert len(pii.base_spans(t)) <= 150_000 // 4
+    assert pii.base_spans("a" * 300_000 + " b@c.de")[0] == ("email", 300_001, 300_007)
+
+
 def test_suspects_miss_nothing():
     t = PII + [x or "" for x in ODD]
     for _, data, off in K.text_chunks(pa.array(t)):
