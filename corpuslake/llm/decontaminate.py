@@ -19,7 +19,7 @@ shipped index is thereby bounded, whatever the benchmark's), every block
 against all documents.
 
 Defined results: null and empty texts and passages match nothing; repeated
-rows are matched each for itself; a document holding a passage more than once
+rows and passages without an id are matched like any other; a document holding a passage more than once
 gives one row, its best place.
 """
 
@@ -50,7 +50,7 @@ class PassageIndex:
 
     def __init__(self, items: list[tuple[int, np.ndarray]], q: int):
         self.q, self.hasher = q, K.Hasher()
-        self.ids = np.array([i for i, _ in items], np.int64)
+        self.ids = [i for i, _ in items]              # may hold nulls
         self.texts = [t for _, t in items]
         self.size = np.array([len(t) for t in self.texts], np.int64)
         self.k = np.array([budget(len(t), q) for t in self.texts], np.int64)
@@ -222,7 +222,7 @@ def _scan(docs: DataFrame, id_type: str, block) -> DataFrame:
                 for ix in indexes:
                     for doc, item, start, end, edits in align(ix, data, off,
                                                               ix.regions(data, off)):
-                        rows.append((doc, int(ix.ids[item]), int(start), int(end), edits))
+                        rows.append((doc, ix.ids[item], int(start), int(end), edits))
                 if not rows:
                     continue
                 head = np.concatenate([[0], np.cumsum(K.code_points(text))])
