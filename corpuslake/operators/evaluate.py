@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import fixed
 from ..functions.text import word_split
 from ..session import cut_lineage, scratch_path, write_table
-from .order import global_offsets, with_ordinal
+from .order import global_offsets, partitioned_offsets, with_ordinal
 
 TERM_PATTERN = "[" + fixed.WORD_CHARS + "]{2,}"     # runs of >= 2 word characters
 
@@ -292,32 +292,48 @@ def cross_entropy(logprobs: DataFrame, batch_col: str = "batch_id", target_col:
 
 # ---------------------------------------------------------------- E10 / E11 sampling filters
 
+def _beside(d: DataFrame, stats: DataFrame, seq: str) -> DataFrame:
+    """``d`` with the columns of ``stats`` (one row per sequence). A join, which
+    splits a hot sequence over tasks where a window would not."""
+    s = stats.withColumnRenamed(seq, "_seq")
+    return d.join(s, F.col(seq).eqNullSafe(F.col("_seq"))).drop("_seq")
+
+
 def next_token_candidates(scores: DataFrame, top_k: int | None = None, temperature: float = 1.0,
                           seq: str = "seq", token: str = "token", logit: str = "logit") -> DataFrame:
     """Keep logits >= the k-th largest (ties kept), divide by T,
-    softmax per sequence. T = 0 keeps the argmax (lowest token on ties)."""
-    w = Window.partitionBy(seq)
-    d = scores
+    softmax per sequence. T = 0 keeps the argmax (lowest token on ties).
+
+    The k-th largest comes from running counts over the distinct logits, maxima
+    and sums from aggregates, so no sequence is gathered in one task.
+    """
+    d = write_table(scores.select(seq, token, logit), "scores")
     if top_k is not None:
-        d = d.withColumn("_rk", F.rank().over(w.orderBy(F.desc(logit))))
-        d = d.where(F.col("_rk") <= top_k).drop("_rk")
+        values = d.groupBy(seq, logit).agg(F.count(F.lit(1)).alias("_n"))
+        above = partitioned_offsets(values, seq, [F.desc(logit)], "_n", offset_col="_above")
+        least = above.where(F.col("_above") < top_k).groupBy(seq).agg(F.min(logit).alias("_least"))
+        d = _beside(d, least, seq).where(F.col(logit) >= F.col("_least")).drop("_least")
     if temperature == 0:
         best = d.groupBy(seq).agg(F.min_by(token, F.struct(-F.col(logit), F.col(token))).alias(token))
         return best.withColumn("prob", F.lit(1.0))
-    z = F.col(logit) / F.lit(temperature)
-    d = d.withColumn("_z", z).withColumn("_z", F.col("_z") - F.max("_z").over(w))
-    return d.select(seq, token, (F.exp("_z") / F.sum(F.exp("_z")).over(w)).alias("prob"))
+    d = _beside(d, d.groupBy(seq).agg(F.max(logit).alias("_most")), seq)
+    d = d.select(seq, token, F.exp((F.col(logit) - F.col("_most")) / F.lit(temperature)).alias("_e"))
+    total = d.groupBy(seq).agg(F.sum("_e").alias("_total"))
+    return _beside(d, total, seq).select(seq, token, (F.col("_e") / F.col("_total")).alias("prob"))
 
 
 def nucleus_filter(probs: DataFrame, p: float, seq: str = "seq", token: str = "token",
                    prob: str = "prob") -> DataFrame:
     """Drop tokens once the cumulative probability before them exceeds
-    p (the most probable token is always kept); order ties by token."""
-    w = Window.partitionBy(seq).orderBy(F.desc(prob), token) \
-        .rowsBetween(Window.unboundedPreceding, -1)
+    p (the most probable token is always kept); order ties by token.
+
+    Running sums go over ranges of all rows, in decimals, so that many sequences
+    before one cost it no digits.
+    """
+    before = partitioned_offsets(probs, seq, [F.desc(prob), F.col(token)], F.col(prob).cast("decimal(28,18)"),
+                                 ordinal_col="_nth", offset_col="_before")
     # rounded so that sums equal to p up to float noise compare as equal
-    before = F.round(F.coalesce(F.sum(prob).over(w), F.lit(0.0)), 9)
-    return probs.withColumn("_before", before).where(F.col("_before") <= p).drop("_before")
+    return before.where(F.round(F.col("_before").cast("double"), 9) <= p).drop("_nth", "_before")
 
 
 def repetition_penalty(scores: DataFrame, history: DataFrame, r: float, seq: str = "seq",

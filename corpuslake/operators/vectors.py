@@ -81,13 +81,21 @@ def softmax_weights(scores: DataFrame, head_col: str | None = None) -> DataFrame
 
 
 def weighted_context(weights: DataFrame, v: DataFrame, head_col: str | None = None) -> DataFrame:
-    """``(block, q, ctx)`` with ``ctx = sum_k weight(q,k) * v_k``."""
+    """``(block, q, ctx)`` with ``ctx = sum_k weight(q,k) * v_k``.
+
+    A block's vectors are one row (bounded by the block size), a query's weights
+    another, so a vector is shuffled once and folded where they meet.
+    """
     keys = ["block"] + ([head_col] if head_col else [])
-    vals = v.select(*keys, F.col("pos").alias("k"), F.posexplode("vec").alias("dim", "x"))
-    j = weights.select(*keys, "q", "k", "weight").join(vals, keys + ["k"])
-    per_dim = j.groupBy(*keys, "q", "dim").agg(F.sum(F.col("weight") * F.col("x")).alias("c"))
-    g = per_dim.groupBy(*keys, "q").agg(F.sort_array(F.collect_list(F.struct("dim", "c"))).alias("_c"))
-    return g.select(*keys, "q", F.transform("_c", lambda s: s["c"]).alias("ctx"))
+    vecs = v.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("pos", "vec"))).alias("_v"))
+    per_q = weights.groupBy(*keys, "q").agg(
+        F.sort_array(F.collect_list(F.struct("k", "weight"))).alias("_w"))
+    j = per_q.join(vecs, keys).withColumn("_w", F.filter(
+        "_w", lambda w: F.map_contains_key("_v", w["k"]))).where(F.size("_w") > 0)
+    zero = F.transform(F.element_at("_v", F.element_at("_w", 1)["k"]), lambda x: F.lit(0.0))
+    ctx = F.aggregate("_w", zero, lambda acc, w: F.zip_with(
+        acc, F.element_at("_v", w["k"]), lambda a, x: a + w["weight"] * x))
+    return j.select(*keys, "q", ctx.alias("ctx"))
 
 
 def attention(v: DataFrame, causal: bool = False, window: int | None = None,

@@ -46,7 +46,7 @@ def i3_stream_dedup(spark, sf):
 SELECT date_trunc('day', ts) AS window_start, event_type, count(*)::BIGINT AS n,
        round(avg(value), 6) AS mean_value FROM events GROUP BY 1, 2""")
 def i4_stream_metrics(spark, sf):
-    out = ST.run_available(ST.stream_metrics(_events(spark, sf)), "i4", mode="complete")
+    out = ST.run_available(ST.stream_metrics(_events(spark, sf)), "i4", mode="update", keys=["w", "event_type"])
     return out.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "event_type",
                       F.col("n").cast("long"), F.round("mean_value", 6).alias("mean_value"))
 

@@ -2,14 +2,14 @@
 
 Sources are file streams (``readStream.parquet`` on a folder, optionally a
 file-name glob). Sinks and checkpoints live under the shared checkpoint
-folder of the session, so a restarted job resumes where it stopped.
+folder of the session; a job given the folder of an earlier run goes on from it.
 ``run_available`` drives a query with ``trigger(availableNow=True)`` and
 returns the written result as a batch DataFrame.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,27 +39,39 @@ def read_stream(spark: SparkSession, folder: str, schema: T.StructType, glob: st
 
 
 def event_time(df: DataFrame, ts: str = "ts", out: str = "event_ts") -> DataFrame:
-    """Watermarks need TIMESTAMP; NTZ values are read as UTC."""
+    """Watermarks accept TIMESTAMP only; local times are read in the session's
+    zone, which :func:`get_spark` sets to UTC (others have clock changes)."""
     return df.withColumn(out, F.col(ts).cast("timestamp"))
 
 
-def run_available(df: DataFrame, name: str, mode: str = "append", foreach_batch=None) -> DataFrame:
+def run_available(df: DataFrame, name: str, mode: str = "append", each=None, keys=None,
+                  folder: str | None = None) -> DataFrame:
     """Run a streaming DataFrame over everything available, write it as
-    Parquet under the shared checkpoint folder, return the batch result."""
+    Parquet and return the batch result.
+
+    ``folder`` holds the result and the checkpoint: a later run with the same one
+    goes on where this one ended (a fresh one in the shared checkpoint folder
+    otherwise). ``each(batch)`` is applied to every micro-batch. Micro-batches
+    are written to folders of their number, so one that is retried replaces
+    itself. In ``update`` mode the result is the last row of each of ``keys``.
+    """
     spark = df.sparkSession
-    out = scratch_path(spark, f"{name}-out")
-    ckpt = scratch_path(spark, f"{name}-ckpt")
-    w = df.writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True)
-    if foreach_batch is not None:
-        q = w.foreachBatch(lambda b, i: foreach_batch(b, i, out)).outputMode(mode).start()
-    elif mode == "append":
+    folder = folder or scratch_path(spark, name)
+    out, w = f"{folder}/out", df.writeStream.option("checkpointLocation", f"{folder}/checkpoint") \
+        .trigger(availableNow=True)
+    if mode == "append" and each is None:
         q = w.format("parquet").option("path", out).outputMode("append").start()
     else:
         def write(b, i):
-            b.write.mode("overwrite").parquet(out)
+            b = b if each is None else each(b)
+            b.write.mode("overwrite").parquet(out if mode == "complete" else f"{out}/batch={i}")
         q = w.foreachBatch(write).outputMode(mode).start()
     q.awaitTermination()
-    return spark.read.parquet(out)
+    done = spark.read.parquet(out)
+    if mode != "update":
+        return done
+    rest = [c for c in done.columns if c not in keys and c != "batch"]
+    return done.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("_r")).select(*keys, "_r.*")
 
 
 # ---------------------------------------------------------------- I1
@@ -72,17 +84,24 @@ def stream_clean(docs: DataFrame, threshold: float = 0.9) -> DataFrame:
 
 # ---------------------------------------------------------------- I2
 
-def stream_encode(docs: DataFrame, merges: DataFrame, name: str = "encode") -> DataFrame:
+def stream_encode(docs: DataFrame, merges: DataFrame, name: str = "encode",
+                  folder: str | None = None) -> DataFrame:
     """Each arriving document -> token ids and count (BPE per micro-batch);
-    returns the token table written by all micro-batches."""
+    returns the token table ``(doc_id, ids, n_tokens, batch)`` of all micro-batches."""
     from ..operators import bpe
     rows = bpe._merge_rows(merges)
 
-    def per_batch(b, i, out):
+    def each(b):
         enc = bpe.encode_bpe(b.select("doc_id", "text"), None, keep=["doc_id"], merge_rows=rows)
-        enc.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.lit(i).alias("batch")) \
-            .write.mode("append").parquet(out)
-    return run_available(docs, name, "append", foreach_batch=per_batch)
+        return enc.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"))
+    return run_available(docs, name, each=each, folder=folder)
+
+
+def running_totals(tokens: DataFrame) -> DataFrame:
+    """Documents and tokens seen up to and including every micro-batch."""
+    w = Window.orderBy("batch").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    per = tokens.groupBy("batch").agg(F.count(F.lit(1)).alias("n"), F.sum("n_tokens").alias("t"))
+    return per.select("batch", F.sum("n").over(w).alias("docs_seen"), F.sum("t").over(w).alias("tokens_seen"))
 
 
 # ---------------------------------------------------------------- I3
