@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from .functions import fixed
 from .operators import bpe
+from .operators.bpe import _decode_batches, _encode_batches     # by name: tasks get these two, not the module
 
 _TOKENIZERS: dict[str, tuple[Callable[[DataFrame], DataFrame], Callable[[DataFrame], DataFrame]]] = {}
 
@@ -47,12 +48,12 @@ def register_sql(spark: SparkSession, merges: DataFrame, prefix: str = "bpe",
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def encode(chunks: pa.Array) -> pa.Array:
         rb = pa.RecordBatch.from_arrays([chunks], names=["c"])
-        return next(bpe._encode_batches([rb], rules, None, "c", [], "ids")).column(0)
+        return next(_encode_batches([rb], rules, None, "c", [], "ids")).column(0)
 
     @F.arrow_udf(T.StringType())
     def decode(ids: pa.Array) -> pa.Array:
         rb = pa.RecordBatch.from_arrays([ids], names=["i"])
-        raw = next(bpe._decode_batches([rb], vocab, "i", [], "b")).column(0)
+        raw = next(_decode_batches([rb], vocab, "i", [], "b")).column(0)
         return pa.array([b.decode("utf-8", "replace") for b in raw.to_pylist()], pa.string())
 
     literal = pattern.replace("\\", "\\\\").replace("'", "\\'")

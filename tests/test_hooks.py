@@ -22,6 +22,7 @@ def test_register_tokenizer(spark):
 def test_sql_functions(spark):
     docs = spark.createDataFrame([(1, "it's a test, it's é"), (2, ""), (3, "the  the")], "doc_id long, text string")
     merges = bpe.train_bpe(docs, 256 + 6)
+    bpe.render_vocab(bpe.build_vocab(merges), merges).collect()       # a used function holds a JVM object
     hooks.register_sql(spark, merges, "hook")
     docs.createOrReplaceTempView("hook_docs")
     rows = spark.sql("SELECT doc_id, text, hook_encode(hook_split(text)) AS ids, "
