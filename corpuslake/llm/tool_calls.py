@@ -102,19 +102,16 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict) -> Data
     one = write_table(one, "calls")
     res = results.where("call_id is not null").groupBy("call_id").agg(
         F.min("content").alias("content"), F.count(F.lit(1)).alias("n_results"))
-    lev = levels(one.select("call_id", "depends_on"))
-    linked = write_table(one.join(lev, "call_id").join(res, "call_id", "left")
-                         .withColumn("n_results", F.coalesce("n_results", F.lit(0))), "linked-calls")
-
     # any type of id, and no id that the null conversation could be mistaken for
     conv = F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit(""))
-    slim = linked.select("call_id", conv.alias("conv"), "depth",
-                         F.coalesce(F.col("turn"), F.lit(-1)).alias("turn"))
-    ranked = partitioned_offsets(slim, "conv", ["depth", "turn", "call_id"], ordinal_col="position") \
-        .select("call_id", "position")
-    rows = linked.join(ranked, "call_id").select(
-        "conv_id", "turn", "call_id", "name", "arguments", "depends_on", "content", "n_calls", "n_results",
-        "depth", "position", "state")
+    # levels and positions move ids alone; arguments and contents meet them once
+    slim = one.select("call_id", conv.alias("conv"), F.coalesce(F.col("turn"), F.lit(-1)).alias("_turn")) \
+        .join(levels(one.select("call_id", "depends_on")), "call_id")
+    place = partitioned_offsets(slim, "conv", ["depth", "_turn", "call_id"], ordinal_col="position") \
+        .select("call_id", "depth", "state", "position")
+    rows = one.join(place, "call_id").join(res, "call_id", "left").select(
+        "conv_id", "turn", "call_id", "name", "arguments", "depends_on", "content", "n_calls",
+        F.coalesce("n_results", F.lit(0)).alias("n_results"), "depth", "position", "state")
 
     def run(batches):
         for b in batches:
