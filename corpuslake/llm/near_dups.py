@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.linkage import candidate_groups, verified_components
+from ..operators.linkage import banding, candidate_groups, verified_components
 from ..session import write_table
 from . import kernels as K
 
@@ -43,11 +43,6 @@ BLOCK_DOCS = 512       # documents, and
 BLOCK_ITEMS = 1 << 21  # shingles in one block of a group
 
 
-def banding(threshold: float) -> tuple[int, int]:
-    """``(bands, rows)`` that miss fewer than one in a million links at the threshold."""
-    return (25, 5) if threshold >= 0.85 else (32, 4)
-
-
 def super_minhash(code: np.ndarray, bounds: np.ndarray, m: int) -> np.ndarray:
     """Signatures (documents x ``m`` 64-bit values) of the given sets.
 

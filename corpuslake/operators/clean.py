@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from ..functions import fixed
 from ..functions.text import join_ordered
 from ..session import write_table
-from .linkage import candidate_groups, connected_components, verified_components  # noqa: F401
+from .linkage import banding, candidate_groups, connected_components, verified_components  # noqa: F401
 from .order import global_offsets, with_ordinal
 
 
@@ -281,7 +281,7 @@ def _packed(it, col: int, dtype):
 
 
 def near_dup_minhash(df: DataFrame, text_col: str = "text", key: str = "doc_id",
-                     k: int = 5, bands: int = 16, rows: int = 4,
+                     k: int = 5, bands: int | None = None, rows: int | None = None,
                      threshold: float = 0.8, bucket: int = 1024, block_rows: int = 512,
                      block_items: int = 1 << 21) -> DataFrame:
     """MinHash-LSH near-duplicate groups; ``(key, component, keep)``.
@@ -289,10 +289,14 @@ def near_dup_minhash(df: DataFrame, text_col: str = "text", key: str = "doc_id",
     Equal shingle sets are one candidate. Candidates of a band bucket whose
     signatures agree enough form groups; inside a group every link is decided by
     the exact Jaccard of the whole shingle sets (:mod:`linkage`), so within LSH's
-    candidates no link is lost and none is guessed. ``component`` is the
-    smallest key of the class, ``keep`` marks it; a document without links is
-    its own component. Keys are integers and identify rows.
+    candidates no link is lost and none is guessed. Without ``bands`` and ``rows``
+    the banding is that of :func:`linkage.banding`: a link at the threshold shares
+    no band in fewer than one case in a million (4.7e-8 at 0.8), above it more
+    rarely. ``component`` is the smallest key of the class, ``keep`` marks it; a
+    document without links is its own component. Keys are integers and identify rows.
     """
+    if bands is None or rows is None:
+        bands, rows = banding(threshold)
     d = df.select(F.col(key).cast("long").alias("id"), text_col)
     sig = write_table(minhash_signatures(d, text_col, "id", k, bands * rows).select(
         "id", "sig", F.sha2(F.concat_ws(",", F.transform(F.array_sort("shingles"),

@@ -7,6 +7,8 @@ of any size are cut into blocks or linked as stars, which only widens groups.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +16,25 @@ from pyspark.sql import functions as F
 from ..session import write_table
 
 
+MISS = 1e-6            # links at the threshold that may share no band
+
+
+def banding(threshold: float) -> tuple[int, int]:
+    """``(bands, rows)`` that miss fewer than one in a million links at the threshold.
+
+    A pair of similarity ``t`` shares no band with probability
+    ``(1 - t**rows)**bands``: 4.7e-8 for 32 x 4 at 0.8, 4.3e-7 for 25 x 5 at 0.85.
+    Lower thresholds take fewer rows, and as many bands as the bound needs; those
+    below 0.06 would take more values than a signature has and are refused.
+    """
+    if threshold < 0.06:
+        raise ValueError(f"a threshold of {threshold} is too low for banding")
+    if threshold >= 0.8:
+        return (25, 5) if threshold >= 0.85 else (32, 4)
+    rows = 3 if threshold >= 0.7 else 2 if threshold >= 0.5 else 1
+    return math.ceil(math.log(MISS) / math.log1p(-threshold ** rows)), rows
+
+
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """``(node, label)`` for every node with an edge; ``label`` is the
     smallest node of its connected component.

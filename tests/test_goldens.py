@@ -325,6 +325,23 @@ def test_near_dup_finds_shifted_and_template_pairs(spark):
     assert _jaccard_pairs(spark, docs) == want
 
 
+def test_near_dup_links_that_few_bands_miss(spark):
+    """Pairs at the threshold itself that share none of 16 x 4 bands, found among 20,000 such pairs."""
+    from corpuslake.operators.linkage import banding
+    docs, want = [], {}
+    for p in (640, 1453, 2384, 7223):
+        for i, last in ((p, "w"), (p + 100_000, "v")):
+            docs.append((i, " ".join(f"p{p}{'w' if j < 36 else last}{j}" for j in range(40))))
+            want[i] = p
+    assert _jaccard_pairs(spark, docs) == want
+    assert _jaccard_pairs(spark, docs, bands=16, rows=4) == {i: i for i in want}
+    for t in (0.06, 0.3, 0.5, 0.69, 0.7, 0.8, 0.84, 0.85, 0.95):
+        bands, rows = banding(t)
+        assert (1 - t ** rows) ** bands < 1e-6 and bands * rows < 256
+    with pytest.raises(ValueError):
+        banding(0.05)
+
+
 def test_near_dup_bucket_with_a_third_of_the_rows(spark):
     docs = [(i, " ".join(f"u{i}x{j}" for j in range(30))) for i in range(200)]
     family = [f"f{j}" for j in range(400)]
