@@ -13,18 +13,27 @@ edits keeps at least ``L - q + 1 - k * q`` of its q-grams, on diagonals
    the whole passage decides each.
 
 The edit budget ``k`` is ``L // 20``, less where the bound would not be
-positive; passages shorter than ``Q`` must occur exactly. Passages are a stated
+positive; passages shorter than ``Q`` must occur exactly and as whole words.
+Passages are a stated
 query set: they are read in blocks of at most ``BLOCK_BYTES`` (the size of each
 shipped index is thereby bounded, whatever the benchmark's), every block
 against all documents.
 
-Defined results: null and empty texts and passages match nothing; repeated
+Defined results: null and empty texts and passages match nothing, and passages
+without a word are as empty ones: those of white space alone (Unicode's), whatever
+their length, and those shorter than ``Q`` bytes without a letter or digit. A
+passage shorter than ``Q`` bytes does not match inside a word: where it begins or
+ends with a letter, mark or digit, no other may stand beside it. Letters of
+scripts that put no blanks between words (Chinese, Japanese, Thai, Lao, Khmer,
+Burmese) are words of their own. Repeated
 rows and passages without an id are matched like any other; a document holding a passage more than once
 gives one row, its best place.
 """
 
 from __future__ import annotations
 
+import unicodedata
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -35,6 +44,8 @@ from . import kernels as K
 Q = 14
 BLOCK_BYTES = 4 << 20
 FAR = 1 << 20
+_NO_BLANKS = [(0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x4DBF),
+              (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF)]
 
 
 def fold(data: np.ndarray) -> np.ndarray:
@@ -45,6 +56,25 @@ def budget(length: int, q: int) -> int:
     return 0 if length < Q else min(length // 20, (length - q) // q)
 
 
+def joins(c: int) -> bool:
+    """Whether a word goes on beside this code point."""
+    return unicodedata.category(chr(min(c, 0x10FFFF)))[0] in "LMN" and not any(a <= c <= b for a, b in _NO_BLANKS)
+
+
+def _joined(data: np.ndarray, at: np.ndarray, inside: np.ndarray) -> np.ndarray:
+    """:func:`joins` of the characters that begin at ``at``; false where not ``inside``."""
+    at = at[inside]
+    b = [data[np.minimum(at + i, len(data) - 1)].astype(np.int64) for i in range(4)]
+    low = [x & 63 for x in b]
+    code = np.select([b[0] < 0x80, b[0] < 0xE0, b[0] < 0xF0],
+                     [b[0], (b[0] & 31) << 6 | low[1], (b[0] & 15) << 12 | low[1] << 6 | low[2]],
+                     (b[0] & 7) << 18 | low[1] << 12 | low[2] << 6 | low[3])
+    code, back = np.unique(code, return_inverse=True)
+    out = np.zeros(len(inside), bool)
+    out[inside] = np.array([joins(c) for c in code.tolist()], bool)[back]
+    return out
+
+
 class PassageIndex:
     """Sorted q-grams of one block's passages of one gram length."""
 
@@ -186,10 +216,37 @@ def align(index: PassageIndex, data: np.ndarray, off: np.ndarray, regions):
     return out
 
 
+def whole_words(index: PassageIndex, data: np.ndarray, off: np.ndarray):
+    """:func:`align` for passages shorter than ``Q``: the first place of each in each
+    document that is equal and cuts no word."""
+    found = index.hits(data, off)
+    if found is None:
+        return []
+    doc, pos, item, _ = found
+    texts = np.stack(index.texts)
+    ends = [(joins(ord(t[0])), joins(ord(t[-1]))) for t in (x.tobytes().decode() for x in index.texts)]
+    first, last = np.array(ends, bool).T
+    end, before = pos + index.q, np.maximum(pos - 1, 0)
+    for _ in range(3):
+        before = np.where((data[before] & 0xC0) == 0x80, np.maximum(before - 1, 0), before)
+    good = ~(first[item] & _joined(data, before, pos > off[doc]))
+    good &= ~(last[item] & _joined(data, end, end < off[doc + 1]))
+    for i in range(index.q):
+        good &= data[pos + i] == texts[item, i]
+    doc, pos, item = doc[good], pos[good], item[good]
+    _, once = np.unique(doc * len(index.ids) + item, return_index=True)
+    return [(int(doc[i]), int(item[i]), pos[i] - off[doc[i]], pos[i] - off[doc[i]] + index.q, 0) for i in once]
+
+
+def places(index: PassageIndex, data: np.ndarray, off: np.ndarray):
+    """``(document, passage, start, end, edits)`` of all passages of the index."""
+    return whole_words(index, data, off) if index.q < Q else align(index, data, off, index.regions(data, off))
+
+
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str):
     """The passages in blocks of bounded size, by running totals of their bytes."""
     b = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(text_col).alias("t")) \
-        .where(F.length("t") > 0)
+        .where(F.col("t").rlike(r"(?U)\S") & ((F.octet_length("t") >= Q) | F.col("t").rlike(r"[\p{L}\p{N}]")))
     # buckets of hashed ids keep every block under the bound without ordering the table
     total = b.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = max(1, -(-2 * total // BLOCK_BYTES))
@@ -220,8 +277,7 @@ def _scan(docs: DataFrame, id_type: str, block) -> DataFrame:
             for lo, text, off in K.text_chunks(b.column(1), K.SMALL_CHUNK):
                 data, n, rows = fold(text), len(off) - 1, []
                 for ix in indexes:
-                    for doc, item, start, end, edits in align(ix, data, off,
-                                                              ix.regions(data, off)):
+                    for doc, item, start, end, edits in places(ix, data, off):
                         rows.append((doc, ix.ids[item], int(start), int(end), edits))
                 if not rows:
                     continue
@@ -282,7 +338,7 @@ def contaminated_rows(batches_docs: DataFrame, benchmark: DataFrame, text_col: s
                 for lo, text, off in K.text_chunks(b.column(at), K.SMALL_CHUNK):
                     data = fold(text)
                     for ix in indexes:
-                        for doc, *_ in align(ix, data, off, ix.regions(data, off)):
+                        for doc, *_ in places(ix, data, off):
                             clean[lo + doc] = False
                 yield b.filter(pa.array(clean))
 

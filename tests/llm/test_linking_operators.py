@@ -3,6 +3,7 @@
 import json
 import random
 import re
+import unicodedata
 
 import numpy as np
 import pytest
@@ -191,6 +192,36 @@ def test_find_passages(spark):
     assert D.find_passages(d.where("false"), b).count() == 0
 
 
+def test_passages_without_words_and_short_ones(spark):
+    """Blank passages match nothing, short ones only whole words; against a search character by character."""
+    letter = lambda c: unicodedata.category(c)[0] in "LMN" and not "\u3040" <= c <= "\u9fff"
+    rng = random.Random(8)
+    blank = [" ", "\n", " \t\r\n ", " " * 40, "\u3000", "\u00a0 \u2003" * 9, ".", "...", "- -", "🙂", "\ufeff"]
+    short = ["a", "42", "é", "C++", "(x", "a b", " a", "北京", "e\u0301t", "Straße", "a."]
+    items = list(enumerate(blank + short))
+    bits = ["a", "A", "42", "é", "C++", "(x", "b", " ", "  ", "北", "京", "e\u0301t", "Straße", ".", "🙂", "—", "0", "\n", "\u3000", "ß"]
+    made = ["".join(rng.choice(bits) for _ in range(rng.randrange(1, 14))) for _ in range(300)]
+    texts = made + ["clean words, nothing else 142 421 bad", " " * 60, "the answer is 42.", "A", "xa a", "我在北京市"]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    b = spark.createDataFrame(items, "item_id long, text string")
+    want = {}
+    for n, t in enumerate(texts):
+        f = fold(t).decode()
+        for j, p in items[len(blank):]:
+            p = fold(p).decode()
+            for i in range(len(f) - len(p) + 1):
+                j_before = i and letter(f[i - 1]) and letter(p[0])
+                j_after = i + len(p) < len(f) and letter(f[i + len(p)]) and letter(p[-1])
+                if f.startswith(p, i) and not j_before and not j_after:
+                    want[(n, j)] = (i, i + len(p), 0)
+                    break
+    got = {(r.doc_id, r.item_id): (r.start, r.end, r.edits) for r in D.find_passages(d, b).collect()}
+    assert got == want and {j for _, j in want} == {j for j, _ in items[len(blank):]}
+    assert {r.doc_id for r in D.contaminated_rows(d, b).collect()} == set(range(len(texts))) - {n for n, _ in want}
+    none = b.where(f"item_id < {len(blank)}")
+    assert D.find_passages(d, none).count() == 0 and D.contaminated_rows(d, none).count() == len(texts)
+
+
 def test_passages_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(D, "BLOCK_BYTES", 100)
     items = [(i, f"passage number {i} " * 4) for i in range(8)]
