@@ -35,12 +35,18 @@ def steps(log: DataFrame, run: str = "run", ts: str = "ts", tie: str = "step_key
 
 
 def epoch_rollup(st: DataFrame, run: str = "run", epoch: str = "epoch",
-                 loss: str = "loss") -> DataFrame:
-    """H1: last, min and mean loss and max tokens seen per run and epoch."""
+                 measures: str | list[str] = "loss") -> DataFrame:
+    """H1: last, min and mean of every measure (train loss, validation loss,
+    learning rate) and max tokens seen per run and epoch.
+
+    A measure that is logged at some steps only is null at the others: its last
+    value is that of the last step that has one."""
+    measures = [measures] if isinstance(measures, str) else list(measures)
+    aggs = [a for m in measures for a in (
+        F.max_by(m, F.when(F.col(m).isNotNull(), F.col("step"))).alias(f"last_{m}"),
+        F.min(m).alias(f"min_{m}"), F.avg(m).alias(f"mean_{m}"))]
     return st.groupBy(run, epoch).agg(
-        F.max_by(loss, "step").alias("last_loss"), F.min(loss).alias("min_loss"),
-        F.avg(loss).alias("mean_loss"), F.max("tokens_seen").alias("tokens_seen"),
-        F.count(F.lit(1)).cast("long").alias("n_steps"))
+        *aggs, F.max("tokens_seen").alias("tokens_seen"), F.count(F.lit(1)).cast("long").alias("n_steps"))
 
 
 def eval_points(st: DataFrame, eval_freq: int) -> DataFrame:

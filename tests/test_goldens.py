@@ -384,6 +384,18 @@ def test_lcs_length():
         assert _lcs_len(a, b) == t[-1][-1]
 
 
+def test_epoch_rollup_of_all_measures(spark):
+    """Train loss, validation loss (logged at some steps only) and learning rate in one pass."""
+    from corpuslake.operators.metrics import epoch_rollup
+    rows = [("r", 0, 0, 4.0, 5.0, 0.1, 10), ("r", 0, 1, 2.0, 3.0, 0.3, 20), ("r", 0, 2, 3.0, None, 0.2, 30),
+            ("r", 1, 3, 1.0, None, 0.4, 40)]
+    st = spark.createDataFrame(rows, "run string, epoch int, step long, loss double, val_loss double, lr double, tokens_seen long")
+    got = [tuple(r) for r in epoch_rollup(st, measures=["loss", "val_loss", "lr"]).orderBy("epoch").collect()]
+    assert got == [("r", 0, 3.0, 2.0, 3.0, 3.0, 3.0, 4.0, 0.2, 0.1, pytest.approx(0.2), 30, 3),
+                   ("r", 1, 1.0, 1.0, 1.0, None, None, None, 0.4, 0.4, 0.4, 40, 1)]
+    assert epoch_rollup(st).columns == ["run", "epoch", "last_loss", "min_loss", "mean_loss", "tokens_seen", "n_steps"]
+
+
 def test_logreg_equals_newton(spark):
     """The Spark fit on the term table against Newton's method on the same matrix."""
     import numpy as np
