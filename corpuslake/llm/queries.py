@@ -8,7 +8,7 @@ labels in tests/llm.
 from __future__ import annotations
 
 from . import decontaminate, linear, oracles, packing, pii, quality_forest, token_counts, token_files, tool_calls
-from . import toxicity
+from . import simhash, toxicity
 from .common import table
 from .near_dups import near_duplicates
 
@@ -80,3 +80,9 @@ def op9_sum_of_squares(spark, sf_dir):
 def op10_qgram_decontamination(spark, sf_dir):
     """Every benchmark passage found in every document."""
     return decontaminate.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_simhash(spark, sf_dir):
+    """Fingerprint of three-word shingles of every document, and its class at three differing bits."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, radius=3)
