@@ -62,3 +62,26 @@ SELECT conv_id, turn, id AS call_id, depth::BIGINT AS depth, position::BIGINT AS
        || ',"name":"' || ['search', 'translate', 'count'][pick + 1] || '","position":' || position
        || ',"result":' || coalesce(to_json(content)::VARCHAR, 'null') || '}}' AS json
 FROM checked"""
+
+COLLOCATIONS = f"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang,
+             unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+           FROM documents),
+q AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: length(x) > 0) AS w FROM p),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+      FROM q, (VALUES (1), (2), (3)) t(k) WHERE len(w) >= k),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL),
+tot AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND a >= 10),
+cuts AS (SELECT c.*, cut, l.a AS l, r.a AS r, (1000000::HUGEINT * c.a * c.a) // (l.a::HUGEINT * r.a) AS score
+         FROM (SELECT c.*, unnest(range(1, k)) AS cut FROM c) c
+         JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(w[1:cut], ' ')
+         JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(w[cut + 1:], ' ')),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+longer AS (SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, a FROM c WHERE k = 3),
+around AS (SELECT lang, phrase, max(a) AS around FROM longer GROUP BY ALL)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n,
+       score::BIGINT AS score
+FROM best LEFT JOIN around USING (lang, phrase) JOIN tot USING (lang)
+WHERE around IS NULL OR 100 * around < 50 * a
+QUALIFY rank <= 2000"""
