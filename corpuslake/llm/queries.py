@@ -7,14 +7,14 @@ labels in tests/llm.
 
 from __future__ import annotations
 
-from . import collocations, decontaminate, linear, oracles, packing, pii, quality_forest, token_counts, token_files, tool_calls
-from . import simhash, toxicity
+from . import collocations, decontaminate, linear, oracles, packing, pii, prefix_trie, quality_forest, token_counts, token_files
+from . import simhash, tool_calls, toxicity
 from .common import table
 from .near_dups import near_duplicates
 
 QUERIES: dict = {}
 ORACLE = {"op4_tool_calls": oracles.TOOL_CALLS, "op5_superminhash": oracles.NEAR_DUPLICATES,
-          "op12_dynamic_phrases": oracles.COLLOCATIONS}
+          "op11_burst_trie": oracles.PREFIX_TRIE, "op12_dynamic_phrases": oracles.COLLOCATIONS}
 
 
 def query(fn):
@@ -83,6 +83,12 @@ def op10_qgram_decontamination(spark, sf_dir):
     return decontaminate.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op11_burst_trie(spark, sf_dir):
+    """Every node of the prefix trie of the rebuilt conversations."""
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 @query
 def op12_dynamic_phrases(spark, sf_dir):
     """The 2,000 firmest phrases of two and three words of every language."""
