@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import write_table
+from .skew import skew_join
 
 
 MISS = 1e-6            # links at the threshold that may share no band
@@ -42,19 +43,21 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     Min-label propagation plus pointer jumping (the label of the label is
     in the same component and never larger), run until nothing changes;
     every round is a join/aggregate over edge endpoints only, with the
-    labels written to the checkpoint folder.
+    labels written to the checkpoint folder. Nodes with many edges and labels
+    of many nodes are dealt over tasks (:mod:`skew`).
     """
     both = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst"))
-    both = both.unionByName(both.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    both = write_table(both.unionByName(both.select(F.col("dst").alias("src"), F.col("src").alias("dst"))), "cc-edges")
     labels = write_table(both.select(F.col("src").alias("node")).distinct()
                          .withColumn("label", F.col("node")), "cc-labels")
     while True:
-        prop = both.join(labels.withColumnRenamed("node", "src"), "src") \
+        prop = skew_join(both, labels.withColumnRenamed("node", "src"), "src", spread=["dst"]) \
             .groupBy(F.col("dst").alias("node")).agg(F.min("label").alias("nl"))
         new = labels.join(prop, "node", "left").select(
             "node", F.least("label", F.coalesce("nl", "label")).alias("label"))
+        new = write_table(new, "cc-labels")
         jump = new.select(F.col("node").alias("label"), F.col("label").alias("ll"))
-        new = new.join(jump, "label", "left").select(
+        new = skew_join(new, jump, "label", "left", spread=["node"]).select(
             "node", F.least("label", F.coalesce("ll", "label")).alias("label"))
         new = write_table(new, "cc-labels")
         changed = new.join(labels.withColumnRenamed("label", "old"), "node") \
