@@ -8,8 +8,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import write_table
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -41,23 +39,3 @@ def sample_by_hash(df: DataFrame, key: str, n: int, seed: int = 7) -> DataFrame:
         df = df.where(h < F.lit(int((1.5 * n / total - 0.5) * 2 ** 64)))
     return df.orderBy(h, F.col(key)).limit(n)
 
-
-def join_hot(rows: DataFrame, heads: DataFrame, on: list[str], hot: int = 1000) -> DataFrame:
-    """``rows`` left-joined with ``heads`` (one row per key), whatever share of the rows a key has.
-
-    Keys with more than one ``hot``-th of the rows are fewer than ``hot``: their heads
-    are broadcast. No other key gathers more than that share in a task. ``rows`` is
-    read three times, so pass a written table. A null key matches nothing.
-    """
-    known = F.expr(" and ".join(f"`{c}` is not null" for c in on))
-    share = rows.where(known).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    total = rows.agg(F.count(F.lit(1)).alias("_all"))
-    many = share.join(F.broadcast(total), F.col("_n") * hot > F.col("_all")).select(*on)
-    many = write_table(many, "hot-keys")
-    top = heads.join(F.broadcast(many), on, "left_semi")
-    cold = rows.where(known).join(F.broadcast(many), on, "left_anti")
-    extra = [F.lit(None).cast(f.dataType).alias(f.name) for f in heads.schema.fields if f.name not in on]
-    none = rows.where(~known).select("*", *extra)
-    out = rows.where(known).join(F.broadcast(many), on, "left_semi").join(F.broadcast(top), on, "left") \
-        .unionByName(cold.join(heads, on, "left"))
-    return out.unionByName(none.select(out.columns))

@@ -34,9 +34,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.order import partitioned_offsets
+from ..operators.skew import skew_join
 from ..session import write_table
 from . import kernels as K
-from .common import join_hot
 
 LIMIT = 1024           # turns in a container that is swept in one call
 HEADS = 6              # turns taken from another conversation: fewer than this
@@ -74,7 +74,7 @@ def rebuilt(at: DataFrame) -> tuple[DataFrame, DataFrame]:
     shift = convs.join(heads, "conv", "left").select(
         "conv", (F.coalesce("k", none) - F.col("h")).alias("move"),
         (F.coalesce("taken", none) - F.coalesce("skipped", none)).alias("more"))
-    rest = join_hot(at, shift, ["conv"]).where(F.col("pos") >= head).select(
+    rest = skew_join(at, shift, "conv", spread=["pos"]).where(F.col("pos") >= head).select(
         "conv", (F.col("pos") + 1 + F.col("move")).alias("depth"), "tid", "chars",
         (F.col("before") + F.col("more")).alias("before"))
     return write_table(taken.unionByName(rest), "trie-rebuilt"), convs
@@ -130,7 +130,7 @@ def burst(rows: DataFrame, found: DataFrame, limit: int) -> tuple[list[DataFrame
         depth = len(levels)
         state = heads.select(F.col("node").alias("head"), "members", ((F.col("size") > limit) & (F.col("members") > 1)).alias("over"))
         inside = write_table(inside, "trie-inside")
-        inside = write_table(join_hot(inside, state, ["head"]), "trie-inside")
+        inside = write_table(skew_join(inside, state, "head", spread=["cls"]), "trie-inside")
         done.append(inside.where("not over").drop("over").withColumn("depth0", F.lit(depth - 1).cast("long")))
         open_ = inside.where(f"over and n >= {depth}").drop("over", "members")
         if open_.limit(1).count() == 0:
@@ -143,7 +143,7 @@ def burst(rows: DataFrame, found: DataFrame, limit: int) -> tuple[list[DataFrame
             F.min("cls").alias("node"), F.min("head").alias("parent"), F.sum("w").alias("n_convs"), F.min("c").alias("chars"),
             F.max(F.when(F.col("n") == depth, F.col("ends"))).alias("ends"), F.sum(F.col("n") - depth).alias("size"),
             F.count(F.lit(1)).alias("members")), "trie-heads")
-        inside = join_hot(step.drop("head", "tid", "c"), new.select("key", F.col("node").alias("head")), ["key"]).drop("key")
+        inside = skew_join(step.drop("head", "tid", "c"), new.select("key", F.col("node").alias("head")), "key", spread=["cls"]).drop("key")
         heads = new.drop("key")
         levels.append(heads)
 
@@ -195,7 +195,7 @@ def prefix_trie(conversations: DataFrame, id_col: str = "conv_id", turn_col: str
     for d in done[1:]:
         placed = placed.unionByName(d)
     steps = rows.select(F.col("conv").alias("cls"), "depth", "tid", F.col("chars").alias("c"), "before")
-    steps = write_table(join_hot(steps, write_table(placed, "trie-placed"), ["cls"]).where("depth > depth0"), "trie-suffixes")
+    steps = write_table(skew_join(steps, placed, "cls", spread=["depth"]).where("depth > depth0"), "trie-suffixes")
 
     # containers of one class are paths
     top, last = F.col("depth") == F.col("depth0") + 1, F.col("depth") == F.col("n")

@@ -37,9 +37,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.linkage import connected_components
+from ..operators.skew import skew_join
 from ..session import write_table
 from . import kernels as K
-from .common import join_hot
 
 TILE = 1 << 16         # fingerprints in one tile
 BLOCK = 256            # fingerprints compared at once
@@ -216,13 +216,14 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
                     radius: int = 3, tile: int = TILE) -> DataFrame:
     """``(id_col, fingerprint, component_id)``, one row per input row: fingerprints of
     ``k``-word shingles (repeats included) link at ``radius`` or fewer differing bits."""
-    rows = write_table(fingerprints(docs, text_col, id_col, k), "simhash-fps")
+    rows = write_table(fingerprints(docs, text_col, id_col, k).withColumn("at", F.monotonically_increasing_id()),
+                       "simhash-fps")
     fps = write_table(rows.groupBy("fp").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")), "simhash-distinct")
     linked = connected_components(write_table(links(fps.select("fp"), radius, tile), "simhash-links"))
     group = linked.join(fps, F.col("node") == F.col("fp")).groupBy("label").agg(F.min("least").alias("component_id"))
-    of = join_hot(linked.withColumnRenamed("node", "fp"), group, ["label"]).select("fp", "component_id")
+    of = skew_join(linked.withColumnRenamed("node", "fp"), group, "label", spread=["fp"]).select("fp", "component_id")
     heads = fps.where("n > 1").select("fp", "least", "n").join(of, "fp", "full") \
         .select("fp", F.coalesce("component_id", "least").alias("component_id"))
-    out = join_hot(rows, heads, ["fp"])
+    out = skew_join(rows, heads, "fp", "left", spread=["at"])
     return out.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                       F.coalesce("component_id", "id").alias("component_id"))
