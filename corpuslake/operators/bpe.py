@@ -234,20 +234,19 @@ def _select_batch(top, batch: bool):
 
 def train_bpe(df: DataFrame, vocab_size: int, text_col: str = "text",
               order_col: str = "doc_id", pattern: str = fixed.GPT2_SPLIT_PATTERN,
-              batch: bool = True, top_k: int = 64, checkpoint_every: int = 8) -> DataFrame:
+              batch: bool = True, top_k: int = 64, trace: list | None = None) -> DataFrame:
     """Learn ``vocab_size - 256`` merges; returns ``merges(rank, left, right, new_id)``.
 
-    Each round aggregates the pair counts of the distinct-chunk table and
-    brings the top ``top_k + 1`` pairs to the driver. Exact batching accepts
-    several merges per round when that provably equals the one-at-a-time
-    result. Lineage is cut with reliable checkpoints.
+    Pair counts are kept and changed by signed differences; a round reads only the
+    chunks that hold an accepted pair (:mod:`bpe_train`). Exact batching accepts
+    several merges per round when that provably equals the one-at-a-time result.
     """
+    from .bpe_train import train_incremental
+
     if vocab_size < 256:
         raise ValueError("vocab_size must be at least 256")
     chunks = chunk_table(df, text_col, order_col, pattern).select("n", "f_doc", "f_idx", "ids")
-    merges = train_rounds(chunks, vocab_size - 256, 256, batch, top_k, checkpoint_every,
-                          empty_error=True)
-    return merges_from_rows(df.sparkSession, merges)
+    return merges_from_rows(df.sparkSession, train_incremental(chunks, vocab_size - 256, 256, batch, top_k, trace=trace))
 
 
 _ROUND_SCHEMA = T.StructType([
