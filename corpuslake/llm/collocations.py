@@ -118,8 +118,8 @@ def starts(p: Phrases, ripe: list[np.ndarray], bits) -> tuple[list[np.ndarray],
 def step_counts(shard: DataFrame, step: int, shards: int, threshold: int, max_len: int, bits, ripe) -> DataFrame:
     """Counts and counters of one step over ``shard(lang, text)``; see ``_ROW``.
 
-    ``ripe`` is a broadcast list of byte arrays, the step at which each counter of a
-    length reached the threshold.
+    ``ripe`` is a broadcast list of compressed byte arrays, the step at which each
+    counter of a length reached the threshold.
     """
 
     def in_cycle(since: np.ndarray) -> np.ndarray:
@@ -140,7 +140,8 @@ def step_counts(shard: DataFrame, step: int, shards: int, threshold: int, max_le
     def run(batches):
         from pyspark import TaskContext
         task = TaskContext.get().partitionId()
-        hasher, steps = K.Hasher(), ripe.value
+        hasher = K.Hasher()
+        steps = [np.frombuffer(zlib.decompress(z), np.uint8) for z in ripe.value]
         counter: dict[int, np.ndarray] = {}
         held: list[pa.Table] = []
 
@@ -237,7 +238,7 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     last, step = shards, 0
     while step < last:
         step += 1
-        shipped = spark.sparkContext.broadcast(ripe)
+        shipped = spark.sparkContext.broadcast([zlib.compress(x.tobytes(), 1) for x in ripe])
         path = f"{out}/step={step}"
         step_counts(texts.where(F.col("shard") == (step - 1) % shards), step, shards, threshold, max_len, bits,
                     shipped).write.partitionBy("kind").parquet(path)
@@ -249,7 +250,7 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
             ripe[r.k][at][(c >= threshold) & (ripe[r.k][at] == NEVER)] = step
         since = [int(x[x != NEVER].max()) for x in ripe if (x != NEVER).any()]
         last = max([shards] + [s + shards for s in since])
-        shipped.unpersist()
+        shipped.destroy()
     counts = spark.read.schema(StructType.fromDDL(_ROW + ", step int")).parquet(out)
     f = counts.where("kind = 'count'").groupBy("lang", "k", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= threshold)
     return f, counts.where("kind = 'total'").groupBy("lang").agg(F.sum("n").alias("n"))
