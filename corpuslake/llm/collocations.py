@@ -47,8 +47,8 @@ SHARDS = 4
 BITS = (24, 25, 25)      # log2 of the counters of one-word, two-word, ... phrases
 SLICE = 1 << 16          # counters in one slice
 FAN_IN = 256             # slices summed at once
-CHUNK = 1 << 21
-HELD = 1 << 20           # counted rows that a task holds before it sends them on
+CHUNK = 1 << 19
+HELD = 1 << 18           # counted rows that a task holds
 NEVER = 255              # step of a counter that has not reached the threshold
 _BREAK = K.byte_class(b".,;:!?\n\v\f\r")
 _GAP = _BREAK | K.byte_class(b" \t")
@@ -145,14 +145,16 @@ def step_counts(shard: DataFrame, step: int, shards: int, threshold: int, max_le
         counter: dict[int, np.ndarray] = {}
         held: list[pa.Table] = []
 
-        def sent():
-            t = pa.concat_tables(held).group_by(["k", "lang", "phrase"]).aggregate([("n", "sum")])
-            held.clear()
-            for b in t.to_batches(max_chunksize=1 << 16):
+        def summed(keep: int):
+            """Held counts brought together, and sent on where more than ``keep`` rows are left."""
+            t = pa.concat_tables(held).group_by(["k", "lang", "phrase"]).aggregate([("n", "sum")]) \
+                .rename_columns({"n_sum": "n"})
+            held[:] = [t] if t.num_rows <= keep else []
+            for b in t.to_batches(max_chunksize=1 << 14) if not held else ():
                 yield pa.RecordBatch.from_arrays([
                     pa.array(["count"] * len(b), pa.string()), b.column("k"), b.column("lang").cast(pa.string()),
                     b.column("phrase").cast(pa.string()), pa.nulls(len(b), pa.int32()),
-                    pa.array([task] * len(b), pa.int64()), b.column("n_sum"), pa.nulls(len(b), pa.binary())],
+                    pa.array([task] * len(b), pa.int64()), b.column("n"), pa.nulls(len(b), pa.binary())],
                     names=["kind", "k", "lang", "phrase", "slice", "part", "n", "data"])
 
         for b in batches:
@@ -186,9 +188,9 @@ def step_counts(shard: DataFrame, step: int, shards: int, threshold: int, max_le
                     n = np.bincount(code[p.doc], minlength=len(langs))
                     yield rows("total", 0, lang=langs, n=n)
                 if sum(t.num_rows for t in held) > HELD:
-                    yield from sent()
+                    yield from summed(HELD // 2)
         if held:
-            yield from sent()
+            yield from summed(0)
         for k, c in counter.items():
             some = np.flatnonzero(c.reshape(-1, SLICE).any(axis=1))
             for i in range(0, len(some), 64):
@@ -231,7 +233,7 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                 F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
                 F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int").alias("shard")) \
-        .write.partitionBy("shard").parquet(home)
+        .write.partitionBy("shard").option("compression", "zstd").parquet(home)
     texts = spark.read.schema("lang string, text string, shard int").parquet(home)
     count = [np.zeros(1 << bits[k], np.uint8) for k in range(max_len - 1)]
     ripe = [np.full(1 << bits[k], NEVER, np.uint8) for k in range(max_len - 1)]
@@ -241,7 +243,7 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
         shipped = spark.sparkContext.broadcast([zlib.compress(x.tobytes(), 1) for x in ripe])
         path = f"{out}/step={step}"
         step_counts(texts.where(F.col("shard") == (step - 1) % shards), step, shards, threshold, max_len, bits,
-                    shipped).write.partitionBy("kind").parquet(path)
+                    shipped).write.partitionBy("kind").option("compression", "zstd").parquet(path)
         done = spark.read.schema(StructType.fromDDL(_ROW)).parquet(path)
         for r in counter_sums(done.where("kind = 'counter'"), threshold).collect():
             at = slice(r.slice * SLICE, (r.slice + 1) * SLICE)
