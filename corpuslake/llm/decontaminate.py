@@ -44,6 +44,7 @@ from . import kernels as K
 Q = 14
 BLOCK_BYTES = 4 << 20
 FAR = 1 << 20
+HITS = 1 << 20         # equal q-grams looked at together
 _NO_BLANKS = [(0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x4DBF),
               (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF)]
 
@@ -75,6 +76,30 @@ def _joined(data: np.ndarray, at: np.ndarray, inside: np.ndarray) -> np.ndarray:
     return out
 
 
+def _distinct(rows):
+    """``(document, passage, place, band)`` without repeats, ordered by document, passage, band and place."""
+    doc, item, place, band = rows
+    low = [int(x.min()) if len(x) else 0 for x in (doc, item, band, place)]
+    size = [int(x.max()) - m + 1 if len(x) else 1 for x, m in zip((doc, item, band, place), low)]
+    if size[0] * size[1] * size[2] * size[3] < 1 << 62:
+        key = np.zeros(len(doc), np.int64)
+        for x, m, n in zip((doc, item, band, place), low, size):
+            key = key * n + (x - m)
+        key = np.unique(key)
+        out = []
+        for m, n in zip(low[::-1], size[::-1]):
+            out.append(key % n + m)
+            key = key // n
+        place, band, item, doc = out
+    else:
+        order = np.lexsort((place, band, item, doc))
+        doc, item, place, band = (x[order] for x in (doc, item, place, band))
+        fresh = np.ones(len(doc), bool)
+        fresh[1:] = np.any([x[1:] != x[:-1] for x in (doc, item, place, band)], axis=0)
+        doc, item, place, band = (x[fresh] for x in (doc, item, place, band))
+    return doc, item, place, band
+
+
 class PassageIndex:
     """Sorted q-grams of one block's passages of one gram length."""
 
@@ -100,48 +125,60 @@ class PassageIndex:
         self.seen[self.gram >> np.uint64(64 - self.bits)] = True
 
     def hits(self, data: np.ndarray, off: np.ndarray):
-        """``(document, position, passage, passage position)`` of all equal q-grams."""
+        """``(document, position, passage, passage position)`` of all equal q-grams,
+        in runs of positions with about ``HITS`` of them."""
         q, n = self.q, len(data) - self.q + 1
         if n <= 0:
-            return None
+            return
         prefix = self.hasher.prefix(data)
         h = K.mix((prefix[q:] - prefix[:n]) * self.hasher.down[:n]
-                  + np.uint64(q) * np.uint64(0x9E3779B97F4A7C15))
+                  + np.uint64(q * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
         pos = np.flatnonzero(self.seen[h >> np.uint64(64 - self.bits)])
         doc = np.searchsorted(off, pos, side="right") - 1
         inside = pos + q <= off[doc + 1]
         pos, doc = pos[inside], doc[inside]
         lo = np.searchsorted(self.gram, h[pos], side="left")
-        hi = np.searchsorted(self.gram, h[pos], side="right")
-        times = hi - lo
-        if not times.sum():
-            return None
-        row = np.repeat(np.arange(len(pos)), times)
-        entry = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times) \
-            + np.repeat(lo, times)
-        return doc[row], pos[row], self.owner[entry], self.place[entry]
+        times = np.searchsorted(self.gram, h[pos], side="right") - lo
+        total = np.cumsum(times)
+        a = 0
+        while a < len(pos):
+            b = max(int(np.searchsorted(total, (total[a - 1] if a else 0) + HITS, side="right")), a + 1)
+            row = np.repeat(np.arange(a, b), times[a:b])
+            entry = np.arange(len(row)) - np.repeat(total[a:b] - times[a:b] - (total[a - 1] if a else 0), times[a:b]) \
+                + np.repeat(lo[a:b], times[a:b])
+            if len(row):
+                yield doc[row], pos[row], self.owner[entry], self.place[entry]
+            a = b
 
     def regions(self, data: np.ndarray, off: np.ndarray):
-        """``(document, passage, first diagonal)`` of the bands that reach the bound."""
-        found = self.hits(data, off)
-        if found is None:
-            return []
-        doc, pos, item, place = found
-        step = self.k[item] + 1
-        band = (pos - place) // step
-        doc, item, place = (np.concatenate([x, x]) for x in (doc, item, place))
-        band = np.concatenate([band, band - 1])
-        order = np.lexsort((place, band, item, doc))
-        doc, item, place, band = (x[order] for x in (doc, item, place, band))
+        """``(document, passage, first diagonal)`` of the bands that reach the bound.
+
+        Positions come in ascending runs; a band is counted as soon as no later
+        position can lie in it, so only the bands around a run's end are held.
+        """
+        out, held = [], None
+        for doc, pos, item, place in self.hits(data, off):
+            band = (pos - place) // (self.k[item] + 1)
+            here = [np.concatenate([x, x]) for x in (doc, item, place)] + [np.concatenate([band, band - 1])]
+            if held is not None:
+                here = [np.concatenate(x) for x in zip(held, here)]
+            held = self._settled(here, int(pos[-1]), out)
+        if held is not None:
+            self._settled(held, None, out)
+        return sorted(out)
+
+    def _settled(self, rows, upto: int | None, out: list):
+        """Adds the bands that are complete before position ``upto`` to ``out``; the distinct rows of the others."""
+        doc, item, place, band = _distinct(rows)
         new_band = np.ones(len(doc), bool)
         new_band[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (band[1:] != band[:-1])
-        distinct = new_band.copy()
-        distinct[1:] |= place[1:] != place[:-1]
+        step = self.k[item] + 1
+        open_ = np.zeros(len(doc), bool) if upto is None else (band + 2) * step + self.size[item] > upto
         first = np.flatnonzero(new_band)
-        count = np.add.reduceat(distinct.astype(np.int64), first)
-        first = first[count >= self.need[item[first]]]
-        return list(zip(doc[first].tolist(), item[first].tolist(),
-                        (band[first] * (self.k[item[first]] + 1)).tolist()))
+        count = np.diff(np.append(first, len(doc)))
+        first = first[(count >= self.need[item[first]]) & ~open_[first]]
+        out += zip(doc[first].tolist(), item[first].tolist(), (band[first] * step[first]).tolist())
+        return [x[open_] for x in (doc, item, place, band)]
 
 
 def banded(patterns: list[np.ndarray], texts: list[np.ndarray], diag: np.ndarray, width: int,
@@ -219,23 +256,23 @@ def align(index: PassageIndex, data: np.ndarray, off: np.ndarray, regions):
 def whole_words(index: PassageIndex, data: np.ndarray, off: np.ndarray):
     """:func:`align` for passages shorter than ``Q``: the first place of each in each
     document that is equal and cuts no word."""
-    found = index.hits(data, off)
-    if found is None:
-        return []
-    doc, pos, item, _ = found
     texts = np.stack(index.texts)
     ends = [(joins(ord(t[0])), joins(ord(t[-1]))) for t in (x.tobytes().decode() for x in index.texts)]
     first, last = np.array(ends, bool).T
-    end, before = pos + index.q, np.maximum(pos - 1, 0)
-    for _ in range(3):
-        before = np.where((data[before] & 0xC0) == 0x80, np.maximum(before - 1, 0), before)
-    good = ~(first[item] & _joined(data, before, pos > off[doc]))
-    good &= ~(last[item] & _joined(data, end, end < off[doc + 1]))
-    for i in range(index.q):
-        good &= data[pos + i] == texts[item, i]
-    doc, pos, item = doc[good], pos[good], item[good]
-    _, once = np.unique(doc * len(index.ids) + item, return_index=True)
-    return [(int(doc[i]), int(item[i]), pos[i] - off[doc[i]], pos[i] - off[doc[i]] + index.q, 0) for i in once]
+    out: dict = {}
+    for doc, pos, item, _ in index.hits(data, off):      # ascending positions
+        end, before = pos + index.q, np.maximum(pos - 1, 0)
+        for _ in range(3):
+            before = np.where((data[before] & 0xC0) == 0x80, np.maximum(before - 1, 0), before)
+        good = ~(first[item] & _joined(data, before, pos > off[doc]))
+        good &= ~(last[item] & _joined(data, end, end < off[doc + 1]))
+        for i in range(index.q):
+            good &= data[pos + i] == texts[item, i]
+        doc, pos, item = doc[good], pos[good], item[good]
+        _, once = np.unique(doc * len(index.ids) + item, return_index=True)
+        for i in once:
+            out.setdefault((int(doc[i]), int(item[i])), pos[i] - off[doc[i]])
+    return [(d, i, at, at + index.q, 0) for (d, i), at in sorted(out.items())]
 
 
 def places(index: PassageIndex, data: np.ndarray, off: np.ndarray):

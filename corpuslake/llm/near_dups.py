@@ -21,8 +21,10 @@ signatures agree far less than their sets do: below 1e-6 of links at the
 threshold itself, less above it. Nothing is capped.
 
 Defined results: null, empty and wordless texts have an empty set and link with
-nothing; rows with a null id link with nothing and have a null component; rows
-that share an id are one document.
+nothing; rows with a null id link with nothing and have a null component; rows that
+share an id are compared each by its own text, so an id's component is that of each
+row; repeated rows repeat their result. Texts of any length are read whole, extra
+columns are ignored, an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.linkage import banding, candidate_groups, verified_components
+from ..operators.skew import skew_join
 from ..session import write_table
 from . import kernels as K
 
@@ -83,6 +86,16 @@ def _shingled(column, k: int, hasher):
         yield lo, len(off) - 1, code, bounds
 
 
+def fingerprint(code: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """24 bytes that tell sets apart: two sums over their members and their size."""
+    sums = []
+    for salt in (1, 2):
+        s = np.zeros(len(code) + 1, np.uint64)
+        np.cumsum(K.mix(code + np.uint64(salt)), out=s[1:])
+        sums.append((s[bounds[1:]] - s[bounds[:-1]]).astype(">u8"))
+    return [f.tobytes() for f in np.stack([*sums, np.diff(bounds).astype(">u8")], axis=1)]
+
+
 def signatures(docs: DataFrame, text_col: str, id_col: str, k: int, bands: int,
                rows: int) -> DataFrame:
     """``(id, n_shingles, fp, bands, sig)``; ``fp`` is null for what links with nothing."""
@@ -93,11 +106,6 @@ def signatures(docs: DataFrame, text_col: str, id_col: str, k: int, bands: int,
             for lo, n, code, bounds in _shingled(b.column(1), k, hasher):
                 size = np.diff(bounds)
                 sig = super_minhash(code, bounds, bands * rows)
-                two = [np.zeros(len(code) + 1, np.uint64), np.zeros(len(code) + 1, np.uint64)]
-                np.cumsum(K.mix(code + np.uint64(1)), out=two[0][1:])
-                np.cumsum(K.mix(code + np.uint64(2)), out=two[1][1:])
-                fp = np.stack([(s[bounds[1:]] - s[bounds[:-1]]).astype(">u8") for s in two]
-                              + [size.astype(">u8")], axis=1)
                 keys = np.zeros((n, bands), np.uint64)
                 for r, q in enumerate(K.stream(rows, 99) | np.uint64(1)):
                     keys += sig[:, r::rows] * q
@@ -105,7 +113,7 @@ def signatures(docs: DataFrame, text_col: str, id_col: str, k: int, bands: int,
                 short = K.mix(sig).astype(np.uint16)
                 yield pa.RecordBatch.from_arrays([
                     b.column(0).slice(lo, n), pa.array(size, pa.int64()),
-                    pa.array([f.tobytes() if s else None for f, s in zip(fp, size)], pa.binary()),
+                    pa.array([f if s else None for f, s in zip(fingerprint(code, bounds), size)], pa.binary()),
                     pa.ListArray.from_arrays(
                         pa.array(np.arange(n + 1, dtype=np.int32) * bands), pa.array(keys.ravel())),
                     pa.array([s.tobytes() for s in short], pa.binary())],
@@ -125,39 +133,42 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     """
     bands, rows = banding(percent / 100)
     t, m = percent / 100, bands * rows
-    sigs = write_table(signatures(docs, text_col, id_col, k, bands, rows), "superminhash")
-    reps = sigs.where("fp is not null").groupBy("fp").agg(F.min("id").alias("rep"))
-
-    own = sigs.where("fp is not null").join(reps, "fp").where("id = rep") \
-        .select("rep", "bands").dropDuplicates(["rep"])
+    sigs = write_table(signatures(docs, text_col, id_col, k, bands, rows)
+                       .withColumn("at", F.monotonically_increasing_id()), "superminhash")
+    # one representative for each distinct set, whatever ids its rows have
+    reps = sigs.where("fp is not null").groupBy("fp").agg(F.min("id").alias("least"), F.min("at").alias("at"))
+    reps = write_table(reps.withColumn("rep", F.monotonically_increasing_id()), "set-reps")
+    own = sigs.join(reps.select("rep", "at"), "at").select("rep", "bands", "sig")
     cells = own.select("rep", F.posexplode("bands").alias("band", "h")) \
         .select("rep", F.xxhash64("band", "h").alias("key"))
-    sig = sigs.select(F.col("id").alias("rep"), "sig").dropDuplicates(["rep"])
     agree = math.floor(m * (t - 5 * math.sqrt(t * (1 - t) / m)))
-    groups = candidate_groups(cells, sig, agree, m, BUCKET)
+    groups = candidate_groups(cells, own.select("rep", "sig"), agree, m, BUCKET)
 
-    # whole sets, once for each group or pair of its blocks
+    # whole sets of the representatives' rows; of a row that shares an id only with one, the set isn't asked for
     hasher_k = k
 
     def sets(batches):
         hasher = K.Hasher()
         for b in batches:
-            for lo, n, code, bounds in _shingled(b.column(1), hasher_k, hasher):
+            for _, _, code, bounds in _shingled(b.column(1), hasher_k, hasher):
                 yield pa.RecordBatch.from_arrays([
-                    b.column(0).slice(lo, n), b.column(2).slice(lo, n),
-                    pa.array([code[bounds[i]:bounds[i + 1]].tobytes() for i in range(n)],
-                             pa.binary())], names=["id", "grp", "codes"])
-
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    full = write_table(texts.join(groups, "id").select("id", "text", "grp")
-                       .mapInArrow(K.tidy(sets), "id long, grp long, codes binary")
-                       .dropDuplicates(["id"]), "shingle-sets")
-    classes = verified_components(full, percent, BLOCK_DOCS, BLOCK_ITEMS) \
-        .select(F.col("node").alias("rep"), "label")
-
-    head = reps.join(classes, "rep", "left") \
-        .select("fp", F.coalesce("label", "rep").alias("component_id"))
-    out = sigs.select("id", "n_shingles", "fp").join(head, "fp", "left")
+                    pa.array(fingerprint(code, bounds), pa.binary()),
+                    pa.array([code[x:y].tobytes() for x, y in zip(bounds[:-1], bounds[1:])], pa.binary())],
+                    names=["fp", "codes"])
+
+    wanted = write_table(groups.withColumnRenamed("id", "rep").join(reps.select("rep", "least", "fp"), "rep"), "set-groups")
+    texts = docs.select(F.col(id_col).cast("long").alias("least"), F.col(text_col).alias("text"))
+    full = texts.join(wanted.select("least"), "least", "left_semi").mapInArrow(K.tidy(sets), "fp binary, codes binary") \
+        .join(wanted.select("fp", F.col("rep").alias("id"), "grp"), "fp").dropDuplicates(["fp"]).select("id", "grp", "codes")
+    full = write_table(full, "shingle-sets")
+    linked = verified_components(full, percent, BLOCK_DOCS, BLOCK_ITEMS).select(F.col("node").alias("rep"), "label")
+
+    # a class is named by the smallest id of its rows
+    linked = write_table(linked.join(reps.select("rep", "fp", "least"), "rep"), "set-classes")
+    names = linked.groupBy("label").agg(F.min("least").alias("component_id"))
+    named = skew_join(linked, names, "label", spread=["rep"]).select("rep", "component_id")
+    head = reps.join(named, "rep", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
+    out = skew_join(sigs.select("id", "n_shingles", "fp", "at"), head, "fp", "left", spread=["at"])
     comp = F.coalesce("component_id", "id")
     return out.select(F.col("id").alias(id_col), "n_shingles", comp.alias("component_id"),
                       F.coalesce(F.col("id") == comp, F.lit(True)).alias("kept"))

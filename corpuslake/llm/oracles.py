@@ -34,7 +34,7 @@ every AS (
   FROM turns WHERE role = 'user' AND id IS NOT NULL),
 calls AS (SELECT * FROM every WHERE nth = 1),
 results AS (SELECT 'call_' || conv_id || '_' || (turn - 1) AS id, count(*) AS n_results, min(raw) AS content
-            FROM turns WHERE role = 'assistant' GROUP BY 1),
+            FROM turns WHERE role = 'assistant' AND id IS NOT NULL GROUP BY 1),
 levels(id, depth, missing) AS (
   SELECT c.id, 0, c.up IS NOT NULL FROM calls c WHERE c.up IS NULL OR c.up NOT IN (SELECT id FROM calls)
   UNION ALL SELECT c.id, l.depth + 1, l.missing FROM calls c JOIN levels l ON c.up = l.id),
@@ -61,7 +61,12 @@ SELECT conv_id, turn, id AS call_id, depth::BIGINT AS depth, position::BIGINT AS
        || ',"depends_on":' || coalesce(to_json(up)::VARCHAR, 'null') || ',"id":' || to_json(id)
        || ',"name":"' || ['search', 'translate', 'count'][pick + 1] || '","position":' || position
        || ',"result":' || coalesce(to_json(content)::VARCHAR, 'null') || '}}' AS json
-FROM checked"""
+FROM checked
+UNION ALL SELECT NULL, NULL, id, NULL, NULL, 0, n_results, false,
+       'call: missing' || CASE WHEN n_results > 1 THEN '; result: repeated' ELSE '' END,
+       '{{"arguments":null,"depends_on":null,"id":' || to_json(id) || ',"name":null,"position":null,"result":'
+       || coalesce(to_json(content)::VARCHAR, 'null') || '}}'
+FROM results WHERE id IS NOT NULL AND id NOT IN (SELECT id FROM calls)"""
 
 COLLOCATIONS = f"""
 WITH p AS (SELECT coalesce(lang, 'und') AS lang,

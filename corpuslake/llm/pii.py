@@ -46,10 +46,12 @@ _DIGIT = re.compile(r"[0-9]")
 _WIDE_EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?(?:@|\(at\)|\[at\]) ?[A-Za-z0-9-]+"
                          r"(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]+)+")
 _WIDE_NUMBER = re.compile(r"[+(]?[0-9][0-9 ().-]{6,24}[0-9]")
-_SECRET = re.compile(r"(?:AKIA|ASIA)[A-Z0-9]{12,20}|(?:gh[pousr]_|sk-|xox[abp]-)[A-Za-z0-9-]{12,80}"
-                     r"|(?<![0-9A-Za-z])(?=[0-9]{0,127}[a-f])[0-9a-f]{16,128}(?![0-9A-Za-z])"
-                     r"|(?<![0-9A-Za-z])(?=[A-Za-z]{0,63}[0-9])(?=[0-9]{0,63}[A-Za-z])[A-Za-z0-9+/]{20,64}={0,2}"
+_SECRET = re.compile(r"(?:AKIA|ASIA)[A-Z0-9]{12,}+|(?:gh[pousr]_|sk-|xox[abp]-)[A-Za-z0-9-]{12,}+"
+                     r"|(?<![0-9A-Za-z])(?=[0-9]*+[a-f])[0-9a-f]{16,}+(?![0-9A-Za-z])"
+                     r"|(?<![0-9A-Za-z+/])(?=[A-Za-z+/]*+[0-9])(?=[0-9+/]*+[A-Za-z])[A-Za-z0-9+/]{20,}+={0,2}"
                      r"(?![0-9A-Za-z])")
+_KEYED = re.compile(rb"(?:gh[pousr]_|sk-|xox[abp]-)(?=[A-Za-z0-9-]{12})")
+_HEX = K.byte_class(b"0123456789abcdef")
 _PERSON = re.compile(r"\b(?:Mr|Mrs|Ms|Dr|Prof|Mme|Herr|Frau)\.? ([A-Z][\w'-]+(?: [A-Z][\w'-]+)?)")
 _TITLE = re.compile(rb"(?:Mr|Mrs|Ms|Dr|Prof|Mme|Herr|Frau)\.? [A-Z]")
 
@@ -274,8 +276,12 @@ def _suspects(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     marks = np.concatenate([[0], np.cumsum((data >= 48) & (data <= 57) | (data >= 65) & (data <= 90))])
     long_token[doc[(end - start >= 14) & (marks[end] - marks[start] >= 1)
                    & ((marks[end] - marks[start] >= 8) | (end - start >= 16))]] = True
-    for m in _TITLE.finditer(data.tobytes()):
-        long_token[np.searchsorted(off, m.start(), side="right") - 1] = True
+    whole = data.tobytes()
+    for pattern in (_TITLE, _KEYED):
+        for m in pattern.finditer(whole):
+            long_token[np.searchsorted(off, m.start(), side="right") - 1] = True
+    first, last = K.runs(_HEX[data], off)
+    long_token[np.searchsorted(off, first[last - first >= 16], side="right") - 1] = True
     return np.flatnonzero((digits >= 4) | (at_sign > 0) | long_token)
 
 

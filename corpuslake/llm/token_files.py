@@ -9,8 +9,8 @@ ascending id order. A task encodes its documents and writes one shard:
     footer: place of the index, documents, tokens, magic
 
 so one document is read by two small reads. The dictionary is trained on the
-serialised ids of a bounded sample (of ``SAMPLE_DOCS`` documents, by hash, those
-of at most ``SAMPLE_CHARS`` characters), lies beside the shards, and is checked by
+serialised ids of a bounded sample (``SAMPLE_DOCS`` documents, by hash, of longer ones
+a window of ``SAMPLE_CHARS`` characters), lies beside the shards, and is checked by
 its hash on reading. Files go through pyarrow's file systems, to the folder in
 ``spark.checkpoint.dir``; each attempt of a task writes a file of its own, and
 only files named in the manifest, which Spark commits, are read.
@@ -64,6 +64,8 @@ def train_dictionary(samples: list[bytes]) -> bytes:
     """A zstandard dictionary, or none where there is too little to learn from."""
     import zstandard
 
+    if len(samples) < 64:                     # few, perhaps long: pieces of them
+        samples = [s[i:i + 1024] for s in samples for i in range(0, len(s), 1024)]
     samples = [s for s in samples if len(s) >= 8]
     total = sum(map(len, samples))
     if len(samples) < 16 or total < 4096:
@@ -156,7 +158,11 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, lower: bool,
                     [ids[at[i]:at[i + 1]].astype(f"<u{width}").tobytes() for i in range(len(at) - 1)],
                     pa.binary())], names=["ids"])
 
-    few = sample_by_hash(d, "id", SAMPLE_DOCS).where(F.length("text").between(1, SAMPLE_CHARS))
+    # of a long text a window at a place chosen by its id's hash
+    size = F.length("text")
+    at = F.pmod(F.xxhash64(F.lit(5), "id"), F.greatest(size - SAMPLE_CHARS, F.lit(0)) + 1).cast("int") + 1
+    some = d.where(size > 0).select("id", F.col("text").substr(at, F.lit(SAMPLE_CHARS)).alias("text"))
+    few = sample_by_hash(some, "id", SAMPLE_DOCS)
     dictionary = train_dictionary([r["ids"] for r in few.mapInArrow(K.tidy(serialised), "ids binary").collect()])
     folder = scratch_path(spark, "token-files")
     fs, name = open_fs(folder)

@@ -13,14 +13,21 @@
 * Arguments are checked against the tool's schema (a subset of JSON Schema) and
   written as canonical JSON: sorted keys, no blanks, no escapes but needed ones.
 
-Defined results: a null call id cannot be linked, such calls and results are
-left out; a null conversation is one of its own; missing results, unknown tools,
+Defined results: a call or result without an id cannot be linked and is a row of its
+own with an error, as is a result whose call does not exist (no conversation, turn or
+position); a null conversation is one of its own; missing results, unknown tools,
 unparsable or null arguments and unresolved dependencies are named in ``errors``.
+Arguments nested too deeply to parse, and numbers that JSON doesn't have, are not
+JSON; lone surrogates are written as escapes. Of repeated ids the smallest row (of
+results the smallest content) counts, in any order of rows. Texts are whole, extra
+columns are ignored, empty tables give empty ones.
 """
 
 from __future__ import annotations
 
 import json
+import math
+import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,16 +37,22 @@ from ..operators.order import partitioned_offsets
 from ..session import write_table
 from . import kernels as K
 
+_SURROGATE = re.compile("[\ud800-\udfff]")
 _TYPES = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "array": list,
-          "object": dict}
+          "object": dict, "null": type(None)}
+CYCLE_DEPTH = 1 << 62
 
 
 def check(value, schema: dict, at: str = "") -> list[str]:
     """What in ``value`` violates ``schema`` (type, enum, bounds, lengths, properties)."""
-    kind = schema.get("type")
-    if kind and (not isinstance(value, _TYPES[kind]) or kind != "boolean" and isinstance(value, bool)):
-        return [f"{at or '.'}: not {kind}"]
-    out = []
+    kinds = schema.get("type", [])
+    kinds = [kinds] if isinstance(kinds, str) else list(kinds)
+    if unknown := sorted(k for k in kinds if k not in _TYPES):
+        raise ValueError(f"unknown schema types: {', '.join(unknown)}")
+    fits = [k for k in kinds if isinstance(value, _TYPES[k]) and (k == "boolean" or not isinstance(value, bool))]
+    if kinds and not fits:
+        return [f"{at or '.'}: not {' or '.join(kinds)}"]
+    kind, out = fits[0] if fits else None, []
     if "enum" in schema and value not in schema["enum"]:
         out.append(f"{at}: not allowed")
     if kind in ("integer", "number"):
@@ -61,8 +74,38 @@ def check(value, schema: dict, at: str = "") -> list[str]:
     return out
 
 
+def parsed(text: str | None):
+    """The JSON value of ``text``; ValueError for what is none."""
+
+    def refuse(name):
+        raise ValueError(f"{name} is not JSON")
+
+    try:
+        return json.loads(text or "", parse_constant=refuse, parse_float=_finite)
+    except RecursionError:
+        raise ValueError("nested too deeply") from None
+
+
+def _finite(text: str) -> float:
+    x = float(text)
+    if not math.isfinite(x):
+        raise ValueError("beyond a number's range")
+    return x
+
+
 def canonical(value) -> str:
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    out = json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    return _SURROGATE.sub(lambda m: f"\\u{ord(m[0]):04x}", out)
+
+
+def _checked_schema(schema: dict) -> None:
+    """Raises for types that :func:`check` doesn't know, before any job runs."""
+    kinds = schema.get("type", [])
+    bad = [k for k in ([kinds] if isinstance(kinds, str) else kinds) if k not in _TYPES]
+    if bad:
+        raise ValueError(f"unknown schema types: {bad}")
+    for part in [*schema.get("properties", {}).values(), *([schema["items"]] if "items" in schema else [])]:
+        _checked_schema(part)
 
 
 def levels(calls: DataFrame) -> DataFrame:
@@ -87,7 +130,7 @@ def levels(calls: DataFrame) -> DataFrame:
         reach *= 2
     state = F.when(F.col("up").isNotNull(), "cycle").when(F.col("missing"), "missing").otherwise("ok")
     # on a cycle depths only grow; such calls share one level after all others
-    return step.select("call_id", F.when(F.col("up").isNotNull(), F.lit(1 << 20)).otherwise(F.col("depth"))
+    return step.select("call_id", F.when(F.col("up").isNotNull(), F.lit(CYCLE_DEPTH)).otherwise(F.col("depth"))
                        .alias("depth"), state.alias("state"))
 
 
@@ -95,6 +138,8 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict) -> Data
     """``calls(conv_id, turn, call_id, name, arguments, depends_on)`` and
     ``results(call_id, content)`` linked: one row per call id with ``n_calls,
     n_results, depth, position, valid, errors, json``."""
+    for schema in schemas.values():
+        _checked_schema(schema)
     parts = ["conv_id", "turn", "name", "arguments", "depends_on"]
     one = calls.where("call_id is not null").groupBy("call_id").agg(
         F.min(F.struct(*parts)).alias("c"), F.count(F.lit(1)).alias("n_calls")) \
@@ -109,20 +154,36 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict) -> Data
         .join(levels(one.select("call_id", "depends_on")), "call_id")
     place = partitioned_offsets(slim, "conv", ["depth", "_turn", "call_id"], ordinal_col="position") \
         .select("call_id", "depth", "state", "position")
-    rows = one.join(place, "call_id").join(res, "call_id", "left").select(
-        "conv_id", "turn", "call_id", "name", "arguments", "depends_on", "content", "n_calls",
-        F.coalesce("n_results", F.lit(0)).alias("n_results"), "depth", "position", "state")
+    none = F.lit(0).cast("long")
+    cols = ["conv_id", "turn", "call_id", "name", "arguments", "depends_on", "content", F.coalesce("n_calls", none).alias("n_calls"),
+            F.coalesce("n_results", none).alias("n_results"), "depth", "position", F.coalesce("state", F.lit("ok")).alias("state")]
+    rows = one.join(place, "call_id").join(res, "call_id", "full").select(*cols)
+    # what has no id stands alone
+    one_, zero = F.lit(1).cast("long"), none
+    loose = calls.where("call_id is null").select("call_id", *parts).withColumn("n_calls", one_).withColumn("n_results", zero) \
+        .unionByName(results.where("call_id is null").select("call_id", "content").withColumn("n_calls", zero)
+                     .withColumn("n_results", one_), allowMissingColumns=True)
+    null = lambda c, t: F.lit(None).cast(t).alias(c)
+    rows = rows.unionByName(loose.select("conv_id", "turn", F.col("call_id").cast("string").alias("call_id"), "name", "arguments",
+                                         "depends_on", "content", "n_calls", "n_results", null("depth", "long"),
+                                         null("position", "long"), F.lit("ok").alias("state")))
 
     def run(batches):
         for b in batches:
             valid, errors, out = [], [], []
             for r in b.to_pylist():
-                try:
-                    args = json.loads(r["arguments"] or "")
-                    bad = check(args, schemas[r["name"]]) if r["name"] in schemas else ["unknown tool"]
-                except ValueError:
-                    args, bad = None, ["arguments: not JSON"]
-                extra = [] if r["state"] == "ok" else [f"depends_on: {r['state']}"]
+                args, bad, extra = None, [], [] if r["state"] == "ok" else [f"depends_on: {r['state']}"]
+                if not r["n_calls"]:
+                    bad = ["call: missing"]
+                else:
+                    try:
+                        args = parsed(r["arguments"])
+                        bad = check(args, schemas[r["name"]]) if r["name"] in schemas else ["unknown tool"]
+                    except ValueError:
+                        bad = ["arguments: not JSON"]
+                    except RecursionError:
+                        args, bad = None, ["arguments: nested too deeply"]
+                extra += ["call_id: missing"] * (r["call_id"] is None)
                 extra += ["result: missing"] * (r["n_results"] == 0)
                 extra += ["call: repeated id"] * (r["n_calls"] > 1) + ["result: repeated"] * (r["n_results"] > 1)
                 valid.append(not bad)
@@ -158,7 +219,8 @@ def from_conversations(conv: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results that a conversation's turns stand for.
 
     A user turn calls a tool chosen by its text's md5 and depends on the user
-    turn two before; the assistant's next turn is the result.
+    turn two before; the assistant's next turn is the result. Turns of other roles
+    stand for nothing; those without a conversation or turn have no call id.
     """
     text = F.coalesce("text", F.lit(""))
     ident = lambda t: F.concat(F.lit("call_"), F.col("conv_id").cast("string"), F.lit("_"), t.cast("string"))

@@ -100,7 +100,8 @@ def test_tool_calls_of_odd_rows(spark):
             ("x", 0, "user", "hello")]
     conv = spark.createDataFrame(rows, "conv_id string, turn int, role string, text string").withColumn("name", F.lit(1))
     got = {r.call_id: r for r in tool_calls.link_tool_calls(*tool_calls.from_conversations(conv), tool_calls.SCHEMAS).collect()}
-    assert set(got) == {"call_x_0", "call_-1_0", "call_-1_2"}
+    assert set(got) == {"call_x_0", "call_-1_0", "call_-1_2", None}
+    assert "call_id: missing" in got[None].errors
     assert got["call_x_0"].n_calls == 2 == got["call_x_0"].n_results
     assert [got[c].position for c in ("call_-1_0", "call_-1_2", "call_x_0")] == [0, 1, 0]
     calls, results = tool_calls.from_conversations(conv.where("false"))

@@ -140,6 +140,29 @@ def test_suspects_miss_nothing():
         assert {i for i, x in enumerate(t) if brute_base(x) or pii.candidates(x)} <= found
 
 
+def test_suspects_cover_random_strings():
+    rng, parts = random.Random(6), ["sk-", "ghp_", "xoxb-", "AKIA", "abcdef", "ABC", "09", "+", "/", "=", " ", "-", "x", "z" * 12, "a1",
+                                    "Dr. Who", "(at)", "[dot]", "@", ".", "deadbeef" * 3, "q" * 70 + "7"]
+    t = ["sk-abcdefghijklmnopqrst", "ghp_abcdefghijklmnopqrstuvwx", "abcdefabcdefabcd", "x abcdefabcdefabcd y"]
+    t += ["".join(rng.choices(parts, k=rng.randrange(1, 14))) for _ in range(6000)]
+    for lo, data, off in K.text_chunks(pa.array(t)):
+        found = set((lo + pii._suspects(data, off)).tolist())
+        want = {i for i, x in enumerate(t[lo:lo + len(off) - 1], lo) if brute_base(x) or pii.candidates(x)}
+        assert want <= found, [t[i] for i in sorted(want - found)][:5]
+    # whole keys, however long, and in linear time
+    for key in ("sk-" + "a" * 300, "a1" * 200, "deadbeef" * 40, "A+b/1" * 60):
+        spans = [c for c in pii.candidates("key " + key + " end") if c[2] - c[1] >= len(key)]
+        assert spans, key
+    for run in ("+" * 200_000, "a/" * 100_000, "0" * 200_000, "abc" * 100_000):
+        pii.candidates(run)
+
+
+def test_dictionary_of_long_texts():
+    rng = random.Random(1)
+    few = [bytes(rng.choices(b"abcdefgh", k=20_000)) for _ in range(5)]
+    assert len(token_files.train_dictionary(few)) > 0
+
+
 def test_pii_of_nothing(spark):
     d = spark.createDataFrame([], "doc_id long, text string, n_chars long")
     assert pii.find_pii(d).count() == 0 and pii.redact(d).count() == 0
