@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslake.llm.common import table
@@ -11,6 +11,7 @@ from corpuslake.llm.near_dups import near_duplicates
 from corpuslake.llm.packing import pack_documents
 from corpuslake.llm.pii import redact
 from corpuslake.llm.quality_forest import keep_good
+from corpuslake.operators.skew import skew_join
 from corpuslake.session import write_table
 
 
@@ -20,16 +21,23 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of every class of near duplicates.
+    """One document of every class of near duplicates, that of smallest id (a null id last).
 
-    Rows with a null id stay; of rows that share an id one stays.
+    Rows are told apart by a number of their own, written first: rows that share an id
+    are compared each by its text, and one of several equal rows stays.
     """
-    gone = near_duplicates(docs, k=5, percent=80).where("not kept").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti")
-    same = Window.partitionBy("doc_id").orderBy("doc_id")
-    known = left.where("doc_id is not null").withColumn("_row", F.row_number().over(same)) \
-        .where("_row = 1").drop("_row")
-    return known.select(docs.columns).unionByName(left.where("doc_id is null").select(docs.columns))
+    row, taken = "_row", set(docs.columns)
+    while row in taken:
+        row = "_" + row
+    at = write_table(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    classes = near_duplicates(at, id_col=row, k=5, percent=80).where("n_shingles > 0") \
+        .select(F.col(row).alias("_r"), F.col("component_id").alias("_c"))
+    many = write_table(classes.groupBy("_c").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_c"), "classes")
+    copies = write_table(skew_join(write_table(classes, "classes"), many, "_c", spread=["_r"]), "copies")
+    ids = at.select(F.col(row).alias("_r"), F.col("doc_id").alias("_d")).join(copies, "_r")
+    stay = ids.groupBy("_c").agg(F.min(F.struct(F.col("_d").isNull(), "_d", "_r")).alias("_s")).select(F.col("_s._r").alias("_r"))
+    gone = copies.join(stay, "_r", "left_anti").select(F.col("_r").alias(row))
+    return at.join(gone, row, "left_anti").select(docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
