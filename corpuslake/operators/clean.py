@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import fixed
+from ..functions import set_kernels as SK
 from ..functions.text import join_ordered
 from ..session import write_table
 from .linkage import banding, candidate_groups, connected_components, verified_components  # noqa: F401
 from .order import global_offsets, with_ordinal
+from .skew import skew_join
 
 
 # ---------------------------------------------------------------- B6 / B5 shards
@@ -108,10 +110,17 @@ def shard_texts(df: DataFrame, text_col: str = "text", order: str = "doc_id",
 # ---------------------------------------------------------------- B8 exact dedup
 
 def exact_dedup(df: DataFrame, text_col: str = "text", key: str = "doc_id") -> DataFrame:
-    """Keep the lowest key per identical text. Only (hash, key) is shuffled."""
-    h = df.select(key, F.sha2(F.col(text_col), 256).alias("_h"))
-    keep = h.groupBy("_h").agg(F.min(key).alias(key)).select(key)
-    return df.join(keep, key, "left_semi")
+    """Keep the lowest key per identical text. Only (hash, key) is shuffled.
+
+    Rows without a text are no copies of each other and stay, as do rows without a key,
+    which cannot be told apart by it. Rows that share a key stay where it is the lowest
+    of their own text.
+    """
+    t = df.withColumn("_h", F.sha2(F.col(text_col), 256))
+    known = F.col("_h").isNotNull() & F.col(key).isNotNull()
+    keep = t.where(known).groupBy("_h").agg(F.min(key).alias(key))
+    kept = t.where(known).join(keep, [key, "_h"], "left_semi").select(*df.columns)
+    return kept.unionByName(df.where(F.col(text_col).isNull() | F.col(key).isNull()))
 
 
 # ---------------------------------------------------------------- B10-B12 filters
@@ -142,11 +151,6 @@ def md5_long(*cols, seed=0) -> Column:
     return F.conv(F.substring(F.md5(s), 1, 15), 16, 10).cast("long")
 
 
-def md5_unit(*cols, seed=0) -> Column:
-    """Deterministic pseudo-random integer in [0, 1e6) from an md5 of the key."""
-    return F.pmod(md5_long(*cols, seed=seed), F.lit(1_000_000))
-
-
 def mixture_sample(df: DataFrame, class_col: str, weights: dict, seed: int = 0,
                    key: str = "doc_id") -> DataFrame:
     """Sample classes in the proportions ``weights`` keeping as many rows as
@@ -199,7 +203,7 @@ def augment_word_delete(df: DataFrame, text_col: str = "text", key: str = "doc_i
     a hash of (key, position, seed) so the result is reproducible."""
     words = F.split(F.col(text_col), fixed.WS + "+")
     kept = F.filter(words, lambda w, i: (F.length(w) > 0) & (
-        md5_unit(F.col(key), i, seed=seed) >= int(p * 1_000_000)))
+        md5_long(F.col(key), i, seed=seed) >= int(p * (1 << 60))))
     return df.withColumn(text_col, F.array_join(kept, " "))
 
 
@@ -208,7 +212,7 @@ def augment_sentence_shuffle(df: DataFrame, text_col: str = "text", key: str = "
     """Reorder sentences by a hash of (key, position, seed)."""
     sents = F.filter(sentence_pieces(text_col), lambda x: F.length(x) > 0)
     keyed = F.transform(sents, lambda s, i: F.struct(
-        md5_unit(F.col(key), i, seed=seed).alias("h"), s.alias("s")))
+        md5_long(F.col(key), i, seed=seed).alias("h"), s.alias("s")))
     return df.withColumn(text_col, F.array_join(F.transform(F.array_sort(keyed), lambda x: x["s"]), " "))
 
 
@@ -244,40 +248,52 @@ def _words_of(c) -> Column:
     return F.filter(F.split(F.lower(F.col(c)), fixed.WS + "+"), lambda w: F.length(w) > 0)
 
 
-def with_shingles(df: DataFrame, text_col: str, k: int, out: str = "shingles") -> DataFrame:
-    """Adds the distinct hashes of the word k-shingles (one shingle when there are
-    fewer words) in place of the text. The words are a column of their own, so
-    that no shingle splits the text again."""
-    keep = [c for c in df.columns if c != text_col]
-    w = F.col("_w")
-    sh = F.when(F.size(w) < k, F.array(F.xxhash64(F.array_join(w, " ")))).otherwise(
-        F.transform(F.sequence(F.lit(1), F.size(w) - k + 1),
-                    lambda i: F.xxhash64(F.array_join(F.slice(w, i, k), " "))))
-    return df.select(*keep, _words_of(text_col).alias("_w")).select(*keep, F.array_distinct(sh).alias(out))
+def _one_blank(c: str) -> Column:
+    """The lower-cased words of a text, one blank apart."""
+    return F.array_join(_words_of(c), " ")
 
 
-def _min_hash(shingles: str, j: int) -> Column:
-    # the permutation number is bound here: a lambda's second parameter would be the array index
-    return F.array_min(F.transform(shingles, lambda h: F.xxhash64(h, F.lit(j))))
+def minhash_signatures(df: DataFrame, text_col: str = "text", key: str = "doc_id", k: int = 5,
+                       bands: int = 32, rows: int = 4) -> DataFrame:
+    """``(key, fp, bands, sig)``: the identity of every text's set of word ``k``-shingles
+    (null for an empty one), its band keys and its signature as 16-bit values.
 
+    Signatures are one-permutation min-hashes: one hash per shingle, whatever their length.
+    """
+    m = bands * rows
 
-def minhash_signatures(df: DataFrame, text_col: str = "text", key: str = "doc_id",
-                       k: int = 5, num_perm: int = 64) -> DataFrame:
-    """``(key, shingles, sig)``: distinct word k-shingle hashes and min-hashes."""
-    d = with_shingles(df.select(key, text_col), text_col, k)
-    return d.select(key, "shingles", F.array(*[_min_hash("shingles", j) for j in range(num_perm)]).alias("sig"))
+    def run(it):
+        for rb in it:
+            for lo, data, at in SK.pieces(rb.column(1)):
+                code, bounds = SK.shingle_sets(data, at, k)
+                sig = SK.one_permutation(code, bounds, m)
+                n = len(at) - 1
+                keys = SK.band_keys(sig, bands, rows).astype(np.int64)
+                short = SK.mixed(sig, 11).astype(np.uint16)
+                yield pa.RecordBatch.from_arrays([
+                    rb.column(0).slice(lo, n), pa.array(SK.identities(code, bounds), pa.binary()),
+                    pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * bands), pa.array(keys.ravel())),
+                    pa.array([x.tobytes() for x in short], pa.binary())], names=[key, "fp", "bands", "sig"])
+
+    return df.select(F.col(key).cast("long").alias(key), _one_blank(text_col).alias("text")) \
+        .mapInArrow(run, f"`{key}` long, fp binary, bands array<long>, sig binary")
+
+
+def shingle_sets(df: DataFrame, text_col: str, k: int) -> DataFrame:
+    """The text column replaced by ``codes``, its distinct shingles as 64-bit values."""
+    keep = [c for c in df.columns if c != text_col]
 
+    def run(it):
+        for rb in it:
+            for lo, data, at in SK.pieces(rb.column(len(keep))):
+                code, bounds = SK.shingle_sets(data, at, k)
+                yield pa.RecordBatch.from_arrays(
+                    [rb.column(i).slice(lo, len(at) - 1) for i in range(len(keep))]
+                    + [pa.array([code[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])], pa.binary())],
+                    names=[*keep, "codes"])
 
-def _packed(it, col: int, dtype):
-    """The list column ``col`` as binary of ``dtype`` values, other columns as they are."""
-    for rb in it:
-        lists = rb.column(col)
-        at = lists.offsets.to_numpy()
-        v = lists.values.to_numpy(zero_copy_only=False).astype(np.uint64)
-        out = [v[a:b].astype(dtype).tobytes() for a, b in zip(at[:-1], at[1:])]
-        cols = list(rb.columns)
-        cols[col] = pa.array(out, pa.binary())
-        yield pa.RecordBatch.from_arrays(cols, names=rb.schema.names)
+    types = T.StructType([df.schema[c] for c in keep] + [T.StructField("codes", T.BinaryType())])
+    return df.select(*keep, _one_blank(text_col).alias(text_col)).mapInArrow(run, types)
 
 
 def near_dup_minhash(df: DataFrame, text_col: str = "text", key: str = "doc_id",
@@ -293,28 +309,24 @@ def near_dup_minhash(df: DataFrame, text_col: str = "text", key: str = "doc_id",
     the banding is that of :func:`linkage.banding`: a link at the threshold shares
     no band in fewer than one case in a million (4.7e-8 at 0.8), above it more
     rarely. ``component`` is the smallest key of the class, ``keep`` marks it; a
-    document without links is its own component. Keys are integers and identify rows.
+    document without links is its own component, and so is every null, empty or wordless
+    text, whose set is empty. Keys are integers and identify rows.
     """
     if bands is None or rows is None:
         bands, rows = banding(threshold)
-    d = df.select(F.col(key).cast("long").alias("id"), text_col)
-    sig = write_table(minhash_signatures(d, text_col, "id", k, bands * rows).select(
-        "id", "sig", F.sha2(F.concat_ws(",", F.transform(F.array_sort("shingles"),
-                                                         lambda h: h.cast("string"))), 256).alias("fp")), "minhash")
-    reps = sig.groupBy("fp").agg(F.min("id").alias("rep"))
-    own = sig.join(reps, F.col("id") == F.col("rep"), "left_semi")
-    keys = F.array(*[F.xxhash64(F.lit(b), F.slice("sig", b * rows + 1, rows)) for b in range(bands)])
-    cells = own.select(F.col("id").alias("rep"), F.explode(keys).alias("key")).distinct()
-    short = own.select(F.col("id").alias("rep"), F.transform("sig", lambda h: F.xxhash64(h)).alias("sig")) \
-        .mapInArrow(lambda it: _packed(it, 1, np.uint16), "rep long, sig binary")
     m = bands * rows
+    d = df.select(F.col(key).cast("long").alias("id"), text_col)
+    sig = write_table(minhash_signatures(d, text_col, "id", k, bands, rows), "minhash")
+    reps = write_table(sig.where("fp is not null").groupBy("fp").agg(F.min("id").alias("rep")), "set-reps")
+    own = sig.join(reps.select(F.col("rep").alias("id")), "id").select(F.col("id").alias("rep"), "bands", "sig")
+    cells = own.select("rep", F.posexplode("bands").alias("band", "h")).select("rep", F.xxhash64("band", "h").alias("key"))
     agree = math.floor(m * max(threshold - 5 * math.sqrt(threshold * (1 - threshold) / m), 0))
-    groups = candidate_groups(cells, short, agree, m, bucket)
-    sets = with_shingles(d.join(groups, "id").select("id", "grp", text_col), text_col, k, "codes") \
-        .mapInArrow(lambda it: _packed(it, 2, np.uint64), "id long, grp long, codes binary")
+    groups = candidate_groups(cells, own.select("rep", "sig"), agree, m, bucket)
+    sets = shingle_sets(d.join(groups, "id").select("id", "grp", text_col), text_col, k)
     labels = verified_components(write_table(sets, "shingles"), round(100 * threshold), block_rows, block_items)
     head = reps.join(labels.withColumnRenamed("node", "rep"), "rep", "left") \
         .select("fp", F.coalesce("label", "rep").alias("component"))
-    return sig.select("id", "fp").join(head, "fp").select(
-        F.col("id").cast(df.schema[key].dataType).alias(key), "component",
-        (F.col("id") == F.col("component")).alias("keep"))
+    out = skew_join(sig.select("id", "fp"), head, "fp", "left", spread=["id"])
+    component = F.coalesce("component", "id")
+    return out.select(F.col("id").cast(df.schema[key].dataType).alias(key), component.alias("component"),
+                      (F.col("id") == component).alias("keep"))

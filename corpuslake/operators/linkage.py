@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -159,21 +160,78 @@ def verified_edges(blocks: DataFrame, percent: int) -> DataFrame:
     return blocks.groupBy("grp", "bi", "bj").applyInPandas(run, "src long, dst long")
 
 
-def verified_components(sets: DataFrame, percent: int, block_rows: int, block_items: int) -> DataFrame:
-    """``(node, label)`` of the exact links inside the groups of ``sets(id, grp, codes)``.
+LEADS = 3              # rounds of comparing a large group with one of its sets
+
 
-    A group of more than ``block_rows`` sets or ``block_items`` members is cut
-    into blocks by hash and every pair of blocks is a task of its own.
+def lead_links(members: DataFrame, percent: int) -> DataFrame:
+    """``(id, grp, linked)``: every set of ``members(id, grp, codes, rest)`` against its
+    group's lead, the smallest id among those with ``rest``; the lead is linked with itself.
+
+    Each set is read once; the lead's is copied to as many tasks as share the group.
+    """
+    lead = members.where("rest").groupBy("grp").agg(F.min("id").alias("lead"))
+    lead = lead.join(members.select(F.col("id").alias("lead"), F.col("codes").alias("first")), "lead")
+    both = skew_join(members.select("id", "grp", "codes"), lead, "grp", spread=["id"])
+
+    def run(it):
+        for rb in it:
+            col = {n: rb.column(i) for i, n in enumerate(rb.schema.names)}
+            hit = []
+            for x, y in zip(col["codes"].to_pylist(), col["first"].to_pylist()):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                few, many = (x, y) if len(x) <= len(y) else (y, x)
+                at = np.minimum(np.searchsorted(many, few), max(len(many) - 1, 0))
+                same = int((many[at] == few).sum()) if len(many) else 0
+                hit.append(100 * same >= percent * (len(x) + len(y) - same))
+            yield pa.RecordBatch.from_arrays([col["id"], col["grp"], col["lead"], pa.array(hit, pa.bool_())],
+                                             names=["id", "grp", "lead", "linked"])
+
+    return both.mapInArrow(run, "id long, grp long, lead long, linked boolean")
+
+
+def verified_components(sets: DataFrame, percent: int, block_rows: int, block_items: int) -> DataFrame:
+    """``(node, label)`` of the exact links inside the groups of ``sets(id, grp, codes)``;
+    ``codes`` are ascending.
+
+    A group of up to ``block_rows`` sets and ``block_items`` members is one task. A
+    larger one is first compared with a few lead sets, one after the other. Sets linked
+    with the first lead, or with a later one that itself meets them, are connected and
+    need not be compared with each other; only the others go in blocks against all
+    blocks of the group. Where nearly all sets are near copies of one text, a set is so
+    copied a few times, however large the group.
     """
-    need = sets.groupBy("grp").agg(F.count(F.lit(1)).alias("n"),
-                                   F.sum(F.length("codes") / 8).alias("items"))
-    need = need.select("grp", F.ceil(F.greatest(F.col("n") / block_rows,
-                                                F.col("items") / block_items)).alias("nb"))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("nb") - 1, F.lit(1))
-                                 .cast("long")))
-    blocks = sets.join(need, "grp").withColumn("me", F.pmod(F.xxhash64("id"), F.col("nb"))) \
-        .withColumn("o", other) \
-        .where((F.col("nb") == 1) & (F.col("o") == 1) | (F.col("nb") > 1) & (F.col("o") != F.col("me"))) \
-        .select("id", "codes", "grp", F.least("me", "o").alias("bi"),
-                F.greatest("me", "o").alias("bj"))
-    return connected_components(write_table(verified_edges(blocks, percent).distinct(), "links"))
+    need = sets.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("codes") / 8).alias("items"))
+    need = need.select("grp", F.ceil(F.greatest(F.col("n") / block_rows, F.col("items") / block_items)).cast("long").alias("nb"))
+    need = write_table(need.where("nb > 1"), "large-groups")
+    zero = F.lit(0).cast("long")
+    # large groups are few: each holds more than a block
+    small = sets.join(F.broadcast(need.select("grp")), "grp", "left_anti") \
+        .select("id", "codes", "grp", zero.alias("bi"), zero.alias("bj"))
+    if need.limit(1).count() == 0:
+        return connected_components(write_table(verified_edges(small, percent).distinct(), "links"))
+    large = write_table(sets.join(F.broadcast(need), "grp").withColumn("rest", F.lit(True)), "large-sets")
+    edges = []
+    for i in range(LEADS):
+        near = write_table(lead_links(large, percent).where("linked"), "lead-links")
+        edges.append(near.where("id != lead").select(F.col("lead").alias("src"), F.col("id").alias("dst")))
+        if i == 0:
+            joined = near.select("id")
+        else:                                            # a star that meets the connected ones
+            met = near.join(large.where("not rest").select("id"), "id", "left_semi").select("grp").distinct()
+            joined = near.join(met, "grp", "left_semi").select("id")
+        flag = joined.distinct().withColumn("_in", F.lit(True))
+        large = write_table(large.join(flag, "id", "left").withColumn("rest", F.col("rest") & F.col("_in").isNull())
+                            .drop("_in"), "large-sets")
+        if large.where("rest").limit(1).count() == 0:
+            break
+    left = large.where("rest").groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("long").alias("nr"))
+    dealt = large.join(left, "grp").withColumn("h", F.xxhash64("id"))
+    to = F.explode(F.sequence(zero, F.col("nr") - 1))
+    as_member = dealt.select("id", "codes", "grp", to.alias("bi"), F.pmod("h", "nb").alias("bj"))
+    as_rest = dealt.where("rest").select("id", "codes", "grp", F.pmod("h", "nr").alias("bi"),
+                                         F.explode(F.sequence(zero, F.col("nb") - 1)).alias("bj"))
+    pairs = as_member.unionByName(as_rest).dropDuplicates(["id", "grp", "bi", "bj"])
+    links = verified_edges(small.unionByName(pairs), percent)
+    for e in edges:
+        links = links.unionByName(e)
+    return connected_components(write_table(links.distinct(), "links"))

@@ -333,12 +333,12 @@ def e15_adherence_rate(spark, sf):
 
 @query("e17_learning_curve")
 def e17_learning_curve(spark, sf):
-    from ..operators.clean import md5_unit
+    from ..operators.clean import md5_long
     f = E.term_vectors(labelled(spark, sf))       # one table for all fits
     train, val = f.where(F.col("split") == "train"), f.where(F.col("split") == "val")
     rows = []
     for frac in (0.25, 0.5, 1.0):
-        _, pred = E.fit_logreg(val, train.where(md5_unit("doc_id", seed=11) < int(frac * 1_000_000)))
+        _, pred = E.fit_logreg(val, train.where(md5_long("doc_id", seed=11) < int(frac * (1 << 60))))
         acc = E.accuracy(pred)
         rows.append(acc.select(F.lit(frac).alias("fraction"), F.round("accuracy", 6).alias("accuracy"), "n"))
     out = rows[0]

@@ -242,7 +242,7 @@ def b7_normalize_unicode(spark, sf):
 @query("b9_near_dup_minhash", f"""
 WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), {sq(fixed.WS + '+')}), lambda x: length(x) > 0) AS w FROM documents),
 s AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 4], ' ') END AS g
-      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w) z),
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0) z),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b USING (g) WHERE a.doc_id < b.doc_id GROUP BY 1, 2),
 e AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 80 * (a.n + b.n - c)),
@@ -255,8 +255,8 @@ def b9_near_dup_minhash(spark, sf):
 
 @query("b17_augment_word_delete", f"""
 SELECT doc_id, md5(array_to_string(list_filter(w, lambda x, i: length(x) > 0 AND
-         ('0x' || substr(md5(doc_id::VARCHAR || ':' || (i - 1)::VARCHAR || ':3'), 1, 15))::BIGINT % 1000000
-         >= 100000), ' ')) AS md5
+         ('0x' || substr(md5(doc_id::VARCHAR || ':' || (i - 1)::VARCHAR || ':3'), 1, 15))::BIGINT
+         >= {int(0.1 * (1 << 60))}), ' ')) AS md5
 FROM (SELECT doc_id, regexp_split_to_array(text, {sq(fixed.WS + '+')}) AS w FROM documents) z""")
 def b17_augment(spark, sf):
     d = table(spark, sf, "documents")
@@ -267,7 +267,7 @@ def b17_augment(spark, sf):
 @query("b17_augment_sentence_shuffle", f"""
 SELECT doc_id, md5(array_to_string(list_transform(list_sort(list_transform(
          list_filter(p, lambda x: length(x) > 0),
-         lambda x, i: {{'h': ('0x' || substr(md5(doc_id::VARCHAR || ':' || (i - 1)::VARCHAR || ':4'), 1, 15))::BIGINT % 1000000,
+         lambda x, i: {{'h': ('0x' || substr(md5(doc_id::VARCHAR || ':' || (i - 1)::VARCHAR || ':4'), 1, 15))::BIGINT,
                        's': x}})), lambda z: z.s), ' ')) AS md5
 FROM (SELECT doc_id, string_split(regexp_replace(text, {sq('([.!?])' + fixed.WS + '+')}, '\\1' || chr(57346), 'g'),
                                   chr(57346)) AS p FROM documents) z""")
