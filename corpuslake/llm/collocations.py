@@ -13,12 +13,13 @@ size (``bits`` per length, saturating at the threshold), which sum what the step
 counted so far. Such a counter is never below the phrase's own count, so nothing
 frequent is missed; a shared bucket only activates a phrase that needn't be. Exact
 counts, keyed by the phrase's text, begin when its own counter has reached the
-threshold and likewise cover one full cycle; the longest phrases have no use for a
-counter and are counted exactly at once. The last activations fall into the cycle of
-their length, so ``max_len`` cycles always end it.
+threshold and likewise cover one full cycle. The last activations fall into the cycle
+of their length, so ``max_len + 1`` cycles always end it. Counters are fixed in size:
+a corpus of many more distinct phrases than counters is counted as rightly, with less
+left out.
 
 Every step is a map over its shard: counts leave a task already summed, and counters
-as compressed slices. Only the counters' final slices (at most 80 MB by default,
+as compressed slices. Only the counters' final slices (at most 72 MB by default,
 whatever the corpus) pass through the driver. Exact counts meet in one aggregate.
 
 Defined results: a null language is ``und``, null, empty and wordless texts hold
@@ -43,12 +44,12 @@ from ..operators.order import partitioned_offsets
 from ..session import scratch_path, write_table
 from . import kernels as K
 
-SHARDS = 4
-BITS = (24, 25, 25)      # log2 of the counters of one-word, two-word, ... phrases
+SHARDS = 3
+BITS = (23, 25, 25)      # log2 of the counters of one-word, two-word, ... phrases
 SLICE = 1 << 16          # counters in one slice
 FAN_IN = 256             # slices summed at once
 CHUNK = 1 << 19
-HELD = 1 << 18           # counted rows that a task holds
+HELD = 1 << 19           # counted rows that a task holds
 NEVER = 255              # step of a counter that has not reached the threshold
 _BREAK = K.byte_class(b".,;:!?\n\v\f\r")
 _GAP = _BREAK | K.byte_class(b" \t")
@@ -111,7 +112,7 @@ def starts(p: Phrases, ripe: list[np.ndarray], bits) -> tuple[list[np.ndarray],
             a[:-1] = np.maximum(own[-1][:-1], own[-1][1:])
             a[~p.whole[k]] = NEVER
         active.append(a)
-        own.append(np.maximum(a, ripe[k][p.hash[k] >> np.uint64(64 - bits[k])]) if k < len(ripe) else a)
+        own.append(np.maximum(a, ripe[k][p.hash[k] >> np.uint64(64 - bits[k])]))
     return active, own
 
 
@@ -169,12 +170,12 @@ def step_counts(shard: DataFrame, step: int, shards: int, threshold: int, max_le
                     continue
                 active, own = starts(p, steps, bits)
                 for k in range(max_len):
-                    if k < max_len - 1:
-                        h = p.hash[k][p.whole[k] & in_cycle(active[k])]
-                        if len(h):
-                            cell, n = np.unique(h >> np.uint64(64 - bits[k]), return_counts=True)
-                            c = counter.setdefault(k, np.zeros(1 << bits[k], np.uint8))
-                            c[cell] = np.minimum(c[cell].astype(np.int64) + n, threshold)
+                    h = p.hash[k][p.whole[k] & in_cycle(active[k])]
+                    if len(h):
+                        cell, n = np.unique(h >> np.uint64(64 - bits[k]), return_counts=True)
+                        if k not in counter:
+                            counter[k] = np.zeros(1 << bits[k], np.uint8)
+                        counter[k][cell] = np.minimum(counter[k][cell].astype(np.int64) + n, threshold)
                     where = np.flatnonzero(p.whole[k] & in_cycle(own[k]))
                     if len(where):
                         d = pc.dictionary_encode(p.strings(where, k))
@@ -226,7 +227,7 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
                   threshold: int = 10, shards: int = SHARDS, bits=BITS) -> tuple[DataFrame, DataFrame]:
     """``(lang, k, phrase, f)`` of every phrase of up to ``max_len`` words that occurs
     ``threshold`` times or more in its language, and ``(lang, n)``, words by language."""
-    if not (1 <= threshold < NEVER and 1 <= max_len <= len(bits) and max_len * shards < NEVER):
+    if not (1 <= threshold < NEVER and 1 <= max_len <= len(bits) and (max_len + 1) * shards < NEVER):
         raise ValueError("threshold, length or shards beyond what a counter's byte holds")
     spark = docs.sparkSession
     home, out = scratch_path(spark, "dic-shards"), scratch_path(spark, "dic-counts")
@@ -235,8 +236,8 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
                 F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int").alias("shard")) \
         .write.partitionBy("shard").option("compression", "zstd").parquet(home)
     texts = spark.read.schema("lang string, text string, shard int").parquet(home)
-    count = [np.zeros(1 << bits[k], np.uint8) for k in range(max_len - 1)]
-    ripe = [np.full(1 << bits[k], NEVER, np.uint8) for k in range(max_len - 1)]
+    count = [np.zeros(1 << bits[k], np.uint8) for k in range(max_len)]
+    ripe = [np.full(1 << bits[k], NEVER, np.uint8) for k in range(max_len)]
     last, step = shards, 0
     while step < last:
         step += 1
