@@ -58,3 +58,6 @@ WS_CHARS = (r"\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
 WS = "[" + WS_CHARS + "]"
 # Word characters as Python's str \w: letters, numbers, underscore.
 WORD_CHARS = r"\p{L}\p{N}_"
+
+# --- fixed value: first line of tokenizer model files in text form.
+MODEL_FILE_VERSION = "minbpe v1"

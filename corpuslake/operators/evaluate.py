@@ -12,6 +12,7 @@ from ..functions import fixed
 from ..functions.text import word_split
 from ..session import cut_lineage, scratch_path, write_table
 from .order import global_offsets, partitioned_offsets, with_ordinal
+from .skew import heavy_hitters, skew_join
 
 TERM_PATTERN = "[" + fixed.WORD_CHARS + "]{2,}"     # runs of >= 2 word characters
 
@@ -228,17 +229,22 @@ def ngram_lm_fit(train: DataFrame, tokens_col: str = "tokens", key: str = "doc_i
 def map_unknown(df: DataFrame, lm: dict, tokens_col: str = "tokens", key: str = "doc_id") -> DataFrame:
     """Replace tokens outside the LM vocabulary with ``<|unk|>`` (join, in order)."""
     ex = df.select(key, F.posexplode(tokens_col).alias("pos", "tok"))
-    j = ex.join(lm["vocab"].withColumn("_in", F.lit(True)), "tok", "left")
+    j = skew_join(ex, lm["vocab"].withColumn("_in", F.lit(True)), "tok", "left", spread=[key, "pos"])
     g = j.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(
         "pos", F.when(F.col("_in"), F.col("tok")).otherwise(F.lit(fixed.UNK)).alias("t")))).alias("_p"))
     return g.select(key, F.transform("_p", lambda x: x["t"]).alias(tokens_col))
 
 
 def token_logprobs(df: DataFrame, lm: dict, tokens_col: str = "tokens", key: str = "doc_id") -> DataFrame:
-    """``(key, pos, logp)``: add-k bigram log-probabilities of each next token."""
-    bg = bigrams(map_unknown(df, lm, tokens_col, key), tokens_col, key)
+    """``(key, pos, logp)``: add-k bigram log-probabilities of each next token.
+
+    Both joins deal hot pairs and hot first tokens over tasks; the mapped tokens are
+    written once, as the sketches read them too."""
+    bg = bigrams(write_table(map_unknown(df, lm, tokens_col, key), "mapped"), tokens_col, key)
     k, V = lm["k"], lm["V"]
-    j = bg.join(lm["pair"], ["prev", "next"], "left").join(lm["prev"], "prev", "left")
+    first = heavy_hitters(bg, ["prev"])
+    j = skew_join(skew_join(bg, lm["pair"], ["prev", "next"], "left", spread=[key, "pos"]), lm["prev"], "prev", "left",
+                  spread=[key, "pos"], salts=first)
     p = (F.coalesce(F.col("c_pair"), F.lit(0)) + k) / (F.coalesce(F.col("c_prev"), F.lit(0)) + k * V)
     return j.select(key, "pos", F.log(p).alias("logp"))
 

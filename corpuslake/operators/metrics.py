@@ -105,13 +105,16 @@ def plateau_stop(evals: DataFrame, patience: int, run: str = "run", step: str =
         .agg(F.min(step).alias("stop_at"))
 
 
-def smooth_loss(st: DataFrame, w: int, run: str = "run", loss: str = "loss") -> DataFrame:
+def smooth_loss(st: DataFrame, w: int, run: str = "run", loss: str = "loss", block: int | None = None) -> DataFrame:
     """H8: mean of the loss over the last ``w`` steps, only where the window
-    is full. Each step is sent to the ``w`` windows it belongs to, so groups
-    hold exactly ``w`` rows whatever the size of a run (a difference of running
-    sums would need fewer rows but loses digits over long runs)."""
-    ex = st.select(run, loss, F.explode(F.sequence(F.col("step"), F.col("step") + w - 1)).alias("end"))
-    g = ex.groupBy(run, "end").agg(F.avg(loss).alias("smooth_loss"), F.count(F.lit(1)).alias("_n"))
-    last = st.groupBy(run).agg(F.max("step").alias("_max"))
-    return g.join(last, run).where((F.col("_n") == w) & (F.col("end") <= F.col("_max"))) \
-        .select(run, F.col("end").alias("step"), "smooth_loss")
+    is full. Steps are cut into blocks of ``block`` (16 windows if not given); a step is
+    copied to the next block only where that block's first windows reach back to it, and
+    the window runs inside (run, block), so no run is gathered in a task."""
+    block = max(block or 16 * w, w)
+    own = F.floor(F.col("step") / block)
+    to = F.array_distinct(F.array(own, F.floor((F.col("step") + w - 1) / block)))
+    ex = st.select(run, "step", loss, own.alias("_own"), F.explode(to).alias("_blk"))
+    last = Window.partitionBy(run, "_blk").orderBy("step").rangeBetween(1 - w, 0)
+    d = ex.select(run, "step", "_own", "_blk", F.avg(loss).over(last).alias("smooth_loss"),
+                  F.count(F.lit(1)).over(last).alias("_n"))
+    return d.where((F.col("_own") == F.col("_blk")) & (F.col("_n") == w)).select(run, "step", "smooth_loss").distinct()

@@ -191,6 +191,19 @@ def longest_encoded_length(df: DataFrame, ids_col: str = "ids") -> DataFrame:
     return df.agg(F.max(F.size(ids_col)).cast("long").alias("max_length"))
 
 
+def context_length(df: DataFrame, option: str, model_length: int, ids_col: str = "ids") -> DataFrame:
+    """One row ``(context_length)``: the model's own length for
+    ``model_context_length``, that of the longest row for ``longest_training_example``,
+    or the number that ``option`` spells; ValueError for anything else."""
+    if option == "longest_training_example":
+        return longest_encoded_length(df, ids_col).withColumnRenamed("max_length", "context_length")
+    try:
+        n = int(model_length if option == "model_context_length" else option)
+    except ValueError:
+        raise ValueError(f"context length {option!r} is no option and no number") from None
+    return df.sparkSession.range(1).select(F.lit(n).cast("long").alias("context_length"))
+
+
 def context_pairs(df: DataFrame, k: int, ids_col: str = "ids", key: str = "doc_id") -> DataFrame:
     """Prefixes of length 1..k and the token that follows each."""
     m = F.least(F.lit(k), F.size(ids_col) - 1)
@@ -200,12 +213,19 @@ def context_pairs(df: DataFrame, k: int, ids_col: str = "ids", key: str = "doc_i
                     F.element_at(ids_col, F.col("i") + 1).alias("next_id"))
 
 
-def split_token_counts(seqs: DataFrame, B: int, L: int, ratio: float | None = None,
+def split_token_counts(seqs: DataFrame, B: int, L: int, total_tokens, ratio: float = 0.9,
                        drop_last: bool = True) -> DataFrame:
-    """Sequences, batches and tokens per split; ``too_small`` when the
-    split cannot fill one sequence."""
+    """Sequences, batches and tokens of both splits, also of one without a sequence.
+
+    ``too_small`` warns where the split's share of ``total_tokens`` (a number or a
+    column; ``ratio`` of it for train, the rest for val) is below one context of ``L``.
+    """
+    spark = seqs.sparkSession
+    shares = spark.createDataFrame([("train", float(ratio)), ("val", 1 - float(ratio))], "split string, _share double")
     g = seqs.groupBy("split").agg(F.count(F.lit(1)).cast("long").alias("n_seqs"),
                                   F.sum(F.size("input_ids")).cast("long").alias("n_tokens"))
+    g = shares.join(g, "split", "left").fillna(0, ["n_seqs", "n_tokens"])
     nb = F.floor(F.col("n_seqs") / B) if drop_last else _ceil_div(F.col("n_seqs"), B)
+    total = total_tokens if isinstance(total_tokens, Column) else F.lit(total_tokens)
     return g.select("split", "n_seqs", nb.cast("long").alias("n_batches"), "n_tokens",
-                    (F.col("n_tokens") < L).alias("too_small"))
+                    (F.coalesce(total, F.lit(0)) * F.col("_share") < L).alias("too_small"))

@@ -32,18 +32,19 @@ def heavy_hitters(rows: DataFrame, keys: list[str], hot: int = HOT) -> dict[int,
 
 
 def skew_join(rows: DataFrame, build: DataFrame, on: list[str] | str, how: str = "inner",
-              spread: list[str] | None = None, hot: int = HOT) -> DataFrame:
+              spread: list[str] | None = None, hot: int = HOT, salts: dict[int, int] | None = None) -> DataFrame:
     """``rows`` joined (``inner`` or ``left``) with ``build`` on equal ``on`` columns.
 
     ``spread`` are columns of ``rows`` that tell rows of a hot key apart (all columns
     if not given): a row's salt is a hash of them, so a lost task deals its rows alike.
-    ``rows`` is read twice, once for its keys alone. Null keys match nothing; in a left
-    join they are dealt over tasks as well.
+    ``rows`` is read twice, once for its keys alone, unless ``salts`` gives the
+    :func:`heavy_hitters` of the same keys. Null keys match nothing; in a left join they
+    are dealt over tasks as well.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left"):
         raise ValueError(f"no {how} join here")
-    salts = heavy_hitters(rows, keys, hot)
+    salts = heavy_hitters(rows, keys, hot) if salts is None else salts
     known = _known(keys)
     if how == "inner":
         rows = rows.where(known)

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .skew import skew_join
+
 
 def dvec(c) -> Column:
     c = F.col(c) if isinstance(c, str) else c
@@ -38,11 +40,11 @@ def embedding_lookup(tokens: DataFrame, table: DataFrame, ids_col: str = "ids",
                      key: str = "doc_id", table_id: str = "vec_id",
                      table_vec: str = "embedding") -> DataFrame:
     """G1: ``(key, pos, vec)``: each token id replaced by its table row; an id
-    that the table lacks raises."""
+    that the table lacks raises. Hot ids are dealt over tasks."""
     ex = tokens.select(key, F.posexplode(ids_col).alias("pos", "_id"))
     t = table.select(F.col(table_id).alias("_id"), dvec(table_vec).alias("_vec"))
     lost = F.raise_error(F.concat(F.lit("id not in the table: "), F.col("_id").cast("string")))
-    return ex.join(t, "_id", "left").select(
+    return skew_join(ex, t, "_id", "left", spread=[key, "pos"]).select(
         key, "pos", F.coalesce("_vec", lost.cast("array<double>")).alias("vec"))
 
 

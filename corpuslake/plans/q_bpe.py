@@ -195,9 +195,50 @@ def i2_stream_encode(spark, sf):
     return out.select("doc_id", "n_tokens")
 
 
+@query("i2_running_totals", """
+SELECT count(*)::BIGINT AS docs_seen, sum(strlen(text))::BIGINT AS tokens_seen FROM documents""")
+def i2_running_totals(spark, sf):
+    """Totals after the last of several micro-batches, under the vocabulary of bytes alone."""
+    from ..session import scratch_path
+    folder = scratch_path(spark, "i2-files")
+    table(spark, sf, "documents").repartition(4, "doc_id").write.parquet(folder)
+    s = ST.read_stream(spark, folder, ST.DOC_SCHEMA, max_files_per_trigger=1)
+    totals = ST.running_totals(ST.stream_encode(s, bpe.merges_from_rows(spark, []), name="i2t"))
+    return totals.agg(F.max_by("docs_seen", "batch").alias("docs_seen"), F.max_by("tokens_seen", "batch").alias("tokens_seen"))
+
+
 # ---------------------------------------------------------------- A1 / A2 / A5 - A9
 
 
+@query("a8_model_file")
+def a8_model_file(spark, sf):
+    """Merges learned here, as read back from the text model file."""
+    from ..session import scratch_path
+    m, _ = learned_merges(spark, sf)
+    prefix = scratch_path(spark, "a8-model")
+    readers.save_model_file(m, prefix, {fixed.ENDOFTEXT: 256 + N_MERGES})
+    loaded, specials, pattern = readers.load_model_file(spark, prefix + ".model")
+    assert specials == {fixed.ENDOFTEXT: 256 + N_MERGES} and pattern == fixed.GPT2_SPLIT_PATTERN
+    return loaded.select("rank", "left", "right", "new_id")
+
+
+@query("a8_json_files", """
+SELECT row_number() OVER (ORDER BY c) - 1 AS token_id, c AS token FROM (
+  SELECT DISTINCT unnest(string_split(text, '')) AS c FROM documents) z""")
+def a8_json_files(spark, sf):
+    """The corpus's characters by code point, as read back from the JSON vocabulary."""
+    from ..operators.order import with_ordinal
+    from ..session import scratch_path
+    chars = table(spark, sf, "documents").select(F.explode(F.array_distinct(F.split("text", ""))).alias("token")) \
+        .where("token != ''").distinct()
+    path = scratch_path(spark, "a8-json")
+    readers.save_json_files(with_ordinal(chars, "token", name="token_id"), bpe.merges_from_rows(spark, []),
+                            path + "-vocab.json", path + "-merges.json")
+    return readers.load_json_files(spark, path + "-vocab.json", path + "-merges.json")[1]
+
+
+
+
 _FILE = "CASE WHEN doc_id % 7 = 6 THEN 'doc_' || doc_id || '.md' WHEN doc_id % 5 = 4 THEN 'doc_' || doc_id || '.txt.utf8' ELSE 'doc_' || doc_id || '.txt' END"
 
 

@@ -267,7 +267,7 @@ def e13_extract_response(spark, sf):
 
 
 _D_BLEU_PAIRS = f"""
-pairs AS (SELECT p.conv_id * 100000 + p.turn AS pair_id, {d_word_split('p.output')} AS c, {d_word_split('b.text')} AS r
+pairs AS (SELECT p.conv_id * 4294967296 + p.turn AS pair_id, {d_word_split('p.output')} AS c, {d_word_split('b.text')} AS r
           FROM ({_D_PAIRS}) p JOIN benchmark b ON b.item_id = p.conv_id % (SELECT count(*) FROM benchmark))"""
 
 
@@ -276,7 +276,7 @@ def _bleu_pairs(spark, sf):
     b = table(spark, sf, "benchmark")
     n_items = b.select(F.count(F.lit(1))).scalar()
     return p.join(b, F.col("item_id") == F.pmod(F.col("conv_id"), n_items)) \
-        .select((F.col("conv_id") * 100000 + F.col("turn")).alias("pair_id"), F.col("output").alias("candidate"),
+        .select((F.shiftleft(F.col("conv_id"), 32) + F.col("turn")).alias("pair_id"), F.col("output").alias("candidate"),
                 F.col("text").alias("reference"))
 
 

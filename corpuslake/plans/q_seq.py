@@ -178,6 +178,17 @@ def d11_longest_encoded_length(spark, sf):
     return S.longest_encoded_length(_doc_ids(spark, sf))
 
 
+@query("d11_context_length", f"""
+WITH {d_ids('documents')} SELECT option, context_length::BIGINT AS context_length FROM (
+  SELECT 'model_context_length' AS option, 1024 AS context_length
+  UNION ALL SELECT 'longest_training_example', (SELECT max(len(ids)) FROM ids) UNION ALL SELECT '256', 256) z""")
+def d11_context_length(spark, sf):
+    ids, rows = _doc_ids(spark, sf), []
+    for option in ("model_context_length", "longest_training_example", "256"):
+        rows.append(S.context_length(ids, option, 1024).select(F.lit(option).alias("option"), "context_length"))
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
 @query("d12_context_pairs", f"""
 WITH {d_ids('documents')}
 SELECT doc_id, i::BIGINT AS context_len, {_d('ids[1:i]')} AS context, ids[i + 1] AS next_id
@@ -196,12 +207,13 @@ c AS (SELECT floor(0.9::DOUBLE * count(*))::BIGINT AS cut, count(*) AS nt FROM g
 s AS (SELECT split, side_n FROM (VALUES ('train'), ('val')) x(split), c,
       LATERAL (SELECT CASE WHEN split = 'train' THEN cut ELSE nt - cut END AS side_n) y),
 k AS (SELECT split, CASE WHEN side_n > {_L5} THEN ((side_n - {_L5} + {_L5} - 1) // {_L5}) ELSE 0 END AS n_seqs FROM s)
-SELECT split, n_seqs::BIGINT AS n_seqs, (n_seqs // 4)::BIGINT AS n_batches,
-       (n_seqs * {_L5})::BIGINT AS n_tokens, (n_seqs * {_L5}) < {_L5} AS too_small
-FROM k WHERE n_seqs > 0""")
+SELECT split, n_seqs::BIGINT AS n_seqs, (n_seqs // 4)::BIGINT AS n_batches, (n_seqs * {_L5})::BIGINT AS n_tokens,
+       nt * (CASE WHEN split = 'train' THEN 0.9::DOUBLE ELSE 1 - 0.9::DOUBLE END) < {_L5} AS too_small
+FROM k, c""")
 def d13_split_token_counts(spark, sf):
-    w = S.split_by_tokens(_doc_ids(spark, sf), 0.9, _L5, _L5)
-    return S.split_token_counts(w, 4, _L5)
+    ids = _doc_ids(spark, sf)
+    total = ids.select(F.sum(F.size("ids"))).scalar()
+    return S.split_token_counts(S.split_by_tokens(ids, 0.9, _L5, _L5), 4, _L5, total, 0.9)
 
 
 # ---------------------------------------------------------------- S
@@ -243,7 +255,7 @@ def s2_format_prompt(spark, sf):
                     F.length(full).cast("long").alias("n_chars"))
 
 
-_SRC_PROMPTS = f"(SELECT conv_id * 100000 + turn AS rid, {_d_prompt(True)} AS text FROM ({_D_PAIRS}) p0)"
+_SRC_PROMPTS = f"(SELECT conv_id * 4294967296 + turn AS rid, {_d_prompt(True)} AS text FROM ({_D_PAIRS}) p0)"
 
 
 @query("s3_sft_collate", f"""
@@ -258,7 +270,7 @@ FROM t""")
 def s3_sft_collate(spark, sf):
     from ..operators.order import with_ordinal
     p = instruct.pairs_from_conversations(table(spark, sf, "conversations"))
-    src = p.select((F.col("conv_id") * 100000 + F.col("turn")).alias("rid"),
+    src = p.select((F.shiftleft(F.col("conv_id"), 32) + F.col("turn")).alias("rid"),
                    X.format_prompt("instruction", "input", "output").alias("text"))
     ids = word_ids(src, key="rid")
     o = with_ordinal(ids, "rid", name="position")

@@ -356,6 +356,52 @@ def test_near_dup_bucket_with_a_third_of_the_rows(spark):
     assert _jaccard_pairs(spark, docs, bucket=8, block_rows=5) == want      # stars and blocks
 
 
+def test_split_counts_warn_and_list_every_split(spark):
+    tok = spark.createDataFrame([(1, list(range(30))), (2, list(range(20)))], "doc_id long, ids array<int>")
+    got = {r.split: tuple(r)[1:] for r in S.split_token_counts(S.split_by_tokens(tok, 0.9, 8, 8), 2, 8, 50, 0.9).collect()}
+    assert got == {"train": (5, 2, 40, False), "val": (0, 0, 0, True)}
+    none = S.split_token_counts(S.split_by_tokens(tok.where("false"), 0.9, 8, 8), 2, 8, 0, 0.9)
+    assert {r.split: r.too_small for r in none.collect()} == {"train": True, "val": True}
+    assert S.context_length(tok, "longest_training_example", 7).first()[0] == 30
+    assert S.context_length(tok, "model_context_length", 7).first()[0] == 7 and S.context_length(tok, "12", 7).first()[0] == 12
+    with pytest.raises(ValueError):
+        S.context_length(tok, "longest", 7)
+
+
+def test_exact_dedup_keeps_rows_without_text_or_key(spark):
+    from corpuslake.operators.clean import exact_dedup
+    d = spark.createDataFrame([(None, "x"), (1, None), (2, None), (3, "y"), (4, "y"), (4, "x"), (5, "x")], "doc_id long, text string")
+    assert sorted(map(tuple, exact_dedup(d).collect()), key=repr) == sorted(
+        [(None, "x"), (1, None), (2, None), (3, "y"), (4, "x")], key=repr)
+
+
+def test_smoothing_in_blocks(spark):
+    from corpuslake.operators.metrics import smooth_loss
+    rows = [(r, i, float((i * 7 + r) % 11)) for r in (1, 2) for i in range(3 if r == 2 else 100)]
+    st = spark.createDataFrame(rows, "run long, step long, loss double")
+    for w, block in ((1, 1), (5, 5), (5, 7), (10, 64), (4, None)):
+        got = {(x.run, x.step): x.smooth_loss for x in smooth_loss(st, w, block=block).collect()}
+        want = {(r, i): sum(float((j * 7 + r) % 11) for j in range(i - w + 1, i + 1)) / w
+                for r, n in ((1, 100), (2, 3)) for i in range(w - 1, n)}
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_skew_join_equals_join_and_spreads_a_hot_key(spark, how):
+    from corpuslake.operators.skew import heavy_hitters, skew_join
+    rows = spark.range(30_000).selectExpr("id", "case when id % 3 = 0 then 'hot' when id % 50 = 1 then null else concat('k', id % 5000) end as k")
+    build = spark.range(4000).selectExpr("concat('k', id) as k", "id as v").unionByName(
+        spark.createDataFrame([("hot", -1), ("hot", -2), (None, -3)], "k string, v long"))
+    salts = heavy_hitters(rows, ["k"], 16)
+    assert len(salts) == 1 and 5 <= list(salts.values())[0] <= 6
+    got = skew_join(rows, build, "k", how, spread=["id"], hot=16)
+    key = lambda r: (r.id, r.k, r.v)
+    assert sorted(map(key, got.collect()), key=repr) == sorted(map(key, rows.join(build, "k", how).collect()), key=repr)
+    dealt = got.where("k = 'hot'").groupBy(F.pmod(F.xxhash64("id"), F.lit(list(salts.values())[0]))).count()
+    assert dealt.count() >= 5
+    assert skew_join(rows.where("false"), build, "k", how).count() == 0
+
+
 def test_near_dup_of_nothing(spark):
     docs = [(1, None), (2, None), (3, ""), (4, " \t"), (5, "one"), (6, "ONE "), (7, "two words")]
     assert _jaccard_pairs(spark, docs) == {1: 1, 2: 2, 3: 3, 4: 4, 5: 5, 6: 5, 7: 7}
