@@ -12,8 +12,9 @@ State, all written tables:
 * *counts* of all pairs, ``(key, n)``, as signed changes of every round beside a
   base that is summed up anew every ``compact_every`` rounds.
 
-A round looks up the postings of the accepted pairs, takes each chunk once, rewrites
-it, and writes the changes of counts and the postings of pairs with a new symbol.
+A round is one map over the postings of the accepted pairs: it takes each chunk once,
+rewrites it, and writes the changes of counts and the postings of pairs with a new
+symbol. No chunk is shuffled.
 First occurrences, which a difference cannot take back, are looked up for the pairs
 tied at the top alone.
 """
@@ -84,12 +85,28 @@ def _index_batches(it):
 
 
 def _rewrite_batches(it, table: K.MergeTable, new):
-    """Changes and postings from applying the ``new`` merges to chunks brought up to date by ``table``."""
+    """Changes and postings from applying the ``new`` merges to chunks brought up to date by ``table``.
+
+    A chunk comes once for every accepted pair that it held at some time. The row of the
+    first accepted pair that it holds now stands for it; a chunk that holds none is left out.
+    """
+    accepted = np.array([(a << 32) | b for a, b, _ in new], np.int64)
+    order = np.argsort(accepted)
     for rb in it:
         v, seg, count = K.list_to_flat(rb.column("ids"))
         v, seg = K.encode_flat(v, seg, count, table)
+        if len(v) < 2:
+            continue
         weight = rb.column("n").to_numpy(zero_copy_only=False)
         gone, where = _pairs(v, seg)
+        at = np.minimum(np.searchsorted(accepted[order], gone), len(new) - 1)
+        held = accepted[order][at] == gone
+        first = np.full(count, len(new))
+        np.minimum.at(first, where[held], order[at[held]])
+        asked = rb.column("key").to_numpy(zero_copy_only=False)
+        mine = (first < len(new)) & (accepted[np.minimum(first, len(new) - 1)] == asked)
+        gone, where = gone[mine[where]], where[mine[where]]
+        v, seg = v[mine[seg]], seg[mine[seg]]
         for left, right, made in new:
             v, seg = K.merge_pair(v, seg, left, right, made)
         key, row = _pairs(v, seg)
@@ -130,24 +147,20 @@ class _State:
         self.base, self.since = None, [0]
 
     def _path(self, round_: int) -> str:
-        return f"{self.root}/round={round_}"
+        return f"{self.root}/r{round_}"
 
     def _write(self, out: DataFrame, round_: int) -> None:
-        out.sortWithinPartitions("kind", "key").write.partitionBy("kind").parquet(self._path(round_))
+        out.sortWithinPartitions("kind", "key").write.parquet(self._path(round_))
 
     def _kind(self, kind: str, rounds) -> DataFrame:
-        frames = [self.spark.read.schema(_OUT).parquet(self._path(r)).where(F.col("kind") == kind).drop("kind") for r in rounds]
-        out = frames[0]
-        for f in frames[1:]:
-            out = out.unionByName(f)
-        return out
+        return self.spark.read.schema(_OUT).parquet(*[self._path(r) for r in rounds]).where(F.col("kind") == kind).drop("kind")
 
     def table(self) -> K.MergeTable:
         return K.MergeTable([m[0] for m in self.merges], [m[1] for m in self.merges], [m[2] for m in self.merges])
 
     def counts(self) -> DataFrame:
-        parts = self._kind("count", self.since).select("key", "n")
-        if self.base is not None:
+        parts = self.base if not self.since else self._kind("count", self.since).select("key", "n")
+        if self.base is not None and self.since:
             parts = parts.unionByName(self.base)
         out = parts.groupBy("key").agg(F.sum("n").alias("n")).where("n > 0")
         if len(self.since) >= self.compact_every:
@@ -157,15 +170,8 @@ class _State:
 
     def lookup(self, keys: list[int]) -> DataFrame:
         """Postings of the given pairs, each from the round that made its newer symbol."""
-        by_round: dict[int, list[int]] = {}
-        for k in keys:
-            newer = max(k >> 32, k & 0xFFFFFFFF) - self.first_id
-            by_round.setdefault(self.made_in[newer] if newer >= 0 else 0, []).append(k)
-        out = None
-        for r, ks in sorted(by_round.items()):
-            part = self._kind("posting", [r]).where(F.col("key").isin(ks))
-            out = part if out is None else out.unionByName(part)
-        return out
+        newer = [max(k >> 32, k & 0xFFFFFFFF) - self.first_id for k in keys]
+        return self._kind("posting", sorted({self.made_in[i] if i >= 0 else 0 for i in newer})).where(F.col("key").isin(keys))
 
     def with_long(self, postings: DataFrame) -> DataFrame:
         if self.long is None:
@@ -187,8 +193,7 @@ class _State:
         seen = Observation()
         if trace is not None:
             read = read.observe(seen, F.count(F.lit(1)).alias("rows"))
-        once = read if len(new) == 1 else read.dropDuplicates(["cid"])
-        self._write(self.with_long(once).mapInArrow(lambda it: _rewrite_batches(it, table, new), _OUT), round_)
+        self._write(self.with_long(read).mapInArrow(lambda it: _rewrite_batches(it, table, new), _OUT), round_)
         self.merges += new
         self.made_in += [round_] * len(new)
         self.since.append(round_)

@@ -26,6 +26,26 @@ def test_train_equals_sequential_and_batched_equals_unbatched(spark):
     assert got1 == exp
 
 
+def test_train_reads_only_what_changes_and_breaks_ties_in_corpus_order(spark):
+    """Few fetched pairs and many ties; chunks too long for a posting; up to the last pair."""
+    from corpuslake.operators.bpe_train import LONG, train_incremental
+    rnd = __import__("random").Random(4)
+    texts = [" ".join("".join(rnd.choices("abcde", k=rnd.choice([1, 2, 4]))) for _ in range(12)) for _ in range(6)]
+    texts += ["xyz" * LONG + " " + "x" * (3 * LONG), "ab" * LONG, "zzz zzzz zzzzz"]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    for n, top_k in ((8, 2), (16, 64)):
+        trace = []
+        got = bpe.train_bpe(d, 256 + n, top_k=top_k, trace=trace).orderBy("rank").collect()
+        assert [(r.left, r.right, r.new_id) for r in got] == seq_train(texts, 256 + n, fixed.GPT2_SPLIT_PATTERN)
+    chunks = bpe.chunk_table(d).select("n", "f_doc", "f_idx", "ids").cache()
+    assert sum(t["rows_read"] for t in trace) < len(trace) * chunks.count() / 2
+    few = bpe.chunk_table(spark.createDataFrame([(0, "abab ab"), (1, "zzzz")], d.schema)).select("n", "f_doc", "f_idx", "ids")
+    every = train_incremental(few, 10_000, empty_error=False, top_k=2)      # until no pair is left
+    assert len(every) > 2 and every == seq_train(["abab ab", "zzzz"], 256 + len(every), fixed.GPT2_SPLIT_PATTERN)
+    with pytest.raises(ValueError, match="no pairs left"):
+        train_incremental(few, len(every) + 1)
+
+
 def test_train_gpt4_pattern(spark):
     d = _docs(spark, 10)
     texts = [r.text for r in d.orderBy("doc_id").collect()]
