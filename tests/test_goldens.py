@@ -503,6 +503,16 @@ def test_logreg_equals_newton(spark):
         p = 1 / (1 + np.exp(-x @ w))
         w -= np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge, x.T @ (p - y) + ridge @ w)
     assert np.allclose(model.coefficients.toArray(), w[:-1], atol=2e-3) and abs(model.intercept - w[-1]) < 5e-3
+    # the registered setting: the same predictions, a loss within a thousandth of the least
+    model, pred = E.logreg(df)
+    z = x @ w
+    assert [r.pred for r in pred.where("split = 'train'").orderBy("doc_id").collect()] == (z > 0).astype(int).tolist()
+
+    def loss(v):
+        m = x @ v
+        return (np.logaddexp(0, m) - np.array(y) * m).sum() + 0.5 * (v[:-1] ** 2).sum()
+
+    assert loss(np.append(model.coefficients.toArray(), model.intercept)) < 1.001 * loss(w)
 
 
 def test_checkpoint_folder_is_required_on_clusters():
