@@ -92,6 +92,27 @@ def c10_apply_merges(spark, sf):
                       .alias("n_merged"))
 
 
+@query("c10_first_merge", f"""
+WITH w AS (SELECT unnest({d_word_split('text')}) AS c FROM documents),
+cc AS (SELECT c, count(*) AS n FROM w GROUP BY c),
+b AS (SELECT n, list_transform(range(octet_length(encode(c))),
+             lambda i: ('0x' || substr(hex(encode(c)), 2 * i + 1, 2))::INTEGER) AS ids FROM cc),
+p AS (SELECT n, unnest(ids[1:len(ids) - 1]) AS l, unnest(ids[2:len(ids)]) AS r FROM b WHERE len(ids) >= 2),
+top AS (SELECT l, r FROM p GROUP BY l, r ORDER BY sum(n) DESC LIMIT 1),
+m AS (SELECT n, replace(array_to_string(list_transform(ids, lambda x: '<' || x || '>'), ''), '<' || l || '><' || r || '>', '<256>') AS s
+      FROM b, top)
+SELECT count(*)::BIGINT AS n_chunks, sum(n * (length(s) - length(replace(s, '<', ''))))::BIGINT AS n_tokens,
+       sum(n * ((length(s) - length(replace(s, '<256>', ''))) // 5))::BIGINT AS n_merged FROM m""")
+def c10_first_merge(spark, sf):
+    """Words rewritten with their commonest pair."""
+    ch = bpe.chunk_table(_docs(spark, sf), chunker=X.word_split)
+    top = bpe.extreme_pair(bpe.pair_stats(ch), "most").first()
+    merged = bpe.apply_merges(ch, [(top["left"], top["right"], 256)])
+    return merged.agg(F.count(F.lit(1)).cast("long").alias("n_chunks"),
+                      F.sum(F.col("n") * F.size("ids")).cast("long").alias("n_tokens"),
+                      F.sum(F.col("n") * F.size(F.filter("ids", lambda x: x == 256))).cast("long").alias("n_merged"))
+
+
 @query("c11_train_bpe")
 def c11_train_bpe(spark, sf):
     return learned_merges(spark, sf)[0]
@@ -100,7 +121,8 @@ def c11_train_bpe(spark, sf):
 @query("c12_encode_bpe")
 def c12_encode_bpe(spark, sf):
     enc, _ = _encoded(spark, sf)
-    return enc.select("doc_id", F.size("ids").cast("long").alias("n_tokens"))
+    return enc.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      F.md5(F.array_join("ids", ",")).alias("ids_md5"))
 
 
 @query("c13_decode_roundtrip", "SELECT doc_id, md5(text) AS md5 FROM documents")

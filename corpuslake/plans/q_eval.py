@@ -302,7 +302,17 @@ def e14_bleu4(spark, sf):
                     F.round("brevity_penalty", 6).alias("brevity_penalty"), F.round("bleu", 6).alias("bleu"))
 
 
-@query("e14_rouge_l")
+# the table of longest common subsequences, a row (list over the reference's prefixes) for each prefix of the candidate
+@query("e14_rouge_l", "WITH RECURSIVE " + _D_BLEU_PAIRS.strip() + """,
+d(pair_id, i, v) AS (
+  SELECT pair_id, 0, list_transform(range(0, len(r) + 1), lambda x: 0::BIGINT) FROM pairs
+  UNION ALL
+  SELECT pair_id, i + 1, list_transform(range(1, len(b) + 1), lambda j: list_max(b[1:j])) FROM (
+    SELECT d.pair_id, i, list_prepend(0::BIGINT, list_transform(range(1, len(r) + 1),
+             lambda j: greatest(v[j + 1], v[j] + CASE WHEN c[i + 1] = r[j] THEN 1 ELSE 0 END))) AS b
+    FROM d JOIN pairs USING (pair_id) WHERE i < len(c)) z),
+f AS (SELECT pair_id, v[len(v)]::DOUBLE AS lcs, len(c) AS nc, len(r) AS nr FROM d JOIN pairs USING (pair_id) WHERE i = len(c))
+SELECT pair_id, round(CASE WHEN lcs = 0 THEN 0 ELSE 2 * lcs / nc * lcs / nr / (lcs / nc + lcs / nr) END, 6) AS rouge_l FROM f""")
 def e14_rouge_l(spark, sf):
     r = E.rouge_l(_bleu_pairs(spark, sf))
     return r.select("pair_id", F.round("rouge_l", 6).alias("rouge_l"))
