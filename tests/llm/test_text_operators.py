@@ -328,3 +328,47 @@ def test_pack_sizes_in_several_rounds(spark, monkeypatch):
     assert len(placed) == 400 and max(fill.values()) <= 100
     at_once, _ = packing.sum_of_squares(sorted((1 + (i * 37) % 90 for i in range(400)), reverse=True), 100)
     assert len(fill) <= 1.1 * (max(at_once) + 1)          # shares of only fifty pieces
+
+
+def test_ftrl_equals_the_textbook_updates():
+    """Every weight after all passes, one coordinate at a time in plain Python."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for _ in range(40):
+        idx = np.sort(rng.choice(200, size=rng.integers(0, 12), replace=False)).astype(np.int32)
+        rows.append((idx, rng.random(len(idx))))
+    y = np.array([int(3 in i or rng.random() < 0.2) for i, _ in rows])
+    w, bias = linear.ftrl(rows, y)
+    z, n = Counter(), Counter()                      # "b" is the bias
+
+    def weight(i):
+        if abs(z[i]) <= linear.L1:
+            return 0.0
+        return (np.sign(z[i]) * linear.L1 - z[i]) / ((linear.BETA + n[i] ** 0.5) / linear.ALPHA + linear.L2)
+
+    share = y.mean()
+    cost = {1: min(0.5 / share, 10), 0: min(0.5 / (1 - share), 10)}
+    for _ in range(min(max(linear.EPOCHS, linear.LEAST_STEPS // len(rows)), 10 * linear.EPOCHS)):
+        for (idx, x), label in zip(rows, y):
+            feats = [*zip(idx.tolist(), x.tolist()), ("b", 1.0)]
+            now = {i: weight(i) for i, _ in feats}
+            p = 1 / (1 + np.exp(-sum(now[i] * v for i, v in feats)))
+            for i, v in feats:
+                g = (p - label) * cost[int(label)] * v
+                sigma = ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / linear.ALPHA
+                z[i] += g - sigma * now[i]
+                n[i] += g * g
+    assert abs(bias - weight("b")) < 1e-9
+    assert all(abs(w[i] - weight(i)) < 1e-9 for i in range(200)) and not w[200:].any()
+
+
+def test_word_features_are_roots_of_shares():
+    texts = ["the cat the dog the cat", "One one ONE two", "", "x", None, "a b  c\n" * 50]
+    for lo, data, off in K.text_chunks(pa.array(texts)):
+        idx, x, at = linear.Featurizer()(data, off)
+        for i, t in enumerate(texts[lo:lo + len(off) - 1]):
+            mine = x[at[i]:at[i + 1]][idx[at[i]:at[i + 1]] < 1 << (linear.BITS - 1)]
+            words = (t or "").lower().split()
+            count = Counter(words) + Counter(zip(words, words[1:]))
+            total = sum(count.values())
+            assert np.allclose(sorted(mine), sorted((c / total) ** 0.5 for c in count.values()), atol=1e-6)
