@@ -1,6 +1,6 @@
 """Registered queries: Structured Streaming (I1-I5) and the stream source (A10).
 
-Each query streams the given table's Parquet file from its folder with
+Each query streams the given table, one Parquet file or a folder of them, with
 ``trigger(availableNow=True)`` and returns the finished result.
 """
 
@@ -9,16 +9,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..streaming import streams as ST
-from .registry import d_collapse, d_ascii_ratio, query
+from .registry import d_collapse, d_ascii_ratio, query, stream_path
 from .q_text import _d_strip_boilerplate
 
 
 def _docs(spark, sf):
-    return ST.read_stream(spark, sf, ST.DOC_SCHEMA, glob="documents.parquet")
+    return ST.read_stream(spark, stream_path(sf, "documents"), ST.DOC_SCHEMA)
 
 
 def _events(spark, sf):
-    return ST.read_stream(spark, sf, ST.EVENT_SCHEMA, glob="events.parquet")
+    return ST.read_stream(spark, stream_path(sf, "events"), ST.EVENT_SCHEMA)
 
 
 @query("i1_stream_clean", f"""
@@ -32,7 +32,7 @@ def i1_stream_clean(spark, sf):
 @query("a10_stream_documents", "SELECT doc_id, n_chars FROM documents")
 def a10_stream_documents(spark, sf):
     from ..sources.readers import stream_documents
-    s = stream_documents(spark, sf, glob="documents.parquet").select("doc_id", "n_chars")
+    s = stream_documents(spark, stream_path(sf, "documents")).select("doc_id", "n_chars")
     return ST.run_available(s, "a10")
 
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from corpuslake.operators import bpe
@@ -43,3 +44,27 @@ def test_metrics_over_batches(spark):
     sliding = ST.run_available(ST.stream_metrics(events, "2 days", "1 day"), "m", mode="update",
                                keys=["w", "event_type"])
     assert sliding.agg(F.sum("n")).first()[0] == 12
+
+
+@pytest.mark.parametrize("as_folder", [False, True])
+def test_stream_queries_read_a_table_of_one_file_or_several(spark, tmp_path, as_folder):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from corpuslake.plans import q_bpe, q_stream
+    rows = [(i, "good words here " * (i + 1), "en", "s", 16 * (i + 1)) for i in range(4)]
+    cols = dict(zip(ST.DOC_SCHEMA.fieldNames(), map(list, zip(*rows))))
+    at = tmp_path / "documents.parquet"
+    if as_folder:
+        at.mkdir()
+        for i in range(2):
+            pq.write_table(pa.table(cols).slice(2 * i, 2), at / f"part-{i}.parquet")
+    else:
+        pq.write_table(pa.table(cols), at)
+    pq.write_table(pa.table({"doc_id": [9]}), tmp_path / "other.parquet")       # another table beside
+    for f in (q_stream.a10_stream_documents, q_stream.i1_stream_clean):
+        assert sorted(r.doc_id for r in f(spark, str(tmp_path)).collect()) == [0, 1, 2, 3], f.__name__
+    merges = bpe.merges_from_rows(spark, [])
+    docs = ST.read_stream(spark, q_bpe.stream_path(str(tmp_path), "documents"), ST.DOC_SCHEMA)
+    n = {r.doc_id: r.n_tokens for r in ST.stream_encode(docs, merges).collect()}
+    assert n == {r[0]: len(r[1]) for r in rows}
