@@ -141,3 +141,49 @@ def test_char_special_not_allowed_raises(spark):
         CB.encode_char_bpe(df, vocab, m, allowed_special=()).collect()
     with pytest.raises(Exception, match="no merge of two earlier"):
         bpe.recover_merges(spark.createDataFrame([(b"a", 0), (b"b", 1), (b"aba", 2)], "bytes binary, rank long")).collect()
+
+
+def _batch(rng, rows, few_docs):
+    import numpy as np
+    import pyarrow as pa
+    ids = [rng.integers(0, 5, int(rng.integers(0, 12))).tolist() for _ in range(rows)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(rng.integers(1, 9, rows)), pa.array(rng.integers(0, 4 if few_docs else 10 ** 6, rows)),
+         pa.array(rng.integers(0, 3, rows).astype(np.int32)), pa.array(ids, pa.list_(pa.int32()))],
+        names=["n", "f_doc", "f_idx", "ids"])
+
+
+def test_pair_partials_equal_a_plain_count():
+    import numpy as np
+
+    from corpuslake.operators import bpe
+    rng = np.random.default_rng(3)
+    for trial in range(60):
+        rb = _batch(rng, 8, trial % 2 == 0)             # rows that share a place, and none
+        want = {}
+        for r in rb.to_pylist():
+            for i, pair in enumerate(zip(r["ids"], r["ids"][1:])):
+                n, first = want.get(pair, (0, (10 ** 9, 0, 0)))
+                want[pair] = (n + r["n"], min(first, (r["f_doc"], r["f_idx"], i)))
+        got = {(r["left"], r["right"]): (r["count"], (r["f_doc"], r["f_idx"], r["f_pair"]))
+               for part in bpe._partial_pairs(iter([rb])) for r in part.to_pylist()}
+        assert got == want
+
+
+def test_encode_and_decode_work_on_bounded_parts_of_a_batch(monkeypatch):
+    import pyarrow as pa
+
+    from corpuslake.functions import bpe_kernels as K
+    from corpuslake.operators import bpe
+    rules, vocab = [(97, 98, 256)], [(i, bytes([i])) for i in range(256)] + [(256, b"ab")]
+    chunks = [["ab", " cab"], [], None, ["xy" * 40], [" ab"] * 7] * 5
+    rb = pa.RecordBatch.from_arrays([pa.array(range(25)), pa.array(chunks, pa.list_(pa.string()))],
+                                    names=["doc_id", "_chunks"])
+    whole = [r for p in bpe._encode_batches(iter([rb]), rules, {}, "_chunks", ["doc_id"], "ids") for r in p.to_pylist()]
+    slices = K.slices
+    monkeypatch.setattr(K, "slices", lambda it, col: slices(it, col, 30))
+    parts = list(bpe._encode_batches(iter([rb]), rules, {}, "_chunks", ["doc_id"], "ids"))
+    assert [r for p in parts for r in p.to_pylist()] == whole and [r["doc_id"] for r in whole] == list(range(25))
+    assert all(p.num_rows == 1 or len(p.column("ids").flatten()) <= 30 for p in parts)
+    back = [r for p in bpe._decode_batches(iter(parts), vocab, "ids", ["doc_id"], "t") for r in p.to_pylist()]
+    assert [r["t"].decode() for r in back] == ["".join(c or []) for c in chunks]
