@@ -187,3 +187,26 @@ def test_encode_and_decode_work_on_bounded_parts_of_a_batch(monkeypatch):
     assert all(p.num_rows == 1 or len(p.column("ids").flatten()) <= 30 for p in parts)
     back = [r for p in bpe._decode_batches(iter(parts), vocab, "ids", ["doc_id"], "t") for r in p.to_pylist()]
     assert [r["t"].decode() for r in back] == ["".join(c or []) for c in chunks]
+
+
+def test_character_ids_come_in_bounded_parts(monkeypatch):
+    import pyarrow as pa
+
+    from corpuslake.functions import bpe_kernels as K
+    rb = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(["abca", None, "", "c" * 20, "ab", "ba"])], names=["n", "_g"])
+    slices = K.slices
+    monkeypatch.setattr(K, "slices", lambda it, col: slices(it, col, 5))
+    parts = list(CB._doc_ids_batches(iter([rb]), [(0, "a"), (1, "b"), (2, "c")], ["n"]))
+    assert [r["ids"] for p in parts for r in p.to_pylist()] == [[0, 1, 2, 0], [], [], [2] * 20, [0, 1], [1, 0]]
+    assert all(p.num_rows == 1 or len(p.column("ids").flatten()) <= 5 for p in parts)
+
+
+def test_both_character_modes_share_one_training(spark, tmp_path, monkeypatch):
+    from corpuslake.plans import q_bpe
+    spark.createDataFrame([(1, "a cat sat"), (2, "")], "doc_id long, text string").coalesce(1) \
+        .write.parquet(str(tmp_path / "documents.parquet"))
+    calls, train = [], CB.train_char_bpe
+    monkeypatch.setattr(q_bpe, "N_CHAR_MERGES", 2)
+    monkeypatch.setattr(CB, "train_char_bpe", lambda *a, **kw: calls.append(1) or train(*a, **kw))
+    assert sorted(r.doc_id for r in q_bpe.c19_encode_char_bpe(spark, str(tmp_path)).collect()) == [1, 2]
+    assert len(calls) == 1
