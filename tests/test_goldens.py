@@ -515,6 +515,35 @@ def test_logreg_equals_newton(spark):
     assert loss(np.append(model.coefficients.toArray(), model.intercept)) < 1.001 * loss(w)
 
 
+def test_term_vectors_share_the_columns_of_one_row(spark):
+    """Terms of one row alone take one column of that row, and the fit is that of a column each."""
+    import numpy as np
+    from corpuslake.operators import evaluate as E
+    df = spark.createDataFrame(
+        [(1, "aa aa bb c1 c1 c1 d1 d1 d1 d1", 1, "train"), (2, "aa bb bb e2", 0, "train"), (3, "bb bb", 0, "train"),
+         (4, "aa aa bb f4", 1, "train"), (5, "aa zz", 1, "val"), (5, "bb", 0, "val"), (None, "aa g0 g0", 1, "train"),
+         (7, None, 0, "val")], "doc_id long, text string, label int, split string")
+    f = {r.doc_id: r.features for r in E.term_vectors(df).collect()}
+    assert {v.size for v in f.values()} <= {5, 6}                  # aa, bb, the rows 1, 2 and 4, no column a term
+    assert f[1].toArray()[:2].tolist() == [2, 1] and f[1].values.tolist()[2:] == [5]    # 3 and 4 make 5
+    assert f[5].toArray()[:2].tolist() == [1, 1] and f[5].toArray()[2:].sum() == 0      # rows of one key, added up
+    assert f[7].indices.tolist() == [] and f[None].indices.tolist() == []
+    model, pred = E.logreg(df, tol=1e-10)
+    # a column each, by Newton's method
+    x = np.array([[2, 1, 3, 4, 0, 0, 1], [1, 2, 0, 0, 1, 0, 1], [0, 2, 0, 0, 0, 0, 1], [2, 1, 0, 0, 0, 1, 1],
+                  [0, 0, 0, 0, 0, 0, 1]], float)
+    y, w, ridge = np.array([1, 0, 0, 1, 1]), np.zeros(7), np.diag([1.0] * 6 + [0.0])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-x @ w))
+        w -= np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge, x.T @ (p - y) + ridge @ w)
+    got = model.coefficients.toArray()
+    assert np.allclose(got[:2], w[:2], atol=2e-3) and abs(model.intercept - w[-1]) < 5e-3
+    assert abs(got[f[1].indices[2]] - np.hypot(w[2], w[3])) < 2e-3
+    z = {1: x[0] @ w, 2: x[1] @ w, 3: x[2] @ w, 4: x[3] @ w, 5: w[0] + w[1] + w[-1], None: w[-1], 7: w[-1]}
+    rows = pred.collect()
+    assert len(rows) == 8 and all(r.pred == int(z[r.doc_id] > 0) for r in rows)
+
+
 def test_checkpoint_folder_is_required_on_clusters():
     from corpuslake import session
 
