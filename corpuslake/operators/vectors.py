@@ -38,14 +38,15 @@ def blocks(emb: DataFrame, block_size: int = 32, id_col: str = "vec_id",
 
 def embedding_lookup(tokens: DataFrame, table: DataFrame, ids_col: str = "ids",
                      key: str = "doc_id", table_id: str = "vec_id",
-                     table_vec: str = "embedding") -> DataFrame:
+                     table_vec: str = "embedding", extra=()) -> DataFrame:
     """G1: ``(key, pos, vec)``: each token id replaced by its table row; an id
-    that the table lacks raises. Hot ids are dealt over tasks."""
+    that the table lacks raises. Hot ids are dealt over tasks. ``extra`` names
+    columns of the table that come along with its vector."""
     ex = tokens.select(key, F.posexplode(ids_col).alias("pos", "_id"))
-    t = table.select(F.col(table_id).alias("_id"), dvec(table_vec).alias("_vec"))
+    t = table.select(F.col(table_id).alias("_id"), dvec(table_vec).alias("_vec"), *extra)
     lost = F.raise_error(F.concat(F.lit("id not in the table: "), F.col("_id").cast("string")))
     return skew_join(ex, t, "_id", "left", spread=[key, "pos"]).select(
-        key, "pos", F.coalesce("_vec", lost.cast("array<double>")).alias("vec"))
+        key, "pos", F.coalesce("_vec", lost.cast("array<double>")).alias("vec"), *extra)
 
 
 def add_positional(vecs: DataFrame, pos_table: DataFrame) -> DataFrame:

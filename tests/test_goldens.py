@@ -460,6 +460,19 @@ def test_embedding_lookup_raises_on_unknown_id(spark):
         V.embedding_lookup(tok, emb.where("vec_id = 0")).collect()
 
 
+def test_embedding_lookup_brings_columns_along(spark):
+    from corpuslake.operators import vectors as V
+    emb = spark.createDataFrame([(0, [1.5, 2.0]), (1, [0.5, -4.0])], "vec_id long, embedding array<float>") \
+        .withColumn("_sum", V.vsum(V.dvec("embedding")))
+    tok = spark.createDataFrame([(7, [1, 0, 1]), (8, [])], "doc_id long, ids array<long>")
+    look = V.embedding_lookup(tok, emb, extra=["_sum"])
+    assert [tuple(r) for r in look.orderBy("pos").collect()] == [
+        (7, 0, [0.5, -4.0], -3.5), (7, 1, [1.5, 2.0], 3.5), (7, 2, [0.5, -4.0], -3.5)]
+    with pytest.raises(Exception, match="id not in the table"):
+        V.embedding_lookup(tok, emb.where("vec_id = 0"), extra=["_sum"]) \
+            .groupBy("doc_id").agg({"vec": "count", "_sum": "sum"}).collect()
+
+
 def test_lcs_length():
     from corpuslake.operators.evaluate import _lcs_len
     import random
