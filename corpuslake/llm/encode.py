@@ -19,6 +19,7 @@ from . import kernels as K
 MAX_PIECES = 400_000          # of the look-up table of a task; it starts anew beyond
 
 _LETTERS = K.byte_class(bytes(range(65, 91)) + bytes(range(97, 123)))
+_LOWER = K.byte_class(bytes(range(97, 123)))
 _DIGITS = K.byte_class(b"0123456789")
 _PUNCT = K.byte_class(bytes(b for b in range(0x21, 0x7F)
                             if not chr(b).isalnum() and b != 0x27))
@@ -67,15 +68,16 @@ class PieceEncoder:
 
         self.tok = Tokenizer.from_file(path)
         self.model = self.tok.model
-        self.alphabet = {b: c for b, c in byte_letters().items()}
+        self.alphabet = byte_letters()
+        self.blank = self.alphabet[32]
         self.end_id, self.lower, self.hasher = end_id, lower, K.Hasher()
         self._reset()
 
     def _reset(self):
-        self.known: dict[int, int] = {}
-        self.flat = np.zeros(1 << 16, np.uint32)
-        self.flat[0] = self.end_id
-        self.at, self.used = [0, 1], 1          # entry 0 is the end id
+        self.keys = np.zeros(0, np.uint64)      # hashes of the known pieces, ascending,
+        self.entry = np.zeros(0, np.int64)      # and their entries
+        self.flat = np.full(1, self.end_id, np.uint32)
+        self.at = np.array([0, 1])              # entry 0 is the end id
 
     def _encode(self, raw: bytes) -> list[int]:
         text = raw.decode()
@@ -85,20 +87,49 @@ class PieceEncoder:
             return [t.id for t in self.model.tokenize(raw.decode("latin-1").translate(self.alphabet))]
         return self.tok.encode(text, add_special_tokens=False).ids
 
-    def _add(self, key: int, raw: bytes) -> int:
-        ids = self._encode(raw)
+    def _add(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Encodes new pieces; their entries."""
+        buf = data.tobytes()
+        text, tokenize = buf.decode("latin-1"), self.model.tokenize
+        letters = _LETTERS if not self.lower else _LOWER
+        solid = np.concatenate([[0], np.cumsum(~letters[data])])
+        blank = end - start > 1
+        blank[blank] = data[start[blank]] == 32
+        # ASCII letters alone, one blank before them or none
+        plain = (solid[end] == solid[start + blank]) & (end > start)
+        if self.lower:
+            plain &= ~blank
+        ids, size = [], []
+        for a, b, p, w in zip(start.tolist(), end.tolist(), plain.tolist(), blank.tolist()):
+            if p:
+                new = [t.id for t in tokenize(self.blank + text[a + 1:b] if w else text[a:b])]
+            else:
+                new = self._encode(buf[a:b])
+            ids += new
+            size.append(len(new))
         n = len(self.at) - 1
-        if self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), len(ids)), np.uint32)])
-        self.flat[self.used:self.used + len(ids)] = ids
-        self.used += len(ids)
-        self.at.append(self.used)
-        self.known[key] = n
-        return n
+        self.flat = np.concatenate([self.flat, np.array(ids, np.uint32)])
+        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(size, dtype=np.int64)])
+        return np.arange(n, n + len(size))
+
+    def _entries(self, h: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Entries of pieces by their distinct hashes, ascending; unknown ones are added."""
+        at = np.searchsorted(self.keys, h)
+        known = np.zeros(len(h), bool)
+        inside = at < len(self.keys)
+        known[inside] = self.keys[at[inside]] == h[inside]
+        entry = np.zeros(len(h), np.int64)
+        entry[known] = self.entry[at[known]]
+        new = ~known
+        if new.any():
+            entry[new] = self._add(data, start[new], end[new])
+            self.keys = np.insert(self.keys, at[new], h[new])
+            self.entry = np.insert(self.entry, at[new], entry[new])
+        return entry
 
     def __call__(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, offsets)`` of the chunk's documents."""
-        if len(self.known) > MAX_PIECES:
+        if len(self.keys) > MAX_PIECES:
             self._reset()
         n_docs = len(off) - 1
         raw = data
@@ -117,16 +148,11 @@ class PieceEncoder:
         if self.lower and len(start):           # white space before a piece says nothing
             solid = np.append(np.flatnonzero(~_BLANK[data]), len(data))
             start = np.minimum(solid[np.searchsorted(solid, start)], end)
-        h, first, inverse = np.unique(self.hasher.ranges(self.hasher.prefix(data), start, end),
-                                      return_index=True, return_inverse=True)
-        keys = h.tolist()
-        get = self.known.get
-        entry = np.array([get(k, -1) for k in keys], np.int64)
-        buf = data.tobytes()
-        for i in np.flatnonzero(entry < 0).tolist():
-            f = first[i]
-            entry[i] = self._add(keys[i], buf[start[f]:end[f]])
-        at = np.array(self.at, np.int64)
+        h, inverse = np.unique(self.hasher.ranges(self.hasher.prefix(data), start, end), return_inverse=True)
+        one = np.zeros(len(h), np.int64)
+        one[inverse] = np.arange(len(start))    # any piece of each hash
+        entry = self._entries(h, data, start[one], end[one])
+        at = self.at
         # an end piece after each document's own
         seq = np.insert(entry[inverse], np.cumsum(per_doc), 0)
         size = (at[1:] - at[:-1])[seq]

@@ -152,7 +152,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, lower: bool,
     def serialised(batches):
         enc = PieceEncoder(tokenizer, end_id, lower)
         for b in batches:
-            for _, data, off in K.text_chunks(b.column(1)):
+            for _, data, off in K.text_chunks(b.column(1), K.SMALL_CHUNK):
                 ids, at = enc(data, off)
                 yield pa.RecordBatch.from_arrays([pa.array(
                     [ids[at[i]:at[i + 1]].astype(f"<u{width}").tobytes() for i in range(len(at) - 1)],
@@ -177,7 +177,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, lower: bool,
         path = f"{folder}/shard-{shard:06d}-{uuid.uuid4().hex}.tok"
         enc, out = PieceEncoder(tokenizer, end_id, lower), None
         for b in batches:
-            for lo, data, off in K.text_chunks(b.column(1)):
+            for lo, data, off in K.text_chunks(b.column(1), K.SMALL_CHUNK):
                 if out is None:
                     fs, name = open_fs(path)
                     out = ShardWriter(fs.open_output_stream(name), width, dictionary)

@@ -239,6 +239,32 @@ def test_piece_encoder(texts, name, lower, end):
     assert got == [want.encode(t or "", add_special_tokens=False).ids + [end] for t in texts]
 
 
+@pytest.mark.parametrize("name,lower,end", [("byte_bpe_50k.json", False, 2), ("word_bpe_49k.json", True, 1)])
+def test_piece_encoder_holds_little(name, lower, end):
+    """What stays between chunks is a few numbers for each known piece; several chunks agree with the tokenizer."""
+    import tracemalloc
+
+    from tokenizers import Tokenizer
+    path = encode.tokenizer_path(name)
+    rng = np.random.default_rng(5)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyzABCDEFGHé"))
+    word = ["".join(rng.choice(letters, n)) for n in rng.integers(5, 9, 40_000)]
+    texts = [" ".join(word[i:i + 50]) for i in range(0, len(word), 50)] + [" " + " ".join(word[:300]), "x", " ", None]
+    enc, want, got = encode.PieceEncoder(path, end, lower), Tokenizer.from_file(path), []
+    enc(*K.text_buffers(pa.array(["warm up"])))
+    tracemalloc.start()
+    for _, data, off in K.text_chunks(pa.array(texts), 1 << 15):
+        ids, at = enc(data, off)
+        got += [zlib.crc32(ids[at[i]:at[i + 1]].tobytes()) for i in range(len(off) - 1)]
+    del ids, at
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 90 * len(word)
+    for t, c in zip(texts, got, strict=True):
+        ids = want.encode(t or "", add_special_tokens=False).ids + [end]
+        assert c == zlib.crc32(np.array(ids, np.uint32).tobytes())
+
+
 def test_token_counts(spark, docs, texts):
     import sentencepiece
     sp = sentencepiece.SentencePieceProcessor(model_file=encode.tokenizer_path("piece_bpe_32k.model"))
