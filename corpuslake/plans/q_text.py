@@ -325,7 +325,8 @@ def _ids_out(df):
 @query("c3_word_encode", _d_encode("documents", unk=False))
 def c3_word_encode(spark, sf):
     d = table(spark, sf, "documents")
-    return _ids_out(words.word_encode(d, words.build_word_vocab(d)))
+    b = words.token_blocks(d)
+    return _ids_out(words.word_encode(d, words.build_word_vocab(d, blocks=b), blocks=b))
 
 
 @query("c4_word_encode_unk", _d_encode("benchmark", unk=True))
@@ -344,8 +345,9 @@ FROM documents d LEFT JOIN (
   SELECT doc_id, string_agg(token, ' ' ORDER BY pos) AS s FROM e GROUP BY doc_id) a USING (doc_id)""")
 def c5_word_decode(spark, sf):
     d = table(spark, sf, "documents")
-    v = words.build_word_vocab(d)
-    dec = words.word_decode(words.word_encode(d, v), v)
+    b = words.token_blocks(d)
+    v = words.build_word_vocab(d, blocks=b)
+    dec = words.word_decode(words.word_encode(d, v, blocks=b), v)
     return dec.select("doc_id", F.md5("text").alias("md5"))
 
 
@@ -420,8 +422,9 @@ SELECT v.token_id, count(*)::BIGINT AS n, v.token AS text FROM e JOIN v USING (t
 GROUP BY v.token_id, v.token""")
 def c22_token_frequencies(spark, sf):
     d = table(spark, sf, "documents")
-    v = words.build_word_vocab(d)
-    enc = words.word_encode(d, v)
+    b = words.token_blocks(d)
+    v = words.build_word_vocab(d, blocks=b)
+    enc = words.word_encode(d, v, blocks=b)
     counts = enc.select(F.explode("ids").alias("token_id")).groupBy("token_id") \
         .agg(F.count(F.lit(1)).alias("n"))
     return counts.join(v, "token_id").select("token_id", "n", F.col("token").alias("text"))
