@@ -210,3 +210,78 @@ def test_both_character_modes_share_one_training(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(CB, "train_char_bpe", lambda *a, **kw: calls.append(1) or train(*a, **kw))
     assert sorted(r.doc_id for r in q_bpe.c19_encode_char_bpe(spark, str(tmp_path)).collect()) == [1, 2]
     assert len(calls) == 1
+
+
+def _char_docs():
+    import random
+    rng = random.Random(5)
+    words = ["".join(rng.choices("aabcdeé𝄞", k=rng.randint(1, 6))) for _ in range(40)]
+    return [(i, " ".join(rng.choices(words, k=rng.randint(0, 60)))) for i in range(120)] + [(200, None), (201, ""), (202, "aaaaa aaaa")]
+
+
+def _plain_char_train(rows, base, n_merges):
+    """One merge at a time over all rows by key; counts overlap in runs, ties go to the pair met first."""
+    docs = [[base[c] for c in ("" if t[:1] == " " else t[:1]) + t[1:].replace(" ", "\u0120")] for _, t in sorted(rows) if t]
+    merges, new = [], max(base.values()) + 1
+    while len(merges) < n_merges:
+        count = {}
+        for d in docs:
+            for pair in zip(d, d[1:]):
+                count[pair] = count.get(pair, 0) + 1
+        if not count:
+            break
+        best = max(count, key=count.get)               # the first of equal ones in order of meeting
+        merges.append((*best, new))
+        for d in docs:
+            i = 0
+            while i < len(d) - 1:
+                if (d[i], d[i + 1]) == best:
+                    d[i:i + 2] = [new]
+                i += 1
+        new += 1
+    return merges
+
+
+@pytest.mark.parametrize("batch, parts, merges", [(True, 3, 24), (False, 1, 6)])
+def test_char_training_by_changes_equals_a_plain_one(spark, batch, parts, merges):
+    rows = _char_docs()
+    m, v = CB.train_char_bpe(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts), n_merges=merges, batch=batch)
+    m, v = m.orderBy("rank").collect(), {r.token: r.token_id for r in v.collect()}
+    base = {t: i for t, i in v.items() if i < m[0].new_id}
+    assert [(r.left, r.right, r.new_id) for r in m] == _plain_char_train(rows, base, merges)
+    token = {i: t for t, i in v.items()}
+    assert all(token[r.new_id] == token[r.left] + token[r.right] for r in m)
+
+
+def test_char_training_keeps_little_on_disk(spark, monkeypatch):
+    """Whole documents were written as 4 bytes a symbol again and again, and kept."""
+    import os
+
+    from corpuslake.session import ensure_checkpoint_dir
+    root = ensure_checkpoint_dir(spark).removeprefix("file:")
+    size = lambda: sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(root) for f in fs)
+    rows = [(i, f"{t or ''} {i * 7919 % 1000} " * 20) for i, (_, t) in enumerate(_char_docs() * 3)]
+    before, most, add = size(), [], CB.write_table
+    from corpuslake.operators import char_train
+    monkeypatch.setattr(char_train, "write_table", lambda *a: (add(*a), most.append(size() - before))[0])
+    CB.train_char_bpe(spark.createDataFrame(rows, "doc_id long, text string"), n_merges=12)
+    assert max(most) < sum(len(t) for _, t in rows)
+
+
+def test_char_changes_of_counts_equal_counting_again():
+    import numpy as np
+    import pyarrow as pa
+
+    from corpuslake.operators import char_train as CT
+    rng, dtype = np.random.default_rng(4), CT.symbol_type(300)
+    for trial in range(40):
+        ids = [rng.integers(0, 3, int(rng.integers(0, 15))).tolist() for _ in range(6)]
+        rb = pa.RecordBatch.from_arrays([pa.array(np.ones(6, np.int64) if trial % 2 else rng.integers(1, 5, 6)), pa.array(range(6)),
+                                         pa.array(ids, pa.list_(pa.int32()))], names=["n", "f_doc", "ids"])
+        state = list(CT._state_batches(iter([rb]), dtype))
+        sums = lambda parts: {r["key"]: r["n"] for p in parts for r in p.to_pylist()}
+        was, new = sums(CT._count_batches(iter(state), dtype)), [(0, 0, 9), (1, 2, 10), (9, 9, 11)]
+        for k, n in sums(CT._change_batches(iter(state), (), new, dtype)).items():
+            was[k] = was.get(k, 0) + n
+        now = sums(CT._count_batches(CT._fold_batches(iter(state), new, dtype), dtype))
+        assert {k: n for k, n in was.items() if n} == now
