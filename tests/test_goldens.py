@@ -598,3 +598,25 @@ def test_checkpoint_folder_is_required_on_clusters():
         Context.master = m
         with pytest.raises(ValueError):
             session.ensure_checkpoint_dir(Session())
+
+
+def test_learning_curve_fits_run_side_by_side(spark, monkeypatch):
+    """The three fits, each of hundreds of short jobs, ran one after the other."""
+    import threading
+
+    from corpuslake.plans import q_eval
+    both = threading.Barrier(2)
+    rows = spark.createDataFrame([(i, "a b", i % 2, s) for i, s in enumerate(["train"] * 8 + ["val"] * 2)],
+                                 "doc_id long, text string, label int, split string")
+    seen = []
+
+    def fit(data, train):
+        if len(seen) < 2:
+            seen.append(1)
+            both.wait(60)
+        return None, data.withColumn("pred", F.lit(train.count() % 2))
+    monkeypatch.setattr(q_eval, "labelled", lambda *a: rows)
+    monkeypatch.setattr(q_eval.E, "term_vectors", lambda d: d)
+    monkeypatch.setattr(q_eval.E, "fit_logreg", fit)
+    out = q_eval.e17_learning_curve(spark, "").collect()
+    assert [(r.fraction, r.accuracy, r.n) for r in out] == [(f, 0.5, 2) for f in (0.25, 0.5, 1.0)]
